@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlane.operators.detectors import ResidualZScoreDetector, RobustResidualDetector
@@ -23,6 +23,7 @@ from wattlane.operators.splits import train_test_split, train_validation_test_sp
 from wattlane.plans.backtest import check_single_zone
 from wattlane.plans.train import fit_forecaster, prepare_supervised
 from wattlane.operators.features import FeatureConfig
+from wattlane.session import cut_lineage
 from wattlane.schema import CONTAMINATION_GRID, DEFAULT_THRESHOLDS, METHODS, ROBUST_GRID, ZSCORE_GRID
 
 LABEL = "actual_anomaly"
@@ -133,7 +134,8 @@ def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared
     labels = "is_anomaly" in frame.columns
     if labels:
         frame = frame.withColumn(LABEL, F.col("is_anomaly").cast("boolean"))
-    return _Prepared(frame, sup.features, split.counts, labels)
+    # every method and grid value reads this frame: write it once to the shared checkpoint folder
+    return _Prepared(cut_lineage(frame), sup.features, split.counts, labels)
 
 
 def _residual_detector(method: str, threshold: float):
@@ -244,3 +246,53 @@ def result_key(kind: str, horizon: int, model: str = "ridge") -> str:
         "backtest": f"backtest_{model}_h{horizon}",
         "forecast": f"forecast_{model}_h{horizon}",
     }[kind]
+
+
+def residual_tuning_frame(
+    frame: DataFrame,
+    *,
+    labels: bool,
+    methods: tuple[str, ...] = ("residual_zscore", "robust_residual"),
+) -> DataFrame:
+    """E4 + E6 + O5 as one lazy plan over a split frame (``split``, ``residual``[, ``actual_anomaly``]).
+
+    Detectors are fitted once on train; validation scores meet the grid
+    table (one row per method and grid value, broadcast) in an equi-join on
+    ``method``; the first maximum of macro F1 per method is picked with a
+    window over that tiny candidate table; test rows are scored with it.
+    Returns method, threshold, detected_count and, with labels, the
+    confusion counts and precision / recall / macro F1 on test.
+    """
+
+    spark = frame.sparkSession
+    train = frame.where(F.col("split") == "train")
+    val = frame.where(F.col("split") == "validation")
+    test = frame.where(F.col("split") == "test")
+    label_cols = [LABEL] if labels else []
+    val_parts, test_parts, grid_rows = [], [], []
+    for method in methods:
+        d = _residual_detector(method, 0.0).fit_residuals(train, "residual")
+        val_parts.append(d.score_residuals(val, "residual").select(F.lit(method).alias("method"), "anomaly_score", *label_cols))
+        test_parts.append(d.score_residuals(test, "residual").select(F.lit(method).alias("method"), "anomaly_score", *label_cols))
+        grid = ZSCORE_GRID if method == "residual_zscore" else ROBUST_GRID
+        grid_rows += [(method, i, float(t)) for i, t in enumerate(grid)]
+    val_all, test_all = val_parts[0], test_parts[0]
+    for v, t in zip(val_parts[1:], test_parts[1:]):
+        val_all, test_all = val_all.unionByName(v), test_all.unionByName(t)
+    if labels:
+        grid = F.broadcast(spark.createDataFrame(grid_rows, "method STRING, grid_idx INT, threshold DOUBLE"))
+        flagged = val_all.join(grid, "method").withColumn("_flag", F.col("anomaly_score") >= F.col("threshold"))
+        cands = flagged.groupBy("method", "grid_idx", "threshold").agg(*confusion_columns(F.col(LABEL), F.col("_flag")))
+        cands = cands.select("*", *classification_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
+        rank = F.row_number().over(Window.partitionBy("method").orderBy(F.col("macro_f1").desc(), F.col("grid_idx")))
+        best = cands.withColumn("_rank", rank).where(F.col("_rank") == 1).select("method", "threshold")
+    else:
+        best = spark.createDataFrame([(m, float(DEFAULT_THRESHOLDS[m])) for m in methods], "method STRING, threshold DOUBLE")
+    scored = test_all.join(F.broadcast(best), "method").withColumn("_flag", F.col("anomaly_score") >= F.col("threshold"))
+    aggs = [F.count_if("_flag").alias("detected_count")]
+    if labels:
+        aggs += confusion_columns(F.col(LABEL), F.col("_flag"))
+    out = scored.groupBy("method", "threshold").agg(*aggs)
+    if labels:
+        out = out.select("*", *classification_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
+    return out

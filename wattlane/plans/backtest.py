@@ -33,6 +33,7 @@ from wattlane.operators.ridge import Moments, moment_columns, solve_ridge
 from wattlane.operators.splits import FoldSpec, assign_test_folds, train_block
 from wattlane.plans.train import fit_forecaster, prepare_supervised
 from wattlane.schema import TIMESTAMP, ZONE
+from wattlane.session import cut_lineage
 
 
 def check_single_zone(panel: DataFrame, zone_col: str = ZONE, what: str = "Backtesting") -> None:
@@ -99,7 +100,7 @@ def run_backtest(panel: DataFrame, cfg: BacktestConfig | None = None) -> tuple[d
         check_single_zone(panel)
     fc = cfg.feature or FeatureConfig(forecast_horizon=cfg.forecast_horizon)
     sup = prepare_supervised(panel, fc)
-    numbered = chronological_row_number(sup.frame)
+    numbered = cut_lineage(chronological_row_number(sup.frame))
     spec = FoldSpec(cfg.initial_train_size, cfg.fold_size, cfg.step_size)
     cuts = spec.cuts(sup.rows)
     spark = panel.sparkSession

@@ -22,6 +22,7 @@ from wattlane.operators.metrics import anomaly_metrics, forecast_metric_columns
 from wattlane.operators.ridge import fit_ridge
 from wattlane.operators.splits import NumberedSplit, train_test_split
 from wattlane.schema import LABEL_COLUMNS, TARGET
+from wattlane.session import cut_lineage
 
 
 def fit_forecaster(df: DataFrame, features: list[str], target: str, model: str, **kw: Any):
@@ -82,7 +83,9 @@ def run_training(panel: DataFrame, cfg: TrainConfig | None = None) -> TrainResul
         split.part("train"), sup.features, fc.target_column, cfg.model,
         forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state,
     )
-    predicted = model.predict(labeled).withColumn("residual", F.col(fc.target_column) - F.col("prediction"))
+    predicted = cut_lineage(
+        model.predict(labeled).withColumn("residual", F.col(fc.target_column) - F.col("prediction"))
+    )
     # one pass: test forecast metrics and training residual statistics
     stats = predicted.groupBy("split").agg(
         *forecast_metric_columns(fc.target_column, "prediction"),
