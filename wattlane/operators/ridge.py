@@ -179,18 +179,26 @@ def fit_ridge(
     impute: bool = True,
     forecast_horizon: int = 24,
     random_state: int | None = 42,
+    center: dict[str, float] | None = None,
 ) -> RidgeModel:
-    """M3/M6: two aggregate passes (means, centred moments) plus an exact-median pass."""
+    """M3/M6: one centred-moment aggregate (plus a means pass when no centre is given)
+    and one exact-median job for the imputer.
+
+    ``center`` only needs to be close to the means (e.g. the supervised-row
+    means); the solve corrects for the offset exactly.
+    """
 
     features = list(features)
     if not features:
         raise ValueError("feature_names must not be empty.")
     k = len(features)
-    mean_row = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate([*features, target])]).first()
-    if not mean_row["n"]:
-        raise ValueError("features must contain at least one row.")
-    center = {c: float(mean_row[f"m_{i}"] or 0.0) for i, c in enumerate([*features, target])}
+    cols = [*features, target]
+    if center is None or any(c not in center for c in cols):
+        mean_row = df.agg(*[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
+        center = {c: float(mean_row[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}
     mom = Moments.from_row(df.agg(*moment_columns(features, target, center)).first(), k)
+    if not mom.n:
+        raise ValueError("features must contain at least one row.")
     coef, intercept = solve_ridge(mom, np.array([center[f] for f in features]), center[target], alpha)
     medians = column_medians(df, features) if impute else {}
     from wattlane import __version__

@@ -128,8 +128,9 @@ def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared
     else:
         split = train_test_split(sup.frame, cfg.test_size, split_method=cfg.split_method,
                                  random_state=cfg.random_state, rows=sup.rows)
+    extra = {"center": sup.means} if cfg.model == "ridge" else {}
     model = fit_forecaster(split.part("train"), sup.features, fc.target_column, cfg.model,
-                           forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state)
+                           forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state, **extra)
     frame = model.predict(split.frame).withColumn("residual", F.col(fc.target_column) - F.col("prediction"))
     labels = "is_anomaly" in frame.columns
     if labels:

@@ -29,7 +29,7 @@ def fit_forecaster(df: DataFrame, features: list[str], target: str, model: str,
     """M6: choose the estimator by name."""
 
     if model == "ridge":
-        return fit_ridge(df, features, target, **kw)
+        return fit_ridge(df, features, target, **{k: v for k, v in kw.items() if k != "model"})
     if model == "random_forest":
         return fit_forest(df, features, target, **{k: v for k, v in kw.items() if k in {"random_state", "forecast_horizon"}})
     raise ValueError(f"Unsupported model type: {model}")
@@ -79,9 +79,10 @@ def run_training(panel: DataFrame, cfg: TrainConfig | None = None) -> TrainResul
         sup.frame, cfg.test_size, split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows
     )
     labeled = split.frame
+    extra = {"center": sup.means} if cfg.model == "ridge" else {}
     model = fit_forecaster(
         split.part("train"), sup.features, fc.target_column, cfg.model,
-        forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state,
+        forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state, **extra,
     )
     predicted = cut_lineage(
         model.predict(labeled).withColumn("residual", F.col(fc.target_column) - F.col("prediction"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -18,6 +19,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
 }
 
@@ -42,6 +44,7 @@ def get_spark(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -62,6 +65,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wattlane`` importable in Python workers (pandas UDFs), once per context.
+
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile``, the standard way to ship Python code to executors.
+    """
+
+    sc = spark.sparkContext
+    if getattr(sc, "_wattlane_shipped", False):
+        return
+    import io
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    target = os.path.join(ensure_checkpoint_dir(spark), f"wattlane-{os.getpid()}-{id(sc)}.zip")
+    if "://" in target and not target.startswith("file:"):
+        return  # remote folder: rely on the cluster's own packaging
+    with open(target.removeprefix("file:"), "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target.removeprefix("file:"))
+    sc._wattlane_shipped = True  # type: ignore[attr-defined]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (reliable checkpoint).
 
@@ -70,7 +103,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)  # the checkpoint write re-reads this, not the plan
+    out = staged.checkpoint(eager=True)
+    staged.unpersist()
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -12,14 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from wattlane.functions.jsonsafe import map_to_features
 from wattlane.operators.detectors import ResidualZScoreDetector
 from wattlane.operators.ridge import RidgeModel
-from wattlane.plans.requests import REQUEST_SCHEMA
 
-STREAM_SCHEMA: StructType = _parse_datatype_string(REQUEST_SCHEMA)  # type: ignore[assignment]
+STREAM_SCHEMA = StructType([
+    StructField("request_id", LongType()),
+    StructField("record_idx", LongType()),
+    StructField("features", MapType(StringType(), DoubleType())),
+    StructField("actual_load_mw", DoubleType()),
+])
 
 
 def score_stream(stream: DataFrame, model: RidgeModel, detector: ResidualZScoreDetector | None) -> DataFrame:
