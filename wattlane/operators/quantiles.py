@@ -2,18 +2,25 @@
 
 Spark's exact ``percentile``/``median`` keep every value of a group in one
 aggregation buffer, which does not survive a group holding a third of the
-data.  Here values are ranked with the distributed ``row_number`` (range
-partitioned, no single task), each group's size and first rank come from a
-small aggregate, and only the two ranks bracketing each requested position
-are kept and combined -- the same result as numpy's default ``linear``
-method.
+data.  Two exact strategies are used instead, both giving numpy's default
+``linear`` result:
+
+* ``refine`` (default): ``percentile_approx`` (a mergeable sketch, map-side
+  combined) brackets each needed rank; one more aggregate counts, per group
+  and probability, the values below the bracket and every distinct value
+  inside it; a window over that small candidate table reads off the exact
+  ranks.  Two scans, no shuffle of the raw values.  Brackets are verified; a
+  group whose bracket missed its ranks is recomputed with ``sort``.
+* ``sort``: values are ranked with the distributed ``row_number`` (range
+  partitioned, no single task) and the two ranks bracketing each position
+  are kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlane.operators.ordering import row_number
@@ -23,6 +30,11 @@ def _name(p: float) -> str:
     return "q" + f"{p:.6f}".rstrip("0").rstrip(".").replace(".", "_")
 
 
+def _lerp(a: Column, b: Column, t: Column) -> Column:
+    # numpy's lerp: a + (b-a)*t, evaluated from the upper end when t >= 0.5
+    return F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t)
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str | Column,
@@ -30,6 +42,8 @@ def exact_quantiles(
     *,
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
+    method: str = "refine",
+    accuracy: int = 100_000,
 ) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group; nulls and NaNs are ignored.
 
@@ -44,6 +58,66 @@ def exact_quantiles(
     vals = df.select(*by, v.cast("double").alias("_wl_v")).where(
         F.col("_wl_v").isNotNull() & ~F.isnan("_wl_v")
     )
+    if method == "refine":
+        return _refine(vals, list(probs), list(by), names, accuracy)
+    return _by_sort(vals, list(probs), list(by), names)
+
+
+def _refine(vals: DataFrame, probs: list[float], by: list[str], names: list[str], accuracy: int) -> DataFrame:
+    margin = 3.0 / accuracy
+    bracket_probs = []
+    for p in probs:
+        bracket_probs += [max(0.0, p - margin), min(1.0, p + margin)]
+    # pass 1: group size and a sketch bracket per probability (map-side combined)
+    bounds = vals.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_wl_n"),
+        F.percentile_approx("_wl_v", bracket_probs, accuracy).alias("_wl_b"),
+    )
+    joined = vals.join(bounds, by) if by else vals.crossJoin(F.broadcast(bounds))  # one row without groups
+    idx = F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("_wl_i")
+    per = joined.select(*by, "_wl_v", "_wl_n", "_wl_b", idx)
+    lo_b = F.element_at("_wl_b", (2 * F.col("_wl_i") + 1).cast("int"))
+    hi_b = F.element_at("_wl_b", (2 * F.col("_wl_i") + 2).cast("int"))
+    # pass 2: below-bracket counts (key NULL) and distinct in-bracket values with counts
+    keyed = per.where(F.col("_wl_v") <= hi_b).select(
+        *by, "_wl_i", "_wl_n", F.when(F.col("_wl_v") >= lo_b, F.col("_wl_v")).alias("_wl_k")
+    )
+    cands = keyed.groupBy(*by, "_wl_i", "_wl_n", "_wl_k").agg(F.count(F.lit(1)).alias("_wl_c"))
+    w = Window.partitionBy(*by, "_wl_i").orderBy(F.col("_wl_k").asc_nulls_first())
+    cum = cands.withColumn("_wl_after", F.sum("_wl_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    cum = cum.withColumn("_wl_before", F.col("_wl_after") - F.col("_wl_c"))
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), (F.col("_wl_i") + 1).cast("int"))
+    pos = (F.col("_wl_n") - 1) * prob
+    r_lo, r_hi = F.floor(pos), F.ceil(pos)
+
+    def holds(r: Column) -> Column:
+        return F.col("_wl_k").isNotNull() & (F.col("_wl_before") <= r) & (r < F.col("_wl_after"))
+
+    below = F.max(F.when(F.col("_wl_k").isNull(), F.col("_wl_c")))
+    per_prob = cum.groupBy(*by, "_wl_i", "_wl_n").agg(
+        F.max(F.when(holds(r_lo), F.col("_wl_k"))).alias("_wl_a"),
+        F.max(F.when(holds(r_hi), F.col("_wl_k"))).alias("_wl_bv"),
+        F.coalesce(below, F.lit(0)).alias("_wl_below"),
+        F.first(pos - F.floor(pos)).alias("_wl_t"),
+    )
+    per_prob = per_prob.withColumn(
+        "_wl_q", _lerp(F.col("_wl_a"), F.col("_wl_bv"), F.col("_wl_t"))
+    ).withColumn("_wl_ok", F.col("_wl_a").isNotNull() & F.col("_wl_bv").isNotNull())
+    wide = per_prob.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_wl_i") == i, F.col("_wl_q"))).alias(n) for i, n in enumerate(names)],
+        F.min(F.col("_wl_ok").cast("int")).alias("_wl_ok"),
+    ).persist()
+    bad = wide.where(F.col("_wl_ok") == 0)
+    if bad.isEmpty():
+        return wide.drop("_wl_ok")
+    # sketch guarantee missed for some groups: recompute those exactly by sorting
+    good = wide.where(F.col("_wl_ok") == 1).drop("_wl_ok")
+    redo_vals = vals.join(bad.select(*by), by, "left_semi") if by else vals
+    redo = _by_sort(redo_vals, probs, by, names)
+    return redo if not by else good.unionByName(redo)
+
+
+def _by_sort(vals: DataFrame, probs: list[float], by: list[str], names: list[str]) -> DataFrame:
     numbered = row_number(vals, [*by, "_wl_v"], name="_wl_g")
     stats = numbered.groupBy(*by).agg(
         F.min("_wl_g").alias("_wl_s"), F.count(F.lit(1)).alias("_wl_n")
@@ -67,9 +141,7 @@ def exact_quantiles(
     for i, p in enumerate(probs):
         pos = (F.col("_wl_n") - 1) * F.lit(float(p))
         t = pos - F.floor(pos)
-        a, b = F.col(f"_wl_a{i}"), F.col(f"_wl_b{i}")
-        # numpy's lerp: a + (b-a)*t, evaluated from the upper end when t >= 0.5
-        out.append(F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t).alias(names[i]))
+        out.append(_lerp(F.col(f"_wl_a{i}"), F.col(f"_wl_b{i}"), t).alias(names[i]))
     return picked.select(*out)
 
 
