@@ -68,14 +68,21 @@ class BacktestConfig:
 
 
 def ridge_fold_coefficients(
-    numbered: DataFrame, features: list[str], target: str, spec: FoldSpec, cuts: list[int], alpha: float
+    numbered: DataFrame, features: list[str], target: str, spec: FoldSpec, cuts: list[int], alpha: float,
+    center: dict[str, float] | None = None,
 ) -> list[tuple[int, float, list[float]]]:
-    """(fold, intercept, coefficients) for every fold from one grouped moment pass."""
+    """(fold, intercept, coefficients) for every fold from one grouped moment pass.
+
+    ``center`` (close to the means, e.g. the supervised-row means) keeps the
+    moments well conditioned; without it one extra means pass runs first.
+    """
 
     last = cuts[-1]
     train_rows = numbered.where(F.col("rn") < last)
-    means = train_rows.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate([*features, target])]).first()
-    center = {c: float(means[f"m{i}"] or 0.0) for i, c in enumerate([*features, target])}
+    cols = [*features, target]
+    if center is None or any(c not in center for c in cols):
+        means = train_rows.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        center = {c: float(means[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
     blocks = (
         train_rows.groupBy(train_block(F.col("rn"), spec).alias("block"))
         .agg(*moment_columns(features, target, center))
@@ -107,7 +114,7 @@ def run_backtest(panel: DataFrame, cfg: BacktestConfig | None = None) -> tuple[d
     target = fc.target_column
     tested = assign_test_folds(numbered, spec, len(cuts))
     if cfg.model == "ridge":
-        coefs = ridge_fold_coefficients(numbered, sup.features, target, spec, cuts, cfg.alpha)
+        coefs = ridge_fold_coefficients(numbered, sup.features, target, spec, cuts, cfg.alpha, sup.means)
         k = len(sup.features)
         table = spark.createDataFrame(
             [(f, b, *c) for f, b, c in coefs],
