@@ -552,3 +552,47 @@ ROWS_ONLY: dict[str, Builder] = {
 }
 
 QUERIES: dict[str, Builder] = {**ORACLE_QUERIES, **ROWS_ONLY}
+
+
+# ---------------------------------------------------------------- other adapters
+
+
+def event_hours_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """AD2 + spine densification: hourly event aggregates per type with gaps filled as NULL rows."""
+
+    from wattlane.sources.adapters import densify, event_hours_panel
+
+    dense = densify(event_hours_panel(spark, sf), "1 hour")
+    return dense.select("zone", "timestamp", _r("load_mw").alias("load_mw"), _r("temperature_c").alias("temperature_c"),
+                        F.col("wind_speed_mps").alias("events"))
+
+
+def supplier_day_features(spark: SparkSession, sf: str) -> DataFrame:
+    """AD4: many zones (one per supplier); daily lags and a weekly rolling mean."""
+
+    from wattlane.sources.adapters import supplier_days_panel
+
+    cfg = FeatureConfig(lag_periods=(1, 7), rolling_windows=(7,), forecast_horizon=1)
+    f = build_feature_frame(supplier_days_panel(spark, sf), cfg)
+    return f.select("zone", "timestamp", _r("load_mw").alias("load_mw"), _r("lag_1").alias("lag_1"),
+                    _r("lag_7").alias("lag_7"), _r("rolling_mean_7").alias("rolling_mean_7"),
+                    _r(TARGET).alias(TARGET))
+
+
+def order_day_naive_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """AD3: daily order value per priority, weekly-naive (lag 7) forecast metrics per zone."""
+
+    from wattlane.sources.adapters import order_days_panel
+
+    lagged = add_lag_features(order_days_panel(spark, sf), FeatureConfig(lag_periods=(7,)))
+    m = forecast_metrics(lagged.where(F.col("lag_7").isNotNull()), "load_mw", "lag_7", by=["zone"])
+    return _metric_out(m, ["zone"])
+
+
+ORACLE_QUERIES.update({
+    "event_hours_dense": event_hours_dense,
+    "supplier_day_features": supplier_day_features,
+    "order_day_naive_metrics": order_day_naive_metrics,
+})
+QUERIES.update(ORACLE_QUERIES)
+QUERIES.update(ROWS_ONLY)

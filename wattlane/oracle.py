@@ -426,6 +426,28 @@ SELECT zone, rows, round(coef, 6) AS coefficient, round(my - coef * mx, 6) AS in
            WHEN acts > 0 AND acts < recs THEN 'partial_actuals' END AS reason
     FROM req JOIN sizes USING (request_id))
 SELECT request_id, record_idx, reason IS NULL AS valid, reason FROM r"""
+    q["event_hours_dense"] = """WITH hourly AS (
+    SELECT event_type AS zone, date_trunc('hour', ts) AS "timestamp", sum(value) AS load_mw,
+           avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS temperature_c, CAST(count(*) AS DOUBLE) AS events
+    FROM events GROUP BY 1, 2),
+  bounds AS (SELECT zone, min("timestamp") AS lo, max("timestamp") AS hi FROM hourly GROUP BY zone),
+  spine AS (SELECT zone, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS "timestamp" FROM bounds)
+SELECT s.zone, s."timestamp", round(h.load_mw, 6) AS load_mw, round(h.temperature_c, 6) AS temperature_c, h.events
+FROM spine s LEFT JOIN hourly h USING (zone, "timestamp")"""
+    w7 = 'PARTITION BY zone ORDER BY "timestamp"'
+    q["supplier_day_features"] = f"""WITH p AS (
+    SELECT CAST(l_suppkey AS VARCHAR) AS zone, l_shipdate AS "timestamp", sum(l_extendedprice) AS load_mw
+    FROM lineitem GROUP BY 1, 2)
+SELECT zone, "timestamp", round(load_mw, 6) AS load_mw, round(lag(load_mw, 1) OVER ({w7}), 6) AS lag_1,
+  round(lag(load_mw, 7) OVER ({w7}), 6) AS lag_7,
+  CASE WHEN count(load_mw) OVER ({w7} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 1
+       THEN round(avg(load_mw) OVER ({w7} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) END AS rolling_mean_7,
+  round(lead(load_mw, 1) OVER ({w7}), 6) AS target_load_mw
+FROM p"""
+    q["order_day_naive_metrics"] = f"""WITH p AS (
+    SELECT o_orderpriority AS zone, o_orderdate AS "timestamp", sum(o_totalprice) AS load_mw FROM orders GROUP BY 1, 2),
+  l AS (SELECT *, lag(load_mw, 7) OVER ({w7}) AS lag_7 FROM p)
+SELECT zone, {_metrics('load_mw', 'lag_7')} FROM l WHERE lag_7 IS NOT NULL GROUP BY zone"""
     return {k: _stable_round(v) for k, v in q.items()}
 
 
