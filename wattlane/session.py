@@ -89,10 +89,13 @@ def ship_package(spark: SparkSession) -> None:
     target = os.path.join(ensure_checkpoint_dir(spark), f"wattlane-{os.getpid()}-{id(sc)}.zip")
     if "://" in target and not target.startswith("file:"):
         return  # remote folder: rely on the cluster's own packaging
-    with open(target.removeprefix("file:"), "wb") as fh:
-        fh.write(buf.getvalue())
-    sc.addPyFile(target.removeprefix("file:"))
-    sc._wattlane_shipped = True  # type: ignore[attr-defined]
+    try:
+        with open(target.removeprefix("file:"), "wb") as fh:
+            fh.write(buf.getvalue())
+        sc.addPyFile(target.removeprefix("file:"))
+        sc._wattlane_shipped = True  # type: ignore[attr-defined]
+    except OSError:
+        pass  # only the pandas-UDF operators need it; they fail loudly if the import is missing
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
