@@ -77,15 +77,18 @@ def test_unfitted_detector_raises(spark):
         ResidualZScoreDetector().score(pairs(spark, [1], [1]), "a", "p")
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("method", ["auto", "memory", "refine", "sort"])
+def test_exact_quantiles_match_numpy(spark, method):
     rng = np.random.default_rng(3)
     vals = np.round(rng.normal(0, 5, 501), 1)  # plenty of ties
     groups = rng.integers(0, 3, 501)
     df = spark.createDataFrame(pd.DataFrame({"g": groups.astype(int), "v": vals}))
-    got = exact_quantiles(df, "v", [0.1, 0.25, 0.5, 0.75, 0.9], by=["g"]).toPandas().set_index("g")
+    got = exact_quantiles(df, "v", [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0], by=["g"], method=method).toPandas().set_index("g")
     for g in range(3):
-        exp = np.percentile(vals[groups == g], [10, 25, 50, 75, 90])
-        assert np.allclose(got.loc[g].to_numpy(), exp, rtol=0, atol=1e-12)
+        exp = np.percentile(vals[groups == g], [0, 10, 25, 50, 75, 90, 100])
+        assert np.allclose(got.loc[g].to_numpy(), exp, rtol=0, atol=1e-9)
+    glob = exact_quantiles(df, "v", [0.5], method=method).first()[0]
+    assert glob == pytest.approx(np.median(vals), abs=1e-9)
     med = exact_quantiles(spark.createDataFrame([(x,) for x in (1.0, 2.0, 4.0, 10.0)], "v DOUBLE"), "v", [0.5]).first()[0]
     assert med == 3.0
 

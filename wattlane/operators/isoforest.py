@@ -185,7 +185,7 @@ def fit_isolation_forest(
     if n == 0:
         raise ValueError("features must contain at least one row.")
     psi = min(max_samples, n)
-    medians = column_medians(df, names)
+    medians = column_medians(df, names, rows=n)
     depth = int(math.ceil(math.log2(max(psi, 2))))
     row_hash = F.xxhash64(F.lit(random_state), *[F.col(c) for c in df.columns])
     unit = (F.abs(row_hash % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0))

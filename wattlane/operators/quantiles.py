@@ -11,6 +11,8 @@ data.  Two exact strategies are used instead, both giving numpy's default
   inside it; a window over that small candidate table reads off the exact
   ranks.  Two scans, no shuffle of the raw values.  Brackets are verified; a
   group whose bracket missed its ranks is recomputed with ``sort``.
+* ``memory``: Spark's exact ``percentile`` aggregate, used by ``auto`` only
+  when every group is proven small (a size check, like a broadcast threshold).
 * ``sort``: values are ranked with the distributed ``row_number`` (range
   partitioned, no single task) and the two ranks bracketing each position
   are kept.
@@ -42,13 +44,20 @@ def exact_quantiles(
     *,
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    method: str = "refine",
+    method: str = "auto",
     accuracy: int = 100_000,
+    max_group_rows: int | None = None,
+    in_memory_limit: int = 1 << 20,
 ) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group; nulls and NaNs are ignored.
 
     Returns one row per group with one column per probability (``names`` or
     ``q0_5`` style).  Groups without values produce no row.
+
+    ``auto`` uses Spark's exact ``percentile`` aggregate (one pass, a
+    value-to-count map per group) only when every group is proven to hold at
+    most ``in_memory_limit`` values -- from ``max_group_rows`` when the caller
+    knows it, else from one grouped count -- and ``refine`` otherwise.
     """
 
     if not probs:
@@ -58,6 +67,16 @@ def exact_quantiles(
     vals = df.select(*by, v.cast("double").alias("_wl_v")).where(
         F.col("_wl_v").isNotNull() & ~F.isnan("_wl_v")
     )
+    if method == "auto":
+        largest = max_group_rows
+        if largest is None:
+            sizes = vals.groupBy(*by).count() if by else vals.groupBy().count()
+            largest = int(sizes.agg(F.max("count")).first()[0] or 0)
+        method = "memory" if largest <= in_memory_limit else "refine"
+    if method == "memory":
+        q = F.percentile("_wl_v", F.array(*[F.lit(float(p)) for p in probs]))
+        agg = vals.groupBy(*by).agg(q.alias("_wl_q"))
+        return agg.select(*by, *[F.col("_wl_q")[i].alias(n) for i, n in enumerate(names)])
     if method == "refine":
         return _refine(vals, list(probs), list(by), names, accuracy)
     return _by_sort(vals, list(probs), list(by), names)
@@ -149,7 +168,7 @@ def exact_median(df: DataFrame, value: str | Column, *, by: Sequence[str] = (),
     return exact_quantiles(df, value, [0.5], by=by, names=[name])
 
 
-def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+def column_medians(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> dict[str, float]:
     """M1: exact medians of several columns in one ranking job (long format).
 
     The result has one value per column, so collecting it is bounded.
@@ -162,6 +181,6 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
         ).alias("s")
     ).select("s.column", "s.v")
-    rows = exact_quantiles(stacked, "v", [0.5], by=["column"], names=["median"]).collect()
-    found = {r["column"]: r["median"] for r in rows}
+    got = exact_quantiles(stacked, "v", [0.5], by=["column"], names=["median"], max_group_rows=rows).collect()
+    found = {r["column"]: r["median"] for r in got}
     return {c: found.get(c) for c in columns}

@@ -200,7 +200,7 @@ def fit_ridge(
     if not mom.n:
         raise ValueError("features must contain at least one row.")
     coef, intercept = solve_ridge(mom, np.array([center[f] for f in features]), center[target], alpha)
-    medians = column_medians(df, features) if impute else {}
+    medians = column_medians(df, features, rows=int(mom.n)) if impute else {}
     from wattlane import __version__
 
     return RidgeModel(
