@@ -206,7 +206,9 @@ def three_way_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hash_key(ts: str = "timestamp") -> Column:
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    """Integer shuffle key from wall-clock microseconds (independent of the session time zone)."""
+
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
     return ((micros % 1000003) * 7919 + 42) % 1000003
 
 
@@ -383,8 +385,10 @@ MOMENT_FEATURES = ["temperature_c", "wind_speed_mps", "solar_radiation_wm2"]
 
 
 def _sig(c: Column, digits: int = 9) -> Column:
+    """Report rounding to significant digits (same tie offset on the mantissa as the oracle)."""
+
     p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
-    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / p, digits - 1) * p)
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / p + F.lit(5e-12), digits - 1) * p)
 
 
 def gram_moments(spark: SparkSession, sf: str) -> DataFrame:
@@ -574,9 +578,8 @@ def supplier_day_features(spark: SparkSession, sf: str) -> DataFrame:
 
     cfg = FeatureConfig(lag_periods=(1, 7), rolling_windows=(7,), forecast_horizon=1)
     f = build_feature_frame(supplier_days_panel(spark, sf), cfg)
-    return f.select("zone", "timestamp", _r("load_mw").alias("load_mw"), _r("lag_1").alias("lag_1"),
-                    _r("lag_7").alias("lag_7"), _r("rolling_mean_7").alias("rolling_mean_7"),
-                    _r(TARGET).alias(TARGET))
+    # money-scale values (~1e5): cents, not 6 decimals (11+ significant digits exceed summation-order noise)
+    return f.select("zone", "timestamp", *[_r(c, 2).alias(c) for c in ("load_mw", "lag_1", "lag_7", "rolling_mean_7", TARGET)])
 
 
 def order_day_naive_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -586,7 +589,9 @@ def order_day_naive_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
     lagged = add_lag_features(order_days_panel(spark, sf), FeatureConfig(lag_periods=(7,)))
     m = forecast_metrics(lagged.where(F.col("lag_7").isNotNull()), "load_mw", "lag_7", by=["zone"])
-    return _metric_out(m, ["zone"])
+    # errors are money-scale (~1e5): ten significant digits
+    return m.select("zone", "rows", _sig(F.col("mae"), 10).alias("mae"), _sig(F.col("rmse"), 10).alias("rmse"),
+                    _r("mape").alias("mape"), _r("r2").alias("r2"))
 
 
 ORACLE_QUERIES.update({

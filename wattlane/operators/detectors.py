@@ -117,7 +117,7 @@ def robust_parameters(df: DataFrame, res: Column, by: Sequence[str] = ()) -> Dat
         dev.select(*by, F.abs(F.col("_wl_r") - F.col("median")).alias("_wl_d")),
         "_wl_d", [0.5], by=by, names=["mad"],
     )
-    both = q.join(mad, list(by)) if by else q.crossJoin(mad)
+    both = q.join(mad, list(by)) if by else q.crossJoin(F.broadcast(mad))  # one row each
     iqr = (F.col("q75") - F.col("q25")) / F.lit(IQR_TO_SIGMA)
     scale = guard_scale(guard_scale(F.col("mad"), iqr), 1.0)
     return both.select(

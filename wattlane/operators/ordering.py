@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlane.schema import TIMESTAMP, ZONE
-from wattlane.session import shuffle_partitions
 
 _LOW_BITS = (1 << 33) - 1
 _PERSISTED: list[DataFrame] = []
@@ -57,8 +56,10 @@ def row_number(
     """
 
     keys = [_as_col(c) for c in (*partition_by, *order_by)]
-    parts = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # without an explicit count, AQE sizes (coalesces) the range partitions from the data;
+    # coalescing keeps partitions contiguous, so per-partition numbering stays valid
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_wl_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_wl_pid", F.shiftright("_wl_mid", 33)).withColumn(
         "_wl_li", F.col("_wl_mid").bitwiseAND(F.lit(_LOW_BITS))

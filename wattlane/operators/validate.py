@@ -144,7 +144,7 @@ def validation_report(df: DataFrame, options: ReadOptions | None = None) -> Data
         )
     else:
         dups = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_keys"))
-    both = counts.crossJoin(dups)  # two one-row aggregates
+    both = counts.crossJoin(F.broadcast(dups))  # two one-row aggregates
     pairs = ", ".join(f"'{k}', `{k}`" for k in RULE_ORDER)
     return both.selectExpr(f"stack({len(RULE_ORDER)}, {pairs}) AS (rule, violations)")
 

@@ -229,7 +229,7 @@ FROM num LEFT JOIN per_row ON num.zone = per_row.zone AND num."_z" = per_row."_z
 
 def _sig(x: str, digits: int = 9) -> str:
     p = f"pow(10.0, floor(log10(abs({x}))))"
-    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {p}, {digits - 1}) * {p} END"
+    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {p} + 5e-12, {digits - 1}) * {p} END"
 
 
 def _gram() -> str:
@@ -438,21 +438,23 @@ FROM spine s LEFT JOIN hourly h USING (zone, "timestamp")"""
     q["supplier_day_features"] = f"""WITH p AS (
     SELECT CAST(l_suppkey AS VARCHAR) AS zone, l_shipdate AS "timestamp", sum(l_extendedprice) AS load_mw
     FROM lineitem GROUP BY 1, 2)
-SELECT zone, "timestamp", round(load_mw, 6) AS load_mw, round(lag(load_mw, 1) OVER ({w7}), 6) AS lag_1,
-  round(lag(load_mw, 7) OVER ({w7}), 6) AS lag_7,
+SELECT zone, "timestamp", round(load_mw, 2) AS load_mw, round(lag(load_mw, 1) OVER ({w7}), 2) AS lag_1,
+  round(lag(load_mw, 7) OVER ({w7}), 2) AS lag_7,
   CASE WHEN count(load_mw) OVER ({w7} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 1
-       THEN round(avg(load_mw) OVER ({w7} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) END AS rolling_mean_7,
-  round(lead(load_mw, 1) OVER ({w7}), 6) AS target_load_mw
+       THEN round(avg(load_mw) OVER ({w7} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 2) END AS rolling_mean_7,
+  round(lead(load_mw, 1) OVER ({w7}), 2) AS target_load_mw
 FROM p"""
     q["order_day_naive_metrics"] = f"""WITH p AS (
     SELECT o_orderpriority AS zone, o_orderdate AS "timestamp", sum(o_totalprice) AS load_mw FROM orders GROUP BY 1, 2),
-  l AS (SELECT *, lag(load_mw, 7) OVER ({w7}) AS lag_7 FROM p)
-SELECT zone, {_metrics('load_mw', 'lag_7')} FROM l WHERE lag_7 IS NOT NULL GROUP BY zone"""
+  l AS (SELECT *, lag(load_mw, 7) OVER ({w7}) AS lag_7 FROM p),
+  m AS (SELECT zone, {_metrics('load_mw', 'lag_7').replace("round(", "(").replace(", 6) AS", ") AS")}
+        FROM l WHERE lag_7 IS NOT NULL GROUP BY zone)
+SELECT zone, rows, {_sig('mae', 10)} AS mae, {_sig('rmse', 10)} AS rmse, round(mape, 6) AS mape, round(r2, 6) AS r2 FROM m"""
     return {k: _stable_round(v) for k, v in q.items()}
 
 
 def _stable_round(sql: str) -> str:
-    """Rewrite ``round(X, 6)`` as ``round(X + (abs(X) * 1e-12 + 1e-9), 6)`` (same as the Spark side)."""
+    """Rewrite ``round(X, 6)`` / ``round(X, 2)`` as ``round(X + (abs(X) * 1e-12 + 1e-9), d)`` (as the Spark side)."""
 
     out, i = [], 0
     for m in re.finditer(r"round\(", sql):
@@ -466,11 +468,12 @@ def _stable_round(sql: str) -> str:
             depth -= ch == ")"
             j += 1
         inner = sql[start:j - 1]
-        if not inner.endswith(", 6"):
+        digits = inner[-1]
+        if not (inner.endswith(", 6") or inner.endswith(", 2")):
             continue
         expr = _stable_round(inner[:-3])
         out.append(sql[i:m.start()])
-        out.append(f"round(({expr}) + (abs({expr}) * 1e-12 + 1e-9), 6)")
+        out.append(f"round(({expr}) + (abs({expr}) * 1e-12 + 1e-9), {digits})")
         i = j
     out.append(sql[i:])
     return "".join(out)

@@ -147,7 +147,7 @@ def run_backtest(panel: DataFrame, cfg: BacktestConfig | None = None) -> tuple[d
     first_ts = numbered.where(F.col("rn") == 0).select(F.col(TIMESTAMP).alias("train_start_ts"))
     folds = (
         per_fold.join(ends, "fold")
-        .crossJoin(first_ts)
+        .crossJoin(F.broadcast(first_ts))  # the row at rn = 0
         .select(
             F.col("fold").cast("long").alias("fold"),
             (F.lit(cfg.initial_train_size) + F.col("fold") * cfg.step_size).cast("long").alias("train_rows"),
