@@ -1,6 +1,9 @@
 """Headline timings at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf"}.
+``value`` sums the six workflow steps (feature build, row number, training,
+backtest, tuning, isolation scoring); ``queries.oracle_suite`` times one run
+of every registered query with an oracle and is not part of ``value``.
 Each step is timed end to end including its Spark actions; the session is
 warmed up once before timing.
 """
@@ -83,8 +86,9 @@ def main() -> None:
         timings[name] = round(time.perf_counter() - t0, 3)
         release_all()
         spark.catalog.clearCache()
-    total = round(sum(timings.values()), 3)
-    print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": timings, "sf": sf}))
+    # headline value: the six workflow steps; the full registered-query sweep is reported alongside
+    total = round(sum(v for k, v in timings.items() if k != "oracle_suite"), 3)
+    print(json.dumps({"metric": "headline_workflows_sec", "value": total, "unit": "sec", "queries": timings, "sf": sf}))
 
 
 if __name__ == "__main__":
