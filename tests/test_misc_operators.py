@@ -95,3 +95,39 @@ def test_stream_scoring_equals_batch(spark):
     assert len(streamed) == 30
     assert np.allclose(streamed["prediction"], batch["prediction"])
     assert list(streamed["is_anomaly"]) == list(batch["is_anomaly"])
+
+
+def test_detector_and_forest_persistence(spark, tmp_path):
+    from wattlane.operators.isoforest import fit_isolation_forest
+    from wattlane.sources.artifacts import load_detector, save_detector
+
+    df = spark.createDataFrame([(float(i), float(i % 5), "a" if i % 2 else "b") for i in range(50)], "x DOUBLE, r DOUBLE, zone STRING")
+    for det in (ResidualZScoreDetector(2.0).fit_residuals(df, "r"),
+                ResidualZScoreDetector(2.0, by=("zone",)).fit_residuals(df, "r")):
+        path = str(tmp_path / f"det{len(det.by)}")
+        save_detector(spark, det, path)
+        back = load_detector(spark, path)
+        a = det.score_residuals(df, "r").orderBy("x").toPandas()
+        b = back.score_residuals(df, "r").orderBy("x").toPandas()
+        assert np.allclose(a["anomaly_score"], b["anomaly_score"])
+    forest = fit_isolation_forest(df, ["x", "r"], contamination=0.1)
+    save_detector(spark, forest, str(tmp_path / "forest"))
+    back = load_detector(spark, str(tmp_path / "forest"))
+    a = forest.score(df).orderBy("x").toPandas()
+    b = back.score(df).orderBy("x").toPandas()
+    assert np.allclose(a["anomaly_score"], b["anomaly_score"]) and back.offset == forest.offset
+
+
+def test_normalize_file_roundtrip(spark, tmp_path):
+    from wattlane.operators.normalize import NormalizeConfig
+    from wattlane.sources.artifacts import normalize_export_file
+
+    src = tmp_path / "export.csv"
+    src.write_text("time,load,temperature,wind_speed,solar_radiation\n"
+                   "2026-01-01 02:00,930,5,6,0\n2026-01-01 00:00,900,4.8,5.5,0\n2026-01-01 01:00,915,4.9,5.8,0\n")
+    out = str(tmp_path / "canonical")
+    cfg = NormalizeConfig("time", "load", "temperature", "wind_speed", "solar_radiation", zone_value="DE")
+    normalize_export_file(spark, str(src), out, cfg)
+    back = spark.read.option("header", True).csv(out).toPandas()
+    assert list(back.columns) == ["timestamp", "zone", "load_mw", "temperature_c", "wind_speed_mps", "solar_radiation_wm2"]
+    assert len(back) == 3

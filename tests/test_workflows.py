@@ -29,8 +29,11 @@ def test_golden_forecast_split(demo):
     assert len(r.supervised.features) == 15
 
 
-def test_golden_backtest(demo):
-    out, _ = run_backtest(demo, BacktestConfig())
+def test_golden_backtest(spark, demo, tmp_path):
+    from wattlane.sources.sinks import read_json_metrics
+
+    out, _ = run_backtest(demo, BacktestConfig(), metrics_dir=str(tmp_path))
+    assert read_json_metrics(spark, str(tmp_path / "backtest_ridge_h24"))["aggregate_metrics"]["fold_count"] == 5
     a = out["aggregate_metrics"]
     assert a["fold_count"] == 5
     assert (round(a["mean_mae"], 4), round(a["mean_rmse"], 4), round(a["mean_mape"], 4), round(a["mean_r2"], 4)) == (

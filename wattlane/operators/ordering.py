@@ -23,7 +23,13 @@ _PERSISTED: list[DataFrame] = []
 
 
 def release_all() -> None:
-    """Unpersist every intermediate cached by ``row_number`` in this process."""
+    """Unpersist every intermediate cached by ``row_number`` in this process.
+
+    Call it only when no DataFrame built on those row numbers will be
+    evaluated again: the cache is what keeps both branches of a numbering on
+    one range exchange (eviction and executor loss are safe, an explicit
+    unpersist of a still-used numbering is not).
+    """
 
     while _PERSISTED:
         _PERSISTED.pop().unpersist()

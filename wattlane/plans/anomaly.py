@@ -143,7 +143,15 @@ def _residual_detector(method: str, threshold: float):
     return ResidualZScoreDetector(threshold) if method == "residual_zscore" else RobustResidualDetector(threshold)
 
 
-def run_anomaly_evaluation(panel: DataFrame, cfg: AnomalyConfig | None = None) -> dict[str, Any]:
+def _write(panel: DataFrame, doc: dict[str, Any], metrics_dir: str | None, key: str) -> dict[str, Any]:
+    if metrics_dir:
+        from wattlane.sources.sinks import write_json_metrics
+
+        write_json_metrics(panel.sparkSession, doc, f"{metrics_dir}/{key}")
+    return doc
+
+
+def run_anomaly_evaluation(panel: DataFrame, cfg: AnomalyConfig | None = None, metrics_dir: str | None = None) -> dict[str, Any]:
     """Each method fitted on train, scored on test; one aggregate grouped by method."""
 
     cfg = cfg or AnomalyConfig()
@@ -183,14 +191,15 @@ def run_anomaly_evaluation(panel: DataFrame, cfg: AnomalyConfig | None = None) -
                         "recall": d["recall"], "macro_f1": d["macro_f1"],
                         "confusion_matrix": [[d["tn"], d["fp"]], [d["fn"], d["tp"]]]})
         results[d["method"]] = res
-    return {
+    doc = {
         "model": cfg.model, "forecast_horizon": cfg.forecast_horizon, "split_method": cfg.split_method,
         "test_size": cfg.test_size, "random_state": cfg.random_state,
         "row_counts": prep.counts, "methods": {m: results[m] for m in cfg.methods},
     }
+    return _write(panel, doc, metrics_dir, result_key("comparison", cfg.forecast_horizon))
 
 
-def run_anomaly_tuning(panel: DataFrame, cfg: AnomalyConfig | None = None) -> dict[str, Any]:
+def run_anomaly_tuning(panel: DataFrame, cfg: AnomalyConfig | None = None, metrics_dir: str | None = None) -> dict[str, Any]:
     """Choose thresholds / contamination on validation, report on test."""
 
     cfg = cfg or AnomalyConfig()
@@ -225,7 +234,7 @@ def run_anomaly_tuning(panel: DataFrame, cfg: AnomalyConfig | None = None) -> di
             ss_test = forest.score_samples_frame(test, "score_samples")
             final = grid_confusion(ss_test, [offsets[best]], "score_samples", "lt", labels)[0]
         test_results[method] = payload(final, labels)
-    return {
+    doc = {
         "configuration": {
             "forecast_horizon": cfg.forecast_horizon, "model": cfg.model, "split_method": cfg.split_method,
             "validation_size": cfg.validation_size, "test_size": cfg.test_size,
@@ -238,6 +247,7 @@ def run_anomaly_tuning(panel: DataFrame, cfg: AnomalyConfig | None = None) -> di
         "selected_config_by_method": selected,
         "test_results_by_method": test_results,
     }
+    return _write(panel, doc, metrics_dir, result_key("tuning", cfg.forecast_horizon))
 
 
 def result_key(kind: str, horizon: int, model: str = "ridge") -> str:

@@ -101,7 +101,11 @@ def ridge_fold_coefficients(
     return out
 
 
-def run_backtest(panel: DataFrame, cfg: BacktestConfig | None = None) -> tuple[dict[str, Any], DataFrame]:
+def run_backtest(
+    panel: DataFrame, cfg: BacktestConfig | None = None, metrics_dir: str | None = None
+) -> tuple[dict[str, Any], DataFrame]:
+    """E2; returns the metrics document and the fold table (written to ``metrics_dir`` when given)."""
+
     cfg = cfg or BacktestConfig()
     if cfg.strict_single_zone:
         check_single_zone(panel)
@@ -178,4 +182,8 @@ def run_backtest(panel: DataFrame, cfg: BacktestConfig | None = None) -> tuple[d
         "initial_train_size": cfg.initial_train_size, "fold_size": cfg.fold_size, "step_size": cfg.step_size,
         "random_state": cfg.random_state, "fold_metrics": fold_metrics, "aggregate_metrics": aggregate,
     }
+    if metrics_dir:
+        from wattlane.sources.sinks import write_json_metrics
+
+        write_json_metrics(spark, output, f"{metrics_dir}/backtest_{cfg.model}_h{cfg.forecast_horizon}")
     return output, folds

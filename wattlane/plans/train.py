@@ -71,7 +71,9 @@ def prepare_supervised(panel: DataFrame, fc: FeatureConfig) -> Supervised:
     return build_supervised_frame(feat, fc.target_column)
 
 
-def run_training(panel: DataFrame, cfg: TrainConfig | None = None) -> TrainResult:
+def run_training(panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir: str | None = None) -> TrainResult:
+    """E1; with ``metrics_dir`` the two metric documents are written there."""
+
     cfg = cfg or TrainConfig()
     fc = cfg.feature_config()
     sup = prepare_supervised(panel, fc)
@@ -126,6 +128,12 @@ def run_training(panel: DataFrame, cfg: TrainConfig | None = None) -> TrainResul
     else:
         r = scored.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("k")).first()
         anomaly = {"records_scored": r["n"], "anomalies_detected": r["k"], "threshold": cfg.threshold}
+    if metrics_dir:
+        from wattlane.sources.sinks import write_json_metrics
+
+        keys = result_keys(cfg)
+        write_json_metrics(panel.sparkSession, forecast, f"{metrics_dir}/{keys['forecast_metrics']}")
+        write_json_metrics(panel.sparkSession, anomaly, f"{metrics_dir}/{keys['anomaly_metrics']}")
     return TrainResult(model, detector, forecast, anomaly, scored, sup)
 
 
