@@ -23,6 +23,12 @@ def test_row_number_is_permutation_and_ordered(spark):
     assert list(got["timestamp"]) == list(exp["timestamp"])
 
 
+def test_row_number_checkpoint_materialisation(spark):
+    p = events_panel(spark, SMOKE)
+    got = row_number(p, ["timestamp", "zone"], materialize="checkpoint").toPandas().sort_values("rn")
+    assert list(got["rn"]) == list(range(len(got)))
+
+
 def test_row_number_per_group_and_partition_count_independent(spark):
     p = events_panel(spark, SMOKE)
     a = row_number(p, ["timestamp"], partition_by=["zone"], name="z", num_partitions=3).toPandas()

@@ -46,6 +46,7 @@ def row_number(
     name: str = "rn",
     partition_by: Sequence[str] = (),
     num_partitions: int | None = None,
+    materialize: str = "persist",
 ) -> DataFrame:
     """Append a 0-based row number ordered by ``order_by`` (optionally per group).
 
@@ -59,6 +60,8 @@ def row_number(
     per execution), and both branches then read one cached RDD whose shuffle
     dependency, and hence its bounds, is fixed even if partitions are
     recomputed after an executor loss.  ``release_all()`` frees them.
+    ``materialize="checkpoint"`` writes them to the shared checkpoint folder
+    instead, so the numbering stays consistent even if caches are dropped.
     """
 
     keys = [_as_col(c) for c in (*partition_by, *order_by)]
@@ -70,8 +73,13 @@ def row_number(
     tagged = tagged.withColumn("_wl_pid", F.shiftright("_wl_mid", 33)).withColumn(
         "_wl_li", F.col("_wl_mid").bitwiseAND(F.lit(_LOW_BITS))
     )
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(tagged)
+    if materialize == "checkpoint":
+        from wattlane.session import cut_lineage
+
+        tagged = cut_lineage(tagged)
+    else:
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(tagged)
     # one row per non-empty partition: safe to broadcast
     sizes = tagged.groupBy("_wl_pid").agg(F.count(F.lit(1)).alias("_wl_cnt"))
     offsets = sizes.select(
