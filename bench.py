@@ -68,6 +68,8 @@ def main() -> None:
         n = 0
         for name, fn in catalog.ORACLE_QUERIES.items():
             n += len(fn(spark, sf_dir).collect())
+            release_all()  # the result is collected; nothing built on its row numbers is used again
+            spark.catalog.clearCache()
         return n
 
     steps = {
