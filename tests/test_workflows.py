@@ -70,3 +70,26 @@ def test_multi_zone_rejected(spark, demo):
     two = demo.unionByName(demo.withColumn("zone", F.lit("OTHER")))
     with pytest.raises(ValueError, match="exactly one zone"):
         run_backtest(two, BacktestConfig())
+
+
+def test_one_pass_folds_equal_direct_fits(spark):
+    """Property: prefix-summed block moments give the same coefficients as refitting each fold."""
+    import numpy as np
+
+    from wattlane.operators.features import FeatureConfig, build_feature_frame, build_supervised_frame
+    from wattlane.operators.ordering import chronological_row_number
+    from wattlane.operators.ridge import fit_ridge
+    from wattlane.operators.splits import FoldSpec
+    from wattlane.plans.backtest import ridge_fold_coefficients
+    from wattlane.sources.adapters import events_panel
+
+    panel = events_panel(spark, "/root/testdata/sf0.001", single_zone=True)
+    sup = build_supervised_frame(build_feature_frame(panel, FeatureConfig(forecast_horizon=3)))
+    numbered = chronological_row_number(sup.frame).cache()
+    spec = FoldSpec(300, 50, 40)
+    cuts = spec.cuts(sup.rows)
+    one_pass = ridge_fold_coefficients(numbered, sup.features, "target_load_mw", spec, cuts, 1.0)
+    for fold, intercept, coef in one_pass[:: max(1, len(cuts) // 4)]:
+        direct = fit_ridge(numbered.where(numbered.rn < cuts[fold]), sup.features, "target_load_mw", impute=False)
+        assert np.allclose(coef, direct.coefficients, rtol=1e-8, atol=1e-10)
+        assert abs(intercept - direct.intercept) < 1e-7 * max(1.0, abs(direct.intercept))
