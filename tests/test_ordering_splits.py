@@ -97,3 +97,22 @@ def test_tail_is_last_zone_not_latest_time(spark):
                         "wind_speed_mps": 1.0, "solar_radiation_wm2": 1.0})
     out = tail_rows(make_panel(spark, pdf), 2).collect()
     assert [(r["zone"], r["load_mw"]) for r in out] == [("a", 2.0), ("b", 3.0)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    keys=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 10_000)), min_size=1, max_size=150, unique=True),
+    in_parts=st.integers(1, 6),
+    out_parts=st.integers(1, 9),
+)
+def test_row_number_property(spark, keys, in_parts, out_parts):
+    df = spark.createDataFrame([(f"z{g}", v) for g, v in keys], "zone STRING, v BIGINT").repartition(in_parts)
+    got = row_number(df, ["v"], partition_by=["zone"], name="r", num_partitions=out_parts).toPandas()
+    for zone, part in got.groupby("zone"):
+        part = part.sort_values("r")
+        assert list(part["r"]) == list(range(len(part)))  # a permutation per group ...
+        assert list(part["v"]) == sorted(part["v"])  # ... in key order
