@@ -131,3 +131,15 @@ def test_normalize_file_roundtrip(spark, tmp_path):
     back = spark.read.option("header", True).csv(out).toPandas()
     assert list(back.columns) == ["timestamp", "zone", "load_mw", "temperature_c", "wind_speed_mps", "solar_radiation_wm2"]
     assert len(back) == 3
+
+
+def test_densify_chunks_equal_single_sequence(spark):
+    from wattlane.sources.adapters import densify, event_hours_panel
+
+    hours = event_hours_panel(spark, SMOKE)
+    a = densify(hours, "1 hour").toPandas().sort_values(["zone", "timestamp"]).reset_index(drop=True)
+    b = densify(hours, "1 hour", chunk_steps=7).toPandas().sort_values(["zone", "timestamp"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
+    spans = hours.toPandas().groupby("zone")["timestamp"].agg(["min", "max"])
+    expected = int(((spans["max"] - spans["min"]) / pd.Timedelta(hours=1) + 1).sum())
+    assert len(a) == expected

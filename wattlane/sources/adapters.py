@@ -87,18 +87,24 @@ def raw_orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def densify(panel: DataFrame, step: str = "1 hour", fill_value: float | None = None) -> DataFrame:
+def densify(
+    panel: DataFrame, step: str = "1 hour", fill_value: float | None = None, chunk_steps: int = 100_000
+) -> DataFrame:
     """Insert missing (zone, timestamp) slots on a regular grid (spine + left join).
 
-    The spine is generated per zone from its own min/max with ``sequence`` and
-    joined back on (zone, timestamp); both sides are partitioned by the key.
+    The spine runs per zone from its own min to max.  It is generated in two
+    steps so a zone with a long span never expands inside one task: chunk
+    starts (one per ``chunk_steps`` slots) are spread over tasks, then each
+    chunk expands to its slots.  The spine is joined back on (zone, timestamp).
     """
 
+    every = F.expr(f"INTERVAL {step}")
     bounds = panel.groupBy("zone").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    spine = bounds.select(
-        "zone",
-        F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("timestamp"),
-    )
+    chunks = bounds.select(
+        "zone", "hi", F.explode(F.sequence("lo", "hi", every * F.lit(chunk_steps))).alias("start")
+    ).repartition("zone", "start")
+    last = F.least(F.col("start") + every * F.lit(chunk_steps - 1), F.col("hi"))
+    spine = chunks.select("zone", F.explode(F.sequence("start", last, every)).alias("timestamp"))
     filled = spine.join(panel, ["zone", "timestamp"], "left")
     if fill_value is not None:
         filled = filled.fillna(fill_value)
