@@ -68,3 +68,24 @@ def test_isolation_forest_deterministic(spark):
     s1 = fit_isolation_forest(df, ["a", "b", "c"]).score(df).toPandas().sort_values("a")
     s2 = fit_isolation_forest(df.repartition(5), ["a", "b", "c"]).score(df).toPandas().sort_values("a")
     assert np.allclose(s1["anomaly_score"], s2["anomaly_score"])
+
+
+def test_per_zone_ridge_equals_separate_fits(spark):
+    from pyspark.sql import functions as F
+
+    from wattlane.operators.ridge import fit_ridge_by
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for z, (a, b) in {"n": (2.0, 1.0), "s": (-1.0, 3.0), "e": (0.5, -2.0)}.items():
+        for _ in range(60):
+            x1, x2 = rng.normal(size=2)
+            rows.append((z, float(x1), float(x2), float(a * x1 + b * x2 + rng.normal(0, 0.1))))
+    df = spark.createDataFrame(rows, "zone STRING, x1 DOUBLE, x2 DOUBLE, y DOUBLE")
+    model = fit_ridge_by(df, ["x1", "x2"], "y", ["zone"])
+    got = model.predict(df).toPandas()
+    for z in ("n", "s", "e"):
+        part = df.where(F.col("zone") == z)
+        single = fit_ridge(part, ["x1", "x2"], "y", impute=False)
+        exp = single.predict(part).toPandas()["prediction"].to_numpy()
+        assert np.allclose(np.sort(got[got["zone"] == z]["prediction"].to_numpy()), np.sort(exp), atol=1e-8)

@@ -601,3 +601,18 @@ ORACLE_QUERIES.update({
 })
 QUERIES.update(ORACLE_QUERIES)
 QUERIES.update(ROWS_ONLY)
+
+
+def zone_ridge_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """M3 per zone: every zone's ridge from one grouped moment aggregate (rows-only)."""
+
+    from wattlane.operators.ridge import fit_ridge_by
+
+    sup = build_supervised_frame(build_feature_frame(_panel(spark, sf)))
+    s = train_test_split(sup.frame, 0.2, rows=sup.rows)
+    model = fit_ridge_by(s.part("train"), sup.features, TARGET, ["zone"], center=sup.means)
+    return model.predict(s.part("test")).select("zone", "timestamp", TARGET, "prediction")
+
+
+ROWS_ONLY["zone_ridge_forecast"] = zone_ridge_forecast
+QUERIES["zone_ridge_forecast"] = zone_ridge_forecast

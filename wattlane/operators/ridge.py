@@ -222,3 +222,62 @@ def univariate_ridge_columns(x: str, y: str, alpha: float = 1.0) -> list[Column]
     w = n * F.covar_pop(_x(x), _x(y)) / sd_safe / (n + F.lit(alpha))
     coef = w / sd_safe
     return [n.alias("rows"), coef.alias("coefficient"), (F.avg(_x(y)) - coef * F.avg(_x(x))).alias("intercept")]
+
+
+# ---------------------------------------------------------------- one model per zone
+
+
+@dataclass
+class ZoneRidgeModel:
+    """Per-group ridge coefficients as a table: group keys, intercept, c0..c{k-1}."""
+
+    feature_names: list[str]
+    by: list[str]
+    coefficients: DataFrame = field(repr=False)
+    alpha: float = 1.0
+
+    def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
+        """Equi-join on the group keys (one coefficient row per group; AQE picks the join)."""
+
+        pred = F.col("_wl_b")
+        for i, f in enumerate(self.feature_names):
+            pred = pred + F.col(f"_wl_c{i}") * _x(f)
+        joined = df.join(self.coefficients, self.by, "left")
+        return joined.withColumn(name, pred).drop("_wl_b", *[f"_wl_c{i}" for i in range(len(self.feature_names))])
+
+
+def fit_ridge_by(
+    df: DataFrame, features: Sequence[str], target: str, by: Sequence[str], *, alpha: float = 1.0,
+    center: dict[str, float] | None = None,
+) -> ZoneRidgeModel:
+    """Fit one standardised ridge per group from one grouped moment aggregate.
+
+    Moments are summed per group with map-side partial aggregation; the k x k
+    solve of every group runs in ``applyInPandas`` over the (one row per
+    group) moment table, so many groups never pass through the driver.
+    """
+
+    features, by = list(features), list(by)
+    k = len(features)
+    cols = [*features, target]
+    if center is None or any(c not in center for c in cols):
+        row = df.agg(*[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
+        center = {c: float(row[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}
+    moments = df.groupBy(*by).agg(*moment_columns(features, target, center))
+    cx = np.array([center[f] for f in features])
+    cy = center[target]
+    out_cols = [*by, "_wl_b", *[f"_wl_c{i}" for i in range(k)]]
+    key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in by}
+    schema = ", ".join([*(f"`{b}` {key_types[b]}" for b in by), "_wl_b DOUBLE", *(f"_wl_c{i} DOUBLE" for i in range(k))])
+
+    def solve(pdf):
+        import pandas as pd
+
+        rows = []
+        for _, r in pdf.iterrows():  # one row per group in this batch
+            coef, b = solve_ridge(Moments.from_row(r.to_dict(), k), cx, cy, alpha)
+            rows.append([*(r[c] for c in by), b, *coef])
+        return pd.DataFrame(rows, columns=out_cols)
+
+    coefs = moments.groupBy(*by).applyInPandas(solve, schema)
+    return ZoneRidgeModel(features, by, coefs, alpha)
