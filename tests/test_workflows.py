@@ -93,3 +93,21 @@ def test_one_pass_folds_equal_direct_fits(spark):
         direct = fit_ridge(numbered.where(numbered.rn < cuts[fold]), sup.features, "target_load_mw", impute=False)
         assert np.allclose(coef, direct.coefficients, rtol=1e-8, atol=1e-10)
         assert abs(intercept - direct.intercept) < 1e-7 * max(1.0, abs(direct.intercept))
+
+
+def test_aligned_labels_lift_recall(demo):
+    """SURVEY 7.5.1: leading the label by h pairs it with the residual it explains."""
+    base = run_anomaly_tuning(demo, AnomalyConfig(methods=("residual_zscore",)))
+    aligned = run_anomaly_tuning(demo, AnomalyConfig(methods=("residual_zscore",), align_labels="target"))
+    assert base["test_results_by_method"]["residual_zscore"]["recall"] == 0.0
+    assert aligned["test_results_by_method"]["residual_zscore"]["recall"] > 0.3
+
+
+def test_purge_gap(spark):
+    from wattlane.operators.splits import train_test_split
+    from wattlane.sources.adapters import events_panel
+
+    s = train_test_split(events_panel(spark, "/root/testdata/sf0.001"), 0.2, purge=24)
+    assert s.counts == {"train": 776, "test": 200, "purged": 24}
+    got = {r["split"]: r["count"] for r in s.frame.groupBy("split").count().collect()}
+    assert got == {"train": 776, "test": 200, "purged": 24}

@@ -102,9 +102,19 @@ class AnomalyConfig:
     isolation_contamination: float | str = "auto"
     strict_single_zone: bool = True
     feature: FeatureConfig | None = None
+    align_labels: str = "timestamp"  # "target": compare the label at t+h with the residual of load[t+h]
+
+    def __post_init__(self) -> None:
+        if self.align_labels not in {"timestamp", "target"}:
+            raise ValueError("align_labels must be 'timestamp' or 'target'.")
 
     def feature_config(self) -> FeatureConfig:
-        return self.feature or FeatureConfig(forecast_horizon=self.forecast_horizon)
+        base = self.feature or FeatureConfig(forecast_horizon=self.forecast_horizon)
+        if self.align_labels == "target":
+            from dataclasses import replace
+
+            return replace(base, lead_columns=("is_anomaly",))
+        return base
 
 
 @dataclass
@@ -118,8 +128,10 @@ class _Prepared:
 
 def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared:
     _check_methods(cfg.methods)
-    fc = cfg.feature_config()
+    fc = cfg.feature_config() if "is_anomaly" in panel.columns else (cfg.feature or FeatureConfig(forecast_horizon=cfg.forecast_horizon))
     sup = prepare_supervised(panel, fc)
+    if "target_is_anomaly" in sup.frame.columns:  # align_labels="target": the label of load[t+h]
+        sup.frame = sup.frame.withColumn("is_anomaly", F.col("target_is_anomaly")).drop("target_is_anomaly")
     if three_way:
         split = train_validation_test_split(
             sup.frame, validation_size=cfg.validation_size, test_size=cfg.test_size,

@@ -51,6 +51,7 @@ class TrainConfig:
     random_state: int = 42
     threshold: float = 3.0
     feature: FeatureConfig | None = None
+    purge: int = 0  # drop the last rows before the test cut (use the horizon to avoid target leakage)
 
     def feature_config(self) -> FeatureConfig:
         return self.feature or FeatureConfig(forecast_horizon=self.forecast_horizon)
@@ -68,7 +69,8 @@ class TrainResult:
 
 def prepare_supervised(panel: DataFrame, fc: FeatureConfig) -> Supervised:
     feat = build_feature_frame(panel, fc).persist(StorageLevel.MEMORY_AND_DISK)
-    return build_supervised_frame(feat, fc.target_column)
+    shifted = {f"target_{c}" for c in fc.lead_columns}  # shifted labels are never features
+    return build_supervised_frame(feat, fc.target_column, excluded_columns=shifted)
 
 
 def run_training(panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir: str | None = None) -> TrainResult:
@@ -78,7 +80,8 @@ def run_training(panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir:
     fc = cfg.feature_config()
     sup = prepare_supervised(panel, fc)
     split: NumberedSplit = train_test_split(
-        sup.frame, cfg.test_size, split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows
+        sup.frame, cfg.test_size, split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows,
+        purge=cfg.purge,
     )
     labeled = split.frame
     extra = {"center": sup.means} if cfg.model == "ridge" else {}
