@@ -143,3 +143,20 @@ def test_densify_chunks_equal_single_sequence(spark):
     spans = hours.toPandas().groupby("zone")["timestamp"].agg(["min", "max"])
     expected = int(((spans["max"] - spans["min"]) / pd.Timedelta(hours=1) + 1).sum())
     assert len(a) == expected
+
+
+def test_stream_restart_is_exactly_once(spark):
+    m = _model(spark)
+    schema = "request_id BIGINT, record_idx BIGINT, features MAP<STRING,DOUBLE>, actual_load_mw DOUBLE"
+    root = os.path.join(ensure_checkpoint_dir(spark), "stream-restart")
+    first = spark.createDataFrame([(1, i, {"a": float(i), "b": 1.0}, None) for i in range(10)], schema)
+    first.write.mode("overwrite").parquet(f"{root}/src")
+    run_stream_scoring(spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", m).awaitTermination()
+    again = run_stream_scoring(spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", m)  # nothing new
+    again.awaitTermination()
+    assert spark.read.parquet(f"{root}/sink").count() == 10
+    more = spark.createDataFrame([(2, i, {"a": float(i), "b": 2.0}, None) for i in range(5)], schema)
+    more.write.mode("append").parquet(f"{root}/src")
+    run_stream_scoring(spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", m).awaitTermination()
+    out = spark.read.parquet(f"{root}/sink")
+    assert out.count() == 15 and out.select("request_id", "record_idx").distinct().count() == 15
