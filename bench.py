@@ -26,7 +26,8 @@ from wattlane.operators.isoforest import fit_isolation_forest  # noqa: E402
 from wattlane.operators.ordering import chronological_row_number, release_all  # noqa: E402
 from wattlane.operators.splits import train_test_split  # noqa: E402
 from wattlane.plans.backtest import BacktestConfig, run_backtest  # noqa: E402
-from wattlane.plans.train import TrainConfig, run_training  # noqa: E402
+from wattlane.operators.features import FeatureConfig  # noqa: E402
+from wattlane.plans.train import TrainConfig, prepare_supervised, run_training  # noqa: E402
 from wattlane.session import get_spark  # noqa: E402
 from wattlane.sources.adapters import events_panel  # noqa: E402
 
@@ -59,7 +60,7 @@ def main() -> None:
         return catalog.threshold_tuning(spark, sf_dir).collect()
 
     def isolation_scoring():
-        sup = build_supervised_frame(build_feature_frame(events_panel(spark, sf_dir)))
+        sup = prepare_supervised(events_panel(spark, sf_dir), FeatureConfig())
         split = train_test_split(sup.frame, 0.2, rows=sup.rows)
         forest = fit_isolation_forest(split.part("train"), sup.features, rows=split.counts["train"])
         return forest.score(split.part("test")).agg(F.count_if("is_anomaly")).first()[0]

@@ -450,8 +450,9 @@ def forest_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 def isolation_scores(spark: SparkSession, sf: str) -> DataFrame:
     from wattlane.operators.isoforest import fit_isolation_forest
+    from wattlane.plans.train import prepare_supervised
 
-    sup = build_supervised_frame(build_feature_frame(_panel(spark, sf)))
+    sup = prepare_supervised(_panel(spark, sf), FeatureConfig())  # features cached: fit and score reuse them
     s = train_test_split(sup.frame, 0.2, rows=sup.rows)
     forest = fit_isolation_forest(s.part("train"), sup.features, rows=s.counts["train"])
     return forest.score(s.part("test")).select("zone", "timestamp", "anomaly_score", "is_anomaly")
