@@ -29,6 +29,13 @@ def test_golden_forecast_split(demo):
     assert len(r.supervised.features) == 15
 
 
+def test_backtest_purge_changes_training_rows(demo):
+    out, folds = run_backtest(demo, BacktestConfig(purge=24))
+    first = out["fold_metrics"][0]
+    assert first["train_rows"] == 1000 - 24 and first["test_rows"] == 168
+    assert out["aggregate_metrics"]["fold_count"] == 5
+
+
 def test_golden_backtest(spark, demo, tmp_path):
     from wattlane.sources.sinks import read_json_metrics
 
@@ -88,11 +95,13 @@ def test_one_pass_folds_equal_direct_fits(spark):
     numbered = chronological_row_number(sup.frame).cache()
     spec = FoldSpec(300, 50, 40)
     cuts = spec.cuts(sup.rows)
-    one_pass = ridge_fold_coefficients(numbered, sup.features, "target_load_mw", spec, cuts, 1.0)
-    for fold, intercept, coef in one_pass[:: max(1, len(cuts) // 4)]:
-        direct = fit_ridge(numbered.where(numbered.rn < cuts[fold]), sup.features, "target_load_mw", impute=False)
-        assert np.allclose(coef, direct.coefficients, rtol=1e-8, atol=1e-10)
-        assert abs(intercept - direct.intercept) < 1e-7 * max(1.0, abs(direct.intercept))
+    for purge in (0, 3):
+        one_pass = ridge_fold_coefficients(numbered, sup.features, "target_load_mw", spec, cuts, 1.0, purge=purge)
+        for fold, intercept, coef in one_pass[:: max(1, len(cuts) // 4)]:
+            rows = numbered.where(numbered.rn < cuts[fold] - purge)
+            direct = fit_ridge(rows, sup.features, "target_load_mw", impute=False)
+            assert np.allclose(coef, direct.coefficients, rtol=1e-8, atol=1e-10)
+            assert abs(intercept - direct.intercept) < 1e-7 * max(1.0, abs(direct.intercept))
 
 
 def test_aligned_labels_lift_recall(demo):

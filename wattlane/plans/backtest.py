@@ -58,6 +58,7 @@ class BacktestConfig:
     strict_single_zone: bool = True
     broadcast_folds: int = 100_000
     feature: FeatureConfig | None = None
+    purge: int = 0  # training rows end this many rows before each cut (use the horizon to avoid leakage)
 
     def __post_init__(self) -> None:
         if self.forecast_horizon <= 0:
@@ -65,11 +66,13 @@ class BacktestConfig:
         if self.model not in {"ridge", "random_forest"}:
             raise ValueError("model must be 'ridge' or 'random_forest'.")
         FoldSpec(self.initial_train_size, self.fold_size, self.step_size)
+        if not 0 <= self.purge <= self.initial_train_size - 2:
+            raise ValueError("purge must leave at least two training rows.")
 
 
 def ridge_fold_coefficients(
     numbered: DataFrame, features: list[str], target: str, spec: FoldSpec, cuts: list[int], alpha: float,
-    center: dict[str, float] | None = None,
+    center: dict[str, float] | None = None, purge: int = 0,
 ) -> list[tuple[int, float, list[float]]]:
     """(fold, intercept, coefficients) for every fold from one grouped moment pass.
 
@@ -77,14 +80,14 @@ def ridge_fold_coefficients(
     moments well conditioned; without it one extra means pass runs first.
     """
 
-    last = cuts[-1]
+    last = cuts[-1] - purge
     train_rows = numbered.where(F.col("rn") < last)
     cols = [*features, target]
     if center is None or any(c not in center for c in cols):
         means = train_rows.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         center = {c: float(means[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
     blocks = (
-        train_rows.groupBy(train_block(F.col("rn"), spec).alias("block"))
+        train_rows.groupBy(train_block(F.col("rn"), spec, purge).alias("block"))
         .agg(*moment_columns(features, target, center))
         .collect()
     )
@@ -118,7 +121,7 @@ def run_backtest(
     target = fc.target_column
     tested = assign_test_folds(numbered, spec, len(cuts))
     if cfg.model == "ridge":
-        coefs = ridge_fold_coefficients(numbered, sup.features, target, spec, cuts, cfg.alpha, sup.means)
+        coefs = ridge_fold_coefficients(numbered, sup.features, target, spec, cuts, cfg.alpha, sup.means, cfg.purge)
         k = len(sup.features)
         table = spark.createDataFrame(
             [(f, b, *c) for f, b, c in coefs],
@@ -133,7 +136,7 @@ def run_backtest(
     else:
         parts = []
         for fold, cut in enumerate(cuts):
-            model = fit_forecaster(numbered.where(F.col("rn") < cut), sup.features, target, cfg.model,
+            model = fit_forecaster(numbered.where(F.col("rn") < cut - cfg.purge), sup.features, target, cfg.model,
                                    random_state=cfg.random_state, forecast_horizon=cfg.forecast_horizon)
             parts.append(model.predict(tested.where(F.col("fold") == fold)))
         predicted = parts[0]
@@ -144,7 +147,7 @@ def run_backtest(
         F.min(TIMESTAMP).alias("test_start_ts"), F.max(TIMESTAMP).alias("test_end_ts"),
     )
     # train bounds: timestamps at positions 0 and cut-1 (one row per fold)
-    positions = spark.createDataFrame([(c - 1, k) for k, c in enumerate(cuts)], "rn BIGINT, fold BIGINT")
+    positions = spark.createDataFrame([(c - cfg.purge - 1, k) for k, c in enumerate(cuts)], "rn BIGINT, fold BIGINT")
     ends = numbered.join(F.broadcast(positions) if len(cuts) <= cfg.broadcast_folds else positions, "rn").select(
         "fold", F.col(TIMESTAMP).alias("train_end_ts")
     )
@@ -154,7 +157,7 @@ def run_backtest(
         .crossJoin(F.broadcast(first_ts))  # the row at rn = 0
         .select(
             F.col("fold").cast("long").alias("fold"),
-            (F.lit(cfg.initial_train_size) + F.col("fold") * cfg.step_size).cast("long").alias("train_rows"),
+            (F.lit(cfg.initial_train_size - cfg.purge) + F.col("fold") * cfg.step_size).cast("long").alias("train_rows"),
             F.col("rows").alias("test_rows"),
             iso_timestamp("train_start_ts").alias("train_start"),
             iso_timestamp("train_end_ts").alias("train_end"),
