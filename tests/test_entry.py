@@ -26,3 +26,11 @@ def test_oracle_matches_spark_on_small_queries(spark):
         b = dk[key].sort_values(key).reset_index(drop=True)
         assert len(a) == len(b), name
         assert a.astype(str).equals(b.astype(str)), name
+
+
+def test_fold_queries_on_a_table_too_short_for_one_fold(spark):
+    # sf0.001 has 1,000 events: fewer than initial 1,000 + fold 168, so no fold exists (as in the SQL)
+    q = E.queries()
+    assert q["rolling_folds"](spark, "/root/testdata/sf0.001").count() == 0
+    row = q["fold_mean_naive"](spark, "/root/testdata/sf0.001").first()
+    assert row["fold_count"] == 0 and row["mean_mae"] is None
