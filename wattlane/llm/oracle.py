@@ -2,4 +2,57 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": r"""
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+seen AS (
+  SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x, ' ' || chr(9) || chr(13))))) AS line FROM d),
+counts AS (SELECT source, line, count(*) AS pages FROM seen WHERE line <> '' GROUP BY ALL),
+totals AS (SELECT source, count(*) AS site_pages FROM documents GROUP BY ALL),
+bad AS (
+  SELECT c.source, list(c.line) AS bad FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+  WHERE c.pages >= 3 AND c.pages > 0.1 * t.site_pages GROUP BY c.source),
+kept AS (
+  SELECT d.*, CASE WHEN bad IS NULL THEN lines ELSE
+    list_filter(lines, lambda x: NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
+  FROM d LEFT JOIN bad ON d.source IS NOT DISTINCT FROM bad.source)
+SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
+  CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') END AS text
+FROM kept
+""",
+    "op9_mix_sources": r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+s0 AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM d GROUP BY source),
+s1 AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap, ([3, 1, 2])[rank % 3 + 1]::DOUBLE AS weight FROM s0),
+s2 AS (
+  SELECT *,
+    (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+      - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER ()
+      - coalesce(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS weights
+  FROM s1),
+s3 AS (SELECT *, max(rest / weights) OVER () AS level FROM s2),
+s AS (SELECT source, rank, source_size, least(cap, level * weight) AS target FROM s3),
+q AS (
+  SELECT d.doc_id, d.size, d.h, s.rank, s.source_size, s.target,
+    sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.h, d.doc_id, d.size
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS served
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+e AS (
+  SELECT *, (served + epoch * source_size)::DOUBLE / target AS finish
+  FROM q CROSS JOIN (VALUES (0), (1)) AS t(epoch) WHERE size > 0),
+c AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM e),
+t AS (
+  SELECT doc_id, h, size, count(*) AS copies FROM c
+  WHERE upto <= (SELECT 1.5::DOUBLE * sum(size) FROM d) GROUP BY ALL)
+SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(t.copies, 0))::BIGINT AS taken
+FROM q LEFT JOIN t ON q.doc_id IS NOT DISTINCT FROM t.doc_id AND q.size = t.size
+""",
+}

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattlane.llm.common import read_table
+from wattlane.llm.line_dedup import dedup_lines
 from wattlane.llm.minhash import near_duplicates
+from wattlane.llm.mixing import mix_sources
 from wattlane.llm.pii import pii_report
+from wattlane.llm.secrets import secret_report
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +24,29 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its source's boilerplate lines dropped (a source is the site of its documents)."""
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return dedup_lines(docs).select("row.doc_id", "row.source", "n_lines", "n_dropped", "text")
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix of its sources."""
+
+    return mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of ``documents``."""
+
+    return secret_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_line_dedup": op3_line_dedup,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_secrets": op10_secrets,
 }
