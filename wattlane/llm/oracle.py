@@ -19,6 +19,29 @@ kept AS (
 SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
   CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') END AS text
 FROM kept
+""",
+    "op7_decontam": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT item_id, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p, w FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS win FROM iw),
+widths AS (SELECT DISTINCT k FROM windows),
+dp AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, widths WHERE len(w) >= k),
+dw AS (SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS win FROM dp),
+hits AS (SELECT dw.doc_id, dw.k, dw.p, windows.item_id FROM dw JOIN windows USING (k, win)),
+n AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM (SELECT DISTINCT doc_id, k, p FROM hits)) GROUP BY 1),
+it AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR) AS items FROM hits GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit,
+  coalesce(len(it.items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(list_sort(it.items), ','), '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """,
     "op9_mix_sources": r"""
 WITH d AS (

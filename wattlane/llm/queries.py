@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattlane.llm.common import read_table
+from wattlane.llm.decontam import contamination
+from wattlane.llm.langid import identify
 from wattlane.llm.line_dedup import dedup_lines
 from wattlane.llm.minhash import near_duplicates
 from wattlane.llm.mixing import mix_sources
@@ -31,6 +34,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("row.doc_id", "row.source", "n_lines", "n_dropped", "text")
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of the benchmark's items."""
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("row.doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix of its sources."""
 
@@ -47,6 +66,8 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op7_decontam": op7_decontam,
+    "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_secrets": op10_secrets,
 }
