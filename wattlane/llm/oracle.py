@@ -19,6 +19,30 @@ kept AS (
 SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
   CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') END AS text
 FROM kept
+""",
+    "op5_near_vectors": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+    embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.good AND b.good AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, vec_id = c.component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+""",
+    "op6_warc": r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+FROM m
 """,
     "op7_decontam": r"""
 WITH d AS (

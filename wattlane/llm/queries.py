@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import read_table
+from wattlane.llm.common import read_table, scratch_path
 from wattlane.llm.decontam import contamination
 from wattlane.llm.langid import identify
 from wattlane.llm.line_dedup import dedup_lines
@@ -13,6 +13,8 @@ from wattlane.llm.minhash import near_duplicates
 from wattlane.llm.mixing import mix_sources
 from wattlane.llm.pii import pii_report
 from wattlane.llm.secrets import secret_report
+from wattlane.llm.vectors import near_vectors
+from wattlane.llm.warc import page_number, read_warc, write_warc
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +36,23 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("row.doc_id", "row.source", "n_lines", "n_dropped", "text")
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all ``embeddings``."""
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written to WARC archives in the shared folder, and what the archives hold when read back."""
+
+    path = scratch_path(spark, "warc")
+    write_warc(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    records = read_warc(spark, path, payloads=False).where("type != 'gap'")
+    return records.select(page_number("record_id").alias("page_id"), "payload_bytes",
+                          F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
+                          page_number("refers_to").alias("refers_to"))
+
+
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of the benchmark's items."""
 
@@ -66,6 +85,8 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op5_near_vectors": op5_near_vectors,
+    "op6_warc": op6_warc,
     "op7_decontam": op7_decontam,
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
