@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattlane.llm.common import read_table, scratch_path
 from wattlane.llm.decontam import contamination
 from wattlane.llm.langid import identify
+from wattlane.llm.licenses import scan_licenses
 from wattlane.llm.line_dedup import dedup_lines
 from wattlane.llm.minhash import near_duplicates
 from wattlane.llm.mixing import mix_sources
@@ -36,6 +37,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("row.doc_id", "row.source", "n_lines", "n_dropped", "text")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every text of ``documents``."""
+
+    found = scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    families = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["family"])))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["family"], s["start"], s["end"]))
+    return found.select("row.doc_id", "n_paragraphs", F.size("spans").cast("long").alias("n_notices"),
+                        F.array_join(families, ",").alias("families"), F.array_join(spans, ",").alias("spans"))
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all ``embeddings``."""
 
@@ -85,6 +96,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_licenses": op4_licenses,
     "op5_near_vectors": op5_near_vectors,
     "op6_warc": op6_warc,
     "op7_decontam": op7_decontam,
