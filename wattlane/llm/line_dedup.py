@@ -86,3 +86,12 @@ def dedup_lines(pages: DataFrame, site: str = "source", text: str = "text",
         (n_lines - n_kept).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("text"),
     )
+
+
+def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", length: str = "n_chars",
+                     cfg: LineDedupConfig | None = None) -> DataFrame:
+    """The documents, with all their columns, their boilerplate lines dropped and ``length``, if there, counted anew."""
+
+    found = dedup_lines(docs, site, text, cfg)
+    new = {text: F.col("text")} | ({length: F.length("text").cast("long")} if length in docs.columns else {})
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

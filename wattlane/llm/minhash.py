@@ -256,3 +256,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                         cfg: MinHashConfig | None = None) -> DataFrame:
+    """The documents, with all their columns, that are the smallest doc_id of their group.
+
+    Rows equal in doc_id and text are one document, and one of them stays.
+    Rows with a null doc_id, and rows without words, are never dropped for
+    another document.
+    """
+
+    dropped = near_duplicates(docs, doc_id, text, cfg).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.md5(F.col(text)).alias("same"))
+    rows = rows.join(stage(dropped.distinct(), "dropped"), F.col("id") == F.col("gone"), "left_anti")
+    if docs.groupBy(doc_id).count().where((F.col("count") > 1) & F.col(doc_id).isNotNull()).isEmpty():
+        return rows.select("row.*")
+    named = rows.where(F.col("id").isNotNull()).dropDuplicates(["id", "same"])
+    return named.union(rows.where(F.col("id").isNull())).select("row.*")
