@@ -39,7 +39,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 GZIP_MAGIC = b"\x1f\x8b\x08"
-_START = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.[0-9]\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r\n")
 _URN = "urn:page:"
 
 
@@ -86,7 +86,10 @@ def _parse_record(data: bytes, at: int) -> tuple[dict, int]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise _Damaged("bad header line")
-        head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("latin-1")
+        if name in head and name != "warc-concurrent-to":
+            raise _Damaged("a field repeats")  # a cut-off header runs into the next record's
+        head[name] = value.strip().decode("utf-8", "replace")
     length = head.get("content-length", "")
     if "warc-type" not in head or not length.isascii() or not length.isdigit():
         raise _Damaged("header incomplete")
