@@ -79,15 +79,15 @@ def test_rolling_origin_folds(spark):
     del hours
     numbered = chronological_row_number(make_panel(spark, pdf))
     spec = FoldSpec(25, 10, 10)
-    assert spec.cuts(60) == [25, 35, 45]
+    assert [spec.cut(k) for k in range(spec.count(60))] == [25, 35, 45]
     tested = assign_test_folds(numbered, spec, 3).toPandas()
     assert tested.groupby("fold").size().tolist() == [10, 10, 10]
     b = fold_bounds(numbered, spec, 60).orderBy("fold").toPandas()
     assert list(b["train_rows"]) == [25, 35, 45]
     assert list(b["test_rows"]) == [10, 10, 10]
     with pytest.raises(ValueError):
-        FoldSpec(55, 10, 10).cuts(60)
-    overlap = assign_test_folds(numbered, FoldSpec(25, 10, 5), len(FoldSpec(25, 10, 5).cuts(60))).toPandas()
+        FoldSpec(55, 10, 10).count(60)
+    overlap = assign_test_folds(numbered, FoldSpec(25, 10, 5), FoldSpec(25, 10, 5).count(60)).toPandas()
     assert overlap.groupby("fold").size().tolist() == [10] * 6
 
 

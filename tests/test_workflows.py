@@ -31,7 +31,7 @@ def test_golden_forecast_split(demo):
 
 def test_backtest_purge_changes_training_rows(demo):
     out, folds = run_backtest(demo, BacktestConfig(purge=24))
-    first = out["fold_metrics"][0]
+    first = folds.orderBy("fold").first()
     assert first["train_rows"] == 1000 - 24 and first["test_rows"] == 168
     assert out["aggregate_metrics"]["fold_count"] == 5
 
@@ -41,6 +41,9 @@ def test_golden_backtest(spark, demo, tmp_path):
 
     out, _ = run_backtest(demo, BacktestConfig(), metrics_dir=str(tmp_path))
     assert read_json_metrics(spark, str(tmp_path / "backtest_ridge_h24"))["aggregate_metrics"]["fold_count"] == 5
+    folds = spark.read.json(str(tmp_path / "backtest_ridge_h24_folds"))
+    assert sorted(r.train_rows for r in folds.collect()) == [1000 + 168 * k for k in range(5)]
+    assert folds.select("metrics.mae").count() == 5
     a = out["aggregate_metrics"]
     assert a["fold_count"] == 5
     assert (round(a["mean_mae"], 4), round(a["mean_rmse"], 4), round(a["mean_mape"], 4), round(a["mean_r2"], 4)) == (
@@ -94,11 +97,11 @@ def test_one_pass_folds_equal_direct_fits(spark):
     sup = build_supervised_frame(build_feature_frame(panel, FeatureConfig(forecast_horizon=3)))
     numbered = chronological_row_number(sup.frame).cache()
     spec = FoldSpec(300, 50, 40)
-    cuts = spec.cuts(sup.rows)
+    count = spec.count(sup.rows)
     for purge in (0, 3):
-        one_pass = ridge_fold_coefficients(numbered, sup.features, "target_load_mw", spec, cuts, 1.0, purge=purge)
-        for fold, intercept, coef in one_pass[:: max(1, len(cuts) // 4)]:
-            rows = numbered.where(numbered.rn < cuts[fold] - purge)
+        one_pass = ridge_fold_coefficients(numbered, sup.features, "target_load_mw", spec, count, 1.0, purge=purge).orderBy("fold").collect()
+        for fold, intercept, *coef in one_pass[:: max(1, count // 4)]:
+            rows = numbered.where(numbered.rn < spec.cut(fold) - purge)
             direct = fit_ridge(rows, sup.features, "target_load_mw", impute=False)
             assert np.allclose(coef, direct.coefficients, rtol=1e-8, atol=1e-10)
             assert abs(intercept - direct.intercept) < 1e-7 * max(1.0, abs(direct.intercept))

@@ -158,7 +158,7 @@ def _raw_events(spark: SparkSession, sf: str) -> DataFrame:
     eid = F.col("event_id")
     return ev.select(
         F.when(eid % 997 == 0, F.lit("not-a-time")).otherwise(F.col("ts").cast("string")).alias("timestamp"),
-        F.when(eid % 977 == 0, F.lit("  ")).when(eid % 971 == 0, F.lit("NA")).otherwise(F.col("event_type")).alias("zone"),
+        F.when(eid % 977 == 0, F.lit("  ")).when(eid % 947 == 0, F.lit("\t")).when(eid % 971 == 0, F.lit("NA")).otherwise(F.col("event_type")).alias("zone"),
         F.when(eid % 991 == 0, F.lit("missing")).when(eid % 983 == 0, F.lit("1d"))
         .when(eid % 967 == 0, F.lit(" 5 ")).otherwise(F.col("value").cast("string")).alias("load_mw"),
         F.get_json_object("props", "$.k").alias("temperature_c"),
@@ -251,7 +251,7 @@ def forecast_metrics_naive(spark: SparkSession, sf: str) -> DataFrame:
 def _naive_folds(spark: SparkSession, sf: str) -> DataFrame:
     naive = chronological_row_number(_naive(_single(spark, sf)))
     n = naive.count()
-    tested = assign_test_folds(naive, FOLDS, len(FOLDS.cuts(n, strict=False)))
+    tested = assign_test_folds(naive, FOLDS, FOLDS.count(n, strict=False))
     return forecast_metrics(tested, "load_mw", "lag_24", by=["fold"])
 
 
@@ -453,7 +453,7 @@ def forest_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
     sup = build_supervised_frame(build_feature_frame(_panel(spark, sf)))
     s = train_test_split(sup.frame, 0.2, rows=sup.rows)
-    model = fit_forest(s.part("train"), sup.features, TARGET, num_trees=20, max_depth=8)
+    model = fit_forest(s.part("train"), sup.features, TARGET)
     return model.predict(s.part("test")).select("zone", "timestamp", TARGET, "prediction")
 
 

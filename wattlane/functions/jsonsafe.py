@@ -62,7 +62,7 @@ def all_names_nonblank(m: str | Column) -> Column:
     """Every map key is non-blank after trimming."""
 
     mp = F.col(m) if isinstance(m, str) else m
-    return F.forall(F.map_keys(mp), lambda k: F.trim(k) != "")
+    return F.forall(F.map_keys(mp), lambda k: k.rlike(r"[^\s\p{Z}\x1c-\x1f\x85]"))
 
 
 def features_to_map(names: Sequence[str]) -> Column:

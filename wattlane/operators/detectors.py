@@ -100,8 +100,10 @@ class ResidualZScoreDetector:
 # ---------------------------------------------------------------- robust
 
 
-def robust_parameters(df: DataFrame, res: Column, by: Sequence[str] = ()) -> DataFrame:
-    """A8 + A9 + C9: median, MAD with IQR/1.349 fallback, then 1.0; per group.
+def robust_parameters(
+    df: DataFrame, res: Column, by: Sequence[str] = (), center: float | None = None
+) -> DataFrame:
+    """A8 + A9 + C9: median (or the given ``center``), MAD with IQR/1.349 fallback, then 1.0; per group.
 
     Two exact quantile jobs: (q25, median, q75) of the residuals, then the
     median of absolute deviations from the group median.
@@ -109,6 +111,8 @@ def robust_parameters(df: DataFrame, res: Column, by: Sequence[str] = ()) -> Dat
 
     vals = df.select(*by, res.cast("double").alias("_wl_r"))
     q = exact_quantiles(vals, "_wl_r", [0.25, 0.5, 0.75], by=by, names=["q25", "median", "q75"])
+    if center is not None:
+        q = q.withColumn("median", F.lit(float(center)))
     if by:
         dev = vals.join(q.select(*by, "median"), list(by))
     else:
@@ -226,20 +230,16 @@ def score_robust_residuals(
     if residual_median is not None and residual_mad is not None and _finite_positive(residual_mad):
         det = RobustResidualDetector(threshold=threshold, residual_median_=residual_median, residual_mad_=residual_mad)
         return det.score_residuals(df, res)
-    params = robust_parameters(df, res, by)
+    params = robust_parameters(df, res, by, center=residual_median)
+    scale = F.col("raw_mad") if residual_mad is None else F.lit(float(residual_mad))
+    params = params.select(
+        *by, F.col("residual_median"), guard_scale(guard_scale(scale, F.col("iqr_scale")), 1.0).alias("residual_mad"))
     if not by:
         row = params.first()
         if row is None:
             raise ValueError("actual and predicted values must not be empty.")
-        med = float(row["residual_median"]) if residual_median is None else residual_median
-        if residual_mad is None:
-            scale = float(row["residual_mad"])
-        else:  # given but unusable: IQR of the scored rows, then 1.0
-            iqr = row["iqr_scale"]
-            scale = iqr if _finite_positive(iqr) else 1.0
-        z = F.abs(F.lit(MODIFIED_Z) * (res - F.lit(med)) / F.lit(scale))
+        z = F.abs(F.lit(MODIFIED_Z) * (res - F.lit(row["residual_median"])) / F.lit(row["residual_mad"]))
         return _score_frame(df, z, threshold)
     joined = df.join(params, list(by))
-    med = F.col("residual_median") if residual_median is None else F.lit(residual_median)
-    z = F.abs(F.lit(MODIFIED_Z) * (res - med) / F.col("residual_mad"))
-    return _score_frame(joined, z, threshold).drop("residual_median", "raw_mad", "iqr_scale", "residual_mad")
+    z = F.abs(F.lit(MODIFIED_Z) * (res - F.col("residual_median")) / F.col("residual_mad"))
+    return _score_frame(joined, z, threshold).drop("residual_median", "residual_mad")

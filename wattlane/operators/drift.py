@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from wattlane.operators.validate import coerce_numeric
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (NumericType, BooleanType))]
@@ -24,7 +26,7 @@ def compute_reference_stats(df: DataFrame, columns: Sequence[str] | None = None)
     cols = list(columns or numeric_columns(df))
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = coerce_numeric(df, c)
         x = F.when(~F.isnan(x), x)
         aggs += [
             F.count(x).cast("double").alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),

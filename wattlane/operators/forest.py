@@ -2,19 +2,20 @@
 
 100 trees, every feature considered at each split (as the reference's
 defaults), median imputation from the exact distributed medians.  Spark's
-trees use histogram splits and a depth limit (at most 30), so predictions are
-statistically comparable, not bit-equal.
+trees use histogram splits and have at most 30 levels (the default here), so
+predictions are statistically comparable, not bit-equal.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.operators.quantiles import column_medians
@@ -46,10 +47,21 @@ class ForestModel:
         drop = [f"_wl_f_{f}" for f in self.feature_names] + ["_wl_vec"]
         return out.withColumnRenamed("_wl_pred", name).drop(*drop)
 
+    # The fitted pipeline, and beside it one row of what prediction needs besides
     def save(self, path: str) -> str:
-        self.pipeline.write().overwrite().save(path)
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        meta = json.dumps({"feature_names": self.feature_names, "medians": self.medians, "model_type": self.model_type,
+                           "target_column": self.target_column, "forecast_horizon": self.forecast_horizon,
+                           "random_state": self.random_state})
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(meta,)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
         return path
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "ForestModel":
+        meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+        return ForestModel(pipeline=PipelineModel.load(f"{path}/pipeline"), **meta)
+
 
 def fit_forest(
     df: DataFrame,
@@ -57,7 +69,7 @@ def fit_forest(
     target: str,
     *,
     num_trees: int = 100,
-    max_depth: int = 12,
+    max_depth: int = 30,
     random_state: int = 42,
     forecast_horizon: int = 24,
 ) -> ForestModel:
@@ -71,7 +83,7 @@ def fit_forest(
     rf = RandomForestRegressor(
         featuresCol="_wl_vec", labelCol=target, predictionCol="_wl_pred", numTrees=num_trees,
         featureSubsetStrategy="all", maxDepth=min(max_depth, 30), seed=random_state, subsamplingRate=1.0,
-        bootstrap=True,
+        bootstrap=True, maxMemoryInMB=1024,
     )
     shell.pipeline = Pipeline(stages=[assembler, rf]).fit(shell._imputed(df.where(F.col(target).isNotNull())))
     return shell

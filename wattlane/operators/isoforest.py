@@ -2,10 +2,10 @@
 
 Fit
   1. median imputation values (exact distributed medians of the train rows);
-  2. a Bernoulli pool of rows chosen by a seeded hash -- about
-     ``pool_factor * psi`` rows whatever the table size (all rows when the
-     table is smaller); each tree takes the ``psi`` rows with the smallest
-     per-tree hash, i.e. a uniform sample without replacement;
+  2. rows are numbered in a fixed order (distributed row number, or the ``rn``
+     that chronological splits carry); each tree draws ``psi`` of all positions
+     without replacement, by seed; the ``trees * psi`` positions, a proven
+     bound, are broadcast and joined to the numbered rows;
   3. ``groupBy(tree).applyInPandas`` grows one tree per group (at most
      ``psi`` rows each), emitting a node table of at most
      ``trees * (2 psi - 1)`` rows -- a proven bound, so it is broadcast.
@@ -27,10 +27,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from wattlane.operators.ordering import row_number
 from wattlane.operators.quantiles import column_medians, exact_quantiles
 
 _EULER = 0.5772156649015329
@@ -165,6 +166,18 @@ def offsets_for(train_scores: DataFrame, grid: Sequence[float | str], column: st
     return [-0.5 if c == "auto" else found[float(c)] for c in grid]
 
 
+def _distinct_positions(rng: np.random.Generator, n: int, k: int) -> np.ndarray:
+    """``k`` different positions below ``n``, each set equally likely, in memory of the order of ``k``."""
+
+    if n <= 4 * k:
+        return rng.permutation(n)[:k]
+    found = np.empty(0, np.int64)
+    while len(found) < k:
+        drawn = np.concatenate([found, rng.integers(0, n, k)])
+        found = drawn[np.sort(np.unique(drawn, return_index=True)[1])]
+    return found[:k]
+
+
 def fit_isolation_forest(
     df: DataFrame,
     feature_names: Sequence[str],
@@ -173,7 +186,6 @@ def fit_isolation_forest(
     random_state: int = 42,
     trees: int = 100,
     max_samples: int = 256,
-    pool_factor: int = 64,
     rows: int | None = None,
 ) -> IsolationForestModel:
     names = list(feature_names)
@@ -185,19 +197,18 @@ def fit_isolation_forest(
     if n == 0:
         raise ValueError("features must contain at least one row.")
     psi = min(max_samples, n)
-    medians = column_medians(df, names, rows=n)
+    medians = column_medians(df, names)
     depth = int(math.ceil(math.log2(max(psi, 2))))
-    row_hash = F.xxhash64(F.lit(random_state), *[F.col(c) for c in df.columns])
-    unit = (F.abs(row_hash % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0))
-    fraction = min(1.0, pool_factor * psi / n)
     feats = [F.coalesce(F.col(f).cast("double"), F.lit(medians.get(f))).alias(f"f{i}") for i, f in enumerate(names)]
-    pool = df.select(row_hash.alias("_h"), unit.alias("_u"), *feats)
-    if fraction < 1.0:
-        pool = pool.where(F.col("_u") < F.lit(fraction))
-    per_tree = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    per_tree = per_tree.withColumn("_k", F.xxhash64(F.lit(random_state), F.col("tree"), F.col("_h")))
-    w = Window.partitionBy("tree").orderBy("_k", "_h")
-    sample = per_tree.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi)
+    first, last = df.agg(F.min("rn"), F.max("rn")).first() if "rn" in df.columns else (0, -1)
+    if last - first + 1 == n:  # a part of a split: its positions follow on from the first
+        numbered = df.select((F.col("rn") - F.lit(first)).alias("_pos"), *feats)
+    else:
+        numbered = row_number(df.select(F.xxhash64(*df.columns).alias("_h"), *feats), ["_h", *[f"f{i}" for i in range(len(names))]],
+                              name="_pos")
+    rng = np.random.default_rng(random_state)
+    drawn = [(t, int(i)) for t in range(trees) for i in _distinct_positions(rng, n, psi)]
+    sample = numbered.join(F.broadcast(df.sparkSession.createDataFrame(drawn, "tree INT, _pos BIGINT")), "_pos")
     cols = [f"f{i}" for i in range(len(names))]
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -44,11 +44,23 @@ def forecast_metrics(
     """A1-A3: rows, MAE, RMSE, MAPE (percent), R2 per group."""
 
     cols = forecast_metric_columns(actual, predicted)
-    return df.groupBy(*by).agg(*cols) if by else df.agg(*cols)
+    if by:
+        return df.groupBy(*by).agg(*cols)
+    return df.agg(*cols).withColumn("rows", _not_empty(F.col("rows")))
+
+
+def _not_empty(rows: Column) -> Column:
+    """The row count itself; evaluating it fails when there are no rows."""
+
+    error = F.raise_error(F.lit("actual and predicted values must not be empty."))
+    return F.when(rows == 0, error.cast("long")).otherwise(rows)
 
 
 def confusion_columns(label: str | Column, prediction: str | Column) -> list[Column]:
-    lab, pred = _c(label).cast("boolean"), _c(prediction).cast("boolean")
+    """Counts by label and flag; an unknown label or flag (NULL) counts as negative."""
+
+    no = F.lit(False)
+    lab, pred = F.coalesce(_c(label).cast("boolean"), no), F.coalesce(_c(prediction).cast("boolean"), no)
     return [
         F.count_if(~lab & ~pred).alias("tn"),
         F.count_if(~lab & pred).alias("fp"),
@@ -70,9 +82,8 @@ def classification_from_counts(tn: Column, fp: Column, fn: Column, tp: Column) -
     pos_present = (tp + fn + fp) > 0
     neg_present = (tn + fp + fn) > 0
     n_present = pos_present.cast("int") + neg_present.cast("int")
-    macro = (
-        F.when(pos_present, f1_pos).otherwise(0.0) + F.when(neg_present, f1_neg).otherwise(0.0)
-    ) / n_present
+    total = F.when(pos_present, f1_pos).otherwise(0.0) + F.when(neg_present, f1_neg).otherwise(0.0)
+    macro = F.when(n_present > 0, total / n_present)
     return [precision.alias("precision"), recall.alias("recall"), macro.alias("macro_f1")]
 
 
@@ -82,7 +93,11 @@ def anomaly_metrics(
     """Confusion counts ``[[tn, fp], [fn, tp]]``, precision, recall, macro F1."""
 
     cols = confusion_columns(label, prediction)
-    counts = df.groupBy(*by).agg(*cols) if by else df.agg(*cols)
+    if by:
+        counts = df.groupBy(*by).agg(*cols)
+    else:
+        rows = _not_empty(F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
+        counts = df.agg(*cols).withColumn("tn", rows - F.col("fp") - F.col("fn") - F.col("tp"))
     return counts.select(
         *by, "tn", "fp", "fn", "tp",
         *classification_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")),

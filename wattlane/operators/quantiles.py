@@ -2,30 +2,32 @@
 
 Spark's exact ``percentile``/``median`` keep every value of a group in one
 aggregation buffer, which does not survive a group holding a third of the
-data.  Two exact strategies are used instead, both giving numpy's default
-``linear`` result:
-
-* ``refine`` (default): ``percentile_approx`` (a mergeable sketch, map-side
-  combined) brackets each needed rank; one more aggregate counts, per group
-  and probability, the values below the bracket and every distinct value
-  inside it; a window over that small candidate table reads off the exact
-  ranks.  Two scans, no shuffle of the raw values.  Brackets are verified; a
-  group whose bracket missed its ranks is recomputed with ``sort``.
-* ``memory``: Spark's exact ``percentile`` aggregate, used by ``auto`` only
-  when every group is proven small (a size check, like a broadcast threshold).
-* ``sort``: values are ranked with the distributed ``row_number`` (range
-  partitioned, no single task) and the two ranks bracketing each position
-  are kept.
+data. Here ``percentile_approx`` (a mergeable sketch, combined map-side)
+brackets the two ranks around each position; the next aggregate counts the
+values below, at and between the brackets and, once the sketch's own error
+bound says that they are few, collects those between. While the bound says
+they may be many, the bracket is narrowed by another sketch of the values
+inside it. Raw values are never shuffled when there is one group, and the
+brackets are literals then; with groups, the brackets are a table of one row
+per group, joined as its size allows.
+
+Every bracket is verified by its counts; a group whose ranks lie outside it is
+computed again by ranking (``method="sort"``: the distributed ``row_number``).
+The results equal numpy's default ``linear`` ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.operators.ordering import row_number
+from wattlane.session import cut_lineage
+
+#: values between two brackets that one group's aggregate may collect
+CANDIDATES = 1 << 17
 
 
 def _name(p: float) -> str:
@@ -44,20 +46,14 @@ def exact_quantiles(
     *,
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    method: str = "auto",
-    accuracy: int = 100_000,
-    max_group_rows: int | None = None,
-    in_memory_limit: int = 1 << 20,
+    method: str = "refine",
+    accuracy: int = 10_000,
+    candidates: int = CANDIDATES,
 ) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group; nulls and NaNs are ignored.
 
     Returns one row per group with one column per probability (``names`` or
     ``q0_5`` style).  Groups without values produce no row.
-
-    ``auto`` uses Spark's exact ``percentile`` aggregate (one pass, a
-    value-to-count map per group) only when every group is proven to hold at
-    most ``in_memory_limit`` values -- from ``max_group_rows`` when the caller
-    knows it, else from one grouped count -- and ``refine`` otherwise.
     """
 
     if not probs:
@@ -67,73 +63,113 @@ def exact_quantiles(
     vals = df.select(*by, v.cast("double").alias("_wl_v")).where(
         F.col("_wl_v").isNotNull() & ~F.isnan("_wl_v")
     )
-    if method == "auto":
-        largest = max_group_rows
-        if largest is None:
-            sizes = vals.groupBy(*by).count() if by else vals.groupBy().count()
-            largest = int(sizes.agg(F.max("count")).first()[0] or 0)
-        method = "memory" if largest <= in_memory_limit else "refine"
-    if method == "memory":
-        q = F.percentile("_wl_v", F.array(*[F.lit(float(p)) for p in probs]))
-        agg = vals.groupBy(*by).agg(q.alias("_wl_q"))
-        return agg.select(*by, *[F.col("_wl_q")[i].alias(n) for i, n in enumerate(names)])
-    if method == "refine":
-        return _refine(vals, list(probs), list(by), names, accuracy)
-    return _by_sort(vals, list(probs), list(by), names)
-
-
-def _refine(vals: DataFrame, probs: list[float], by: list[str], names: list[str], accuracy: int) -> DataFrame:
-    margin = 3.0 / accuracy
-    bracket_probs = []
-    for p in probs:
-        bracket_probs += [max(0.0, p - margin), min(1.0, p + margin)]
-    # pass 1: group size and a sketch bracket per probability (map-side combined)
-    bounds = vals.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_wl_n"),
-        F.percentile_approx("_wl_v", bracket_probs, accuracy).alias("_wl_b"),
-    )
-    joined = vals.join(bounds, by) if by else vals.crossJoin(F.broadcast(bounds))  # one row without groups
-    idx = F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("_wl_i")
-    per = joined.select(*by, "_wl_v", "_wl_n", "_wl_b", idx)
-    lo_b = F.element_at("_wl_b", (2 * F.col("_wl_i") + 1).cast("int"))
-    hi_b = F.element_at("_wl_b", (2 * F.col("_wl_i") + 2).cast("int"))
-    # pass 2: below-bracket counts (key NULL) and distinct in-bracket values with counts
-    keyed = per.where(F.col("_wl_v") <= hi_b).select(
-        *by, "_wl_i", "_wl_n", F.when(F.col("_wl_v") >= lo_b, F.col("_wl_v")).alias("_wl_k")
-    )
-    cands = keyed.groupBy(*by, "_wl_i", "_wl_n", "_wl_k").agg(F.count(F.lit(1)).alias("_wl_c"))
-    w = Window.partitionBy(*by, "_wl_i").orderBy(F.col("_wl_k").asc_nulls_first())
-    cum = cands.withColumn("_wl_after", F.sum("_wl_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cum = cum.withColumn("_wl_before", F.col("_wl_after") - F.col("_wl_c"))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), (F.col("_wl_i") + 1).cast("int"))
-    pos = (F.col("_wl_n") - 1) * prob
-    r_lo, r_hi = F.floor(pos), F.ceil(pos)
-
-    def holds(r: Column) -> Column:
-        return F.col("_wl_k").isNotNull() & (F.col("_wl_before") <= r) & (r < F.col("_wl_after"))
-
-    below = F.max(F.when(F.col("_wl_k").isNull(), F.col("_wl_c")))
-    per_prob = cum.groupBy(*by, "_wl_i", "_wl_n").agg(
-        F.max(F.when(holds(r_lo), F.col("_wl_k"))).alias("_wl_a"),
-        F.max(F.when(holds(r_hi), F.col("_wl_k"))).alias("_wl_bv"),
-        F.coalesce(below, F.lit(0)).alias("_wl_below"),
-        F.first(pos - F.floor(pos)).alias("_wl_t"),
+    if method == "sort":
+        return _by_sort(vals, list(probs), list(by), names)
+    targets = [("_wl_v", float(p)) for p in probs]
+    found = _refine(vals, targets, list(by), accuracy, candidates).where(F.col("n0") > 0)
+    out = found.select(*by, "ok", *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    if out.where(~F.col("ok")).isEmpty():
+        return out.drop("ok")
+    # ranks outside their bracket in some groups: these are computed again by sorting
+    missed = out.where(~F.col("ok")).select(*by)
+    redo = _by_sort(vals.join(missed, by, "left_semi") if by else vals, list(probs), list(by), names)
+    return out.where("ok").drop("ok").unionByName(redo)
+
+
+def _with_state(vals: DataFrame, state: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Every row with its group's ``columns`` of the state: literals without groups, else an equi-join."""
+
+    if by:
+        return vals.join(state.select(*by, *columns), by)
+    row = state.first()
+    return vals.select("*", *[F.lit(row[c]).cast(state.schema[c].dataType).alias(c) for c in columns])
+
+
+def _refine(
+    vals: DataFrame, targets: list[tuple[str, float]], by: list[str], accuracy: int, candidates: int
+) -> DataFrame:
+    """Per group: n{i}, q{i} of every target (column, probability), and ``ok`` when all brackets held."""
+
+    margin, k = 3.0 / accuracy, range(len(targets))
+    sketch = []
+    for i, (c, p) in enumerate(targets):
+        sketch += [F.count(c).alias(f"n{i}"),
+                   F.percentile_approx(c, [max(0.0, p - margin), min(1.0, p + margin)], accuracy).alias(f"b{i}")]
+    state = _small(vals.groupBy(*by).agg(*sketch)).select(*by, *[f"n{i}" for i in k], *[
+        F.get(f"b{i}", F.lit(j)).alias(f"{e}{i}") for i in k for j, e in enumerate(("lo", "hi"))])
+    pos = [(F.col(f"n{i}") - 1) * F.lit(p) for i, (_, p) in enumerate(targets)]
+    bounds = [f"{e}{i}" for i in k for e in ("lo", "hi")]
+    share = 2 * margin + 2.0 / accuracy  # of a group's values that can lie between its brackets
+    largest = state.agg(F.max(F.greatest(*[F.col(f"n{i}") for i in k], F.lit(0)))).first()[0] or 0
+    between = largest * share
+    while between > candidates:
+        counted = _small(_with_state(vals, state, by, bounds).groupBy(*by).agg(*_counts(targets)))
+        inner = (state.join(counted, by) if by else state.crossJoin(counted)).withColumns({
+            f"{e}{i}": F.when(F.col(f"in{i}") > 0, (pos[i] - F.col(f"under{i}") - F.col(f"at{i}") + d) / F.col(f"in{i}"))
+            for i in k for e, d in (("from", -0.5), ("to", 1.5))})
+        inside = _with_state(vals, state, by, bounds).groupBy(*by).agg(*[
+            F.percentile_approx(F.when((F.col(c) > F.col(f"lo{i}")) & (F.col(c) < F.col(f"hi{i}")), F.col(c)),
+                                [j / 1000 for j in range(1001)], accuracy).alias(f"grid{i}")
+            for i, (c, _) in enumerate(targets)])
+        state = _narrowed(inner.join(_small(inside), by) if by else inner.crossJoin(_small(inside)), by, k)
+        between *= 8.0 / 1000  # grid steps that can lie between the new brackets
+    rows = _with_state(vals, state, by, bounds)
+    collected = [
+        F.sort_array(F.collect_list(
+            F.when((F.col(c) > F.col(f"lo{i}")) & (F.col(c) < F.col(f"hi{i}")), F.col(c)))).alias(f"mid{i}")
+        for i, (c, _) in enumerate(targets)]
+    final = rows.groupBy(*by).agg(*_counts(targets), *collected)
+    final = state.join(final, by) if by else state.crossJoin(F.broadcast(final))  # one row each
+    out, ok = [], F.lit(True)
+    for i in k:
+        low, high = _at_rank(F.floor(pos[i]), i), _at_rank(F.ceil(pos[i]), i)
+        out.append(_lerp(low, high, pos[i] - F.floor(pos[i])).alias(f"q{i}"))
+        ok = ok & ((F.col(f"n{i}") == 0) | (low.isNotNull() & high.isNotNull()))
+    return _small(final.select(*by, *[f"n{i}" for i in k], *out, ok.alias("ok")))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A table of one row per group, computed once."""
+
+    return cut_lineage(table)
+
+
+def _counts(targets: list[tuple[str, float]]) -> list[Column]:
+    """By target: values under the lower bracket, at it, strictly between the two."""
+
+    out = []
+    for i, (c, _) in enumerate(targets):
+        lo, hi, v = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(c)
+        out += [F.count_if(v < lo).alias(f"under{i}"), F.count_if(v == lo).alias(f"at{i}"),
+                F.count_if((v > lo) & (v < hi)).alias(f"in{i}"), F.count_if((v == hi) & (hi > lo)).alias(f"top{i}")]
+    return out
+
+
+def _at_rank(rank: Column, i: int) -> Column:
+    """The value of a rank, counted from 0; NULL where it lies outside the brackets."""
+
+    first = rank - F.col(f"under{i}")
+    inner = first - F.col(f"at{i}")
+    return (
+        F.when(first < 0, F.lit(None).cast("double"))
+        .when(inner < 0, F.col(f"lo{i}"))
+        .when(inner < F.col(f"in{i}"), F.get(f"mid{i}", inner.cast("int")))
+        .when(inner < F.col(f"in{i}") + F.col(f"top{i}"), F.col(f"hi{i}"))
     )
-    per_prob = per_prob.withColumn(
-        "_wl_q", _lerp(F.col("_wl_a"), F.col("_wl_bv"), F.col("_wl_t"))
-    ).withColumn("_wl_ok", F.col("_wl_a").isNotNull() & F.col("_wl_bv").isNotNull())
-    wide = per_prob.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_wl_i") == i, F.col("_wl_q"))).alias(n) for i, n in enumerate(names)],
-        F.min(F.col("_wl_ok").cast("int")).alias("_wl_ok"),
-    ).persist()
-    bad = wide.where(F.col("_wl_ok") == 0)
-    if bad.isEmpty():
-        return wide.drop("_wl_ok")
-    # sketch guarantee missed for some groups: recompute those exactly by sorting
-    good = wide.where(F.col("_wl_ok") == 1).drop("_wl_ok")
-    redo_vals = vals.join(bad.select(*by), by, "left_semi") if by else vals
-    redo = _by_sort(redo_vals, probs, by, names)
-    return redo if not by else good.unionByName(redo)
+
+
+def _narrowed(state: DataFrame, by: list[str], k: range) -> DataFrame:
+    """Brackets moved to the grid points two steps around the ranks; a rank at an old bracket keeps it alone."""
+
+    new = {}
+    for i in k:
+        lo, hi, grid = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"grid{i}")
+        below = F.floor(F.col(f"from{i}") * 1000).cast("int") - 2
+        above = F.ceil(F.col(f"to{i}") * 1000).cast("int") + 2
+        some = grid.isNotNull() & (F.size(grid) > 0)
+        new[f"lo{i}"] = F.when(some & (below > 0), F.coalesce(F.get(grid, F.least(below, F.lit(1000))), lo)).otherwise(lo)
+        new[f"hi{i}"] = F.when(some & (above < 1000), F.coalesce(F.get(grid, F.greatest(above, F.lit(0))), hi)).otherwise(hi)
+    return state.select(*by, *[f"n{i}" for i in k], *[c.alias(n) for n, c in new.items()])
 
 
 def _by_sort(vals: DataFrame, probs: list[float], by: list[str], names: list[str]) -> DataFrame:
@@ -168,19 +204,19 @@ def exact_median(df: DataFrame, value: str | Column, *, by: Sequence[str] = (),
     return exact_quantiles(df, value, [0.5], by=by, names=[name])
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> dict[str, float]:
-    """M1: exact medians of several columns in one ranking job (long format).
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """M1: exact medians of several columns, all from the same passes over the rows.
 
-    The result has one value per column, so collecting it is bounded.
+    The result has one value per column, so collecting it is bounded. A
+    column without values has None.
     """
 
     if not columns:
         return {}
-    stacked = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("s")
-    ).select("s.column", "s.v")
-    got = exact_quantiles(stacked, "v", [0.5], by=["column"], names=["median"], max_group_rows=rows).collect()
-    found = {r["column"]: r["median"] for r in got}
-    return {c: found.get(c) for c in columns}
+    wide = df.select(*[
+        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)])
+    row = _refine(wide, [(f"v{i}", 0.5) for i in range(len(columns))], [], 10_000, CANDIDATES).first()
+    if row["ok"]:
+        return {c: row[f"q{i}"] for i, c in enumerate(columns)}
+    found = {c: exact_median(wide, f"v{i}").first() for i, c in enumerate(columns)}
+    return {c: r[0] if r else None for c, r in found.items()}

@@ -181,8 +181,8 @@ def fit_ridge(
     random_state: int | None = 42,
     center: dict[str, float] | None = None,
 ) -> RidgeModel:
-    """M3/M6: one centred-moment aggregate (plus a means pass when no centre is given)
-    and one exact-median job for the imputer.
+    """M3/M6: the exact medians fill missing features, then one centred-moment aggregate
+    (plus a means pass when no centre is given).
 
     ``center`` only needs to be close to the means (e.g. the supervised-row
     means); the solve corrects for the offset exactly.
@@ -193,6 +193,9 @@ def fit_ridge(
         raise ValueError("feature_names must not be empty.")
     k = len(features)
     cols = [*features, target]
+    medians = column_medians(df, features) if impute else {}
+    filled = {f: F.coalesce(_x(f), F.lit(float(m))) for f, m in medians.items() if m is not None}
+    df = df.select(*[filled.get(f, _x(f)).alias(f) for f in features], _x(target).alias(target))
     if center is None or any(c not in center for c in cols):
         mean_row = df.agg(*[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
         center = {c: float(mean_row[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}
@@ -200,7 +203,6 @@ def fit_ridge(
     if not mom.n:
         raise ValueError("features must contain at least one row.")
     coef, intercept = solve_ridge(mom, np.array([center[f] for f in features]), center[target], alpha)
-    medians = column_medians(df, features, rows=int(mom.n)) if impute else {}
     from wattlane import __version__
 
     return RidgeModel(
@@ -253,13 +255,14 @@ def fit_ridge_by(
     """Fit one standardised ridge per group from one grouped moment aggregate.
 
     Moments are summed per group with map-side partial aggregation; the k x k
-    solve of every group runs in ``applyInPandas`` over the (one row per
+    solve of every group runs in ``mapInPandas`` over the (one row per
     group) moment table, so many groups never pass through the driver.
     """
 
     features, by = list(features), list(by)
     k = len(features)
     cols = [*features, target]
+    df = df.na.drop(subset=cols)
     if center is None or any(c not in center for c in cols):
         row = df.agg(*[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
         center = {c: float(row[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}
@@ -270,14 +273,14 @@ def fit_ridge_by(
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in by}
     schema = ", ".join([*(f"`{b}` {key_types[b]}" for b in by), "_wl_b DOUBLE", *(f"_wl_c{i} DOUBLE" for i in range(k))])
 
-    def solve(pdf):
-        import pandas as pd
+    def solve(batches):
+        for pdf in batches:  # one row per group
+            solved = [solve_ridge(Moments.from_row(r, k), cx, cy, alpha) for r in pdf.to_dict("records")]
+            out = pdf[by].copy()
+            out["_wl_b"] = [b for _, b in solved]
+            for i in range(k):
+                out[f"_wl_c{i}"] = [float(coef[i]) for coef, _ in solved]
+            yield out[out_cols]
 
-        rows = []
-        for _, r in pdf.iterrows():  # one row per group in this batch
-            coef, b = solve_ridge(Moments.from_row(r.to_dict(), k), cx, cy, alpha)
-            rows.append([*(r[c] for c in by), b, *coef])
-        return pd.DataFrame(rows, columns=out_cols)
-
-    coefs = moments.groupBy(*by).applyInPandas(solve, schema)
+    coefs = moments.mapInPandas(solve, schema)
     return ZoneRidgeModel(features, by, coefs, alpha)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -22,6 +22,10 @@ from wattlane.schema import CANONICAL_COLUMNS, DUPLICATE_KEY, NULL_TOKENS, NUMER
 NUMERIC_PATTERN = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
 
+# text with any character that isn't white space
+NONBLANK = r"[^\s\p{Z}\x1c-\x1f\x85]"
+
+
 @dataclass(frozen=True)
 class ReadOptions:
     timestamp_column: str = "timestamp"
@@ -103,7 +107,7 @@ def _row_rules(df: DataFrame, opts: ReadOptions) -> dict[str, Column]:
             missing = missing | coerce_numeric(df, c).isNull()
         else:
             missing = missing | F.col(c).isNull()
-    blank = F.trim(F.col(opts.zone_column).cast("string")) == ""
+    blank = ~F.col(opts.zone_column).cast("string").rlike(NONBLANK)
     return {
         "timestamp_unparsable": ts_bad,
         "missing_or_non_numeric": missing,
@@ -172,7 +176,9 @@ def validate_panel(df: DataFrame, options: ReadOptions | None = None) -> DataFra
 
 
 def quarantine(df: DataFrame, options: ReadOptions | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (valid typed rows, rejected raw rows with a ``reason``) without raising."""
+    """Split rows into (valid typed rows, rejected raw rows with a ``reason``) without raising.
+
+    Of the valid rows of a repeated key one stays among the valid ones."""
 
     opts = options or ReadOptions()
     check_columns(df, opts.required_columns)
@@ -180,6 +186,12 @@ def quarantine(df: DataFrame, options: ReadOptions | None = None) -> tuple[DataF
     reason = F.lit(None).cast("string")
     for name in reversed(list(rules)):
         reason = F.when(rules[name], F.lit(name)).otherwise(reason)
+    subset = [c for c in opts.duplicate_subset if c in df.columns]
+    if subset:  # rows beyond the first of a key; every row of a valid key but one is rejected
+        key = [coerce_timestamp(df, c) if c == opts.timestamp_column else F.col(c) for c in subset]
+        content = F.xxhash64(*df.columns)
+        seen = F.row_number().over(Window.partitionBy(reason.isNull(), *key).orderBy(content))
+        reason = F.coalesce(reason, F.when(seen > 1, F.lit("duplicate_keys")))
     tagged = df.withColumn("reason", reason)
     good = coerce_panel(tagged.where(F.col("reason").isNull()).drop("reason"), opts)
     bad = tagged.where(F.col("reason").isNotNull())

@@ -146,7 +146,7 @@ def _num_ok(x: str) -> str:
 
 RAW = """raw AS (
   SELECT CASE WHEN event_id % 997 = 0 THEN 'not-a-time' ELSE CAST(ts AS VARCHAR) END AS ts_text,
-         CASE WHEN event_id % 977 = 0 THEN '  ' WHEN event_id % 971 = 0 THEN 'NA' ELSE event_type END AS zone_text,
+         CASE WHEN event_id % 977 = 0 THEN '  ' WHEN event_id % 947 = 0 THEN chr(9) WHEN event_id % 971 = 0 THEN 'NA' ELSE event_type END AS zone_text,
          CASE WHEN event_id % 991 = 0 THEN 'missing' WHEN event_id % 983 = 0 THEN '1d'
               WHEN event_id % 967 = 0 THEN ' 5 ' ELSE CAST(value AS VARCHAR) END AS load_text,
          json_extract_string(props, '$.k') AS temperature_text,
@@ -287,7 +287,7 @@ SELECT zone, "timestamp", load_mw, target_load_mw FROM supervised ORDER BY zone
   c AS (SELECT CAST(count(*) = 0 AS BIGINT) AS empty_input,
     count(*) FILTER (WHERE {_ts_parse('ts_text')} IS NULL) AS timestamp_unparsable,
     count(*) FILTER (WHERE zone_text IS NULL OR zone_text IN ({_nulltokens()}) OR {numeric_bad}) AS missing_or_non_numeric,
-    count(*) FILTER (WHERE trim(zone_text) = '') AS blank_zone FROM raw),
+    count(*) FILTER (WHERE NOT regexp_matches(zone_text, '[^\s]')) AS blank_zone FROM raw),
   d AS (SELECT coalesce(sum(n - 1), 0) AS duplicate_keys FROM (
     SELECT count(*) AS n FROM raw GROUP BY zone_text, {_ts_parse('ts_text')}))
 SELECT rule, CAST(violations AS BIGINT) AS violations FROM (

@@ -6,13 +6,11 @@ moments of the training rows, and fold k's training rows are blocks 0..k
 
   pass 1  means of features and target (centring, for precision)
   pass 2  ``groupBy(block)`` of the centred moments -- one row per fold
-  driver  prefix sums over blocks and one k x k solve per fold
+  then    prefix sums over blocks, and one k x k solve per fold (mapInPandas)
   pass 3  test rows tagged with their fold(s) arithmetically, joined to the
-          fold coefficient table (one row per fold), predicted with a linear
-          expression, and aggregated per fold (metrics and time bounds)
+          fold coefficient table (one row per fold, by its size), predicted with
+          a linear expression, and aggregated per fold (metrics and time bounds)
 
-The fold coefficient table has one row per fold; it is broadcast when the
-fold count is below ``broadcast_folds`` and shuffle-joined otherwise.
 Random-forest backtests fit one Spark ML forest per fold.
 """
 
@@ -22,20 +20,24 @@ from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlane.functions.jsonsafe import iso_timestamp
 from wattlane.operators.features import FeatureConfig
-from wattlane.operators.metrics import forecast_metric_columns
+from wattlane.operators.metrics import forecast_metric_columns, mean_ignoring_nan
 from wattlane.operators.ordering import chronological_row_number
 from wattlane.operators.ridge import Moments, moment_columns, solve_ridge
-from wattlane.operators.splits import FoldSpec, assign_test_folds, train_block
+from wattlane.operators.splits import FoldSpec, assign_test_folds, train_block, train_ends
 from wattlane.plans.train import fit_forecaster, prepare_supervised
 from wattlane.schema import TIMESTAMP, ZONE
 from wattlane.session import cut_lineage
 
 
+SPAN = 1024  # blocks whose running sums one task takes
+
+
 def check_single_zone(panel: DataFrame, zone_col: str = ZONE, what: str = "Backtesting") -> None:
     """V9: exactly one distinct zone."""
 
@@ -56,7 +58,6 @@ class BacktestConfig:
     random_state: int = 42
     alpha: float = 1.0
     strict_single_zone: bool = True
-    broadcast_folds: int = 100_000
     feature: FeatureConfig | None = None
     purge: int = 0  # training rows end this many rows before each cut (use the horizon to avoid leakage)
 
@@ -71,43 +72,52 @@ class BacktestConfig:
 
 
 def ridge_fold_coefficients(
-    numbered: DataFrame, features: list[str], target: str, spec: FoldSpec, cuts: list[int], alpha: float,
+    numbered: DataFrame, features: list[str], target: str, spec: FoldSpec, count: int, alpha: float,
     center: dict[str, float] | None = None, purge: int = 0,
-) -> list[tuple[int, float, list[float]]]:
-    """(fold, intercept, coefficients) for every fold from one grouped moment pass.
+) -> DataFrame:
+    """fold, intercept, c0..: the coefficients of every fold from one grouped moment pass.
 
     ``center`` (close to the means, e.g. the supervised-row means) keeps the
     moments well conditioned; without it one extra means pass runs first.
+    The running sums over the blocks take two levels, within spans of
+    ``SPAN`` blocks and over the spans, and the solves run in ``mapInPandas``,
+    so any number of folds stays distributed.
     """
 
-    last = cuts[-1] - purge
-    train_rows = numbered.where(F.col("rn") < last)
+    train_rows = numbered.where(F.col("rn") < spec.cut(count - 1) - purge)
     cols = [*features, target]
     if center is None or any(c not in center for c in cols):
         means = train_rows.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         center = {c: float(means[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
-    blocks = (
-        train_rows.groupBy(train_block(F.col("rn"), spec, purge).alias("block"))
-        .agg(*moment_columns(features, target, center))
-        .collect()
-    )
-    k = len(features)
-    by_block = {r["block"]: Moments.from_row(r, k) for r in blocks}
-    cx = np.array([center[f] for f in features])
-    out = []
-    acc: Moments | None = None
-    for fold, _cut in enumerate(cuts):
-        m = by_block[fold]
-        acc = m if acc is None else acc + m
-        coef, intercept = solve_ridge(acc, cx, center[target], alpha)
-        out.append((fold, intercept, [float(c) for c in coef]))
-    return out
+    moments = moment_columns(features, target, center)
+    blocks = cut_lineage(train_rows.groupBy(train_block(F.col("rn"), spec, purge).alias("fold")).agg(*moments))
+    names = [c for c in blocks.columns if c != "fold"]
+    blocks = blocks.withColumn("span", F.floor(F.col("fold") / SPAN))
+    spans = blocks.groupBy("span").agg(*[F.sum(c).alias(c) for c in names])
+    before = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("span", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"b_{c}") for c in names])
+    within = Window.partitionBy("span").orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
+    running = blocks.select("fold", "span", *[F.sum(c).over(within).alias(c) for c in names]).join(spans, "span")
+    running = running.select("fold", *[(F.col(c) + F.col(f"b_{c}")).alias(c) for c in names])
+    k, cx, cy = len(features), np.array([center[f] for f in features]), center[target]
+
+    def solve(batches):
+        for pdf in batches:
+            solved = [solve_ridge(Moments.from_row(r, k), cx, cy, alpha) for r in pdf.to_dict("records")]
+            out = {"fold": pdf["fold"], "intercept": [b for _, b in solved]}
+            yield pd.DataFrame(out | {f"c{i}": [float(c[i]) for c, _ in solved] for i in range(k)})
+
+    return running.mapInPandas(solve, ", ".join(["fold BIGINT", "intercept DOUBLE", *[f"c{i} DOUBLE" for i in range(k)]]))
 
 
 def run_backtest(
     panel: DataFrame, cfg: BacktestConfig | None = None, metrics_dir: str | None = None
 ) -> tuple[dict[str, Any], DataFrame]:
-    """E2; returns the metrics document and the fold table (written to ``metrics_dir`` when given)."""
+    """E2; returns the metrics document and the fold table.
+
+    With ``metrics_dir`` both are written there, the folds as JSON records: their
+    number grows with the table, so they never are a list on the driver.
+    """
 
     cfg = cfg or BacktestConfig()
     if cfg.strict_single_zone:
@@ -116,27 +126,21 @@ def run_backtest(
     sup = prepare_supervised(panel, fc)
     numbered = cut_lineage(chronological_row_number(sup.frame))
     spec = FoldSpec(cfg.initial_train_size, cfg.fold_size, cfg.step_size)
-    cuts = spec.cuts(sup.rows)
+    count = spec.count(sup.rows)
     spark = panel.sparkSession
     target = fc.target_column
-    tested = assign_test_folds(numbered, spec, len(cuts))
+    tested = assign_test_folds(numbered, spec, count)
     if cfg.model == "ridge":
-        coefs = ridge_fold_coefficients(numbered, sup.features, target, spec, cuts, cfg.alpha, sup.means, cfg.purge)
-        k = len(sup.features)
-        table = spark.createDataFrame(
-            [(f, b, *c) for f, b, c in coefs],
-            ", ".join(["fold BIGINT", "intercept DOUBLE", *[f"c{i} DOUBLE" for i in range(k)]]),
-        )
-        if len(cuts) <= cfg.broadcast_folds:
-            table = F.broadcast(table)
+        table = cut_lineage(
+            ridge_fold_coefficients(numbered, sup.features, target, spec, count, cfg.alpha, sup.means, cfg.purge))
         pred = F.col("intercept")
         for i, f in enumerate(sup.features):
             pred = pred + F.col(f"c{i}") * F.col(f).cast("double")
         predicted = tested.join(table, "fold").withColumn("prediction", pred)
     else:
         parts = []
-        for fold, cut in enumerate(cuts):
-            model = fit_forecaster(numbered.where(F.col("rn") < cut - cfg.purge), sup.features, target, cfg.model,
+        for fold in range(count):  # one forest each: the number of folds is what a user can afford to fit
+            model = fit_forecaster(numbered.where(F.col("rn") < spec.cut(fold) - cfg.purge), sup.features, target, cfg.model,
                                    random_state=cfg.random_state, forecast_horizon=cfg.forecast_horizon)
             parts.append(model.predict(tested.where(F.col("fold") == fold)))
         predicted = parts[0]
@@ -146,11 +150,7 @@ def run_backtest(
         *forecast_metric_columns(target, "prediction"),
         F.min(TIMESTAMP).alias("test_start_ts"), F.max(TIMESTAMP).alias("test_end_ts"),
     )
-    # train bounds: timestamps at positions 0 and cut-1 (one row per fold)
-    positions = spark.createDataFrame([(c - cfg.purge - 1, k) for k, c in enumerate(cuts)], "rn BIGINT, fold BIGINT")
-    ends = numbered.join(F.broadcast(positions) if len(cuts) <= cfg.broadcast_folds else positions, "rn").select(
-        "fold", F.col(TIMESTAMP).alias("train_end_ts")
-    )
+    ends = train_ends(numbered, spec, count, purge=cfg.purge)
     first_ts = numbered.where(F.col("rn") == 0).select(F.col(TIMESTAMP).alias("train_start_ts"))
     folds = (
         per_fold.join(ends, "fold")
@@ -166,27 +166,27 @@ def run_backtest(
             "mae", "rmse", "mape", "r2",
         )
     )
-    rows = sorted(folds.collect(), key=lambda r: r["fold"])
-    fold_metrics = [
-        {
-            "fold": r["fold"], "train_rows": r["train_rows"], "test_rows": r["test_rows"],
-            "train_start": r["train_start"], "train_end": r["train_end"],
-            "test_start": r["test_start"], "test_end": r["test_end"],
-            "metrics": {m: r[m] for m in ("mae", "rmse", "mape", "r2")},
-        }
-        for r in rows
-    ]
-    aggregate: dict[str, Any] = {"fold_count": len(rows)}
-    for m in ("mae", "rmse", "mape", "r2"):
-        vals = [r[m] for r in rows if r[m] is not None and not np.isnan(r[m])]
-        aggregate[f"mean_{m}"] = float(np.mean(vals)) if vals else None
+    folds = cut_lineage(folds)
+    metrics = ("mae", "rmse", "mape", "r2")
+    aggregate: dict[str, Any] = folds.agg(
+        F.count(F.lit(1)).alias("fold_count"), *[mean_ignoring_nan(m).alias(f"mean_{m}") for m in metrics]
+    ).first().asDict()
     output = {
         "model": cfg.model, "forecast_horizon": cfg.forecast_horizon,
         "initial_train_size": cfg.initial_train_size, "fold_size": cfg.fold_size, "step_size": cfg.step_size,
-        "random_state": cfg.random_state, "fold_metrics": fold_metrics, "aggregate_metrics": aggregate,
+        "random_state": cfg.random_state, "aggregate_metrics": aggregate,
     }
     if metrics_dir:
         from wattlane.sources.sinks import write_json_metrics
 
-        write_json_metrics(spark, output, f"{metrics_dir}/backtest_{cfg.model}_h{cfg.forecast_horizon}")
+        key = f"backtest_{cfg.model}_h{cfg.forecast_horizon}"
+        write_json_metrics(spark, output, f"{metrics_dir}/{key}")
+        fold_records(folds).write.mode("overwrite").json(f"{metrics_dir}/{key}_folds")
     return output, folds
+
+
+def fold_records(folds: DataFrame) -> DataFrame:
+    """The fold table as records with nested ``metrics``."""
+
+    return folds.select(*[c for c in folds.columns if c not in ("mae", "rmse", "mape", "r2")],
+                        F.struct("mae", "rmse", "mape", "r2").alias("metrics")).orderBy("fold")

@@ -55,27 +55,37 @@ def validate_requests(req: DataFrame, max_records: int = MAX_RECORDS) -> DataFra
 
 
 def forecast_requests(req: DataFrame, model: RidgeModel) -> DataFrame:
-    """Q1: predictions per record; a feature absent from every record of a request is an error.
+    """Q1: predictions per record; a feature absent from every record of a request is an error."""
 
-    Features absent from only some records are imputed with the model's
+    return _predicted(req, model).select("request_id", "record_idx", "prediction", "error")
+
+
+def _predicted(req: DataFrame, model: RidgeModel) -> DataFrame:
+    """Predictions and errors, with the request's numbers of records and actuals (``_n``, ``_a``).
+
+    One aggregate by request and one join, which carries every record's own
+    columns, so repeated record numbers stay as many rows. Features absent from only some records are imputed with the model's
     training medians (inside the model's prediction expression).
     """
 
     names = list(model.feature_names)
     present = req.groupBy("request_id").agg(
-        *[F.count_if(F.map_contains_key("features", n)).alias(f"_p{i}") for i, n in enumerate(names)]
+        F.count(F.lit(1)).alias("_n"), F.count("actual_load_mw").alias("_a"),
+        *[F.count_if(F.map_contains_key("features", n)).alias(f"_p{i}") for i, n in enumerate(names)],
     )
     missing = F.concat_ws(
         ", ", *[F.when(F.col(f"_p{i}") == 0, F.lit(n)) for i, n in enumerate(names)]
     )
-    covered = present.select("request_id", missing.alias("_missing"))
-    expanded = req.join(covered, "request_id").select("*", *map_to_features("features", names))
+    covered = present.select("request_id", "_n", "_a", missing.alias("_missing"))
+    rows = req.join(covered, "request_id").select(F.struct("*").alias("_req"), *map_to_features("features", names))
+    expanded = rows.select("*", F.col("_req._missing").alias("_missing"))
     pred = model.prediction_column()
     return expanded.select(
-        "request_id", "record_idx",
+        "_req.request_id", "_req.record_idx", "_req.actual_load_mw",
         F.when(F.col("_missing") == "", pred).alias("prediction"),
         F.when(F.col("_missing") != "", F.concat(F.lit("Missing required features: "), F.col("_missing"), F.lit(".")))
         .alias("error"),
+        F.col("_req._n").alias("_n"), F.col("_req._a").alias("_a"),
     )
 
 
@@ -93,21 +103,12 @@ def score_pairs(
 def batch_predict(req: DataFrame, model: RidgeModel, detector: ResidualZScoreDetector | None = None) -> DataFrame:
     """Q3: predictions plus anomaly scores when every record of a request has an actual."""
 
-    preds = forecast_requests(req, model)
-    actuals = req.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.count("actual_load_mw").alias("_a")
-    )
-    j = preds.join(req.select("request_id", "record_idx", "actual_load_mw"), ["request_id", "record_idx"]).join(
-        actuals, "request_id"
-    )
+    j = _predicted(req, model)
     mixed = (F.col("_a") > 0) & (F.col("_a") < F.col("_n"))
-    j = j.withColumn(
-        "error",
-        F.coalesce(
-            F.col("error"),
-            F.when(mixed, F.lit("actual_load_mw must be provided for all records or no records.")),
-        ),
-    )
+    problems = [F.when(mixed, F.lit("actual_load_mw must be provided for all records or no records."))]
+    if detector is None:
+        problems.append(F.when(F.col("_a") > 0, F.lit("Anomaly detector is not available.")))
+    j = j.withColumn("error", F.coalesce("error", *problems))
     if detector is None:
         return j.drop("_n", "_a")
     scored = detector.score(j, "actual_load_mw", "prediction")
@@ -149,7 +150,11 @@ def payload_records(supervised: DataFrame, features: Sequence[str], n: int = 3)
 def payload_json(records: DataFrame) -> DataFrame:
     """One JSON line per record for each of the three request kinds."""
 
-    feats = F.transform_values("features", lambda _k, v: finite_or_null(v))
+    def checked(name: Column, v: Column) -> Column:
+        message = F.concat(F.lit("Feature value must be finite: "), name)
+        return F.when(_finite(v), v).otherwise(F.raise_error(message).cast("double"))
+
+    feats = F.transform_values("features", checked)
     return records.select(
         "zone", "timestamp",
         to_json_safe(feats.alias("features")).alias("forecast_record"),

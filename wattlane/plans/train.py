@@ -31,7 +31,7 @@ def fit_forecaster(df: DataFrame, features: list[str], target: str, model: str,
     if model == "ridge":
         return fit_ridge(df, features, target, **{k: v for k, v in kw.items() if k != "model"})
     if model == "random_forest":
-        return fit_forest(df, features, target, **{k: v for k, v in kw.items() if k in {"random_state", "forecast_horizon"}})
+        return fit_forest(df, features, target, **{k: v for k, v in kw.items() if k in {"random_state", "forecast_horizon", "max_depth", "num_trees"}})
     raise ValueError(f"Unsupported model type: {model}")
 
 
@@ -73,8 +73,10 @@ def prepare_supervised(panel: DataFrame, fc: FeatureConfig) -> Supervised:
     return build_supervised_frame(feat, fc.target_column, excluded_columns=shifted)
 
 
-def run_training(panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir: str | None = None) -> TrainResult:
-    """E1; with ``metrics_dir`` the two metric documents are written there."""
+def run_training(
+    panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir: str | None = None, model_dir: str | None = None
+) -> TrainResult:
+    """E1; writes the two metric documents to ``metrics_dir`` (S4), model and detector to ``model_dir``."""
 
     cfg = cfg or TrainConfig()
     fc = cfg.feature_config()
@@ -137,6 +139,12 @@ def run_training(panel: DataFrame, cfg: TrainConfig | None = None, metrics_dir:
         keys = result_keys(cfg)
         write_json_metrics(panel.sparkSession, forecast, f"{metrics_dir}/{keys['forecast_metrics']}")
         write_json_metrics(panel.sparkSession, anomaly, f"{metrics_dir}/{keys['anomaly_metrics']}")
+    if model_dir:
+        from wattlane.sources.artifacts import save_detector
+
+        path = f"{model_dir}/{result_keys(cfg)['forecast_metrics']}"
+        model.save(panel.sparkSession, path) if cfg.model == "ridge" else model.save(path)
+        save_detector(panel.sparkSession, detector, f"{model_dir}/{result_keys(cfg)['anomaly_metrics']}")
     return TrainResult(model, detector, forecast, anomaly, scored, sup)
 
 

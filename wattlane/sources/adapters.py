@@ -28,7 +28,7 @@ def events_panel(spark: SparkSession, sf_dir: str, *, single_zone: bool = False)
         F.col("ts").alias("timestamp"),
         zone.alias("zone"),
         F.col("value").cast("double").alias("load_mw"),
-        F.get_json_object("props", "$.k").cast("double").alias("temperature_c"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("temperature_c"),
         (F.col("user_id") % 20).cast("double").alias("wind_speed_mps"),
         (F.col("event_id") % 1000).cast("double").alias("solar_radiation_wm2"),
     )
@@ -41,7 +41,7 @@ def event_hours_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     return ev.groupBy(F.col("event_type").alias("zone"), hour.alias("timestamp")).agg(
         F.sum("value").alias("load_mw"),
-        F.avg(F.get_json_object("props", "$.k").cast("double")).alias("temperature_c"),
+        F.avg(F.get_json_object("props", "$.k").try_cast("double")).alias("temperature_c"),
         F.count(F.lit(1)).cast("double").alias("wind_speed_mps"),
         F.max("value").alias("solar_radiation_wm2"),
     ).select("timestamp", "zone", "load_mw", "temperature_c", "wind_speed_mps", "solar_radiation_wm2")
