@@ -423,6 +423,65 @@ def request_validation(spark: SparkSession, sf: str) -> DataFrame:
     return validate_requests(req).select("request_id", "record_idx", "valid", "reason")
 
 
+def _request_lines(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Panel rows as JSON requests of up to 100 records, with faults planted by integer rules."""
+
+    p = chronological_row_number(_panel(spark, sf))
+    solar, rn = F.col("solar_radiation_wm2").cast("long"), F.col("rn")
+    load = F.when(solar % 97 == 0, F.lit("many")).otherwise(F.col("load_mw").cast("string"))
+    fields = {
+        "batch": [F.create_map(F.when(solar % 89 == 0, F.lit(" \t")).otherwise(F.lit("load_mw")),
+                               F.when(solar % 97 != 0, F.col("load_mw")),
+                               F.lit("temperature_c"), F.col("temperature_c")).alias("features"),
+                  F.when(rn % 300 >= 100, F.col("load_mw")).alias("actual_load_mw")],
+        "anomaly": [load.alias("actual_load_mw"), F.col("temperature_c").alias("predicted_load_mw")],
+    }[kind]
+    record = F.struct(*fields, F.when(solar % 83 == 0, F.lit(1)).alias("extra"))
+    texts = F.sort_array(F.collect_list(F.struct("rn", F.to_json(record).alias("r"))))  # at most 100 of a request
+    requests = p.groupBy(F.floor(rn / 100).alias("request_id")).agg(texts.alias("rs"))
+    records = F.array_join(F.transform("rs", lambda x: x["r"]), ",")
+    note = F.when(F.col("request_id") % 11 == 10, F.lit(', "note": "x"')).otherwise("")
+    return requests.select(F.format_string('{"request_id": %d, "records": [%s]%s}', "request_id", records, note).alias("value"))
+
+
+def request_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    from wattlane.plans.requests import parse_requests, validate_requests
+
+    req = parse_requests(_request_lines(spark, sf, "batch"), "batch")
+    return validate_requests(req).select("request_id", "record_idx", "valid", "reason")
+
+
+def pair_validation(spark: SparkSession, sf: str) -> DataFrame:
+    from wattlane.plans.requests import parse_requests, validate_pairs
+
+    return validate_pairs(parse_requests(_request_lines(spark, sf, "anomaly"), "anomaly")).select(
+        "request_id", "record_idx", "valid", "reason")
+
+
+def _literal_model():
+    from wattlane.operators.ridge import RidgeModel
+
+    return RidgeModel(["load_mw", "temperature_c"], [0.5, 2.0], 1.0, {"load_mw": 10.0, "temperature_c": 4.0})
+
+
+def _literal_requests(spark: SparkSession, sf: str) -> DataFrame:
+    p = chronological_row_number(_panel(spark, sf))
+    feats = F.map_filter(
+        F.create_map(F.lit("load_mw"), F.col("load_mw"), F.lit("temperature_c"), F.col("temperature_c")),
+        lambda k, v: (k == "load_mw") | (F.col("rn") % 10 != 3) & (F.floor(F.col("rn") / 100) % 9 != 8))
+    return p.select(F.floor(F.col("rn") / 100).alias("request_id"), (F.col("rn") % 100).alias("record_idx"), feats.alias("features"),
+                    F.when(F.floor(F.col("rn") / 100) % 3 != 1, F.col("load_mw")).alias("actual_load_mw"))
+
+
+def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    from wattlane.plans.requests import batch_predict
+
+    detector = det.ResidualZScoreDetector(1.5, residual_mean_=1.0, residual_std_=20.0)
+    out = batch_predict(_literal_requests(spark, sf), _literal_model(), detector)
+    return out.select("request_id", "record_idx", _r("prediction").alias("prediction"), "error",
+                      _r("anomaly_score").alias("anomaly_score"), F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"))
+
+
 # ---------------------------------------------------------------- rows-only (no SQL oracle)
 
 
@@ -496,21 +555,17 @@ def payload_json_query(spark: SparkSession, sf: str) -> DataFrame:
 def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """Q6: request records written to the shared checkpoint folder, scored by a streaming query."""
 
-    from wattlane.operators.ridge import fit_ridge
-    from wattlane.plans.requests import request_table
     from wattlane.session import ensure_checkpoint_dir
     from wattlane.streaming.scoring import run_stream_scoring
 
-    sup = build_supervised_frame(build_feature_frame(_panel(spark, sf)))
-    s = train_test_split(sup.frame, 0.2, rows=sup.rows)
-    model = fit_ridge(s.part("train"), sup.features, TARGET, impute=False)
-    pred = model.predict(s.part("train"))
-    detector = det.ResidualZScoreDetector(3.0).fit(pred, TARGET, "prediction")
+    detector = det.ResidualZScoreDetector(1.5, residual_mean_=1.0, residual_std_=20.0)
     root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
-    request_table(s.part("test"), sup.features, actual=TARGET).write.mode("overwrite").parquet(f"{root}/source")
-    q = run_stream_scoring(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", model, detector)
+    _literal_requests(spark, sf).write.parquet(f"{root}/source")
+    q = run_stream_scoring(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", _literal_model(), detector)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink")
+    return spark.read.parquet(f"{root}/sink").select(
+        "request_id", "record_idx", _r("prediction").alias("prediction"), "error",
+        _r("anomaly_score").alias("anomaly_score"), F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"))
 
 
 # ---------------------------------------------------------------- registry
@@ -552,6 +607,10 @@ ORACLE_QUERIES: dict[str, Builder] = {
     "gram_moments": gram_moments,
     "ridge_univariate": ridge_univariate,
     "request_validation": request_validation,
+    "request_ingest": request_ingest,
+    "pair_validation": pair_validation,
+    "batch_scoring": batch_scoring,
+    "stream_scoring": stream_scoring,
 }
 
 ROWS_ONLY: dict[str, Builder] = {
@@ -562,7 +621,6 @@ ROWS_ONLY: dict[str, Builder] = {
     "isolation_tuning": isolation_tuning,
     "anomaly_evaluation": anomaly_evaluation,
     "payload_json": payload_json_query,
-    "stream_scoring": stream_scoring,
 }
 
 QUERIES: dict[str, Builder] = {**ORACLE_QUERIES, **ROWS_ONLY}

@@ -287,7 +287,7 @@ SELECT zone, "timestamp", load_mw, target_load_mw FROM supervised ORDER BY zone
   c AS (SELECT CAST(count(*) = 0 AS BIGINT) AS empty_input,
     count(*) FILTER (WHERE {_ts_parse('ts_text')} IS NULL) AS timestamp_unparsable,
     count(*) FILTER (WHERE zone_text IS NULL OR zone_text IN ({_nulltokens()}) OR {numeric_bad}) AS missing_or_non_numeric,
-    count(*) FILTER (WHERE NOT regexp_matches(zone_text, '[^\s]')) AS blank_zone FROM raw),
+    count(*) FILTER (WHERE NOT regexp_matches(zone_text, '[^\\s]')) AS blank_zone FROM raw),
   d AS (SELECT coalesce(sum(n - 1), 0) AS duplicate_keys FROM (
     SELECT count(*) AS n FROM raw GROUP BY zone_text, {_ts_parse('ts_text')}))
 SELECT rule, CAST(violations AS BIGINT) AS violations FROM (
@@ -426,6 +426,43 @@ SELECT zone, rows, round(coef, 6) AS coefficient, round(my - coef * mx, 6) AS in
            WHEN acts > 0 AND acts < recs THEN 'partial_actuals' END AS reason
     FROM req JOIN sizes USING (request_id))
 SELECT request_id, record_idx, reason IS NULL AS valid, reason FROM r"""
+    lines = f"""{PANEL},
+  numbered AS (SELECT *, row_number() OVER (ORDER BY "timestamp", zone) - 1 AS rn,
+      CAST(solar_radiation_wm2 AS BIGINT) AS solar FROM panel),
+  req AS (SELECT *, CAST(rn // 100 AS BIGINT) AS request_id, CAST(rn % 100 AS BIGINT) AS record_idx FROM numbered)"""
+    q["request_ingest"] = f"""WITH {lines},
+  marked AS (SELECT *, CASE WHEN rn % 300 >= 100 THEN 1 END AS act FROM req),
+  sizes AS (SELECT request_id, count(*) AS recs, count(act) AS acts FROM marked GROUP BY request_id),
+  r AS (SELECT request_id, record_idx,
+      CASE WHEN request_id % 11 = 10 THEN 'unknown_field'
+           WHEN solar % 83 = 0 THEN 'unknown_field'
+           WHEN solar % 89 = 0 THEN 'blank_feature_name'
+           WHEN solar % 97 = 0 THEN 'non_finite_feature'
+           WHEN acts > 0 AND acts < recs THEN 'partial_actuals' END AS reason
+    FROM marked JOIN sizes USING (request_id))
+SELECT request_id, record_idx, reason IS NULL AS valid, reason FROM r"""
+    q["pair_validation"] = f"""WITH {lines},
+  r AS (SELECT request_id, record_idx,
+      CASE WHEN request_id % 11 = 10 THEN 'unknown_field'
+           WHEN solar % 83 = 0 THEN 'unknown_field'
+           WHEN solar % 97 = 0 THEN 'malformed' END AS reason FROM req)
+SELECT request_id, record_idx, reason IS NULL AS valid, reason FROM r"""
+    literal = f"""{lines},
+  rec AS (SELECT request_id, record_idx, load_mw, request_id % 9 <> 8 AS covered, rn % 10 <> 3 AS own,
+      temperature_c, CASE WHEN request_id % 3 <> 1 THEN load_mw END AS actual FROM req)"""
+    scored = """SELECT request_id, record_idx, round(prediction + abs(prediction) * 1e-12 + 1e-9, 6) AS prediction, error,
+  round(score + abs(score) * 1e-12 + 1e-9, 6) AS anomaly_score, coalesce(score >= 1.5, false) AS is_anomaly
+FROM (SELECT *, abs((actual - prediction - 1.0) / 20.0) AS score FROM p)"""
+    message = "'Missing required features: temperature_c.'"
+    q["batch_scoring"] = f"""WITH {literal},
+  p AS (SELECT *, CASE WHEN covered THEN 1.0::DOUBLE + 0.5::DOUBLE * load_mw
+      + 2.0::DOUBLE * CASE WHEN own THEN temperature_c ELSE 4.0::DOUBLE END END AS prediction,
+      CASE WHEN NOT covered THEN {message} END AS error FROM rec)
+{scored}"""
+    q["stream_scoring"] = f"""WITH {literal},
+  p AS (SELECT *, CASE WHEN covered AND own THEN 1.0::DOUBLE + 0.5::DOUBLE * load_mw + 2.0::DOUBLE * temperature_c END AS prediction,
+      CASE WHEN NOT (covered AND own) THEN {message} END AS error FROM rec)
+{scored}"""
     q["event_hours_dense"] = """WITH hourly AS (
     SELECT event_type AS zone, date_trunc('hour', ts) AS "timestamp", sum(value) AS load_mw,
            avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS temperature_c, CAST(count(*) AS DOUBLE) AS events

@@ -27,21 +27,90 @@ REQUEST_SCHEMA = "request_id BIGINT, record_idx BIGINT, features MAP<STRING,DOUB
 MAX_RECORDS = 1000
 
 
+#: fields that a record of each kind of request may have; a request itself has these two
+RECORD_FIELDS = {
+    "forecast": ("features",),
+    "anomaly": ("actual_load_mw", "predicted_load_mw"),
+    "batch": ("features", "actual_load_mw"),
+}
+REQUEST_FIELDS = ("request_id", "records")
+
+
+def parse_requests(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
+    """Q1, Q4: JSON documents ``{"request_id", "records": [...]}``, one a row, to one row per record.
+
+    Returns request_id, record_idx, the fields of the kind's records and
+    ``problem``: ``malformed`` (no JSON object, a record that is no object, or a
+    field of another type), ``unknown_field`` (of the document or a record), or
+    ``no_records``; NULL for the others. A document without records gives one row.
+    """
+
+    allowed = RECORD_FIELDS[kind]
+    texts = "map<string,string>"
+    doc = lines.select(F.from_json(F.col(column), texts, {"mode": "PERMISSIVE"}).alias("doc"))
+    doc = doc.select("doc", F.from_json(F.try_element_at("doc", F.lit("records")), f"array<{texts}>").alias("records"))
+    rows = doc.select("doc", "records", F.posexplode_outer("records").alias("record_idx", "record"))
+
+    def unknown(m: str, names: Sequence[str]) -> Column:
+        return F.exists(F.map_keys(m), lambda k: ~k.isin(*names))
+
+    def number(name: str) -> Column:
+        return F.try_element_at("record", F.lit(name)).try_cast("double")
+
+    def unread(name: str) -> Column:
+        return F.try_element_at("record", F.lit(name)).isNotNull() & number(name).isNull()
+
+    values = {"features": F.from_json(F.try_element_at("record", F.lit("features")), "map<string,double>")}
+    values |= {n: number(n) for n in allowed if n != "features"}
+    bad = F.lit(False)
+    for n in allowed:
+        bad = bad | (unread(n) if n != "features" else F.try_element_at("record", F.lit(n)).isNull() | values[n].isNull())
+    problem = (
+        F.when(F.col("doc").isNull() | (F.size("doc") == 0), F.lit("malformed"))
+        .when(unknown("doc", REQUEST_FIELDS), F.lit("unknown_field"))
+        .when(F.col("records").isNull() | (F.size("records") == 0), F.lit("no_records"))
+        .when(F.col("record").isNull(), F.lit("malformed"))
+        .when(unknown("record", allowed), F.lit("unknown_field"))
+        .when(bad, F.lit("malformed"))
+    )
+    return rows.select(
+        F.try_element_at("doc", F.lit("request_id")).try_cast("long").alias("request_id"),
+        F.coalesce(F.col("record_idx"), F.lit(0)).cast("long").alias("record_idx"),
+        *[values[n].alias(n) for n in allowed], problem.alias("problem"),
+    )
+
+
+def validate_pairs(pairs: DataFrame, max_records: int = MAX_RECORDS) -> DataFrame:
+    """Q2, Q4: per (actual, predicted) record ``valid`` and the first failing ``reason``."""
+
+    sizes = pairs.groupBy("request_id").agg(F.count(F.lit(1)).alias("_records"))
+    reason = F.when(F.col("_records") > max_records, F.lit("too_many_records"))
+    if "problem" in pairs.columns:
+        reason = reason.when(F.col("problem").isNotNull(), F.col("problem"))
+    for c in ("actual_load_mw", "predicted_load_mw"):
+        reason = reason.when(~_finite(F.col(c)), F.lit("non_finite_load"))
+    joined = pairs.join(sizes.withColumnRenamed("request_id", "_id"), F.col("request_id").eqNullSafe(F.col("_id")))
+    return joined.select("request_id", "record_idx", "actual_load_mw", "predicted_load_mw",
+                         reason.isNull().alias("valid"), reason.alias("reason"))
+
+
 def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
 
 
 def validate_requests(req: DataFrame, max_records: int = MAX_RECORDS) -> DataFrame:
-    """Q4: per record ``valid`` and the first failing ``reason``."""
+    """Q4: per record ``valid`` and the first failing ``reason``; a ``problem`` of the parse comes first."""
 
     sizes = req.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("_records"),
         F.count(F.col("actual_load_mw")).alias("_actuals"),
     )
-    j = req.join(sizes, "request_id")
+    j = req.join(sizes.withColumnRenamed("request_id", "_id"), F.col("request_id").eqNullSafe(F.col("_id")))
     feats = F.col("features")
+    problem = F.col("problem") if "problem" in req.columns else F.lit(None).cast("string")
     reason = (
         F.when(F.col("_records") > max_records, F.lit("too_many_records"))
+        .when(problem.isNotNull(), problem)
         .when(feats.isNull() | (F.size(feats) == 0), F.lit("empty_features"))
         .when(~all_names_nonblank(feats), F.lit("blank_feature_name"))
         .when(~all_values_finite(feats), F.lit("non_finite_feature"))

@@ -27,14 +27,26 @@ STREAM_SCHEMA = StructType([
 
 
 def score_stream(stream: DataFrame, model: RidgeModel, detector: ResidualZScoreDetector | None) -> DataFrame:
-    """Per-record prediction and optional anomaly score; no cross-record state."""
+    """Per-record prediction, ``error`` and optional anomaly score; no cross-record state.
 
-    expanded = stream.select("*", *map_to_features("features", model.feature_names))
-    out = expanded.select("request_id", "record_idx", "actual_load_mw",
-                          model.prediction_column().alias("prediction"))
+    A record is an answer of its own here, so a model feature that it lacks, or
+    that isn't finite, makes it an error instead of a prediction.
+    """
+
+    unusable = [
+        F.when(F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True)), F.lit(name))
+        for name, v in ((n, F.try_element_at("features", F.lit(n))) for n in model.feature_names)
+    ]
+    missing = F.concat_ws(", ", *unusable)
+    error = F.when(missing != "", F.concat(F.lit("Missing required features: "), missing, F.lit(".")))
+    expanded = stream.select(
+        F.struct("request_id", "record_idx", "actual_load_mw").alias("_req"), error.alias("_error"),
+        *map_to_features("features", model.feature_names))
+    out = expanded.select("_req.*", F.when(F.col("_error").isNull(), model.prediction_column()).alias("prediction"),
+                          F.col("_error").alias("error"))
     if detector is not None:
         scored = detector.score(out, "actual_load_mw", "prediction")
-        has = F.col("actual_load_mw").isNotNull()
+        has = F.col("actual_load_mw").isNotNull() & F.col("error").isNull()
         out = scored.withColumn("anomaly_score", F.when(has, F.col("anomaly_score"))).withColumn(
             "is_anomaly", F.when(has, F.col("is_anomaly"))
         )
