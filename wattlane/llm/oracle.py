@@ -3,6 +3,26 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    "op2_minhash_dedup": r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS shingle FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+""",
     "op3_line_dedup": r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 seen AS (
