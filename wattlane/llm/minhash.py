@@ -6,12 +6,17 @@ the minimum, over the document's places, of a second permutation shifted
 circularly by ``k``. So two stored permutations give any number of coordinates.
 
 Candidates. Documents with equal shingle sets are one class. Classes that
-share a band of the signature share a bucket. First, every member of a bucket
-is checked against the bucket's smallest member; then only the members of
-buckets that still hold several components are compared with each other,
-block against block on their signatures, and the pairs that could reach the
-threshold are checked as well. All checks are on full shingle sets. A link is
-missed only if all bands miss it (2e-6 at the threshold itself, less above).
+share a band of the signature share a bucket.
+
+1. Every member of a bucket is checked against the bucket's smallest member.
+2. In buckets that still hold several components, signatures are compared,
+   and the likeliest links between components, a forest, are checked.
+3. Where such a link failed, the cluster of documents that possible links join
+   is compared block by block, on signatures, then on full sets.
+
+All checks are on full shingle sets, and no step returns more pairs than it
+has rows. A link is missed only if all bands miss it (5e-6 at the threshold
+itself, less above) or the estimate falls below the floor (1e-5 there).
 """
 
 from __future__ import annotations
@@ -34,16 +39,17 @@ from wattlane.llm.graph import connected_components
 
 @dataclass(frozen=True)
 class MinHashConfig:
-    """``estimate_floor`` lies over six standard deviations of the estimate below the threshold."""
+    """``estimate_floor`` lies over four standard deviations of the estimate below the threshold."""
 
     shingle_words: int = 5
     threshold_pct: int = 75
-    bands: int = 48
-    rows: int = 5
+    bands: int = 32
+    rows: int = 4
     universe_bits: int = 20
     seed: int = 20240117
-    estimate_floor: float = 0.55
+    estimate_floor: float = 0.58
     block: int = 256
+    bundle_rows: int = 20_000
 
     @property
     def coordinates(self) -> int:
@@ -146,18 +152,21 @@ def _sign(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n long, digest binary, bands array<long>, sig binary")
 
 
+def _linked(a: np.ndarray, b: np.ndarray, cfg: MinHashConfig) -> bool:
+    """Whether two full shingle sets reach the threshold."""
+
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return len(a) > 0 and 100 * common >= cfg.threshold_pct * (len(a) + len(b) - common)
+
+
 def _similar(cfg: MinHashConfig):
     """Column function: whether two texts' full shingle sets reach the threshold."""
 
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
         sets = functools.lru_cache(maxsize=32)(lambda t: shingle_set(t, cfg.shingle_words))
-        out = []
-        for x, y in zip(left, right, strict=True):
-            a, b = sets(x.as_py()), sets(y.as_py())
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(len(a) > 0 and 100 * common >= cfg.threshold_pct * (len(a) + len(b) - common))
-        return pa.array(out, pa.bool_())
+        found = [_linked(sets(x.as_py()), sets(y.as_py()), cfg) for x, y in zip(left, right, strict=True)]
+        return pa.array(found, pa.bool_())
 
     return similar
 
@@ -165,47 +174,149 @@ def _similar(cfg: MinHashConfig):
 def _verified(pairs: DataFrame, texts: DataFrame, cfg: MinHashConfig) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose documents are linked."""
 
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(texts.join(named, "doc_id", "left_semi"), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a")
     return both.where(_similar(cfg)("text_a", "text_b")).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """Pairs of different components in a bucket whose signatures agree in at least ``estimate_floor``.
+def _alike(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, x: np.ndarray, y: np.ndarray,
+           cfg: MinHashConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the row pairs (x, y), those of different components that could be linked, and their estimates."""
+
+    fits = (100 * np.minimum(n[x], n[y]) >= cfg.threshold_pct * np.maximum(n[x], n[y])) & (comp[x] != comp[y])
+    x, y = x[fits], y[fits]
+    estimates = [np.empty(0)]
+    for at in range(0, len(x), 4096):
+        estimates.append((sig[x[at : at + 4096]] == sig[y[at : at + 4096]]).mean(axis=1))
+    est = np.concatenate(estimates)
+    near = est >= cfg.estimate_floor
+    return x[near], y[near], est[near]
+
+
+class _Forest:
+    """Union-find over labels."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _columns(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(len(group), -1)
+    return group["rep"].to_numpy(), group["n"].to_numpy(), group["comp"].to_numpy(), sig
+
+
+def _block_pairs(own: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """All row pairs of blocks i and j, each once."""
+
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    x, y = np.repeat(left, len(right)), np.tile(right, len(left))
+    return (x[x < y], y[x < y]) if i == j else (x, y)
 
-    ``members``: key, rep, n, sig, comp, blocks. A bucket of many members is cut into
-    blocks, and each pair of blocks is one group, so a group is bounded.
+
+def _possible_links(members: DataFrame, bundles: int, cfg: MinHashConfig) -> DataFrame:
+    """(a, b): a forest of likeliest links that joins all components with possible links in a bucket.
+
+    ``members``: key, rep, n, sig, comp, blocks. Small buckets are dealt into
+    ``bundles`` groups; a bucket of several blocks is cut into them, and each
+    pair of its blocks is a group. So a group is bounded either way, and
+    returns fewer pairs than it has rows.
+    """
+
+    several = F.col("blocks") > 1
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "key", "rep", "n", "sig", "comp", "own",
+        F.when(several, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(bundles))).alias("bundle"),
+        F.when(several, F.least("own", "other")).otherwise(-1).alias("i"),
+        F.when(several, F.greatest("own", "other")).otherwise(-1).alias("j"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        i, j = group["i"].iat[0], group["j"].iat[0]
+        if i < 0:
+            group = group.sort_values("key", ignore_index=True)
+        ids, n, comp, sig = _columns(group)
+        if i < 0:
+            key, found, apart = group["key"].to_numpy(), [], 1
+            while len(at := np.flatnonzero(key[:-apart] == key[apart:])):
+                found.append(_alike(sig, n, comp, at, at + apart, cfg))
+                apart += 1
+            x, y, est = map(np.concatenate, zip(*found, strict=True)) if found else (np.empty(0, int),) * 3
+        else:
+            x, y, est = _alike(sig, n, comp, *_block_pairs(group["own"].to_numpy(), i, j), cfg)
+        forest, pairs = _Forest(), []
+        for k in np.argsort(-est, kind="stable"):
+            if forest.join(int(comp[x[k]]), int(comp[y[k]])):
+                pairs.append(sorted((int(ids[x[k]]), int(ids[y[k]]))))
+        return pd.DataFrame(np.array(pairs, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return dealt.groupBy("bundle", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _settled(open_docs: DataFrame, bundles: int, cfg: MinHashConfig) -> DataFrame:
+    """(a, b): links that join all components of a cluster between which there is a link, checked on full sets.
+
+    ``open_docs``: cluster, size, rep, n, sig, comp, comp_size, text; one row a
+    document. A cluster of up to a block is compared in one of ``bundles`` groups.
+    A larger one is cut into blocks, a component of a block's size into its
+    own ones, and each pair of blocks that isn't of one component alone is a group.
     """
 
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = members.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    single = F.col("size") <= cfg.block
+    small = open_docs.where(single).select(
+        "*", F.pmod(F.xxhash64("cluster"), F.lit(bundles)).alias("g"), F.lit(-1).cast("long").alias("i"),
+        F.lit(-1).cast("long").alias("j"), F.lit(-1).cast("long").alias("block"))
+    big = open_docs.where(~single)
+    pure = F.col("comp_size") >= cfg.block
+    parts = F.ceil(F.when(pure, F.col("comp_size")).otherwise(F.col("size")) / cfg.block)
+    deal = F.when(pure, F.pmod(F.xxhash64("rep"), parts)).otherwise(F.pmod(F.xxhash64("comp"), parts))
+    big = big.withColumn("block", F.xxhash64(F.when(pure, F.col("comp")), deal))
+    blocks = big.select("cluster", "block", F.when(pure, F.col("comp")).alias("only")).distinct()
+    one = blocks.select("cluster", F.col("block").alias("i"), F.col("only").alias("only_i"))
+    two = blocks.select("cluster", F.col("block").alias("j"), F.col("only").alias("only_j"))
+    pairs = one.join(two, "cluster").where((F.col("i") <= F.col("j")) & F.coalesce(F.col("only_i") != F.col("only_j"), F.lit(True)))
+    pairs = pairs.select("cluster", "i", "j").select(
+        "cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    spread = big.join(pairs, ["cluster", "block"]).withColumn("g", F.col("cluster"))
+    columns = ["cluster", "rep", "n", "sig", "comp", "text", "g", "i", "j", "block"]
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("cluster", ignore_index=True)
         i, j = group["i"].iat[0], group["j"].iat[0]
-        left, right = group[group["own"] == i], group[group["own"] == j]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        a, b = left["rep"].to_numpy(), right["rep"].to_numpy()
-        na, nb = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None]
-        ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
-        sa = np.frombuffer(b"".join(left["sig"]), np.uint16).reshape(len(a), -1)
-        sb = np.frombuffer(b"".join(right["sig"]), np.uint16).reshape(len(b), -1)
-        fits = (100 * np.minimum(na, nb) >= cfg.threshold_pct * np.maximum(na, nb)) & (ca[:, None] != cb[None])
-        fits &= a[:, None] < b[None] if i == j else True
-        x, y = np.nonzero(fits)
-        found = []
-        for at in range(0, len(x), 4096):
-            p, q = x[at : at + 4096], y[at : at + 4096]
-            near = (sa[p] == sb[q]).mean(axis=1) >= cfg.estimate_floor
-            found.append(np.stack([a[p[near]], b[q[near]]], axis=1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        ids, n, comp, sig = _columns(group)
+        if i == j == -1:
+            at = group["cluster"].to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]]))
+            found = []
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                x, y = np.triu_indices(hi - lo, 1)
+                found.append(_alike(sig, n, comp, x + lo, y + lo, cfg))
+            x, y, est = map(np.concatenate, zip(*found, strict=True))
+        else:
+            x, y, est = _alike(sig, n, comp, *_block_pairs(group["block"].to_numpy(), i, j), cfg)
+        texts = group["text"].to_numpy()
+        sets = functools.lru_cache(maxsize=2 * cfg.block)(lambda k: shingle_set(texts[k], cfg.shingle_words))
+        forest, links = _Forest(), []
+        for k in np.argsort(-est, kind="stable"):
+            p, q = int(x[k]), int(y[k])
+            if forest.find(int(comp[p])) != forest.find(int(comp[q])) and _linked(sets(p), sets(q), cfg):
+                forest.join(int(comp[p]), int(comp[q]))
+                links.append((int(ids[p]), int(ids[q])))
+        return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return small.select(columns).union(spread.select(columns)).groupBy("g", "i", "j").applyInPandas(
+        compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -222,42 +333,65 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = stage(_sign(docs, cfg), "signed")
     own = signed.where(F.col("n") > 0).where(F.col("doc_id").isNotNull())
-
     classes = own.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+
     keyed = own.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     keyed = keyed.select("rep", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stage(keyed.join(buckets, "key"), "shared")
+    named = shared.select(F.col("rep").alias("doc_id")).distinct()
+    texts = stage(docs.join(named, "doc_id", "left_semi"), "texts")
 
-    hub_pairs = stage(shared.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(),
-                      "hub_pairs")
-    links = stage(_verified(hub_pairs, docs, cfg), "links")
+    hub_pairs = shared.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    links = stage(_verified(hub_pairs, texts, cfg), "links")
     labels = connected_components(links)
 
-    labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "comp", F.coalesce("component", "rep"))
+    labelled = _labelled(shared, labels, "comp")
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     members = stage(labelled.join(mixed.select("key"), "key").select("key", "rep", "comp", "size"), "mixed")
-    if members.isEmpty():
-        final = labels
-    else:
+    n_members = members.count()
+    if n_members:
         sigs = own.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
         sigs = sigs.groupBy(F.col("doc_id").alias("rep")).agg(F.min(F.struct("n", "sig")).alias("s"))
-        members = members.join(sigs, "rep").select(
-            "key", "rep", "comp", F.col("s.n").alias("n"), F.col("s.sig").alias("sig"),
-            F.ceil(F.col("size") / cfg.block).cast("int").alias("blocks"))
-        further = _cross_pairs(members, cfg).join(hub_pairs, ["a", "b"], "left_anti")
-        more = stage(_verified(further, docs, cfg), "links")
-        final = connected_components(links.union(more))
-
-    ids = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id"))
+        sigs = stage(sigs.select("rep", "s.n", "s.sig"), "sigs")
+        blocks = F.ceil(F.col("size") / cfg.block).cast("int").alias("blocks")
+        possible = stage(_possible_links(members.join(sigs, "rep").select("key", "rep", "comp", "n", "sig", blocks),
+                                         1 + n_members // cfg.bundle_rows, cfg), "possible")
+        links = stage(links.union(_verified(possible, texts, cfg)), "links")
+        labels = connected_components(links)
+        links = links.union(_unsettled_links(links, possible, labels, sigs, texts, cfg))
+        labels = connected_components(links)
+
+    ids = _labelled(classes, labels, "component_id").select("digest", "component_id")
     out = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(ids, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _labelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the label of their ``rep``, itself where it has none."""
+
+    found = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    return found.withColumn(name, F.coalesce("component", "rep")).drop("component")
+
+
+def _unsettled_links(links: DataFrame, possible: DataFrame, labels: DataFrame, sigs: DataFrame, texts: DataFrame,
+                     cfg: MinHashConfig) -> DataFrame:
+    """Further links inside the clusters that possible links join but checked ones so far don't."""
+
+    clusters = connected_components(links.union(possible)).withColumnsRenamed({"node": "rep", "component": "cluster"})
+    both = stage(_labelled(clusters, labels, "comp"), "clusters")
+    open_ones = both.groupBy("cluster").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    parts = both.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("comp_size"))
+    open_docs = both.join(open_ones.select("cluster", "size"), "cluster").join(parts, ["cluster", "comp"])
+    whole = texts.groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
+    open_docs = stage(open_docs.join(sigs, "rep").join(whole, "rep"), "open")
+    n_open = open_ones.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return stage(_settled(open_docs, 1 + n_open // cfg.block, cfg), "links")
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          cfg: MinHashConfig | None = None) -> DataFrame:
     """The documents, with all their columns, that are the smallest doc_id of their group.
