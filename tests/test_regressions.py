@@ -165,3 +165,44 @@ def test_forest_and_training_artefacts_load_again(spark, tmp_path):
     ridge = RidgeModel.load(spark, str(tmp_path / "forecast_ridge_h24"))
     assert ridge.coefficients == run.model.coefficients
     assert load_detector(spark, str(tmp_path / "anomaly_residual_zscore")).residual_mean_ == run.detector.residual_mean_
+
+
+def test_numbering_survives_a_cleared_cache(spark):
+    from wattlane.operators.ordering import row_number
+
+    df = spark.range(0, 20_000, 1, 7).select(F.xxhash64("id").alias("k"))
+    numbered = row_number(df, ["k"])
+    spark.catalog.clearCache()
+    rows = numbered.orderBy("k").collect()
+    assert [r.rn for r in rows] == list(range(20_000))
+
+
+def test_json_requests_are_parsed_and_refused_with_a_reason(spark):
+    from wattlane.plans.requests import parse_requests, validate_pairs, validate_requests
+
+    docs = [
+        '{"request_id": 1, "records": [{"features": {"a": 1.5}}, {"features": {"a": 2}, "actual_load_mw": 3}]}',
+        '{"request_id": 2, "records": [{"features": {"a": 1}, "surplus": 1}]}',
+        '{"request_id": 3, "records": [], "note": "x"}', '{"request_id": 4, "records": []}', "no json",
+        '{"request_id": 5, "records": [{"features": {"a": "x"}}]}', '{"request_id": 6, "records": [{}]}',
+    ]
+    lines = spark.createDataFrame([(d,) for d in docs], "value STRING")
+    got = {(r.request_id, r.record_idx): r.reason for r in validate_requests(parse_requests(lines, "batch")).collect()}
+    assert got[1, 0] == got[1, 1] == "partial_actuals"
+    assert (got[2, 0], got[3, 0], got[4, 0]) == ("unknown_field", "unknown_field", "no_records")
+    assert got[None, 0] == "malformed" and got[6, 0] == "malformed"
+    assert got[5, 0] in ("malformed", "non_finite_feature")
+    pairs = ['{"request_id": 1, "records": [{"actual_load_mw": 1, "predicted_load_mw": 2}, {"actual_load_mw": 1}]}']
+    parsed = parse_requests(spark.createDataFrame([(d,) for d in pairs], "value STRING"), "anomaly")
+    assert [r.reason for r in validate_pairs(parsed).orderBy("record_idx").collect()] == [None, "non_finite_load"]
+
+
+def test_checkpoint_folder_is_needed_off_local_mode(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from wattlane.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))

@@ -46,7 +46,7 @@ def row_number(
     name: str = "rn",
     partition_by: Sequence[str] = (),
     num_partitions: int | None = None,
-    materialize: str = "persist",
+    materialize: str = "checkpoint",
 ) -> DataFrame:
     """Append a 0-based row number ordered by ``order_by`` (optionally per group).
 
@@ -55,13 +55,12 @@ def row_number(
     Work is spread over ``num_partitions`` range partitions, so one hot group
     is split across many tasks instead of landing in one.
 
-    The range-partitioned, sorted rows are persisted: the partition sizes and
-    the rows must come from the *same* range exchange (its bounds are sampled
-    per execution), and both branches then read one cached RDD whose shuffle
-    dependency, and hence its bounds, is fixed even if partitions are
-    recomputed after an executor loss.  ``release_all()`` frees them.
-    ``materialize="checkpoint"`` writes them to the shared checkpoint folder
-    instead, so the numbering stays consistent even if caches are dropped.
+    The partition sizes and the rows must come from the *same* range exchange,
+    whose bounds are sampled per execution. So the range-partitioned, sorted
+    rows are written to the shared checkpoint folder, where neither lost
+    executors nor dropped caches change them. ``materialize="persist"`` keeps
+    them in executor memory and disks instead: quicker, but the numbering then
+    holds only as long as nobody clears the cache; ``release_all()`` frees them.
     """
 
     keys = [_as_col(c) for c in (*partition_by, *order_by)]

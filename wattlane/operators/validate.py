@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from wattlane.errors import DataValidationError
+from wattlane.operators.ordering import sort_panel
 from wattlane.schema import CANONICAL_COLUMNS, DUPLICATE_KEY, NULL_TOKENS, NUMERIC_COLUMNS
 
 # fixed value: numbers accepted by the coercion (decimal, exponent, inf/infinity, surrounding spaces)
@@ -199,7 +200,7 @@ def quarantine(df: DataFrame, options: ReadOptions | None = None) -> tuple[DataF
 
 
 def read_panel_csv(spark: SparkSession, path: str, options: ReadOptions | None = None) -> DataFrame:
-    """CSV scan with every column as text, then validation and coercion."""
+    """CSV scan with every column as text, then validation and coercion; sorted by (zone, timestamp)."""
 
     try:
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -207,7 +208,7 @@ def read_panel_csv(spark: SparkSession, path: str, options: ReadOptions | None =
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise FileNotFoundError(f"CSV file does not exist: {path}") from exc
         raise
-    return validate_panel(raw, options)
+    return sort_panel(validate_panel(raw, options))
 
 
 def read_export_csv(spark: SparkSession, path: str) -> DataFrame:

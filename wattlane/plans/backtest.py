@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlane.checks import check_choice, check_limits
 from wattlane.functions.jsonsafe import iso_timestamp
 from wattlane.operators.features import FeatureConfig
 from wattlane.operators.metrics import forecast_metric_columns, mean_ignoring_nan
@@ -62,10 +63,8 @@ class BacktestConfig:
     purge: int = 0  # training rows end this many rows before each cut (use the horizon to avoid leakage)
 
     def __post_init__(self) -> None:
-        if self.forecast_horizon <= 0:
-            raise ValueError("forecast_horizon must be positive.")
-        if self.model not in {"ridge", "random_forest"}:
-            raise ValueError("model must be 'ridge' or 'random_forest'.")
+        check_limits(self, {"forecast_horizon": 1})
+        check_choice("model", self.model, ("ridge", "random_forest"))
         FoldSpec(self.initial_train_size, self.fold_size, self.step_size)
         if not 0 <= self.purge <= self.initial_train_size - 2:
             raise ValueError("purge must leave at least two training rows.")
