@@ -83,7 +83,7 @@ def fit_forest(
     rf = RandomForestRegressor(
         featuresCol="_wl_vec", labelCol=target, predictionCol="_wl_pred", numTrees=num_trees,
         featureSubsetStrategy="all", maxDepth=min(max_depth, 30), seed=random_state, subsamplingRate=1.0,
-        bootstrap=True, maxMemoryInMB=1024,
+        bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True,
     )
     shell.pipeline = Pipeline(stages=[assembler, rf]).fit(shell._imputed(df.where(F.col(target).isNotNull())))
     return shell
