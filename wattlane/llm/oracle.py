@@ -121,5 +121,53 @@ t AS (
   WHERE upto <= (SELECT 1.5::DOUBLE * sum(size) FROM d) GROUP BY ALL)
 SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(t.copies, 0))::BIGINT AS taken
 FROM q LEFT JOIN t ON q.doc_id IS NOT DISTINCT FROM t.doc_id AND q.size = t.size
+""",
+    "op10_secrets": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+kinds(rank, kind, pattern) AS (VALUES
+  (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+  (1, 'access', 'AKIA[A-Z0-9]{16,}'),
+  (2, 'hex', '[0-9a-f]{24,}'),
+  (3, 'entropy', '[A-Za-z0-9+/=_-]{20,}')),
+m AS (
+  SELECT doc_id, rank, kind, regexp_extract_all(text, pattern) AS found, string_split_regex(text, pattern) AS gaps
+  FROM t, kinds WHERE regexp_matches(text, pattern)),
+e AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m),
+c AS (
+  SELECT doc_id, rank, kind, found[i] AS m,
+    (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: length(g))), 0))::BIGINT AS start
+  FROM e),
+base AS (
+  SELECT * FROM c WHERE rank IN (1, 2)
+    OR rank = 0 AND length(regexp_extract(m, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6),
+cand AS (
+  SELECT *, CASE
+    WHEN regexp_full_match(m, '[0-9A-Fa-f]+') AND regexp_matches(m, '[A-Fa-f]') THEN 3.0
+    WHEN regexp_full_match(m, '[0-9A-Za-z]+') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') THEN 3.7
+    WHEN regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[+/=_-]') THEN 3.8 END AS threshold
+  FROM c WHERE rank = 3 AND regexp_matches(m, '[0-9]')
+    AND NOT regexp_matches(lower(m), 'example|sample|placeholder|changeme|dummy|xxxx|your-|your_|0123456789|1234567890|abcdefgh')
+    AND NOT regexp_full_match(m, '[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}')
+    AND NOT regexp_full_match(m, '[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,4}') AND NOT regexp_full_match(m, '[0-9TZ:_-]+')),
+w AS (SELECT DISTINCT m, threshold, unnest(range(1, length(m) - 18)) AS i FROM cand WHERE threshold IS NOT NULL),
+ch AS (SELECT m, threshold, i, unnest(string_split(substr(m, i, 20), '')) AS ch FROM w),
+n AS (SELECT m, threshold, i, ch, count(*) AS n FROM ch GROUP BY ALL),
+h AS (SELECT m, threshold, i, log2(20) - sum(n * log2(n)) / 20 AS bits FROM n GROUP BY ALL),
+high AS (SELECT m FROM h GROUP BY m, threshold HAVING max(bits) >= threshold),
+added AS (
+  SELECT * FROM c WHERE rank = 3 AND m IN (SELECT m FROM high)
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start <= c.start
+      AND c.start + length(c.m) <= b.start + length(b.m))),
+spans AS (
+  SELECT doc_id, rank, start, kind || ':' || start || ':' || (start + length(m)) AS span
+  FROM (FROM base UNION ALL BY NAME SELECT * FROM added)),
+g AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+    count(*) FILTER (rank = 2) AS n_hex, string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+    string_agg(span, ',' ORDER BY start, rank) AS spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (doc_id)
 """,
 }
