@@ -135,8 +135,13 @@ def _tiles(placed: DataFrame, count: int, cfg: VectorConfig) -> tuple[list[float
 
     n = math.ceil(count / cfg.tile_rows)
     cuts = sorted(set(placed.approxQuantile("place", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    tile = F.lit(0) if not cuts else F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("place")))
-    found = {r["tile"]: r for r in placed.groupBy(tile.alias("tile")).agg(
+
+    def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tile = np.searchsorted(cuts, batch.column(0).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), batch.column(0)], names=["tile", "place"])
+
+    found = {r["tile"]: r for r in placed.select("place").mapInArrow(tiled, "tile long, place double").groupBy("tile").agg(
         F.count(F.lit(1)).alias("n"), F.min("place").alias("lo"), F.max("place").alias("hi")).collect()}
     reach = math.sqrt(2 - 2 * cfg.threshold) + cfg.slack
     tiles = len(cuts) + 1
