@@ -156,6 +156,46 @@ def test_salvage_recovers_all_undamaged_records(compress):
     assert sum(r["length"] for r in rows) == len(data)  # every byte is a record's or a gap's
 
 
+def _salvaged(data):
+    rows = list(warc.salvage(data))
+    return [int(r["record_id"][10:-1]) for r in rows if r["type"] != "gap"], [r["reason"] for r in rows if r["type"] == "gap"]
+
+
+def test_salvage_searches_inside_a_member():
+    plain = _archive(12, False)
+    bad = [*plain[:3], plain[3].replace(b"page 3", b"page X"), *plain[4:7], b"\r\n", *plain[7:]]
+    ids, gaps = _salvaged(gzip.compress(b"".join(bad), mtime=0))
+    assert ids == [0, 1, 2, *range(4, 12)] and len(gaps) == 2
+    assert f"bytes {len(b''.join(plain[:3]))} to" in gaps[0]
+    whole = gzip.compress(b"".join(plain), mtime=0)
+    after = _archive(13, True)[12]
+    ids, gaps = _salvaged(whole[:-8] + b"\0\0\0\0" + whole[-4:] + after)  # bad CRC, then a good member
+    assert ids == [*range(13)] and len(gaps) == 1 and "incorrect data check" in gaps[0]
+    ids, gaps = _salvaged(gzip.compress(b"".join(plain), 0, mtime=0)[: -len(plain[11]) // 2])
+    assert ids == [*range(11)] and len(gaps) == 2  # cut off inside the last record
+    assert _salvaged(gzip.compress(b"no record", mtime=0)) == ([], ["no version line"])
+
+
+def test_salvage_checks_digests_it_recognises_and_no_others():
+    import base64
+
+    def record(i, label, value, field="Block"):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + b"page %d" % i
+        h = hashlib.new(label, block if field == "Block" else block[19:]) if label in hashlib.algorithms_available else None
+        return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Type: application/http\r\n"
+                f"WARC-{field}-Digest: {label}:{value(h)}\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    hexed, b32 = lambda h: h.hexdigest(), lambda h: base64.b32encode(h.digest()).decode()
+    b64 = lambda h: base64.b64encode(h.digest()).decode()
+    good = [record(i, name, value, field) for i, (name, value, field) in enumerate(
+        (n, v, f) for n in ("md5", "sha1", "sha256", "sha512") for v in (hexed, lambda h: h.hexdigest().upper(), b32, b64,
+                                                                          lambda h: b32(h).rstrip("=")) for f in ("Block", "Payload"))]
+    good += [record(len(good), "blake9", lambda h: "abc"), record(len(good) + 1, "sha1", lambda h: "?", "Payload")]
+    assert _salvaged(b"".join(good)) == ([*range(len(good))], [])
+    for i, r in enumerate(good[:-2]):
+        assert _salvaged(r.replace(b"page %d\r" % i, b"pagE %d\r" % i))[0] == []
+
+
 def test_licences_found_and_clean_documents_left_alone(spark):
     notices = {"mit": "Released under the MIT License.", "apache": "Licensed under the Apache License, Version 2.0.",
                "gpl": "This work is licensed under the GNU General Public License, version 3.", "cc-by-nc": "Licensed under CC BY-NC 4.0.",

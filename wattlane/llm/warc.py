@@ -5,7 +5,8 @@ value's bytes as they are and puts an empty gzip member, as its line
 separator, after each: every file is a valid row of members, and Spark's own
 commit protocol covers lost tasks. The reader takes whole files of bounded
 size. Where a check fails, it searches for the next member or version line
-that is valid, goes on there, and logs the bytes between as a gap.
+that is valid, goes on there, and logs the bytes between as a gap; it does the
+same inside a member, also on what was inflated before the member's damage.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import gzip
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -40,6 +41,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 GZIP_MAGIC = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
+#: bytes of the digests that are checked
+DIGEST_SIZES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
 _URN = "urn:page:"
 
 
@@ -74,6 +78,24 @@ class _Damaged(ValueError):
     """A check of a record failed."""
 
 
+def _named_digest(field: str | None) -> tuple[str, str] | None:
+    """(algorithm, hex digest) of a digest field in hex, base 32 or base 64; null where either isn't recognised."""
+
+    name, _, value = (field or "").partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    size = DIGEST_SIZES.get(name)
+    if size is None or not value.isascii():
+        return None
+    if len(value) == 2 * size and re.fullmatch("[0-9A-Fa-f]+", value):
+        return name, value.lower()
+    bare = value.rstrip("=")
+    if len(bare) == -(-size * 8 // 5) and re.fullmatch("[A-Z2-7]+", bare.upper()):
+        return name, base64.b32decode(bare.upper() + "=" * (-len(bare) % 8)).hex()
+    if len(bare) == -(-size * 8 // 6) and re.fullmatch("[A-Za-z0-9+/_-]+", bare):
+        return name, base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4)).hex()
+    return None
+
+
 def _parse_record(data: bytes, at: int) -> tuple[dict, int]:
     """The record at ``at`` and the place after it; raises _Damaged where any check fails."""
 
@@ -97,21 +119,17 @@ def _parse_record(data: bytes, at: int) -> tuple[dict, int]:
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise _Damaged("block doesn't end where its length says")
     block = data[start:stop]
-    if (want := head.get("warc-block-digest")) and want != f"sha1:{_base32(hashlib.sha1(block).hexdigest())}":
+    if (named := _named_digest(head.get("warc-block-digest"))) and hashlib.new(named[0], block).hexdigest() != named[1]:
         raise _Damaged("block digest")
     body_at = block.find(b"\r\n\r\n")
     is_http = head.get("content-type", "").startswith("application/http") and body_at >= 0
     payload = block[body_at + 4 :] if is_http else block
     revisit = head["warc-type"] == "revisit"
-    digest = hashlib.sha1(payload).hexdigest()
-    if (want := head.get("warc-payload-digest")) and want.startswith("sha1:"):
-        try:
-            named = base64.b32decode(want[5:]).hex()
-        except ValueError:
-            raise _Damaged("payload digest unreadable") from None
-        if not revisit and named != digest:
-            raise _Damaged("payload digest")
-        digest = named
+    digest, named = hashlib.sha1(payload).hexdigest(), _named_digest(head.get("warc-payload-digest"))
+    if revisit:  # that of the full payload, as the field has it where it is no SHA-1
+        digest = named[1] if named and named[0] == "sha1" else head.get("warc-payload-digest")
+    elif named and named[1] != (digest if named[0] == "sha1" else hashlib.new(named[0], payload).hexdigest()):
+        raise _Damaged("payload digest")
     size = len(payload)
     if revisit and is_http:
         said = re.search(rb"(?im)^content-length: *([0-9]+)\r?$", block[: body_at + 2])
@@ -122,62 +140,108 @@ def _parse_record(data: bytes, at: int) -> tuple[dict, int]:
     return record, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content of the gzip member at ``at`` and the place after it."""
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """Content of the gzip member at ``at``, the place after it and "".
+
+    For a damaged member: what was inflated before the damage, how far it was read and the reason.
+    """
 
     inflate, out, pos = zlib.decompressobj(31), [], at
     try:
         while not inflate.eof:
             if pos >= len(data):
-                raise _Damaged("member is cut off")
+                return b"".join(out), len(data), "member is cut off"
             out.append(inflate.decompress(data[pos : pos + 65536]))
             pos += 65536
     except zlib.error as e:
-        raise _Damaged(f"member: {e}") from None
-    return b"".join(out), min(pos, len(data)) - len(inflate.unused_data)
-
-
-def _records_at(data: bytes, at: int) -> tuple[list[dict], int]:
-    """Records of the valid member or plain record at ``at`` and the place after them."""
+        return *_inflated(data, at), f"member: {e}"
+    return b"".join(out), min(pos, len(data)) - len(inflate.unused_data), ""
 
-    if data[at : at + 3] != GZIP_MAGIC:
-        record, end = _parse_record(data, at)
-        return [record], end
-    content, end = _member(data, at)
-    records, pos = [], 0
-    while pos < len(content):
-        record, pos = _parse_record(content, pos)
-        records.append(record)
-    return records, end
 
+def _inflated(data: bytes, at: int) -> tuple[bytes, int]:
+    """All that can be inflated of the damaged member at ``at``, and the place of the damage."""
 
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of one archive file, in order, with their byte offsets and lengths.
-
-    A gap runs from the first byte that isn't valid to the next valid member
-    or record, or to the end; ``reason`` says which check failed there.
+    inflate, out = zlib.decompressobj(31), []
+    for pos in range(at, len(data), 4096):
+        before = inflate.copy()
+        try:
+            out.append(inflate.decompress(data[pos : pos + 4096]))
+        except zlib.error:  # the call's output is lost: once more, byte by byte
+            try:
+                for i in range(pos, pos + 4096):
+                    out.append(before.decompress(data[i : i + 1]))
+            except zlib.error:
+                return b"".join(out), i
+    return b"".join(out), len(data)
+
+
+def _pieces(data: bytes, starts: re.Pattern, read: Callable) -> Iterator[tuple[int, int, object]]:
+    """(start, end, what ``read`` found there, or the reason of a gap), covering all of ``data``.
+
+    ``read`` gives what it found, the end and whether that is sure; else the
+    next valid start ends the piece, a version line only after what was read.
+    It raises _Damaged where nothing is valid.
     """
 
     at = 0
     while at < len(data):
         try:
-            records, end = _records_at(data, at)
+            found, end, sure = read(data, at)
         except _Damaged as e:
-            reason, end = str(e), len(data)
-            for m in _START.finditer(data, at + 1):
+            found, end, sure = str(e), at + 1, False
+        if not sure:
+            done, end = end, len(data)
+            for m in starts.finditer(data, at + 1):
+                if m.start() < done and m.group() != GZIP_MAGIC:
+                    continue
                 try:
-                    _records_at(data, m.start())
+                    read(data, m.start())
                 except _Damaged:
                     continue
                 end = m.start()
                 break
-            yield {"type": "gap", "offset": at, "length": end - at, "reason": reason}
-        else:
-            for r in records:
-                yield {**r, "offset": at, "length": end - at}
+        yield at, end, found
         at = end
 
 
+def _record_at(data: bytes, at: int) -> tuple[dict, int, bool]:
+    return *_parse_record(data, at), True
+
+
+def _rows_at(data: bytes, at: int) -> tuple[list[dict], int, bool]:
+    """Records, and gaps inside the member, of the member or plain record at ``at``, as ``_pieces`` reads them."""
+
+    if data[at : at + 3] != GZIP_MAGIC:
+        record, end = _parse_record(data, at)
+        return [record], end, True
+    content, end, damage = _member(data, at)
+    rows, reasons = [], []
+    for start, stop, found in _pieces(content, _VERSION_LINE, _record_at):
+        if isinstance(found, str):
+            reasons.append(found)
+            found = {"type": "gap", "reason": f"{found} (bytes {start} to {stop} of the member's content)"}
+        rows.append(found)
+    if len(reasons) == len(rows) and (damage or rows):
+        raise _Damaged(damage or reasons[0])
+    if damage:
+        rows.append({"type": "gap", "reason": f"{damage} (after {len(content)} bytes of the member's content)"})
+    return rows, end, not damage
+
+
+def salvage(data: bytes) -> Iterator[dict]:
+    """Records and gaps of one archive file, in order, with their byte offsets and lengths.
+
+    A gap runs from the first byte that isn't valid to the next valid member
+    or record, or to the end; ``reason`` says which check failed there. All
+    records and gaps of one gzip member have the member's offset and length;
+    such a gap's reason says which bytes of the content it covers.
+    """
+
+    for at, end, found in _pieces(data, _START, _rows_at):
+        for r in [{"type": "gap", "reason": found}] if isinstance(found, str) else found:
+            yield {**r, "offset": at, "length": end - at}
+
+
 _ROW = pa.schema([
     ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("type", pa.string()),
     ("record_id", pa.string()), ("uri", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()),
