@@ -50,6 +50,29 @@ def test_added_kinds_need_checksum_or_context():
     assert near["score"] > far["score"]
 
 
+def _valid_iban(country, rng):
+    body = "".join(rng.choices("0123456789ABCXYZ", k=pii.IBAN_LENGTHS[country] - 4))
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+    return f"{country}{check:02}{body}"
+
+
+def test_ibans_of_lists_and_after_false_starts():
+    def ibans(text):
+        return [text[s["start"] : s["end"]] for s in pii.find_spans(text) if s["kind"] == "iban"]
+
+    assert ibans("DE89370400440532013000 GB29NWBK60161331926819") == ["DE89370400440532013000", "GB29NWBK60161331926819"]
+    assert ibans("REF AC45 IBAN DE89 3704 0044 0532 0130 00") == ["DE89 3704 0044 0532 0130 00"]
+    published = ["UA213223130000026007233566001", "RS35260005601001611379", "BA391290079401028494", "QA58DOHB00001234567890ABCDEFG",
+                 "KW81CBKU0000000000001234560101", "PK36SCBL0000001123456702", "TN5910006035183598478831", "KZ86125KZT5004100100",
+                 "GE29NB0000000101904917", "MK07250120000058984", "ME25505000012345678951", "AL47212110090000000235698741",
+                 "BH67BMAG00001299123456", "JO94CBJO0010000000000131000302", "LB62099900000001001901229114", "MD24AG000225100013104168",
+                 "CR05015202001026284066", "DO28BAGR00000001212453611324", "GT82TRAJ01020000001210029690"]
+    rng = random.Random(7)
+    for items in (published, [_valid_iban(c, rng) for c in pii.IBAN_LENGTHS]):
+        spaced = [" ".join(x[i : i + 4] for i in range(0, len(x), 4)) for x in items]
+        assert ibans(" ".join(items)) == items and ibans(" ".join(spaced)) == spaced
+
+
 def test_very_long_texts_take_linear_time():
     assert pii.find_spans("1" * 1_000_000 + " " + "x" * 500_000 + "@host.org")[0]["end"] == 1_500_010
     assert pii.find_spans("+1" + " " * 1_000_000) == [] and pii.find_spans("1." * 500_000)[0]["kind"] == "ip"

@@ -34,12 +34,17 @@ IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 WORD = re.compile(r"[a-z]+")
 
-# Length of an IBAN by country (public registry).
+# Length of an IBAN by country (SWIFT IBAN registry).
 IBAN_LENGTHS = {
-    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "BR": 29, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18,
-    "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26,
-    "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25,
-    "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
 # Score of a bare match, and the words nearby that raise or lower it.
 BASE_SCORE = {"email": 0.8, "ip": 0.5, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.4}
@@ -103,15 +108,20 @@ def _digits(match: str) -> str:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
+    """Valid IBANs, not overlapping: a start that fails leaves all later ones to be tried."""
+
+    at = 0
+    while m := IBAN.search(text, at):
         length = IBAN_LENGTHS.get(m.group()[:2])
         ends = [i + 1 for i, ch in enumerate(m.group()) if ch != " "]
+        at = m.start() + 1
         if length is None or len(ends) < length:
             continue
         end = m.start() + ends[length - 1]
         follows = text[end : end + 1]
         if not follows.isalnum() and mod97(text[m.start() : end].replace(" ", "")):
             yield m.start(), end
+            at = end
 
 
 def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
