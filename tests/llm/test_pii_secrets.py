@@ -107,6 +107,23 @@ def test_entropy_finds_random_strings_and_not_words_or_allowed_ones(spark):
     assert got[5] == "entropy:0:32"
 
 
+def test_entropy_of_one_case_of_glued_pieces_and_around_allowed_words(spark):
+    lower, upper, hexed = "3ax6xnjp29jd6fds4gc373sgvjxteol0", "J5XW4Z3TPEHK7Q2MBV6YRD3FUL5CSA4G", "9F86D081884C7D659A2F"
+    mixed = "Zk3vQ9xT1bW7mN4cR8pL2sD6"
+    cases = {
+        f"é {lower} end": [lower], f"seed {upper}": [upper], f"key-{lower}": [lower], f"X_ID={hexed}": [hexed],
+        f"a/{lower}=={lower}_b": [lower, lower], mixed + "xxxx" + mixed: [mixed + "xxxx" + mixed],
+        f"x_dummy={lower}": [lower], "xxxx" * 12 + "1": [], "windowsserver2019standardedition": [],
+        "/static/internationalization/of/2024/x": [], "example-" + hexed: [], "20240101-00000000000000000000": [],
+    }
+    rows = list(enumerate(cases))
+    got = {r.doc_id: r.spans for r in secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        spans = [s.split(":") for s in got[i].split(",") if s]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == cases[text], text
+        assert {k for k, _, _ in spans} <= {"entropy"}
+
+
 def test_incremental_entropy_equals_counting(spark):
     import math
 

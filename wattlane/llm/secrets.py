@@ -26,7 +26,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 
 @dataclass(frozen=True)
 class CharClass:
-    """A candidate is a whole run of ``chars`` of ``min_length`` or more that matches every pattern of ``needs``."""
+    """A candidate is a string of ``chars`` alone, a window long or more, that matches every pattern of ``needs``."""
 
     name: str
     chars: str
@@ -41,10 +41,15 @@ class SecretConfig:
     window: int = 20
     classes: tuple[CharClass, ...] = (
         CharClass("hex", "[0-9A-Fa-f]", ("[0-9]", "[A-Fa-f]"), 3.0),
+        # digits in two places, as words with a number have them in one
+        CharClass("lower", "[a-z0-9]", ("[0-9][a-z]+[0-9]",), 3.5),
+        CharClass("upper", "[A-Z0-9]", ("[0-9][A-Z]+[0-9]",), 3.4),
         CharClass("alnum", "[A-Za-z0-9]", ("[0-9]", "[A-Z]", "[a-z]"), 3.7),
         CharClass("base64", "[A-Za-z0-9+/=_-]", ("[0-9]", "[A-Z]", "[a-z]", "[+/=_-]"), 3.8),
     )
-    #: a candidate that contains one of these (lower case) is no secret
+    #: separators: what lies between them is judged where the whole run is no secret
+    separators: str = "[+/=_-]"
+    #: a candidate of less than two windows that contains one of these (lower case) is no secret; in a longer one, windows with them don't count
     allow: tuple[str, ...] = (
         "example", "sample", "placeholder", "changeme", "dummy", "xxxx", "your-", "your_",
         "0123456789", "1234567890", "abcdefgh",
@@ -104,34 +109,66 @@ def window_entropy(chars: Column, window: int) -> Column:
     return F.when(F.size(chars) > 0, F.aggregate(chars, start, step, lambda acc: acc["best"])).otherwise(0.0)
 
 
-def _allowed(m: Column, cfg: SecretConfig) -> Column:
+def _has_word(m: Column, cfg: SecretConfig) -> Column:
     low = F.lower(m)
     out = F.lit(False)
     for word in cfg.allow:
         out = out | F.contains(low, F.lit(word))
+    return out
+
+
+def _allowed(m: Column, cfg: SecretConfig) -> Column:
+    out = (F.length(m) < 2 * cfg.window) & _has_word(m, cfg)
     for pattern in cfg.allow_patterns:
         out = out | F.rlike(m, F.lit(f"^({pattern})$"))
     return out
 
 
+def _high(m: Column, cfg: SecretConfig) -> Column:
+    """Whether a string's entropy is above the threshold of the first class that holds all of it."""
+
+    threshold = F.lit(None).cast("double")
+    for c in reversed(cfg.classes):
+        fits = F.rlike(m, F.lit(f"^{c.chars}+$"))
+        for need in c.needs:
+            fits = fits & F.rlike(m, F.lit(need))
+        threshold = F.when(fits, F.lit(c.threshold)).otherwise(threshold)
+    return F.coalesce(threshold.isNotNull() & (window_entropy(F.split(m, ""), cfg.window) >= threshold), F.lit(False))
+
+
 def _entropy_spans(text: Column, cfg: SecretConfig) -> Column:
-    """Spans of candidates above their class's threshold; a run counts for the first class that holds all of it."""
+    """Spans of high entropy: a whole run of the widest class or, where that has none, its pieces between separators.
+
+    A long candidate with allowed words is judged by its parts between them.
+    """
 
     widest = cfg.classes[-1].chars
     # only runs that hold a digit are candidates of any class: the cheap look-ahead skips plain words
     runs = _located(text, rf"(?<!{widest})(?=[A-Za-z+/=_-]*+[0-9]){widest}{{{cfg.window},}}+")
+    words = "(?i:" + "|".join(f"\\Q{w}\\E" for w in cfg.allow) + ")"
+
+    def secret(m: Column) -> Column:
+        parts = F.when(_has_word(m, cfg), F.split(m, words)).otherwise(F.array(m)) if cfg.allow else F.array(m)
+        long = F.filter(parts, lambda p: F.length(p) >= cfg.window)
+        return ~_allowed(m, cfg) & F.exists(long, lambda p: _high(p, cfg))
 
     def judged(run: Column) -> Column:
-        threshold = F.lit(None).cast("double")
-        for c in reversed(cfg.classes):
-            fits = F.rlike(run["m"], F.lit(f"^{c.chars}+$"))
-            for need in c.needs:
-                fits = fits & F.rlike(run["m"], F.lit(need))
-            threshold = F.when(fits, F.lit(c.threshold)).otherwise(threshold)
-        bits = window_entropy(F.split(run["m"], ""), cfg.window)
-        return F.coalesce(threshold.isNotNull() & ~_allowed(run["m"], cfg) & (bits >= threshold), F.lit(False))
-
-    return F.filter(runs, judged)
+        m = run["m"]
+        start = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("found"))
+
+        def step(acc: Column, piece: Column) -> Column:
+            here = F.array(F.struct(acc["at"].alias("start"), piece.alias("m")))
+            fits = (F.length(piece) >= cfg.window) & ~F.rlike(piece, F.lit(f"^{cfg.separators}+$"))
+            return F.struct((acc["at"] + F.length(piece)).alias("at"),
+                            F.when(fits & secret(piece), F.concat(acc["found"], here)).otherwise(acc["found"]).alias("found"))
+
+        # cut before and after each row of separators
+        pieces = F.split(m, f"(?<={cfg.separators})(?!{cfg.separators})|(?<!{cfg.separators})(?={cfg.separators})")
+        return F.when(secret(m), F.array(run)).when(
+            F.rlike(m, F.lit(cfg.separators)) & ~_allowed(m, cfg),
+            F.aggregate(pieces, start, step, lambda acc: acc["found"])).otherwise(start["found"])
+
+    return F.flatten(F.transform(runs, judged))
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
