@@ -216,6 +216,36 @@ def test_licences_found_and_clean_documents_left_alone(spark):
     assert alone.count() == 0
 
 
+def test_licences_by_body_paragraphs_and_other_wordings(spark):
+    cases = [
+        ("mit", 'The software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for any purpose and noninfringement.'),
+        ("mit", "The above copyright notice and this permission notice must be included in all copies or substantial portions of Foo."),
+        ("mit", "Foo is licensed under the terms of the MIT license."),
+        ("bsd", "* Redistributions of source code must retain the above copyright notice, these conditions and the following disclaimer."),
+        ("bsd", "Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without prior written permission."),
+        ("apache", "2. Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual,"),
+        ("apache", "(b) You must make any modified files carry prominent notices stating that You have changed the files; and"),
+        ("gpl", "You may convey verbatim copies of the Program's source code as you receive it, in any medium,"),
+        ("mpl", "Covered Software is provided under this License on an as is basis, without warranty of any kind,"),
+        ("cc", "Moral rights, such as the right of integrity, are not licensed under this Public License, nor are publicity, privacy, and/or other similar personality rights;"),
+        ("cc-by-nc", "NonCommercial means not primarily intended for or directed towards commercial advantage or money."),
+        ("isc", "Permission to use, copy, modify and distribute this software for any purpose with or without fee is hereby granted,"),
+        ("zlib", "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original."),
+        ("boost", "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom"),
+        ("epl", "Each Contributor hereby grants Recipient a non-exclusive, worldwide, royalty-free copyright license to reproduce, prepare Derivative Works of,"),
+        (None, "The software of the company was sold to the public in the following year, and the terms of the sale were not published."),
+        (None, "You may use the library on any day of the week, but the rooms must not be left open."),
+        (None, "of the work"),
+    ]
+    known = {t for _, t, _ in licenses._ALL}
+    assert not known & {t for _, t in cases}
+    clean = spark.read.parquet(f"{SMOKE}/documents.parquet").where("not text rlike '(?i)licen|rights reserved'").select("doc_id", "text")
+    docs = clean.union(spark.createDataFrame([(1000 + i, t) for i, (_, t) in enumerate(cases)], clean.schema))
+    got = {r["row"].doc_id: [s.family for s in r.spans] for r in licenses.scan_licenses(docs).collect()}
+    assert {t: got[1000 + i] for i, (_, t) in enumerate(cases)} == {t: [f] if f else [] for f, t in cases}
+    assert not any(v for k, v in got.items() if k < 1000)
+
+
 def test_pipeline_stages_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
     rows = docs.collect()

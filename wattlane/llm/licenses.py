@@ -1,10 +1,12 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by comparison with templates.
 
 A multinomial logistic regression on word 1- and 2-grams is fitted on variants
-of the templates below and on a bounded sample of the corpus's own paragraphs
-as the unknown class; its probabilities are calibrated by a temperature fitted
-on held-out rows. A paragraph is reported when a family is likelier than not
-and the paragraph shares enough n-grams with one of that family's templates.
+of the short notices below, on variants and passages of the paragraphs of whole
+licences, and on a bounded sample of the corpus's own paragraphs as the unknown
+class; its probabilities are calibrated by a temperature fitted on held-out
+rows. A paragraph is reported when a licence is likelier than not and it shares
+enough n-grams with a template; its family is that of the nearest template, the
+likeliest where several are as near.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.llm.license_bodies import BODIES
+
 UNKNOWN = "unknown"
 
 # Usual short notices by licence family.
@@ -87,6 +91,64 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released into the public domain under CC0 1.0 Universal.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ),
+    "artistic": (
+        "Licensed under the Artistic License 2.0.",
+        "You may redistribute it under the same terms as Perl itself.",
+        "SPDX-License-Identifier: Artistic-2.0",
+    ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
+    "cc": (
+        "This work is licensed under a Creative Commons License.",
+    ),
+    "cc-by-nc-nd": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-NC-ND 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+    ),
+    "cc-by-nc-sa": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+    ),
+    "cc-by-nd": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "gfdl": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation.",
+        "Licensed under the GNU Free Documentation License, version 1.3.",
+        "SPDX-License-Identifier: GFDL-1.3-or-later",
+    ),
+    "isc": (
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "ncsa": (
+        "Released under the University of Illinois/NCSA Open Source License.",
+        "SPDX-License-Identifier: NCSA",
+    ),
+    "ofl": (
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+        "SPDX-License-Identifier: OFL-1.1",
+    ),
+    "unicode": (
+        "Licensed under the Unicode License v3.",
+        "SPDX-License-Identifier: Unicode-3.0",
+    ),
+    "zlib": (
+        "Licensed under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+    ),
 }
 FAMILIES = (*sorted(TEMPLATES), UNKNOWN)
 
@@ -97,12 +159,18 @@ class LicenseConfig:
 
     background: int = 3_000
     variants: int = 12
+    body_variants: int = 2
+    passages: int = 4
     vocabulary: int = 20_000
     reg: float = 1e-3
     iterations: int = 40
     min_probability: float = 0.5
     min_overlap: float = 0.6
+    #: overlaps this near to the largest are as near
+    tie: float = 0.02
     min_common: int = 3
+    #: of a paragraph of a whole licence: a passage of five words
+    min_common_body: int = 9
     seed: int = 5
 
 
@@ -117,34 +185,63 @@ def terms(paragraph: str) -> list[str]:
     return list(dict.fromkeys([*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))]))
 
 
-_TEMPLATE_TERMS = {f: tuple(frozenset(terms(t)) for t in ts) for f, ts in TEMPLATES.items()}
+_ALL = [(f, t, whole) for texts, whole in ((TEMPLATES, False), (BODIES, True)) for f in sorted(texts) for t in texts[f]]
+_FAMILY_OF = np.array([FAMILIES.index(f) for f, _, _ in _ALL])
+_WHOLE = np.array([whole for _, _, whole in _ALL])
+_SIZES = np.array([len(terms(t)) for _, t, _ in _ALL])
 
 
-def overlap(found: set[str], family: str, cfg: LicenseConfig) -> float:
-    """Largest share of the shorter side's n-grams that the paragraph has in common with a template of the family."""
+def _places() -> dict[str, np.ndarray]:
+    """The templates that hold each n-gram."""
 
-    best = 0.0
-    for template in _TEMPLATE_TERMS[family]:
-        common = len(found & template)
-        if common >= min(cfg.min_common, len(template)):
-            best = max(best, common / min(len(found), len(template)))
-    return best
+    at: dict[str, list[int]] = {}
+    for i, (_, text, _) in enumerate(_ALL):
+        for t in terms(text):
+            at.setdefault(t, []).append(i)
+    return {t: np.array(ids) for t, ids in at.items()}
+
+
+_PLACES = _places()
+
+
+# Words of any prose; n-grams of these alone confirm nothing.
+_COMMON_WORDS = frozenset("a all an and any are as at be by can for from has have if in is it its may no not of on or other out so such "
+                          "than that the their them these they this those to under was were which who will with you your".split())
+
+
+def overlaps(found: list[str], cfg: LicenseConfig) -> np.ndarray:
+    """By family, the largest share of the shorter side's n-grams that a paragraph has in common with a template."""
+
+    out = np.zeros(len(FAMILIES) - 1)
+    places = [(at, not _COMMON_WORDS.issuperset(t.split())) for t in found if (at := _PLACES.get(t)) is not None]
+    ids, telling = [at for at, _ in places], [at for at, content in places if content]
+    if telling:
+        common = np.bincount(np.concatenate(ids), minlength=len(_ALL))
+        enough = common >= np.minimum(np.where(_WHOLE, cfg.min_common_body, cfg.min_common), _SIZES)
+        enough &= np.bincount(np.concatenate(telling), minlength=len(_ALL)) > 0
+        np.maximum.at(out, _FAMILY_OF, np.where(enough, common / np.minimum(len(found), _SIZES), 0.0))
+    return out
 
 
 def _notices(cfg: LicenseConfig) -> list[tuple[str, str]]:
-    """(family, text): each template and variants of it with some words lost and a name or year before or after."""
+    """(family, text): each template and variants of it with some words lost and a name or year before or after.
+
+    Of whole licences also passages, as their lines are often broken.
+    """
 
     rng = np.random.default_rng(cfg.seed)
     around = ("", "Copyright 2021 The Authors.", "(c) 2019", "See the LICENSE file.", "Notice:")
     out = []
-    for family, texts in TEMPLATES.items():
-        for text in texts:
-            words = text.split()
-            out.append((family, text))
-            for _ in range(cfg.variants):
-                kept = [w for w in words if rng.random() > 0.1] or words
-                before, after = rng.choice(around, 2)
-                out.append((family, f"{before} {' '.join(kept)} {after}".strip()))
+    for family, text, whole in _ALL:
+        words = text.split()
+        out.append((family, text))
+        for _ in range(cfg.body_variants if whole else cfg.variants):
+            kept = [w for w in words if rng.random() > 0.1] or words
+            before, after = rng.choice(around, 2)
+            out.append((family, f"{before} {' '.join(kept)} {after}".strip()))
+        for _ in range(cfg.passages if whole and len(words) > 12 else 0):
+            start, length = int(rng.integers(len(words) - 8)), int(rng.integers(8, 17))
+            out.append((family, " ".join(words[start : start + length])))
     return out
 
 
@@ -159,19 +256,19 @@ class LicenseModel:
     temperature: float
 
     def classify(self, paragraph: str) -> tuple[str, float, float]:
-        """(family, probability, overlap with the family's nearest template); unconfirmed ones are unknown."""
+        """(family, probability of any family, overlap with the nearest template); unconfirmed ones are unknown."""
 
         found = terms(paragraph)
         at = [i for t in found if (i := self.index.get(t)) is not None]
         z = (self.intercept + self.weights[at].sum(axis=0)) / self.temperature
         p = np.exp(z - z.max())
         p /= p.sum()
-        k = int(p.argmax())
-        family, probability = FAMILIES[k], float(p[k])
-        if family == UNKNOWN or probability < self.cfg.min_probability:
-            return UNKNOWN, float(p[-1]), 0.0
-        shared = overlap(set(found), family, self.cfg)
-        return (family if shared >= self.cfg.min_overlap else UNKNOWN), probability, shared
+        probability = float(1 - p[-1])
+        if probability < self.cfg.min_probability:
+            return UNKNOWN, probability, 0.0
+        shared = overlaps(found, self.cfg)
+        k = int(np.where(shared >= shared.max() - self.cfg.tie, p[:-1], -1.0).argmax())
+        return (FAMILIES[k] if shared[k] >= self.cfg.min_overlap else UNKNOWN), probability, float(shared[k])
 
     def scan(self, text: Column | str) -> Column:
         """Struct of n_paragraphs and the spans (family, start, end, probability, overlap) of a text column.
@@ -232,7 +329,7 @@ def train(docs: DataFrame, text: str = "text", cfg: LicenseConfig | None = None)
     draw = F.pmod(F.xxhash64("text", F.lit(cfg.seed)), F.lit(1 << 30)) / float(1 << 30)
     sample = lines.distinct().where(draw < min(1.0, cfg.background / n)) if n else lines.limit(0)
     background = [r["text"] for r in sample.collect()]
-    background = [(UNKNOWN, t) for t in background if max(overlap(set(terms(t)), f, cfg) for f in TEMPLATES) < 0.5]
+    background = [(UNKNOWN, t) for t in background if overlaps(terms(t), cfg).max() < 0.5]
     rows = [(float(FAMILIES.index(f)), terms(t), i % 4 == 3) for i, (f, t) in enumerate(_notices(cfg) + sorted(background))]
     if not background:
         rows.append((float(len(FAMILIES) - 1), [], False))
