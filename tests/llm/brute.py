@@ -124,3 +124,77 @@ def contamination(docs, items, window=10):
                     names.add(str(name))
         out[d] = (len(w), len(hit), sorted(names))
     return out
+
+
+def trie(convs, group=5, most=9, branching=True):
+    """Nodes of the rebuilt conversations by (conv_id, depth); ``convs`` are (conv_id, turn, role, text) without ties."""
+
+    import hashlib
+    import zlib
+
+    own = {}
+    for c, turn, role, text in convs:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for *_, r, t in sorted(turns)] for c, turns in own.items()}
+    paths = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % most if branching else 0
+        paths[c] = tuple(own.get(c - c % group, [])[:h] + turns[h:])
+    members = {}
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    kids = {}
+    for node in members:
+        if node:
+            kids.setdefault(node[:-1], []).append(node)
+
+    def under(node):
+        todo, leaves, saved = [node], 0, 0
+        while todo:
+            x = todo.pop()
+            leaves += x not in kids
+            saved += (len(members[x]) - 1) * len(x[-1][1].encode()) if x else 0
+            todo += kids.get(x, [])
+        return leaves, saved
+
+    out = {}
+    for node, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(cs) if len(paths[c]) == len(node))
+        out[min(cs), len(node)] = (min(members[node[:-1]]) if node else None, len(cs), len(kids.get(node, [])), *under(node),
+                                   hashlib.sha256(ends.encode()).hexdigest())
+    return out
+
+
+def resampled(docs, target, share=10, least=20, buckets=10_000, longest=1):
+    """doc_id -> (n_features, weight, score, rank) of documents with distinct ids."""
+
+    import hashlib
+    import math
+    import re
+    import zlib
+    from collections import Counter
+
+    def feats(text):
+        low = "".join(chr(ord(ch) + 32) if "A" <= ch <= "Z" else ch for ch in text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        runs = [" ".join(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)]
+        return len(words), [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    s = Counter(b for _, text in docs for b in feats(text)[1])
+    t = Counter(b for text in target for b in feats(text)[1])
+    S, T = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (S + buckets) / ((s[b] + 1) * (T + buckets))))
+
+    rows = []
+    for doc, text in docs:
+        words, found = feats(text)
+        weight = sum(map(gain, found)) // len(found) if found else 0
+        h = int(hashlib.sha256(f"2024:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        rows.append((doc, words, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[4], r[0] is not None, r[0] or 0))
+    ranks = {r[0]: i + 1 for i, r in enumerate(able[: share * len(able) // 100])}
+    return {r[0]: (*r[2:], ranks.get(r[0])) for r in rows}

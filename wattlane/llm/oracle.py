@@ -2,6 +2,21 @@
 
 from __future__ import annotations
 
+#: CTE ``tab``: the table of CRC-32 (polynomial 0xEDB88320, as zlib), one list of 256 numbers
+_CRC_TABLE = """tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab)"""
+
+
+def _crc32(word: str) -> str:
+    """SQL for the unsigned CRC-32 of a string's UTF-8 bytes, where ``tab`` is in scope."""
+
+    hexed = f"hex(encode({word}))"
+    return f"""xor(list_reduce(
+    list_transform(range(1, octet_length(encode({word})) + 1), lambda i: ('0x' || {hexed}[2 * i - 1:2 * i])::BIGINT),
+    lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_minhash_dedup": r"""
 WITH RECURSIVE t AS (
@@ -169,5 +184,67 @@ g AS (
 SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM t LEFT JOIN g USING (doc_id)
+""",
+    "op11_importance_resampling": rf"""
+WITH {_CRC_TABLE},
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+qw AS (SELECT unnest(w) AS w FROM q),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM qw)),
+b AS (SELECT w, {_crc32('w')} % 10000 AS bucket FROM words, tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN b USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM qw JOIN b USING (w) GROUP BY 1),
+g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM qw) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT DISTINCT bucket FROM b) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+m AS (
+  SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM dw JOIN b USING (w) JOIN g USING (bucket) GROUP BY 1),
+h AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM d LEFT JOIN m USING (doc_id)),
+x AS (
+  SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM h),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    sum((n_features >= 20)::INT) OVER () AS able FROM x)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank
+FROM r
+""",
+    "op13_prefix_trie": rf"""
+WITH {_CRC_TABLE},
+said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role,
+    md5(length(role) || ':' || role || text)) AS turns FROM said GROUP BY 1),
+h AS (
+  SELECT conv_id, turns, conv_id - (conv_id % 5 + 5) % 5 AS lender, {_crc32('conv_id::VARCHAR')} % 9 AS h FROM o, tab),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h.h], h.turns[h.h + 1:]) AS path
+  FROM h LEFT JOIN o b ON b.conv_id = h.lender),
+p AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM r),
+n AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '') AS ends FROM p GROUP BY 1, 2),
+ch AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS (
+  SELECT n.node, depth, (n_children IS NULL)::BIGINT AS leaf,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * octet_length(encode(n.node[depth].text)) ELSE 0 END AS saved
+  FROM n LEFT JOIN ch USING (node)),
+up AS (SELECT node, leaf, saved, unnest(range(0, depth + 1)) AS e FROM v),
+total AS (SELECT node[1:e] AS node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY 1)
+SELECT n.conv_id, n.depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children,
+  n_leaves, saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN total USING (node) LEFT JOIN ch USING (node)
+  LEFT JOIN n parent ON n.depth > 0 AND parent.node = n.node[1:n.depth - 1]
 """,
 }

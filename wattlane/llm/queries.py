@@ -13,6 +13,9 @@ from wattlane.llm.line_dedup import dedup_lines
 from wattlane.llm.minhash import near_duplicates
 from wattlane.llm.mixing import mix_sources
 from wattlane.llm.pii import pii_report
+from wattlane.llm.prefix_trie import Branching, prefix_trie
+from wattlane.llm.quality import rate
+from wattlane.llm.resampling import importance_resample
 from wattlane.llm.secrets import secret_report
 from wattlane.llm.vectors import near_vectors
 from wattlane.llm.warc import page_number, read_warc, write_warc
@@ -92,6 +95,28 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` weighed towards ``benchmark``; a tenth of those with 20 words drawn and ranked."""
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance_resample(docs, read_table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rate(docs, read_table(spark, sf_dir, "labels")).select("row.doc_id", "held_out", "score", "predicted")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all ``conversations``, each rebuilt from the first of its group of five."""
+
+    convs = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(convs, branching=Branching()).drop("n_ends")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -103,4 +128,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_secrets": op10_secrets,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_quality": op12_quality,
+    "op13_prefix_trie": op13_prefix_trie,
 }
