@@ -17,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.catalog_documents import QUERIES as DOCUMENT_QUERIES
+from wattlane.catalog_panels import QUERIES as PANEL_QUERIES
 from wattlane.functions.jsonsafe import iso_timestamp
 from wattlane.operators import detectors as det
 from wattlane.operators.drift import compare_to_reference_stats, compute_reference_stats
@@ -684,3 +686,9 @@ def zone_ridge_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 ROWS_ONLY["zone_ridge_forecast"] = zone_ridge_forecast
 QUERIES["zone_ridge_forecast"] = zone_ridge_forecast
+
+# ---------------------------------------------------------------- queries of the other modules
+
+for more in (DOCUMENT_QUERIES, PANEL_QUERIES):
+    ORACLE_QUERIES.update(more)
+    QUERIES.update(more)

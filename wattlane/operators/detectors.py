@@ -4,7 +4,12 @@ Fitting is one aggregate (mean / population std) or one exact distributed
 quantile job (median, MAD, IQR).  Pooled parameters are a handful of floats
 and are inlined as literals, so scoring is a map-only projection inside
 whole-stage codegen.  Per-group parameters (``by=("zone",)``) stay a small
-DataFrame that is joined on the group key.
+DataFrame that is joined on the group key; a group without parameters of its
+own (absent from the fit, or without a known residual in it) is scored with
+those of all rows.
+
+A NULL or NaN residual is missing: no parameter is fitted on it, its score
+stays missing, and it is never flagged.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattlane.functions.missing import known
 from wattlane.operators.quantiles import exact_quantiles
 from wattlane.schema import IQR_TO_SIGMA, MODIFIED_Z
 
@@ -42,10 +48,21 @@ def _finite_positive(x: float | None) -> bool:
     return x is not None and math.isfinite(x) and x != 0.0
 
 
+def flagged(score: Column, threshold: float | Column) -> Column:
+    """At the threshold or above; a missing score (Spark ranks NaN above all numbers) is not."""
+
+    limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    return F.coalesce((score >= limit) & ~F.isnan(score), F.lit(False))
+
+
 def _score_frame(df: DataFrame, score: Column, threshold: float) -> DataFrame:
-    return df.withColumn("anomaly_score", score).withColumn(
-        "is_anomaly", F.col("anomaly_score") >= F.lit(float(threshold))
-    )
+    return df.withColumn("anomaly_score", score).withColumn("is_anomaly", flagged(F.col("anomaly_score"), threshold))
+
+
+def _or_pooled(column: str, pooled: float | None) -> Column:
+    """A group's parameter, that of all rows where the group has none."""
+
+    return F.col(column) if pooled is None else F.coalesce(F.col(column), F.lit(float(pooled)))
 
 
 # ---------------------------------------------------------------- z-score
@@ -65,13 +82,12 @@ class ResidualZScoreDetector:
         return self.fit_residuals(df, residual(actual, predicted))
 
     def fit_residuals(self, df: DataFrame, res: str | Column) -> "ResidualZScoreDetector":
-        r = _c(res).cast("double")
+        r = known(_c(res))
         std = F.stddev_pop(r)
         aggs = [F.count(r).alias("n"), F.avg(r).alias("residual_mean"),
-                F.when(std > 0, std).otherwise(F.lit(1.0)).alias("residual_std")]
+                F.when((std > 0) & ~F.isnan(std), std).otherwise(F.lit(1.0)).alias("residual_std")]
         if self.by:
-            self.params_ = df.groupBy(*self.by).agg(*aggs).drop("n")
-            return self
+            self.params_ = df.groupBy(*self.by).agg(*aggs).where("n > 0").drop("n")
         row = df.agg(*aggs).first()
         if not row["n"]:
             raise ValueError("residuals must not be empty.")
@@ -88,13 +104,18 @@ class ResidualZScoreDetector:
             if self.params_ is None:
                 raise ValueError("ResidualZScoreDetector must be fitted before scoring.")
             joined = df.join(self.params_, list(self.by), "left")
-            z = F.abs((r - F.col("residual_mean")) / guard_scale(F.col("residual_std")))
+            mean, std = _or_pooled("residual_mean", self.residual_mean_), _or_pooled("residual_std", self.residual_std_)
+            z = F.abs((r - mean) / guard_scale(std))
             return _score_frame(joined, z, self.threshold).drop("residual_mean", "residual_std")
+        return _score_frame(df, self.pooled_score(r), self.threshold)
+
+    def pooled_score(self, res: Column) -> Column:
+        """C6 of a residual with the parameters of all rows."""
+
         if self.residual_mean_ is None or self.residual_std_ is None:
             raise ValueError("ResidualZScoreDetector must be fitted before scoring.")
         scale = self.residual_std_ if _finite_positive(self.residual_std_) else 1.0
-        z = F.abs((r - F.lit(self.residual_mean_)) / F.lit(scale))
-        return _score_frame(df, z, self.threshold)
+        return F.abs((res - F.lit(self.residual_mean_)) / F.lit(scale))
 
 
 # ---------------------------------------------------------------- robust
@@ -109,7 +130,7 @@ def robust_parameters(
     median of absolute deviations from the group median.
     """
 
-    vals = df.select(*by, res.cast("double").alias("_wl_r"))
+    vals = df.select(*by, known(res).alias("_wl_r"))
     q = exact_quantiles(vals, "_wl_r", [0.25, 0.5, 0.75], by=by, names=["q25", "median", "q75"])
     if center is not None:
         q = q.withColumn("median", F.lit(float(center)))
@@ -150,7 +171,7 @@ class RobustResidualDetector:
         params = robust_parameters(df, _c(res), self.by)
         if self.by:
             self.params_ = params.select(*self.by, "residual_median", "residual_mad")
-            return self
+            params = robust_parameters(df, _c(res))
         row = params.first()
         if row is None:
             raise ValueError("residuals must not be empty.")
@@ -167,13 +188,18 @@ class RobustResidualDetector:
             if self.params_ is None:
                 raise ValueError("RobustResidualDetector must be fitted before scoring.")
             joined = df.join(self.params_, list(self.by), "left")
-            z = F.abs(F.lit(MODIFIED_Z) * (r - F.col("residual_median")) / guard_scale(F.col("residual_mad")))
+            median, mad = _or_pooled("residual_median", self.residual_median_), _or_pooled("residual_mad", self.residual_mad_)
+            z = F.abs(F.lit(MODIFIED_Z) * (r - median) / guard_scale(mad))
             return _score_frame(joined, z, self.threshold).drop("residual_median", "residual_mad")
+        return _score_frame(df, self.pooled_score(r), self.threshold)
+
+    def pooled_score(self, res: Column) -> Column:
+        """C7 of a residual with the parameters of all rows."""
+
         if self.residual_median_ is None or self.residual_mad_ is None:
             raise ValueError("RobustResidualDetector must be fitted before scoring.")
         scale = self.residual_mad_ if _finite_positive(self.residual_mad_) else 1.0
-        z = F.abs(F.lit(MODIFIED_Z) * (r - F.lit(self.residual_median_)) / F.lit(scale))
-        return _score_frame(df, z, self.threshold)
+        return F.abs(F.lit(MODIFIED_Z) * (res - F.lit(self.residual_median_)) / F.lit(scale))
 
 
 # ---------------------------------------------------------------- self-fitting scorers
@@ -195,7 +221,7 @@ def score_residuals(
     if residual_mean is not None and residual_std is not None:
         det = ResidualZScoreDetector(threshold=threshold, residual_mean_=residual_mean, residual_std_=residual_std)
         return det.score_residuals(df, res)
-    r = res.cast("double")
+    r = known(res)
     aggs = [F.count(r).alias("_n"), F.avg(r).alias("_m"), F.stddev_pop(r).alias("_s")]
     if by:
         stats = df.groupBy(*by).agg(*aggs)

@@ -18,6 +18,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.functions.missing import known
 from wattlane.operators.quantiles import column_medians
 
 
@@ -34,7 +35,7 @@ class ForestModel:
     def _imputed(self, df: DataFrame) -> DataFrame:
         cols = []
         for f in self.feature_names:
-            x = F.col(f).cast("double")
+            x = known(f)
             med = self.medians.get(f)
             cols.append((F.coalesce(x, F.lit(med)) if med is not None else x).alias(f"_wl_f_{f}"))
         return df.select("*", *cols)
@@ -85,5 +86,5 @@ def fit_forest(
         featureSubsetStrategy="all", maxDepth=min(max_depth, 30), seed=random_state, subsamplingRate=1.0,
         bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True,
     )
-    shell.pipeline = Pipeline(stages=[assembler, rf]).fit(shell._imputed(df.where(F.col(target).isNotNull())))
+    shell.pipeline = Pipeline(stages=[assembler, rf]).fit(shell._imputed(df.where(known(target).isNotNull())))
     return shell

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from wattlane.functions.missing import known
 from wattlane.operators.ordering import row_number
 from wattlane.operators.quantiles import column_medians, exact_quantiles
 
@@ -199,7 +200,7 @@ def fit_isolation_forest(
     psi = min(max_samples, n)
     medians = column_medians(df, names)
     depth = int(math.ceil(math.log2(max(psi, 2))))
-    feats = [F.coalesce(F.col(f).cast("double"), F.lit(medians.get(f))).alias(f"f{i}") for i, f in enumerate(names)]
+    feats = [F.coalesce(known(f), F.lit(medians.get(f))).alias(f"f{i}") for i, f in enumerate(names)]
     first, last = df.agg(F.min("rn"), F.max("rn")).first() if "rn" in df.columns else (0, -1)
     if last - first + 1 == n:  # a part of a split: its positions follow on from the first
         numbered = df.select((F.col("rn") - F.lit(first)).alias("_pos"), *feats)

@@ -15,7 +15,7 @@ imputation via ``coalesce``), so it stays inside whole-stage codegen.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -23,6 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.functions.missing import known
 from wattlane.operators.quantiles import column_medians
 
 _EPS = np.finfo(np.float64).eps
@@ -119,12 +120,12 @@ class RidgeModel:
     version: str = "0.1.0"
     created_at_utc: str = ""
 
-    def prediction_column(self) -> Column:
-        """M7 as one codegen-friendly expression."""
+    def prediction_column(self, value: Callable[[str], Column] = F.col) -> Column:
+        """M7 as one codegen-friendly expression over ``value(feature)``; a NULL or NaN feature takes its median."""
 
         expr = F.lit(self.intercept)
         for name, c in zip(self.feature_names, self.coefficients):
-            x = _x(name)
+            x = known(value(name))
             med = self.medians.get(name)
             if med is not None:
                 x = F.coalesce(x, F.lit(float(med)))
@@ -185,7 +186,8 @@ def fit_ridge(
     (plus a means pass when no centre is given).
 
     ``center`` only needs to be close to the means (e.g. the supervised-row
-    means); the solve corrects for the offset exactly.
+    means); the solve corrects for the offset exactly. NaN is missing: the
+    medians fill it, and a row without a known target is left out of the fit.
     """
 
     features = list(features)
@@ -194,8 +196,9 @@ def fit_ridge(
     k = len(features)
     cols = [*features, target]
     medians = column_medians(df, features) if impute else {}
-    filled = {f: F.coalesce(_x(f), F.lit(float(m))) for f, m in medians.items() if m is not None}
-    df = df.select(*[filled.get(f, _x(f)).alias(f) for f in features], _x(target).alias(target))
+    filled = {f: F.coalesce(known(f), F.lit(float(m))) for f, m in medians.items() if m is not None}
+    df = df.select(*[filled.get(f, known(f)).alias(f) for f in features], known(target).alias(target))
+    df = df.where(F.col(target).isNotNull())
     if center is None or any(c not in center for c in cols):
         mean_row = df.agg(*[F.avg(_x(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
         center = {c: float(mean_row[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}

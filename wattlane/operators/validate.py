@@ -1,23 +1,27 @@
 """Coercion and validation of raw panel tables.
 
-All row rules are evaluated in **one** aggregate pass (``count_if`` per rule)
-plus one keyed aggregate for duplicates; ``validate_panel`` raises on the
-first failing rule in the reference's order, ``validation_report`` returns
-the counts, and ``quarantine`` splits good and bad rows with a reason.
+All rules are counted in **one** scan: rows are aggregated by key (partial sums
+first, so a hot or unreadable key is no hot task), and the keys' counts are added
+up. ``validate_panel`` raises on the first failing rule in the reference's order,
+``validation_report`` returns the counts, ``quarantine`` splits good and bad rows
+with a reason, and ``write_validated`` counts the row rules in the scan that writes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wattlane.errors import DataValidationError
 from wattlane.operators.ordering import sort_panel
 from wattlane.schema import CANONICAL_COLUMNS, DUPLICATE_KEY, NULL_TOKENS, NUMERIC_COLUMNS
+from wattlane.session import delete_folder, replace_folder
 
 # fixed value: numbers accepted by the coercion (decimal, exponent, inf/infinity, surrounding spaces)
 NUMERIC_PATTERN = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
@@ -109,16 +113,21 @@ def _row_rules(df: DataFrame, opts: ReadOptions) -> dict[str, Column]:
         else:
             missing = missing | F.col(c).isNull()
     blank = ~F.col(opts.zone_column).cast("string").rlike(NONBLANK)
-    return {
+    read = {"malformed_rows": too_long(df)} if LINE in df.columns else {}
+    return read | {
         "timestamp_unparsable": ts_bad,
         "missing_or_non_numeric": missing,
         "blank_zone": F.coalesce(blank, F.lit(False)),
     }
 
 
+#: what a text line that ``read_csv_text`` couldn't parse into the header's columns is kept in
+LINE = "_wl_line"
+
 RULE_ORDER = ("empty_input", "timestamp_unparsable", "missing_or_non_numeric", "blank_zone", "duplicate_keys")
 MESSAGES = {
     "empty_input": "Input data is empty.",
+    "malformed_rows": "One or more rows have more fields than the header.",
     "timestamp_unparsable": "One or more timestamp values could not be parsed.",
     "missing_or_non_numeric": "Required columns contain missing or non-numeric values.",
     "blank_zone": "Zone values must be non-empty.",
@@ -134,24 +143,27 @@ def validation_report(df: DataFrame, options: ReadOptions | None = None) -> Data
 
     opts = options or ReadOptions()
     check_columns(df, opts.required_columns)
-    rules = _row_rules(df, opts)
-    counts = df.agg(
-        (F.count(F.lit(1)) == 0).cast("long").alias("empty_input"),
-        *[F.count_if(v).cast("long").alias(k) for k, v in rules.items()],
-    )
     subset = [c for c in opts.duplicate_subset if c in df.columns]
-    if subset:
-        keyed = df.select(*[
-            coerce_timestamp(df, c).alias(c) if c == opts.timestamp_column else F.col(c) for c in subset
-        ])
-        dups = keyed.groupBy(*subset).count().agg(
-            F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicate_keys")
-        )
-    else:
-        dups = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_keys"))
-    both = counts.crossJoin(F.broadcast(dups))  # two one-row aggregates
-    pairs = ", ".join(f"'{k}', `{k}`" for k in RULE_ORDER)
-    return both.selectExpr(f"stack({len(RULE_ORDER)}, {pairs}) AS (rule, violations)")
+    key = [coerce_timestamp(df, c) if c == opts.timestamp_column else F.col(c) for c in subset]
+    counts = rule_counts(df, _row_rules(df, opts), key)
+    order = [r for r in (*RULE_ORDER[:1], "malformed_rows", *RULE_ORDER[1:]) if r in counts.columns]
+    pairs = ", ".join(f"'{k}', `{k}`" for k in order)
+    return counts.selectExpr(f"stack({len(order)}, {pairs}) AS (rule, violations)")
+
+
+def rule_counts(df: DataFrame, rules: dict[str, Column], key: Sequence[Column]) -> DataFrame:
+    """One row, from one scan: empty_input, the rows that break each rule, and those beyond the first of their key."""
+
+    flags = df.select(*[c.alias(f"k{i}") for i, c in enumerate(key)], *[v.cast("int").alias(k) for k, v in rules.items()])
+    rows = flags.groupBy(*[f"k{i}" for i in range(len(key))]).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(F.coalesce(F.col(k), F.lit(0))).alias(k) for k in rules])
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    beyond = total(F.col("rows") - 1) if key else F.lit(0).cast("long")
+    return rows.agg((total(F.col("rows")) == 0).cast("long").alias("empty_input"), *[total(F.col(k)).alias(k) for k in rules],
+                    beyond.alias("duplicate_keys"))
 
 
 def duplicate_keys(df: DataFrame, subset: Sequence[str] = DUPLICATE_KEY) -> DataFrame:
@@ -166,20 +178,76 @@ def validate_panel(df: DataFrame, options: ReadOptions | None = None) -> DataFra
 
     opts = options or ReadOptions()
     check_columns(df, opts.required_columns)
-    report = {r["rule"]: r["violations"] for r in validation_report(df, opts).collect()}
-    for rule in RULE_ORDER:
-        if report[rule]:
-            if rule == "duplicate_keys":
-                subset = [c for c in opts.duplicate_subset if c in df.columns]
-                raise DataValidationError(f"Duplicate records found for columns: {', '.join(subset)}.")
-            raise DataValidationError(MESSAGES[rule])
-    return coerce_panel(df, opts)
+    for r in validation_report(df, opts).collect():
+        _reject(r["rule"], r["violations"], df, opts)
+    return coerce_panel(df.drop(LINE), opts)
+
+
+def _reject(rule: str, violations: int, df: DataFrame, opts: ReadOptions) -> None:
+    if violations and rule == "duplicate_keys":
+        subset = [c for c in opts.duplicate_subset if c in df.columns]
+        raise DataValidationError(f"Duplicate records found for columns: {', '.join(subset)}.")
+    if violations:
+        raise DataValidationError(MESSAGES[rule])
+
+
+def csv_timestamps(df: DataFrame) -> DataFrame:
+    """Timestamps as text: the CSV writer's own format ends at milliseconds."""
+
+    return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t.startswith("timestamp")})
+
+
+def write_validated(df: DataFrame, path: str, options: ReadOptions | None = None, fmt: str = "parquet",
+                    columns: Sequence[str] | None = None) -> DataFrame:
+    """Write the typed panel (``columns`` of it) to ``path`` in the scan that validates it; returns it read back.
+
+    The row rules are observed while the rows are written to a staging folder
+    beside ``path``; the keys are counted on what was written, two columns of it.
+    Only when no rule is broken does the folder take the place of ``path``; else
+    it is deleted, ``path`` stays as it was, and the first broken rule raises.
+    """
+
+    opts = options or ReadOptions()
+    check_columns(df, opts.required_columns)
+    spark = df.sparkSession
+    rules = _row_rules(df, opts)
+    seen = Observation()
+    kept = list(columns or [c for c in df.columns if c != LINE])
+    flagged = df.select(F.struct("*").alias("raw"), *[v.cast("int").alias(f"rule_{k}") for k, v in rules.items()])
+    flagged = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.coalesce(F.sum(f"rule_{k}"), F.lit(0)).alias(k) for k in rules])
+    out = coerce_panel(flagged.select("raw.*"), opts).select(*kept)
+    staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+    try:
+        if fmt == "csv":
+            csv_timestamps(out).write.option("header", True).option("escape", '"').csv(staging)
+        else:
+            out.write.format(fmt).save(staging)
+        counts = seen.get
+        broken = {"empty_input": int(counts["rows"] == 0)} | {k: counts[k] for k in rules}
+        for rule, violations in broken.items():
+            _reject(rule, violations, df, opts)
+        reader = spark.read.schema(out.schema).format(fmt)
+        if fmt == "csv":
+            reader = reader.option("header", True).option("escape", '"')
+        staged = reader.load(staging)
+        subset = [c for c in opts.duplicate_subset if c in kept]
+        if subset:
+            _reject("duplicate_keys", rule_counts(staged, {}, [F.col(c) for c in subset]).first()["duplicate_keys"], df, opts)
+        replace_folder(spark, staging, path)
+    except Exception:
+        delete_folder(spark, staging)
+        raise
+    return reader.load(path)
 
 
 def quarantine(df: DataFrame, options: ReadOptions | None = None) -> tuple[DataFrame, DataFrame]:
     """Split rows into (valid typed rows, rejected raw rows with a ``reason``) without raising.
 
-    Of the valid rows of a repeated key one stays among the valid ones."""
+    Of the valid rows of a repeated key one stays among the valid ones; only
+    rows that broke no other rule are compared with those of their key, so
+    rejected ones without a readable key never gather in a task.
+    """
 
     opts = options or ReadOptions()
     check_columns(df, opts.required_columns)
@@ -188,35 +256,72 @@ def quarantine(df: DataFrame, options: ReadOptions | None = None) -> tuple[DataF
     for name in reversed(list(rules)):
         reason = F.when(rules[name], F.lit(name)).otherwise(reason)
     subset = [c for c in opts.duplicate_subset if c in df.columns]
+    tagged = df.withColumn("reason", reason)
+    clean, bad = tagged.where(F.col("reason").isNull()), tagged.where(F.col("reason").isNotNull())
     if subset:  # rows beyond the first of a key; every row of a valid key but one is rejected
         key = [coerce_timestamp(df, c) if c == opts.timestamp_column else F.col(c) for c in subset]
         content = F.xxhash64(*df.columns)
-        seen = F.row_number().over(Window.partitionBy(reason.isNull(), *key).orderBy(content))
-        reason = F.coalesce(reason, F.when(seen > 1, F.lit("duplicate_keys")))
-    tagged = df.withColumn("reason", reason)
-    good = coerce_panel(tagged.where(F.col("reason").isNull()).drop("reason"), opts)
-    bad = tagged.where(F.col("reason").isNotNull())
-    return good, bad
+        place = F.row_number().over(Window.partitionBy(*key).orderBy(content, *df.columns))
+        clean = clean.withColumn("reason", F.when(place > 1, F.lit("duplicate_keys")))
+        bad = bad.unionByName(clean.where(F.col("reason").isNotNull()))
+        clean = clean.where(F.col("reason").isNull())
+    return coerce_panel(clean.drop("reason", LINE), opts), bad
 
 
-def read_panel_csv(spark: SparkSession, path: str, options: ReadOptions | None = None) -> DataFrame:
-    """CSV scan with every column as text, then validation and coercion; sorted by (zone, timestamp)."""
+# ---------------------------------------------------------------- CSV
+
+_QUOTED = r'"([^"]|"")*"'
 
-    try:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    except Exception as exc:  # missing path surfaces as an analysis error
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            raise FileNotFoundError(f"CSV file does not exist: {path}") from exc
-        raise
-    return sort_panel(validate_panel(raw, options))
 
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """CSV with a header as text columns, and ``_wl_line``: the text of a row whose fields aren't as many as the columns.
 
-def read_export_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Scan an arbitrary-schema export as text columns."""
+    Quotes are doubled inside quoted fields. A line is a row, so that large files
+    are split, unless some line ends inside a quoted field: then (``multi_line``
+    None; one scan finds out) or when told so, fields may hold line breaks and a
+    file is one task. Rows short of fields have NULLs at their end.
+    """
 
     try:
-        return spark.read.option("header", True).option("inferSchema", False).csv(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        if multi_line is None:  # a line with an odd number of quotes ends inside a field
+            lines = spark.read.text(path).where(F.regexp_count("value", F.lit('"')) % 2 == 1)
+            multi_line = not lines.limit(1).isEmpty()
+        reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", multi_line)
+        columns = reader.csv(path).columns
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"CSV file does not exist: {path}") from exc
         raise
+    schema = StructType([*(StructField(c, StringType()) for c in columns), StructField(LINE, StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", LINE).option("columnPruning", False).csv(path)
+
+
+def _any(df: DataFrame, cond: Column) -> bool:
+    """Whether a line that couldn't be parsed meets a condition (Spark asks for a parsed column to be read with it)."""
+
+    parsed = F.hash(df.columns[0]) >= -(1 << 31)
+    return not df.where(F.col(LINE).isNotNull() & cond & parsed).limit(1).isEmpty()
+
+
+def too_long(df: DataFrame) -> Column:
+    """Whether a row of ``read_csv_text`` has more fields than the header: separators outside quotes are counted."""
+
+    columns = len([c for c in df.columns if c != LINE])
+    separators = F.length(F.regexp_replace(F.regexp_replace(F.col(LINE), _QUOTED, ""), "[^,]", ""))
+    return F.coalesce(separators >= columns, F.lit(False))
+
+
+def read_panel_csv(spark: SparkSession, path: str, options: ReadOptions | None = None,
+                   multi_line: bool | None = None) -> DataFrame:
+    """CSV scan with every column as text, then validation and coercion; sorted by (zone, timestamp)."""
+
+    return sort_panel(validate_panel(read_csv_text(spark, path, multi_line), options))
+
+
+def read_export_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Scan an arbitrary-schema export as text columns; rows with more fields than the header are refused."""
+
+    df = read_csv_text(spark, path, multi_line)
+    if _any(df, too_long(df)):
+        raise DataValidationError(MESSAGES["malformed_rows"])
+    return df.drop(LINE)

@@ -2,21 +2,23 @@
 
 The reference refits a detector for every grid value.  Detector parameters
 do not depend on the threshold (or, for the forest, on the contamination,
-which only moves the offset), so here every method is fitted once, the
-scored validation rows are cross-joined with the small, fixed grid table
-(8 or 5 rows, broadcast) and one ``groupBy(grid_idx)`` aggregate yields all
-candidate confusion matrices.  Selection is the first maximum of macro F1.
+which only moves the offset), so here every method is fitted once.  No row is
+copied for the grid: a score lies between two of its values, one aggregate
+counts the rows by that place and label, and the confusion matrix of a candidate
+adds up the places it flags.  Selection is the first maximum of macro F1.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlane.operators.detectors import ResidualZScoreDetector, RobustResidualDetector
+from wattlane.functions.missing import known
+from wattlane.operators.detectors import ResidualZScoreDetector, RobustResidualDetector, flagged as flagged_at
 from wattlane.operators.isoforest import fit_isolation_forest, offsets_for
 from wattlane.operators.metrics import classification_from_counts, confusion_columns
 from wattlane.operators.splits import train_test_split, train_validation_test_split
@@ -40,26 +42,51 @@ def _check_methods(methods: tuple[str, ...]) -> None:
 def grid_confusion(
     scored: DataFrame, grid: list[float], score_col: str, flag_rule: str, labels: bool
 ) -> list[dict[str, Any]]:
-    """Candidate metrics for every grid value in one aggregate.
+    """Candidate metrics for every grid value, from one count by place in the grid and label.
 
     ``flag_rule`` is ``ge`` (score >= value, residual thresholds) or ``lt``
-    (score < value, forest offsets).
+    (score < value, forest offsets). A missing score is never flagged.
     """
 
     spark = scored.sparkSession
-    table = F.broadcast(spark.createDataFrame(list(enumerate(map(float, grid))), "grid_idx INT, value DOUBLE"))
-    s = F.col(score_col)
-    flag = s >= F.col("value") if flag_rule == "ge" else s < F.col("value")
-    crossed = scored.crossJoin(table).withColumn("_flag", flag)
-    aggs = [F.count_if("_flag").alias("detected_count")]
+    label = [F.coalesce(F.col(LABEL), F.lit(False)).alias("_label")] if labels else []
+    places = scored.groupBy(grid_place(F.col(score_col), grid, flag_rule).alias("_place"), *label).agg(
+        F.count(F.lit(1)).alias("_rows"))  # one row more than the grid has, by label
+    flagged = places.crossJoin(F.broadcast(spark.createDataFrame(
+        [(i, rank) for i, rank in enumerate(grid_ranks(grid, flag_rule))], "grid_idx INT, rank INT")))
+    flagged = flagged.withColumn("_flag", F.col("_place") > F.col("rank"))
+
+    def rows_where(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("_rows"))), F.lit(0))
+
+    aggs = [rows_where(F.col("_flag")).alias("detected_count")]
     if labels:
-        aggs += confusion_columns(F.col(LABEL), F.col("_flag")) + [F.count_if(F.col(LABEL)).alias("labeled_anomaly_count")]
-    rows = crossed.groupBy("grid_idx").agg(*aggs)
+        actual, flag = F.col("_label"), F.col("_flag")
+        aggs += [rows_where(~actual & ~flag).alias("tn"), rows_where(~actual & flag).alias("fp"),
+                 rows_where(actual & ~flag).alias("fn"), rows_where(actual & flag).alias("tp"),
+                 rows_where(actual).alias("labeled_anomaly_count")]
+    rows = flagged.groupBy("grid_idx").agg(*aggs)
     if labels:
         rows = rows.select("*", *classification_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
     return [r.asDict() for r in sorted(rows.collect(), key=lambda r: r["grid_idx"])]
 
 
+def grid_place(score: Column, grid: Sequence[float], flag_rule: str = "ge") -> Column:
+    """How many values of the grid flag a score; none flags a missing one."""
+
+    x = known(score)
+    place = F.lit(0)
+    for v in grid:
+        place = place + F.when(x >= v if flag_rule == "ge" else x < v, 1).otherwise(0)
+    return place
+
+
+def grid_ranks(grid: Sequence[float], flag_rule: str = "ge") -> list[int]:
+    """By grid value: a score is flagged by it just when its ``grid_place`` is above this number."""
+
+    return [sum(w < v if flag_rule == "ge" else w > v for w in grid) for v in grid]
+
+
 def payload(r: dict[str, Any], labels: bool) -> dict[str, Any]:
     out = {"detected_count": r["detected_count"], "labeled_anomaly_count": None, "precision": None,
            "recall": None, "macro_f1": None, "confusion_matrix": None}
@@ -132,14 +159,16 @@ def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared
     sup = prepare_supervised(panel, fc)
     if "target_is_anomaly" in sup.frame.columns:  # align_labels="target": the label of load[t+h]
         sup.frame = sup.frame.withColumn("is_anomaly", F.col("target_is_anomaly")).drop("target_is_anomaly")
+    numbered = "isolation_forest" in cfg.methods  # it draws its samples by position
     if three_way:
         split = train_validation_test_split(
             sup.frame, validation_size=cfg.validation_size, test_size=cfg.test_size,
             split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows,
+            numbered=numbered,
         )
     else:
         split = train_test_split(sup.frame, cfg.test_size, split_method=cfg.split_method,
-                                 random_state=cfg.random_state, rows=sup.rows)
+                                 random_state=cfg.random_state, rows=sup.rows, numbered=numbered)
     extra = {"center": sup.means} if cfg.model == "ridge" else {}
     model = fit_forecaster(split.part("train"), sup.features, fc.target_column, cfg.model,
                            forecast_horizon=cfg.forecast_horizon, random_state=cfg.random_state, **extra)
@@ -279,10 +308,10 @@ def residual_tuning_frame(
 ) -> DataFrame:
     """E4 + E6 + O5 as one lazy plan over a split frame (``split``, ``residual``[, ``actual_anomaly``]).
 
-    Detectors are fitted once on train; validation scores meet the grid
-    table (one row per method and grid value, broadcast) in an equi-join on
-    ``method``; the first maximum of macro F1 per method is picked with a
-    window over that tiny candidate table; test rows are scored with it.
+    Detectors are fitted once on train; validation rows are counted by method,
+    place in the method's grid and label, and only these few counts meet the
+    grid; the first maximum of macro F1 per method is picked with a window over
+    the candidates; test rows are scored with it.
     Returns method, threshold, detected_count and, with labels, the
     confusion counts and precision / recall / macro F1 on test.
     """
@@ -295,23 +324,28 @@ def residual_tuning_frame(
     val_parts, test_parts, grid_rows = [], [], []
     for method in methods:
         d = _residual_detector(method, 0.0).fit_residuals(train, "residual")
-        val_parts.append(d.score_residuals(val, "residual").select(F.lit(method).alias("method"), "anomaly_score", *label_cols))
-        test_parts.append(d.score_residuals(test, "residual").select(F.lit(method).alias("method"), "anomaly_score", *label_cols))
         grid = ZSCORE_GRID if method == "residual_zscore" else ROBUST_GRID
-        grid_rows += [(method, i, float(t)) for i, t in enumerate(grid)]
+        val_parts.append(d.score_residuals(val, "residual").select(
+            F.lit(method).alias("method"), grid_place(F.col("anomaly_score"), grid).alias("_place"), *label_cols))
+        test_parts.append(d.score_residuals(test, "residual").select(F.lit(method).alias("method"), "anomaly_score", *label_cols))
+        grid_rows += [(method, i, float(t), rank) for i, (t, rank) in enumerate(zip(grid, grid_ranks(grid), strict=True))]
     val_all, test_all = val_parts[0], test_parts[0]
     for v, t in zip(val_parts[1:], test_parts[1:]):
         val_all, test_all = val_all.unionByName(v), test_all.unionByName(t)
     if labels:
-        grid = F.broadcast(spark.createDataFrame(grid_rows, "method STRING, grid_idx INT, threshold DOUBLE"))
-        flagged = val_all.join(grid, "method").withColumn("_flag", F.col("anomaly_score") >= F.col("threshold"))
-        cands = flagged.groupBy("method", "grid_idx", "threshold").agg(*confusion_columns(F.col(LABEL), F.col("_flag")))
+        grid = F.broadcast(spark.createDataFrame(grid_rows, "method STRING, grid_idx INT, threshold DOUBLE, rank INT"))
+        counts = val_all.groupBy("method", "_place", LABEL).agg(F.count(F.lit(1)).alias("_rows"))  # at most 36 rows
+        flagged = counts.join(grid, "method").withColumn("_flag", F.col("_place") > F.col("rank"))
+        actual = F.coalesce(F.col(LABEL), F.lit(False))
+        cells = {"tn": ~actual & ~F.col("_flag"), "fp": ~actual & F.col("_flag"), "fn": actual & ~F.col("_flag"), "tp": actual & F.col("_flag")}
+        cands = flagged.groupBy("method", "grid_idx", "threshold").agg(*[
+            F.coalesce(F.sum(F.when(cell, F.col("_rows"))), F.lit(0)).alias(name) for name, cell in cells.items()])
         cands = cands.select("*", *classification_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
         rank = F.row_number().over(Window.partitionBy("method").orderBy(F.col("macro_f1").desc(), F.col("grid_idx")))
         best = cands.withColumn("_rank", rank).where(F.col("_rank") == 1).select("method", "threshold")
     else:
         best = spark.createDataFrame([(m, float(DEFAULT_THRESHOLDS[m])) for m in methods], "method STRING, threshold DOUBLE")
-    scored = test_all.join(F.broadcast(best), "method").withColumn("_flag", F.col("anomaly_score") >= F.col("threshold"))
+    scored = test_all.join(F.broadcast(best), "method").withColumn("_flag", flagged_at(F.col("anomaly_score"), F.col("threshold")))
     aggs = [F.count_if("_flag").alias("detected_count")]
     if labels:
         aggs += confusion_columns(F.col(LABEL), F.col("_flag"))

@@ -2,6 +2,8 @@
 
 A request table has one row per record:
 ``request_id BIGINT, record_idx BIGINT, features MAP<STRING,DOUBLE>, actual_load_mw DOUBLE``.
+Documents as they arrive, whose records must not be mixed up, are judged and
+answered in ``plans.documents``.
 Per-request rules (size limits, "actual for all or none", features missing
 from every record) come from one ``groupBy(request_id)`` aggregate joined
 back on the request id -- no window, so a huge request is aggregated with
@@ -146,7 +148,9 @@ def _predicted(req: DataFrame, model: RidgeModel) -> DataFrame:
         ", ", *[F.when(F.col(f"_p{i}") == 0, F.lit(n)) for i, n in enumerate(names)]
     )
     covered = present.select("request_id", "_n", "_a", missing.alias("_missing"))
-    rows = req.join(covered, "request_id").select(F.struct("*").alias("_req"), *map_to_features("features", names))
+    covered = covered.withColumnRenamed("request_id", "_id")
+    # records without a request_id are one request of this table; documents without ids: see ``plans.documents``
+    rows = req.join(covered, F.col("request_id").eqNullSafe(F.col("_id"))).drop("_id").select(F.struct("*").alias("_req"), *map_to_features("features", names))
     expanded = rows.select("*", F.col("_req._missing").alias("_missing"))
     pred = model.prediction_column()
     return expanded.select(

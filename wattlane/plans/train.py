@@ -83,7 +83,7 @@ def run_training(
     sup = prepare_supervised(panel, fc)
     split: NumberedSplit = train_test_split(
         sup.frame, cfg.test_size, split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows,
-        purge=cfg.purge,
+        purge=cfg.purge, numbered=False,
     )
     labeled = split.frame
     extra = {"center": sup.means} if cfg.model == "ridge" else {}

@@ -114,5 +114,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder on whatever storage its name says."""
+
+    jvm = spark._jvm
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, name = _folder(spark, path)
+    fs.delete(name, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """``staged`` becomes ``path``; what was there goes."""
+
+    fs, old = _folder(spark, path)
+    fs.delete(old, True)
+    if not fs.rename(_folder(spark, staged)[1], old):
+        raise OSError(f"could not rename {staged} to {path}")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from wattlane.functions.jsonsafe import json_safe
+from wattlane.operators.validate import csv_timestamps
 from wattlane.schema import CANONICAL_COLUMNS
 
 
@@ -34,14 +35,14 @@ def read_json_metrics(spark: SparkSession, path: str) -> dict[str, Any]:
 
 
 def write_canonical(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """S3: six canonical columns, in order, with a header."""
+    """S3: six canonical columns, in order; a CSV has a header, doubled quotes and whole fractions of seconds."""
 
     out = df.select(*CANONICAL_COLUMNS)
-    writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.format(fmt).save(path)
+        texts = csv_timestamps(out)
+        texts.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        return path
+    out.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
