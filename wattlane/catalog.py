@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.catalog_documents import QUERIES as DOCUMENT_QUERIES
+from wattlane.catalog_models import QUERIES as MODEL_QUERIES
 from wattlane.catalog_panels import QUERIES as PANEL_QUERIES
 from wattlane.functions.jsonsafe import iso_timestamp
 from wattlane.operators import detectors as det
@@ -689,6 +690,6 @@ QUERIES["zone_ridge_forecast"] = zone_ridge_forecast
 
 # ---------------------------------------------------------------- queries of the other modules
 
-for more in (DOCUMENT_QUERIES, PANEL_QUERIES):
+for more in (DOCUMENT_QUERIES, PANEL_QUERIES, MODEL_QUERIES):
     ORACLE_QUERIES.update(more)
     QUERIES.update(more)

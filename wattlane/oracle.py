@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from wattlane.catalog_documents import ORACLES as DOCUMENT_ORACLES
+from wattlane.catalog_models import oracles as model_oracles
 from wattlane.catalog_panels import ORACLES as PANEL_ORACLES
 from wattlane.operators.validate import NUMERIC_PATTERN
 from wattlane.schema import NULL_TOKENS
@@ -489,7 +490,7 @@ FROM p"""
   m AS (SELECT zone, {_metrics('load_mw', 'lag_7').replace("round(", "(").replace(", 6) AS", ") AS")}
         FROM l WHERE lag_7 IS NOT NULL GROUP BY zone)
 SELECT zone, rows, {_sig('mae', 10)} AS mae, {_sig('rmse', 10)} AS rmse, round(mape, 6) AS mape, round(r2, 6) AS r2 FROM m"""
-    return {**{k: _stable_round(v) for k, v in q.items()}, **DOCUMENT_ORACLES, **PANEL_ORACLES}
+    return {**{k: _stable_round(v) for k, v in q.items()}, **DOCUMENT_ORACLES, **PANEL_ORACLES, **model_oracles()}
 
 
 def _stable_round(sql: str) -> str:

@@ -129,6 +129,7 @@ class AnomalyConfig:
     isolation_contamination: float | str = "auto"
     strict_single_zone: bool = True
     feature: FeatureConfig | None = None
+    excluded_columns: tuple[str, ...] = ()  # numeric columns that are no features
     align_labels: str = "timestamp"  # "target": compare the label at t+h with the residual of load[t+h]
 
     def __post_init__(self) -> None:
@@ -156,7 +157,7 @@ class _Prepared:
 def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared:
     _check_methods(cfg.methods)
     fc = cfg.feature_config() if "is_anomaly" in panel.columns else (cfg.feature or FeatureConfig(forecast_horizon=cfg.forecast_horizon))
-    sup = prepare_supervised(panel, fc)
+    sup = prepare_supervised(panel, fc, cfg.excluded_columns)
     if "target_is_anomaly" in sup.frame.columns:  # align_labels="target": the label of load[t+h]
         sup.frame = sup.frame.withColumn("is_anomaly", F.col("target_is_anomaly")).drop("target_is_anomaly")
     numbered = "isolation_forest" in cfg.methods  # it draws its samples by position

@@ -61,6 +61,7 @@ class BacktestConfig:
     strict_single_zone: bool = True
     feature: FeatureConfig | None = None
     purge: int = 0  # training rows end this many rows before each cut (use the horizon to avoid leakage)
+    excluded_columns: tuple[str, ...] = ()  # numeric columns that are no features
 
     def __post_init__(self) -> None:
         check_limits(self, {"forecast_horizon": 1})
@@ -122,8 +123,8 @@ def run_backtest(
     if cfg.strict_single_zone:
         check_single_zone(panel)
     fc = cfg.feature or FeatureConfig(forecast_horizon=cfg.forecast_horizon)
-    sup = prepare_supervised(panel, fc)
-    numbered = cut_lineage(chronological_row_number(sup.frame))
+    sup = prepare_supervised(panel, fc, cfg.excluded_columns)
+    numbered = chronological_row_number(sup.frame)  # written to the checkpoint folder, which all passes read
     spec = FoldSpec(cfg.initial_train_size, cfg.fold_size, cfg.step_size)
     count = spec.count(sup.rows)
     spark = panel.sparkSession

@@ -8,6 +8,7 @@ training residual statistics -> map-only scoring -> one confusion aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -52,6 +53,7 @@ class TrainConfig:
     threshold: float = 3.0
     feature: FeatureConfig | None = None
     purge: int = 0  # drop the last rows before the test cut (use the horizon to avoid target leakage)
+    excluded_columns: tuple[str, ...] = ()  # numeric columns that are no features
 
     def feature_config(self) -> FeatureConfig:
         return self.feature or FeatureConfig(forecast_horizon=self.forecast_horizon)
@@ -67,10 +69,10 @@ class TrainResult:
     supervised: Supervised = field(repr=False)
 
 
-def prepare_supervised(panel: DataFrame, fc: FeatureConfig) -> Supervised:
+def prepare_supervised(panel: DataFrame, fc: FeatureConfig, excluded: Iterable[str] = ()) -> Supervised:
     feat = build_feature_frame(panel, fc).persist(StorageLevel.MEMORY_AND_DISK)
     shifted = {f"target_{c}" for c in fc.lead_columns}  # shifted labels are never features
-    return build_supervised_frame(feat, fc.target_column, excluded_columns=shifted)
+    return build_supervised_frame(feat, fc.target_column, excluded_columns=shifted | set(excluded))
 
 
 def run_training(
@@ -80,7 +82,7 @@ def run_training(
 
     cfg = cfg or TrainConfig()
     fc = cfg.feature_config()
-    sup = prepare_supervised(panel, fc)
+    sup = prepare_supervised(panel, fc, cfg.excluded_columns)
     split: NumberedSplit = train_test_split(
         sup.frame, cfg.test_size, split_method=cfg.split_method, random_state=cfg.random_state, rows=sup.rows,
         purge=cfg.purge, numbered=False,
