@@ -148,3 +148,33 @@ def test_empty_tables(spark):
 def test_secret_scan_runs_no_python(docs):
     plan = secrets.secret_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_long_runs_and_many_matches_take_linear_time(spark):
+    import time
+
+    rng = random.Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    low = "".join(rng.choices("ab1", k=500_000))
+    run = low + "".join(rng.choices(alphabet, k=500_000))
+    many = " ".join("".join(rng.choices("0123456789abcdef", k=24)) for _ in range(100_000))
+    took, found = [], []
+    for text in ("short", run, many):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        found.append(secrets.secret_report(df).first())
+        took.append(time.perf_counter() - start)
+    assert found[1].spans == "entropy:0:1000000"
+    assert found[2].n_hex == 100_000 and found[2].spans.count(",") == 99_999 and "entropy" not in found[2].spans
+    assert max(took[1:]) - took[0] < 30  # a few seconds on a quiet machine; quadratic time would take hours
+
+
+def test_entropy_spans_inside_base_spans_go(spark):
+    token = "a9" + "Zk3" * 8 + "Qw7"
+    texts = [f"token = {token} and {token}", f"{'ab1' * 9} secret: {'c4' * 15}", " ".join(f"token={token}{i}" for i in range(50))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in secrets.secret_report(df).collect()}
+    assert [s[0] for s in got[0]] == ["assign", "entropy"] and [s[0] for s in got[2]] == ["assign"] * 50
+    for spans in got.values():
+        inside = [(int(a), int(b)) for k, a, b in spans if k != "entropy"]
+        assert not any(x <= int(a) and int(b) <= y for k, a, b in spans if k == "entropy" for x, y in inside)

@@ -156,24 +156,44 @@ c AS (
 base AS (
   SELECT * FROM c WHERE rank IN (1, 2)
     OR rank = 0 AND length(regexp_extract(m, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6),
+runs AS (SELECT DISTINCT m FROM c WHERE rank = 3 AND regexp_matches(m, '[0-9]')),
+cut AS (SELECT m, regexp_extract_all(m, '[+/=_-]+|[^+/=_-]+') AS pieces FROM runs WHERE regexp_matches(m, '[+/=_-]')),
+pe AS (
+  SELECT m AS run, pieces[i] AS m, coalesce(list_sum(list_transform(pieces[1:i - 1], lambda x: length(x))), 0)::BIGINT AS at
+  FROM (SELECT *, unnest(range(1, len(pieces) + 1)) AS i FROM cut)),
+strings AS (
+  SELECT m FROM runs UNION SELECT m FROM pe WHERE length(m) >= 20 AND NOT regexp_full_match(m, '[+/=_-]+')),
+judged AS (
+  SELECT m, regexp_matches(m, '(?i:example|sample|placeholder|changeme|dummy|xxxx|your-|your_|0123456789|1234567890|abcdefgh)') AS worded,
+    length(m) < 40 AND regexp_matches(m, '(?i:example|sample|placeholder|changeme|dummy|xxxx|your-|your_|0123456789|1234567890|abcdefgh)')
+    OR regexp_full_match(m, '[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}')
+    OR regexp_full_match(m, '[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,4}') OR regexp_full_match(m, '[0-9TZ:_-]+') AS allowed
+  FROM strings),
+parts AS (
+  SELECT m, unnest(CASE WHEN worded THEN string_split_regex(m, '(?i:example|sample|placeholder|changeme|dummy|xxxx|your-|your_|0123456789|1234567890|abcdefgh)') ELSE [m] END) AS p FROM judged WHERE NOT allowed),
 cand AS (
-  SELECT *, CASE
-    WHEN regexp_full_match(m, '[0-9A-Fa-f]+') AND regexp_matches(m, '[A-Fa-f]') THEN 3.0
-    WHEN regexp_full_match(m, '[0-9A-Za-z]+') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') THEN 3.7
-    WHEN regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[+/=_-]') THEN 3.8 END AS threshold
-  FROM c WHERE rank = 3 AND regexp_matches(m, '[0-9]')
-    AND NOT regexp_matches(lower(m), 'example|sample|placeholder|changeme|dummy|xxxx|your-|your_|0123456789|1234567890|abcdefgh')
-    AND NOT regexp_full_match(m, '[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}')
-    AND NOT regexp_full_match(m, '[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,4}') AND NOT regexp_full_match(m, '[0-9TZ:_-]+')),
-w AS (SELECT DISTINCT m, threshold, unnest(range(1, length(m) - 18)) AS i FROM cand WHERE threshold IS NOT NULL),
-ch AS (SELECT m, threshold, i, unnest(string_split(substr(m, i, 20), '')) AS ch FROM w),
-n AS (SELECT m, threshold, i, ch, count(*) AS n FROM ch GROUP BY ALL),
-h AS (SELECT m, threshold, i, log2(20) - sum(n * log2(n)) / 20 AS bits FROM n GROUP BY ALL),
-high AS (SELECT m FROM h GROUP BY m, threshold HAVING max(bits) >= threshold),
+  SELECT DISTINCT p, CASE
+    WHEN regexp_full_match(p, '[0-9A-Fa-f]+') AND regexp_matches(p, '[0-9]') AND regexp_matches(p, '[A-Fa-f]') THEN 3.0
+    WHEN regexp_full_match(p, '[a-z0-9]+') AND regexp_matches(p, '[0-9][a-z]+[0-9]') THEN 3.5
+    WHEN regexp_full_match(p, '[A-Z0-9]+') AND regexp_matches(p, '[0-9][A-Z]+[0-9]') THEN 3.4
+    WHEN regexp_full_match(p, '[A-Za-z0-9]+') AND regexp_matches(p, '[0-9]') AND regexp_matches(p, '[A-Z]')
+      AND regexp_matches(p, '[a-z]') THEN 3.7
+    WHEN regexp_matches(p, '[0-9]') AND regexp_matches(p, '[A-Z]') AND regexp_matches(p, '[a-z]')
+      AND regexp_matches(p, '[+/=_-]') THEN 3.8 END AS threshold
+  FROM parts WHERE length(p) >= 20),
+w AS (SELECT p, threshold, unnest(range(1, length(p) - 18)) AS i FROM cand WHERE threshold IS NOT NULL),
+ch AS (SELECT p, threshold, i, unnest(string_split(substr(p, i, 20), '')) AS ch FROM w),
+n AS (SELECT p, threshold, i, ch, count(*) AS n FROM ch GROUP BY ALL),
+h AS (SELECT p, threshold, i, log2(20) - sum(n * log2(n)) / 20 AS bits FROM n GROUP BY ALL),
+high AS (SELECT p FROM h GROUP BY p, threshold HAVING max(bits) >= threshold),
+secret AS (SELECT DISTINCT m FROM parts WHERE p IN (SELECT p FROM high)),
+found AS (
+  SELECT doc_id, rank, kind, m, start FROM c WHERE rank = 3 AND m IN (SELECT m FROM secret)
+  UNION ALL SELECT c.doc_id, c.rank, c.kind, pe.m, c.start + pe.at FROM c JOIN pe ON pe.run = c.m JOIN judged ON judged.m = c.m
+    WHERE c.rank = 3 AND NOT judged.allowed AND c.m NOT IN (SELECT m FROM secret) AND pe.m IN (SELECT m FROM secret)),
 added AS (
-  SELECT * FROM c WHERE rank = 3 AND m IN (SELECT m FROM high)
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start <= c.start
-      AND c.start + length(c.m) <= b.start + length(b.m))),
+  SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = f.doc_id AND b.start <= f.start
+      AND f.start + length(f.m) <= b.start + length(b.m))),
 spans AS (
   SELECT doc_id, rank, start, kind || ':' || start || ':' || (start + length(m)) AS span
   FROM (FROM base UNION ALL BY NAME SELECT * FROM added)),

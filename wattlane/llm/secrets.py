@@ -8,6 +8,7 @@ leaves, only their two counts and terms change.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,51 +63,108 @@ class SecretConfig:
     )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often and wherever ``use`` names it."""
+
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(pairs: Column) -> Column:
+    """Array of (start, m) from an array of (gap before, m).
+
+    The offsets are running sums in two levels, in blocks of about the root of
+    the array's size: an array that grows by one element a step is copied each time.
+    """
+
+    def summed(block: Column) -> Column:
+        nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("found"))
+
+        def step(acc: Column, pair: Column) -> Column:
+            at = acc["at"] + F.length(pair["gap"])
+            return F.struct((at + F.length(pair["m"])).alias("at"),
+                            F.concat(acc["found"], F.array(F.struct(at.alias("start"), pair["m"].alias("m")))).alias("found"))
+
+        return F.aggregate(block, nothing, step)
+
+    def joined(pairs: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(pairs).cast("double"))).cast("int")
+        firsts = F.sequence(F.lit(1), F.size(pairs), width)
+        blocks = F.transform(firsts, lambda i: summed(F.slice(pairs, i, width)))
+        nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,m:string>>>").alias("found"))
+
+        def step(acc: Column, block: Column) -> Column:
+            moved = F.transform(block["found"], lambda x: F.struct((x["start"] + acc["at"]).alias("start"), x["m"].alias("m")))
+            return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["found"], F.array(moved)).alias("found"))
+
+        return F.flatten(F.aggregate(blocks, nothing, step, lambda acc: acc["found"]))
+
+    return _bound(pairs, joined)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """Array of (start, m) of all matches of a pattern without empty matches, leftmost and not overlapping."""
 
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("found"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        at = acc["at"] + F.length(pair["gap"])
-        return F.struct((at + F.length(pair["m"])).alias("at"),
-                        F.concat(acc["found"], F.array(F.struct(at.alias("start"), pair["m"].alias("m")))).alias("found"))
-
     pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches,
                        lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, start, step, lambda acc: acc["found"])).otherwise(
+    return F.when(F.rlike(text, F.lit(pattern)), _placed(pairs)).otherwise(
         F.array().cast("array<struct<start:int,m:string>>"))
 
 
 def window_entropy(chars: Column, window: int) -> Column:
     """Highest Shannon entropy, in bits per character, of any ``window`` neighbouring characters of an array.
 
-    A shorter array is one window of its own; an empty one has 0.
+    A shorter array is one window of its own; an empty one has 0. The time a
+    character takes depends on the alphabet alone, not on the length.
     """
 
+    return _bound(chars, lambda bound: _window_entropy(bound, window))
+
+
+def _window_entropy(chars: Column, window: int) -> Column:
     width = F.least(F.size(chars), F.lit(window))
-    counts = F.map_from_arrays(F.array_distinct(chars), F.transform(F.array_distinct(chars), lambda _: F.lit(0)))
-    start = F.struct(F.lit(0).alias("i"), counts.alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
+    bits = window.bit_length()  # a count fits in so many bits; several share a long
+    per = 60 // bits
+
+    def place(at: Column) -> Column:
+        """Which long a character is counted in, by how many bits its count is shifted, and its one."""
+
+        shift = (at % per * bits).cast("int")
+        return F.struct(F.floor(at / per).alias("lane"), shift.alias("shift"),
+                        F.call_function("shiftleft", F.lit(1).cast("long"), shift).alias("one"))
 
     def term(n: Column) -> Column:
         return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(0.0)
 
-    def step(acc: Column, char: Column) -> Column:
-        gone = F.get(chars, acc["i"] - F.lit(window))  # null while the first window fills
-        same = F.coalesce(gone == char, F.lit(False))
-        n_in, n_out = acc["n"][char], F.coalesce(acc["n"][gone], F.lit(0))
-        moved = F.transform_values(acc["n"], lambda k, v: v + F.when(k == char, 1).otherwise(0)
-                                   - F.when(F.coalesce(k == gone, F.lit(False)), 1).otherwise(0))
-        change = F.when(same, 0.0).otherwise(term(n_in + 1) - term(n_in) + term(n_out - 1) - term(n_out))
-        total = acc["s"] + change
-        entropy = F.log2(width.cast("double")) - total / width
-        full = acc["i"] + 1 >= width
-        return F.struct((acc["i"] + 1).alias("i"), moved.alias("n"), total.alias("s"),
-                        F.when(full, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"))
+    def carried(places: Column, lanes: Column) -> Column:
+        start = F.struct(F.lit(0).alias("i"), lanes.alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
+
+        def step(acc: Column, come: Column) -> Column:
+            gone = F.get(places, acc["i"] - F.lit(window))  # null while the first window fills
+
+            def count(x: Column) -> Column:
+                return F.call_function("shiftright", F.get(acc["n"], x["lane"]), x["shift"]).bitwiseAND(F.lit((1 << bits) - 1))
+
+            same = F.coalesce((gone["lane"] == come["lane"]) & (gone["shift"] == come["shift"]), F.lit(False))
+            n_in, n_out = count(come), F.coalesce(count(gone), F.lit(0))
+            moved = F.transform(acc["n"], lambda v, k: v + F.when(k == come["lane"], come["one"]).otherwise(0)
+                                - F.when(F.coalesce(k == gone["lane"], F.lit(False)), gone["one"]).otherwise(0))
+            change = F.when(same, 0.0).otherwise(term(n_in + 1) - term(n_in) + term(n_out - 1) - term(n_out))
+            total = acc["s"] + change
+            entropy = F.log2(width.cast("double")) - total / width
+            full = acc["i"] + 1 >= width
+            return F.struct((acc["i"] + 1).alias("i"), moved.alias("n"), total.alias("s"),
+                            F.when(full, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"))
 
-    return F.when(F.size(chars) > 0, F.aggregate(chars, start, step, lambda acc: acc["best"])).otherwise(0.0)
+        return F.aggregate(places, start, step, lambda acc: acc["best"])
+
+    def over(distinct: Column) -> Column:
+        lanes = F.array_repeat(F.lit(0).cast("long"), F.ceil(F.size(distinct) / per).cast("int"))
+        places = F.transform(chars, lambda c: place(F.array_position(distinct, c) - 1))
+        return _bound(places, lambda p: _bound(lanes, lambda n: carried(p, n)))
+
+    return F.when(F.size(chars) > 0, _bound(F.array_distinct(chars), over)).otherwise(0.0)
 
 
 def _has_word(m: Column, cfg: SecretConfig) -> Column:
@@ -195,9 +253,39 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  spans(_located(whole, HEX), "hex")).alias("base"),
         spans(_entropy_spans(whole, cfg), "entropy").alias("added"),
     )
-    outside = F.filter("added", lambda x: ~F.exists(
-        "base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
-    return docs.select("doc_id", F.array_sort(F.concat("base", outside)).alias("found"))
+    return docs.select("doc_id", _bound(F.array_sort(F.concat("base", "added")), _outside_base).alias("found"))
+
+
+def _outside_base(spans: Column) -> Column:
+    """Sorted spans without the entropy spans that lie inside a base span.
+
+    A base span that holds another stands before it, so it is enough to know how
+    far the base spans before reach; as in ``_placed``, block by block.
+    """
+
+    base = len(BASE_KINDS)
+    width = F.ceil(F.sqrt(F.size(spans).cast("double"))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(1), F.size(spans), width), lambda i: F.slice(spans, i, width))
+
+    def reach(acc: Column, x: Column) -> Column:
+        return F.when(x["rank"] < base, F.greatest(acc, x["end"])).otherwise(acc)
+
+    def swept(blocks: Column) -> Column:
+        tops = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), reach))
+        first = F.struct(F.lit(0).alias("top"), F.array().cast("array<int>").alias("tops"))
+        before = F.aggregate(tops, first, lambda acc, t: F.struct(
+            F.greatest(acc["top"], t).alias("top"), F.concat(acc["tops"], F.array(acc["top"])).alias("tops")), lambda acc: acc["tops"])
+
+        def kept(block: Column, top: Column) -> Column:
+            none = F.struct(top.alias("top"), F.slice(block, 1, 0).alias("found"))
+            return F.aggregate(block, none, lambda acc, x: F.struct(
+                reach(acc["top"], x).alias("top"),
+                F.when((x["rank"] < base) | (x["end"] > acc["top"]), F.concat(acc["found"], F.array(x))).otherwise(
+                    acc["found"]).alias("found")), lambda acc: acc["found"])
+
+        return F.flatten(F.zip_with(blocks, before, kept))
+
+    return F.when(F.size(spans) > 0, _bound(blocks, swept)).otherwise(spans)
 
 
 def _joined(spans: Column) -> Column:
