@@ -129,3 +129,42 @@ def test_models_fill_nan_as_null(spark):
     iso = [fit_isolation_forest(make(g).select("a", "b"), ["a", "b"], trees=5) for g in (NAN, None)]
     assert not iso[0].nodes["threshold"].isna().any() or iso[0].nodes["threshold"].notna().any()
     assert iso[0].score(same).where("anomaly_score IS NULL OR isnan(anomaly_score)").count() == 0
+
+
+def test_store_keeps_models_and_versions_apart(spark, tmp_path):
+    from wattlane.operators.ridge import fit_ridge_by
+    from wattlane.sources import artifacts, store
+
+    path = str(tmp_path / "store")
+    rows = [(z, float(i % 7), float(i * i % 11), 3.0 * i + z) for z in (1, 2, 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "zone int, a double, b double, y double")
+    with pytest.raises(KeyError):
+        store.get(spark, path, "ridge")
+    one, two = fit_ridge(df, ["a", "b"], "y"), fit_ridge(df.where("zone = 1"), ["a"], "y")
+    assert (store.put(spark, path, "ridge", one), store.put(spark, path, "ridge", two), store.put(spark, path, "other", two)) == (1, 2, 1)
+    assert store.get(spark, path, "ridge", 1) == one and store.get(spark, path, "ridge") == two == store.get(spark, path, "other")
+    zones = fit_ridge_by(df, ["a", "b"], "y", ["zone"])
+    det_z = det.ResidualZScoreDetector(2.0, by=("zone",)).fit(df, "y", "a")
+    det_r = det.RobustResidualDetector(2.5).fit(df, "y", "a")
+    iso = fit_isolation_forest(df, ["a", "b"], trees=3)
+    for name, obj in (("zones", zones), ("z", det_z), ("r", det_r), ("iso", iso)):
+        store.put(spark, path, name, obj)
+        back = store.get(spark, path, name)
+        assert type(back) is type(obj)
+        if name == "zones":
+            total = lambda m: m.predict(df).agg(F.sum("prediction")).first()[0]
+            assert total(back) == pytest.approx(total(obj))
+        else:
+            score = lambda d: sorted(r.anomaly_score for r in (d.score(df) if name == "iso" else d.score(df, "y", "a")).collect())
+            assert score(back) == score(obj)
+    assert dict(store.get(spark, path, "z").params_.dtypes)["zone"] == "int"
+    assert sorted((r.model_id, r.version) for r in store.versions(spark, path).collect()) == [
+        ("iso", 1), ("other", 1), ("r", 1), ("ridge", 1), ("ridge", 2), ("z", 1), ("zones", 1)]
+    with pytest.raises(KeyError):
+        store.get(spark, path, "ridge", 9)
+    with pytest.raises(ValueError, match="fitted"):
+        store.put(spark, path, "x", det.ResidualZScoreDetector())
+    with pytest.raises(ValueError, match="model_id"):
+        store.put(spark, path, "a/b", one)
+    loaded = artifacts.load_detector(spark, artifacts.save_detector(spark, det_z, str(tmp_path / "single")))
+    assert dict(loaded.params_.dtypes)["zone"] == "int" and loaded.residual_mean_ == det_z.residual_mean_

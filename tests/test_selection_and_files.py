@@ -127,3 +127,40 @@ def test_a_broken_rule_leaves_the_target_as_it_was(spark, tmp_path, fmt):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
     back = write_validated(good.where(F.col("load_mw") == "1"), path, fmt=fmt)
     assert [(r.load_mw, r.timestamp.microsecond) for r in back.collect()] == [(1.0, 123456)]
+
+
+def test_injected_events_compose_in_draw_order(spark):
+    import numpy as np
+
+    from wattlane.operators.inject import SHIFT_ROWS, inject_anomalies
+
+    start = datetime(2024, 1, 1)
+    rows = [(start + timedelta(hours=i), z, 500.0 + i) for z in ("a", "b") for i in range(150)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, zone string, load_mw double").withColumn("is_anomaly", F.lit("clash"))
+    got = {(r.zone, r.timestamp): r for r in inject_anomalies(df, 0.2, seed=7, floor=100.0).collect()}
+    assert len(got) == 300
+
+    def digest(zone, ts):
+        import hashlib
+
+        micros = (ts - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+        return hashlib.md5(f"7:{zone}:{micros}".encode()).hexdigest()
+
+    loads = {(z, t): v for t, z, v in rows}
+    kinds = {}
+    for key, (zone, ts) in sorted((digest(z, t), (z, t)) for t, z, _ in rows)[:60]:  # one event after the other
+        kind = ("spike", "drop", "level_shift")[int(key[8:16], 16) % 3]
+        u = int(key[16:24], 16) / 2**32
+        for i in range(SHIFT_ROWS if kind == "level_shift" else 1):
+            at = zone, ts + timedelta(hours=i)
+            if at in loads:
+                if kind == "level_shift":
+                    loads[at] += (1 if int(key[24:32], 16) % 2 == 0 else -1) * (90 + 70 * u)
+                else:
+                    loads[at] *= 1.35 + 0.45 * u if kind == "spike" else 0.45 + 0.25 * u
+                kinds[at] = kind
+    for at, r in got.items():
+        assert (r.is_anomaly, r.anomaly_type) == (at in kinds, kinds.get(at, "normal"))
+        assert abs(r.load_mw - np.round(max(loads[at], 100.0), 3)) < 2e-3
+    assert inject_anomalies(df, 0.0, rows=300).where("is_anomaly").count() >= 1
+    assert inject_anomalies(df.limit(3), 0.99).where("is_anomaly").count() == 3

@@ -11,15 +11,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.catalog_panels import scratch
+from wattlane.operators.detectors import ResidualZScoreDetector
 from wattlane.operators.features import FeatureConfig, add_forecast_target, add_lag_features
 from wattlane.operators.isoforest import IsolationForestModel, average_path_length
-from wattlane.operators.ridge import fit_ridge_by
+from wattlane.operators.ridge import fit_ridge, fit_ridge_by
 from wattlane.operators.splits import train_test_split
 from wattlane.plans.anomaly import AnomalyConfig, run_anomaly_evaluation, run_anomaly_tuning
 from wattlane.plans.backtest import BacktestConfig, run_backtest
 from wattlane.plans.requests import payload_json, payload_records
 from wattlane.plans.train import TrainConfig, run_training
 from wattlane.schema import TARGET
+from wattlane.sources import store
 from wattlane.sources.adapters import events_panel
 
 FEATURES = FeatureConfig(lag_periods=(24,), rolling_windows=())
@@ -140,7 +143,30 @@ def payload_rows(spark: SparkSession, sf: str) -> DataFrame:
                           (F.col("batch_record") == F.col("forecast_record")).alias("same"))
 
 
+def stored_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Two models and two versions of a detector by zone in one store; every version scores the test rows."""
+
+    path = scratch(spark, "store")
+    rows = add_forecast_target(add_lag_features(events_panel(spark, sf), FEATURES), FEATURES)
+    s = train_test_split(rows.na.drop(subset=["load_mw", "lag_24", TARGET]), 0.2, numbered=False)
+    train, test = s.part("train"), s.part("test")
+    store.put(spark, path, "pooled", fit_ridge(train, ["load_mw", "lag_24"], TARGET, impute=False))
+    store.put(spark, path, "by_zone", fit_ridge_by(train, ["load_mw", "lag_24"], TARGET, ["zone"]))
+    for part in (train, test):
+        store.put(spark, path, "detector", ResidualZScoreDetector(2.0, by=("zone",)).fit(part, TARGET, "load_mw"))
+    out = test
+    for name in ("pooled", "by_zone"):
+        out = store.get(spark, path, name).predict(out, name)
+    for version in (1, None):
+        d = store.get(spark, path, "detector", version)
+        out = d.score(out, TARGET, "load_mw").withColumnsRenamed({
+            "anomaly_score": f"score_{version or 'last'}", "is_anomaly": f"flag_{version or 'last'}"})
+    return out.select("zone", "timestamp", _round("pooled"), _round("by_zone"), _round("score_1"), "flag_1",
+                      _round("score_last"), "flag_last")
+
+
 QUERIES = {
+    "stored_models": stored_models,
     "training_scores": training_scores,
     "training_report": training_report,
     "zone_training": zone_training,
@@ -199,6 +225,15 @@ FROM predicted, zp WHERE split = 'test'""",
 SELECT (SELECT count(*) FROM train) AS train, a.rows AS test, mae, rmse, mape, r2, tn, fp, fn, tp, {_classify()} FROM a, c""",
         "zone_training": f"""WITH {PANEL}, {two}, {_ridge('train', 'zone')}
 SELECT zone, "timestamp", round(k0 + k1 * x1 + k2 * x2, 6) AS prediction FROM labeled JOIN k USING (zone) WHERE split = 'test'""",
+        "stored_models": f"""WITH {PANEL}, {two}, {_ridge('train')},
+  kz AS (WITH {_ridge('train', 'zone')} SELECT * FROM k),
+  d1 AS (SELECT zone, avg(y - x1) AS c, stddev_pop(y - x1) AS s FROM train GROUP BY zone),
+  d2 AS (SELECT zone, avg(y - x1) AS c, stddev_pop(y - x1) AS s FROM labeled WHERE split = 'test' GROUP BY zone),
+  z AS (SELECT zone, "timestamp", k.k0 + k.k1 * x1 + k.k2 * x2 AS p, kz.k0 + kz.k1 * x1 + kz.k2 * x2 AS pz,
+    abs((y - x1 - d1.c) / d1.s) AS s1, abs((y - x1 - d2.c) / d2.s) AS s2
+    FROM labeled CROSS JOIN k JOIN kz USING (zone) JOIN d1 USING (zone) JOIN d2 USING (zone) WHERE split = 'test')
+SELECT zone, "timestamp", round(p, 6) AS pooled, round(pz, 6) AS by_zone, round(s1, 6) AS score_1, s1 >= 2.0 AS flag_1,
+  round(s2, 6) AS score_last, s2 >= 2.0 AS flag_last FROM z""",
         "backtest_folds": f"""WITH {SINGLE}, {sup},
   numbered AS (SELECT *, row_number() OVER (ORDER BY "timestamp", zone) - 1 AS rn FROM sup),
   folds AS (SELECT unnest(range(0, (count(*) - 500 - 100) // 150 + 1)) AS fold FROM sup),

@@ -1,23 +1,18 @@
-"""G1: labelled anomaly injection onto any panel, deterministic and order-free.
+"""G1: labelled anomaly injection onto any panel, deterministic and independent of the rows' order.
 
 Re-aim of the reference's sequential injector as a Spark job:
 
-* every row gets a global chronological position ``g`` and a per-zone
-  position ``z`` (distributed row numbers);
-* a seeded integer hash of ``g`` (two Park-Miller steps, pure integer
-  arithmetic, identical in any SQL engine) ranks the rows; the first
-  ``max(1, round(n * fraction))`` are the anchors, drawn in that order;
-* each anchor's kind and magnitude come from further hash steps: spike
-  x U(1.35, 1.8), drop x U(0.45, 0.7), level shift +-U(90, 160) over the
-  anchor and the next ``span - 1`` rows of the same zone;
-* effects are exploded to their target (zone, z) keys, aggregated per target
-  (the anchor's own multiplier, the sum of covering shifts, the type of the
-  latest-drawn covering event) and joined back;
+* every row's key is a digest of the seed, its zone and its timestamp; the
+  ``max(1, round(n * fraction))`` smallest keys are the anchors, found by exact
+  selection (``selection.keys_at``), so that no row is sorted or numbered;
+* further digits of the key give the anchor's kind and magnitude: spike
+  x U(1.35, 1.8), drop x U(0.45, 0.7), level shift +-U(90, 160) over the anchor and
+  the next ``span - 1`` rows of its zone;
+* a row sees the events of the rows just before it through lags, which spread a
+  hot zone over blocks, and applies all that reach it one after the other in the
+  order of their keys, as the reference does in draw order: overlapping events
+  compose, and the last one names the row's type;
 * every load is then floored and rounded to 3 decimals.
-
-Composition is order-free: a row's own spike/drop multiplies its original
-value and covering shifts are added (the reference applies events in draw
-order, which differs only where a shift overlaps a spike or drop).
 """
 
 from __future__ import annotations
@@ -25,12 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.operators.ordering import chronological_row_number, row_number
+from wattlane.operators.features import FeatureConfig, add_lag_features
+from wattlane.operators.ordering import row_number
+from wattlane.operators.selection import keys_at
+from wattlane.schema import TIMESTAMP, ZONE
 
 # fixed values
 KINDS = ("spike", "drop", "level_shift")
-MODULUS = 2147483647
-MULTIPLIER = 48271
 # (low, width) of the uniform draws: spike x U(1.35, 1.8), drop x U(0.45, 0.7), shift U(90, 160)
 SPIKE_RANGE = (1.35, 0.45)
 DROP_RANGE = (0.45, 0.25)
@@ -38,12 +34,30 @@ SHIFT_RANGE = (90.0, 70.0)
 SHIFT_ROWS = 6
 
 
-def park_miller(x: Column) -> Column:
-    return (x * F.lit(MULTIPLIER)) % F.lit(MODULUS)
+def event_key(seed: int, zone: Column | None) -> Column:
+    """32 hex digits of a row, from the seed, its zone and its microseconds of wall-clock time."""
+
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{TIMESTAMP}`)").cast("string")
+    parts = [F.lit(f"{seed}"), *([zone.cast("string")] if zone is not None else []), micros]
+    return F.md5(F.concat_ws(":", *[F.coalesce(p, F.lit("")) for p in parts]))
+
+
+def _digits(key: Column, first: int) -> Column:
+    """Eight hex digits as a number; the first eight decide the order and are used for nothing else."""
 
+    return F.conv(F.substring(key, first, 8), 16, 10).cast("long")
 
-def anchor_key(position: Column, seed: int) -> Column:
-    return park_miller(park_miller((position + F.lit(seed)) % F.lit(MODULUS) + 1))
+
+def _event(key: Column) -> Column:
+    """(key, mult, shift, kind) of an anchor."""
+
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (_digits(key, 9) % 3 + 1).cast("int"))
+    u = _digits(key, 17) / F.lit(float(1 << 32))
+    mult = F.when(kind == "spike", F.lit(SPIKE_RANGE[0]) + F.lit(SPIKE_RANGE[1]) * u).when(
+        kind == "drop", F.lit(DROP_RANGE[0]) + F.lit(DROP_RANGE[1]) * u).otherwise(1.0)
+    sign = F.when(_digits(key, 25) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    shift = F.when(kind == "level_shift", sign * (F.lit(SHIFT_RANGE[0]) + F.lit(SHIFT_RANGE[1]) * u)).otherwise(0.0)
+    return F.struct(key.alias("key"), mult.alias("mult"), shift.alias("shift"), kind.alias("kind"))
 
 
 def inject_anomalies(
@@ -56,48 +70,35 @@ def inject_anomalies(
     rows: int | None = None,
     load_col: str = "load_mw",
 ) -> DataFrame:
+    """``df`` with its load changed by the events, ``is_anomaly`` and ``anomaly_type`` (normal, spike, drop, level_shift)."""
+
     if not 0.0 <= fraction < 1.0:
         raise ValueError("anomaly_fraction must be greater than or equal to 0 and less than 1.")
+    if span < 1:
+        raise ValueError("span must be positive.")
     n = rows if rows is not None else df.count()
     count = min(max(1, int(round(n * fraction))), n)
-    g = chronological_row_number(df, name="_g")
-    numbered = row_number(g, ["timestamp"], partition_by=["zone"], name="_z")
-    keyed = numbered.withColumn("_key", anchor_key(F.col("_g"), seed))
-    ranked = row_number(keyed.select("zone", "_z", "_g", "_key"), ["_key", "_g"], name="_a")
-    key = F.col("_key")
-    h1 = park_miller(key)
-    h2 = park_miller(h1)
-    h3 = park_miller(h2)
-    u = (h2 % 1_000_000) / F.lit(1_000_000.0)
-    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (h1 % 3 + 1).cast("int"))
-    mult = (
-        F.when(kind == "spike", F.lit(SPIKE_RANGE[0]) + F.lit(SPIKE_RANGE[1]) * u)
-        .when(kind == "drop", F.lit(DROP_RANGE[0]) + F.lit(DROP_RANGE[1]) * u)
-    )
-    sign = F.when(h3 % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-    shift = F.when(kind == "level_shift", sign * (F.lit(SHIFT_RANGE[0]) + F.lit(SHIFT_RANGE[1]) * u))
-    anchors = ranked.where(F.col("_a") < count).select(
-        "zone", "_z", F.col("_a").alias("draw"), kind.alias("kind"), mult.alias("mult"), shift.alias("shift")
-    )
-    reach = F.when(F.col("kind") == "level_shift", F.lit(span - 1)).otherwise(F.lit(0))
-    effects = anchors.select(
-        "zone", "_z", "draw", "kind", "mult", "shift", F.explode(F.sequence(F.lit(0), reach)).alias("_d")
-    ).withColumn("_z", F.col("_z") + F.col("_d"))
-    per_row = effects.groupBy("zone", "_z").agg(
-        F.max("mult").alias("_mult"),  # only the row's own anchor can multiply it
-        F.sum("shift").alias("_shift"),
-        F.max_by("kind", "draw").alias("_kind"),
-    )
-    joined = numbered.drop("_g").join(per_row, ["zone", "_z"], "left")
-    value = F.col(load_col) * F.coalesce(F.col("_mult"), F.lit(1.0)) + F.coalesce(F.col("_shift"), F.lit(0.0))
+    zoned = ZONE in df.columns
+    order = ["_key", TIMESTAMP, *([ZONE] if zoned else [])]
+    keyed = df.withColumn("_key", event_key(seed, F.col(ZONE) if zoned else None))
+    if count >= n:
+        marked = keyed.withColumn("_anchor", F.lit(True))
+    elif (cut := keys_at(keyed, order, [count], n)) is not None:
+        marked = keyed.crossJoin(F.broadcast(cut)).withColumn("_anchor", F.struct(*order) < F.col("cut0")).drop("cut0")  # one row
+    else:  # rows that share zone and timestamp around the cut
+        marked = row_number(keyed, order, name="_rank").withColumn("_anchor", F.col("_rank") < count).drop("_rank")
+    events = marked.withColumn("_event", F.when(F.col("_anchor"), _event(F.col("_key")))).drop("_anchor", "_key")
+    reach = range(1, span)
+    if reach:
+        events = add_lag_features(events, FeatureConfig(load_column="_event", lag_periods=tuple(reach)))
+    near = [F.when(F.col(f"lag_{i}.kind") == "level_shift", F.col(f"lag_{i}")) for i in reach]
+    here = events.withColumn("_events", F.array_sort(F.filter(F.array("_event", *near), lambda e: e.isNotNull())))
+    value = F.aggregate("_events", F.col(load_col).cast("double"), lambda v, e: v * e["mult"] + e["shift"])
     if floor is not None:
         value = F.greatest(value, F.lit(float(floor)))
     cols = [
         F.round(value, 3).alias(load_col) if c == load_col else F.col(c)
         for c in df.columns if c not in ("is_anomaly", "anomaly_type")
     ]
-    return joined.select(
-        *cols,
-        F.col("_kind").isNotNull().alias("is_anomaly"),
-        F.coalesce(F.col("_kind"), F.lit("normal")).alias("anomaly_type"),
-    )
+    last = F.get("_events", F.size("_events") - 1)["kind"]
+    return here.select(*cols, (F.size("_events") > 0).alias("is_anomaly"), F.coalesce(last, F.lit("normal")).alias("anomaly_type"))

@@ -198,36 +198,26 @@ FROM scores JOIN best USING (method) WHERE split = 'test' GROUP BY method, thres
     return head + "\n" + body
 
 
-def _pm(x: str) -> str:
-    return f"(({x}) * 48271) % 2147483647"
-
-
 def _inject() -> str:
-    key = _pm(_pm('("_g" + 42) % 2147483647 + 1'))
+    def digits(first: int) -> str:
+        return f"('0x' || k[{first}:{first + 7}])::BIGINT"
+
+    near = ", ".join(f"CASE WHEN (lag(e, {i}) OVER w).kind = 'level_shift' THEN lag(e, {i}) OVER w END" for i in range(1, 6))
     return f"""WITH {SINGLE},
-  num AS (SELECT *, row_number() OVER (ORDER BY "timestamp", zone) - 1 AS "_g",
-                 row_number() OVER (PARTITION BY zone ORDER BY "timestamp") - 1 AS "_z" FROM panel),
-  keyed AS (SELECT *, {key} AS k FROM num),
-  ranked AS (SELECT *, row_number() OVER (ORDER BY k, "_g") - 1 AS draw FROM keyed),
-  cnt AS (SELECT least(count(*), greatest(1, CAST(round_even(CAST(count(*) AS DOUBLE) * 0.02, 0) AS BIGINT))) AS c FROM panel),
-  hashed AS (SELECT zone, "_z", draw, {_pm('k')} AS h1, {_pm(_pm('k'))} AS h2, {_pm(_pm(_pm('k')))} AS h3
-             FROM ranked, cnt WHERE draw < c),
-  anchors AS (
-    SELECT zone, "_z", draw, kind,
-      CASE WHEN kind = 'spike' THEN CAST(1.35 AS DOUBLE) + CAST(0.45 AS DOUBLE) * u
-           WHEN kind = 'drop' THEN CAST(0.45 AS DOUBLE) + CAST(0.25 AS DOUBLE) * u END AS mult,
-      CASE WHEN kind = 'level_shift' THEN (CASE WHEN h3 % 2 = 0 THEN 1.0 ELSE -1.0 END)
-           * (CAST(90.0 AS DOUBLE) + CAST(70.0 AS DOUBLE) * u) END AS shift
-    FROM (SELECT *, CAST(h2 % 1000000 AS DOUBLE) / CAST(1000000.0 AS DOUBLE) AS u,
-                 CASE h1 % 3 WHEN 0 THEN 'spike' WHEN 1 THEN 'drop' ELSE 'level_shift' END AS kind FROM hashed)),
-  effects AS (SELECT zone, "_z" + d AS "_z", draw, kind, mult, shift
-              FROM anchors, unnest(range(0, CASE WHEN kind = 'level_shift' THEN 6 ELSE 1 END)) t(d)),
-  per_row AS (SELECT zone, "_z", max(mult) AS m, sum(shift) AS s, arg_max(kind, draw) AS kind
-              FROM effects GROUP BY zone, "_z")
-SELECT num.zone, num."timestamp",
-  round(greatest(load_mw * coalesce(m, 1.0) + coalesce(s, 0.0), 0.0), 3) AS load_mw,
-  per_row.kind IS NOT NULL AS is_anomaly, coalesce(per_row.kind, 'normal') AS anomaly_type
-FROM num LEFT JOIN per_row ON num.zone = per_row.zone AND num."_z" = per_row."_z\""""
+  keyed AS (SELECT *, md5('42:' || zone || ':' || epoch_us("timestamp")) AS k, count(*) OVER () AS n FROM panel),
+  ranked AS (SELECT *, row_number() OVER (ORDER BY k, "timestamp", zone) - 1 AS draw,
+    least(n, greatest(1, CAST(round_even(CAST(n AS DOUBLE) * 0.02, 0) AS BIGINT))) AS c FROM keyed),
+  drawn AS (SELECT *, CASE {digits(9)} % 3 WHEN 0 THEN 'spike' WHEN 1 THEN 'drop' ELSE 'level_shift' END AS kind,
+    {digits(17)}::DOUBLE / 4294967296.0::DOUBLE AS u, CASE WHEN {digits(25)} % 2 = 0 THEN 1.0 ELSE -1.0 END::DOUBLE AS sign FROM ranked),
+  events AS (SELECT *, CASE WHEN draw < c THEN {{'k': k, 'kind': kind,
+    'm': CASE kind WHEN 'spike' THEN 1.35::DOUBLE + 0.45::DOUBLE * u WHEN 'drop' THEN 0.45::DOUBLE + 0.25::DOUBLE * u ELSE 1.0::DOUBLE END,
+    'a': CASE WHEN kind = 'level_shift' THEN sign * (90.0::DOUBLE + 70.0::DOUBLE * u) ELSE 0.0::DOUBLE END}} END AS e FROM drawn),
+  near AS (SELECT *, list_sort(list_filter([e, {near}], lambda x: x IS NOT NULL)) AS es FROM events
+    WINDOW w AS (PARTITION BY zone ORDER BY "timestamp")),
+  folded AS (SELECT *, CASE WHEN len(es) > 0 THEN list_reduce(es, lambda x, y:
+    {{'k': y.k, 'kind': y.kind, 'm': x.m * y.m, 'a': x.a * y.m + y.a}}) END AS f FROM near)
+SELECT zone, "timestamp", round(greatest(load_mw * coalesce(f.m, 1.0::DOUBLE) + coalesce(f.a, 0.0::DOUBLE), 0.0::DOUBLE), 3) AS load_mw,
+  f IS NOT NULL AS is_anomaly, coalesce(f.kind, 'normal') AS anomaly_type FROM folded"""
 
 
 def _sig(x: str, digits: int = 9) -> str:

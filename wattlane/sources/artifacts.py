@@ -38,16 +38,19 @@ def save_detector(spark: SparkSession, detector: Detector, path: str) -> str:
         if params is None:
             raise ValueError("detector must be fitted before saving.")
         center, scale = ("residual_mean", "residual_std") if kind == "residual_zscore" else ("residual_median", "residual_mad")
-        table = params.select(F.to_json(F.struct(*detector.by)).alias("group_key"),
+        pooled = (detector.residual_mean_, detector.residual_std_) if kind == "residual_zscore" else (
+            detector.residual_median_, detector.residual_mad_)
+        table = params.select(F.struct(*detector.by).alias("group_key"),  # typed, a row per group in as many files as there are
                               F.col(center).alias("center"), F.col(scale).alias("scale"))
     else:
         center = detector.residual_mean_ if kind == "residual_zscore" else detector.residual_median_
         scale = detector.residual_std_ if kind == "residual_zscore" else detector.residual_mad_
         if center is None or scale is None:
             raise ValueError("detector must be fitted before saving.")
-        table = spark.createDataFrame([(None, float(center), float(scale))], "group_key STRING, center DOUBLE, scale DOUBLE")
-    meta = json.dumps({"kind": kind, "threshold": detector.threshold, "by": list(detector.by)})
-    table.withColumn("metadata", F.lit(meta)).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+        pooled = (center, scale)
+        table = spark.createDataFrame([(None, float(center), float(scale))], "group_key STRING, center DOUBLE, scale DOUBLE").coalesce(1)
+    meta = json.dumps({"kind": kind, "threshold": detector.threshold, "by": list(detector.by), "pooled": pooled})
+    table.withColumn("metadata", F.lit(meta)).write.mode("overwrite").parquet(f"{path}/params")
     return path
 
 
@@ -71,14 +74,10 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
         det = RobustResidualDetector(meta["threshold"], by=by)
         names = ("residual_median", "residual_mad")
     if by:
-        schema = ", ".join(f"`{b}` STRING" for b in by)
-        det.params_ = params.select(F.from_json("group_key", schema).alias("k"), "center", "scale").select(
-            *[F.col(f"k.{b}").alias(b) for b in by], F.col("center").alias(names[0]), F.col("scale").alias(names[1])
-        )
-    else:
-        row = params.first()
-        setattr(det, names[0] + "_", row["center"])
-        setattr(det, names[1] + "_", row["scale"])
+        det.params_ = params.select(
+            *[F.col(f"group_key.{b}").alias(b) for b in by], F.col("center").alias(names[0]), F.col("scale").alias(names[1]))
+    for name, value in zip(names, meta["pooled"], strict=True):
+        setattr(det, name + "_", value)
     return det
 
 
