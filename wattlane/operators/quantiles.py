@@ -95,7 +95,7 @@ def _refine(
     for i, (c, p) in enumerate(targets):
         sketch += [F.count(c).alias(f"n{i}"),
                    F.percentile_approx(c, [max(0.0, p - margin), min(1.0, p + margin)], accuracy).alias(f"b{i}")]
-    state = _small(vals.groupBy(*by).agg(*sketch)).select(*by, *[f"n{i}" for i in k], *[
+    state = _small(vals.groupBy(*by).agg(*sketch), by).select(*by, *[f"n{i}" for i in k], *[
         F.get(f"b{i}", F.lit(j)).alias(f"{e}{i}") for i in k for j, e in enumerate(("lo", "hi"))])
     pos = [(F.col(f"n{i}") - 1) * F.lit(p) for i, (_, p) in enumerate(targets)]
     bounds = [f"{e}{i}" for i in k for e in ("lo", "hi")]
@@ -103,7 +103,7 @@ def _refine(
     largest = state.agg(F.max(F.greatest(*[F.col(f"n{i}") for i in k], F.lit(0)))).first()[0] or 0
     between = largest * share
     while between > candidates:
-        counted = _small(_with_state(vals, state, by, bounds).groupBy(*by).agg(*_counts(targets)))
+        counted = _small(_with_state(vals, state, by, bounds).groupBy(*by).agg(*_counts(targets)), by)
         inner = (state.join(counted, by) if by else state.crossJoin(counted)).withColumns({
             f"{e}{i}": F.when(F.col(f"in{i}") > 0, (pos[i] - F.col(f"under{i}") - F.col(f"at{i}") + d) / F.col(f"in{i}"))
             for i in k for e, d in (("from", -0.5), ("to", 1.5))})
@@ -111,7 +111,8 @@ def _refine(
             F.percentile_approx(F.when((F.col(c) > F.col(f"lo{i}")) & (F.col(c) < F.col(f"hi{i}")), F.col(c)),
                                 [j / 1000 for j in range(1001)], accuracy).alias(f"grid{i}")
             for i, (c, _) in enumerate(targets)])
-        state = _narrowed(inner.join(_small(inside), by) if by else inner.crossJoin(_small(inside)), by, k)
+        inside = _small(inside, by)
+        state = _narrowed(inner.join(inside, by) if by else inner.crossJoin(inside), by, k)
         between *= 8.0 / 1000  # grid steps that can lie between the new brackets
     rows = _with_state(vals, state, by, bounds)
     collected = [
@@ -125,13 +126,13 @@ def _refine(
         low, high = _at_rank(F.floor(pos[i]), i), _at_rank(F.ceil(pos[i]), i)
         out.append(_lerp(low, high, pos[i] - F.floor(pos[i])).alias(f"q{i}"))
         ok = ok & ((F.col(f"n{i}") == 0) | (low.isNotNull() & high.isNotNull()))
-    return _small(final.select(*by, *[f"n{i}" for i in k], *out, ok.alias("ok")))
+    return _small(final.select(*by, *[f"n{i}" for i in k], *out, ok.alias("ok")), by)
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """A table of one row per group, computed once."""
+def _small(table: DataFrame, by: list[str]) -> DataFrame:
+    """A table of one row per group, computed once; without groups, its one row goes by the driver."""
 
-    return cut_lineage(table)
+    return cut_lineage(table) if by else table.sparkSession.createDataFrame(table.collect(), table.schema)
 
 
 def _counts(targets: list[tuple[str, float]]) -> list[Column]:

@@ -12,8 +12,10 @@ import re
 from wattlane.catalog_documents import ORACLES as DOCUMENT_ORACLES
 from wattlane.catalog_models import oracles as model_oracles
 from wattlane.catalog_panels import ORACLES as PANEL_ORACLES
-from wattlane.operators.validate import NUMERIC_PATTERN
-from wattlane.schema import NULL_TOKENS
+# fixed values, written anew for the oracle: texts that are numbers, and texts that stand for a missing value
+NUMBER = r"\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*|\s*[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])\s*"
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 PANEL = """panel AS (
   SELECT ts AS "timestamp", event_type AS zone, CAST(value AS DOUBLE) AS load_mw,
@@ -139,11 +141,11 @@ def _zparams(src: str) -> str:
 
 
 def _nulltokens() -> str:
-    return ", ".join("'" + t.replace("'", "''") + "'" for t in NULL_TOKENS)
+    return ", ".join(f"'{t}'" for t in MISSING)
 
 
 def _num_ok(x: str) -> str:
-    return (f"({x} IS NOT NULL AND {x} NOT IN ({_nulltokens()}) AND regexp_matches({x}, '{NUMERIC_PATTERN}') "
+    return (f"({x} IS NOT NULL AND {x} NOT IN ({_nulltokens()}) AND regexp_full_match({x}, '{NUMBER}') "
             f"AND NOT isnan(TRY_CAST(trim({x}) AS DOUBLE)))")
 
 

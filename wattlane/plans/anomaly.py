@@ -178,7 +178,9 @@ def _prepare(panel: DataFrame, cfg: AnomalyConfig, three_way: bool) -> _Prepared
     if labels:
         frame = frame.withColumn(LABEL, F.col("is_anomaly").cast("boolean"))
     # every method and grid value reads this frame: write it once to the shared checkpoint folder
-    return _Prepared(cut_lineage(frame), sup.features, split.counts, labels)
+    prepared = _Prepared(cut_lineage(frame), sup.features, split.counts, labels)
+    sup.release()
+    return prepared
 
 
 def _residual_detector(method: str, threshold: float):

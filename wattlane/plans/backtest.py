@@ -124,7 +124,8 @@ def run_backtest(
         check_single_zone(panel)
     fc = cfg.feature or FeatureConfig(forecast_horizon=cfg.forecast_horizon)
     sup = prepare_supervised(panel, fc, cfg.excluded_columns)
-    numbered = chronological_row_number(sup.frame)  # written to the checkpoint folder, which all passes read
+    numbered = cut_lineage(chronological_row_number(sup.frame))  # all passes read it
+    sup.release()
     spec = FoldSpec(cfg.initial_train_size, cfg.fold_size, cfg.step_size)
     count = spec.count(sup.rows)
     spark = panel.sparkSession

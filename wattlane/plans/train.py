@@ -72,7 +72,9 @@ class TrainResult:
 def prepare_supervised(panel: DataFrame, fc: FeatureConfig, excluded: Iterable[str] = ()) -> Supervised:
     feat = build_feature_frame(panel, fc).persist(StorageLevel.MEMORY_AND_DISK)
     shifted = {f"target_{c}" for c in fc.lead_columns}  # shifted labels are never features
-    return build_supervised_frame(feat, fc.target_column, excluded_columns=shifted | set(excluded))
+    sup = build_supervised_frame(feat, fc.target_column, excluded_columns=shifted | set(excluded))
+    sup.cached = feat
+    return sup
 
 
 def run_training(
@@ -96,6 +98,7 @@ def run_training(
     predicted = cut_lineage(
         model.predict(labeled).withColumn("residual", F.col(fc.target_column) - F.col("prediction"))
     )
+    sup.release()
     # one pass: test forecast metrics and training residual statistics
     stats = predicted.groupBy("split").agg(
         *forecast_metric_columns(fc.target_column, "prediction"),

@@ -1,22 +1,4 @@
-"""Canonical panel schema and fixed default values.
-
-Fixed values (must equal the behaviour being reproduced):
-  canonical columns: timestamp, zone, load_mw, temperature_c, wind_speed_mps, solar_radiation_wm2
-  numeric columns:   load_mw, temperature_c, wind_speed_mps, solar_radiation_wm2
-  duplicate key:     zone, timestamp
-  target column:     target_load_mw
-  default lags:      1, 24, 168
-  default windows:   24, 168
-  label columns excluded from features: is_anomaly, anomaly_label, label
-  label lookup order for metrics: is_anomaly, anomaly_label, label
-  z-score threshold grid:  1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0
-  robust threshold grid:   1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0
-  isolation contamination grid: auto, 0.01, 0.02, 0.05, 0.1
-  default thresholds without labels: z-score 3.0, robust 3.5
-  modified z constant 0.6745, IQR-to-sigma divisor 1.349
-  MAPE zero guard 1e-12
-  null tokens treated as missing on CSV read: "", NA, N/A, NaN, nan, null, NULL, None, <NA>, #N/A, -NaN, -nan, n/a, #NA, NULL, #N/A N/A, -1.#IND, -1.#QNAN, 1.#IND, 1.#QNAN
-"""
+"""Canonical panel schema and default values. All are fixed: they must equal the behaviour being reproduced."""
 
 from __future__ import annotations
 

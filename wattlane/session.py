@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import warnings
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -90,28 +91,28 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(root)))
     target = os.path.join(ensure_checkpoint_dir(spark), f"wattlane-{os.getpid()}-{id(sc)}.zip")
     if "://" in target and not target.startswith("file:"):
-        return  # remote folder: rely on the cluster's own packaging
+        warnings.warn(f"wattlane is not shipped to executors by way of {target}: install it on the cluster.", stacklevel=2)
+        return
     try:
         with open(target.removeprefix("file:"), "wb") as fh:
             fh.write(buf.getvalue())
         sc.addPyFile(target.removeprefix("file:"))
         sc._wattlane_shipped = True  # type: ignore[attr-defined]
-    except OSError:
-        pass  # only the pandas-UDF operators need it; they fail loudly if the import is missing
+    except OSError as exc:  # only the operators with Python workers need it
+        warnings.warn(f"wattlane could not be shipped to executors: {exc}", stacklevel=2)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable checkpoint).
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Survives executor loss: the data lives in the shared folder, not in
-    executor memory.
+    executors. The plan runs once, nothing is cached, and later reads take the
+    columns they need.
     """
 
-    ensure_checkpoint_dir(df.sparkSession)
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)  # the checkpoint write re-reads this, not the plan
-    out = staged.checkpoint(eager=True)
-    staged.unpersist()
-    return out
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/wattlane-cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _folder(spark: SparkSession, path: str):
