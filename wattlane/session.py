@@ -123,6 +123,11 @@ def _folder(spark: SparkSession, path: str):
     return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, name = _folder(spark, path)
+    return fs.exists(name)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, name = _folder(spark, path)
     fs.delete(name, True)

@@ -25,6 +25,7 @@ from wattlane.operators.detectors import ResidualZScoreDetector, RobustResidualD
 from wattlane.operators.forest import ForestModel
 from wattlane.operators.isoforest import NODE_SCHEMA, IsolationForestModel
 from wattlane.operators.ridge import RidgeModel, ZoneRidgeModel
+from wattlane.session import folder_exists
 
 MODELS = "model_id STRING, version LONG, kind STRING, created_at STRING, metadata STRING"
 Stored = RidgeModel | ZoneRidgeModel | ForestModel | ResidualZScoreDetector | RobustResidualDetector | IsolationForestModel
@@ -58,11 +59,9 @@ def _dismantled(spark: SparkSession, obj: Stored) -> tuple[str, dict[str, Any],
 def versions(spark: SparkSession, path: str, model_id: str | None = None) -> DataFrame:
     """model_id, version, kind, created_at, metadata of all stored versions, or of those of one model."""
 
-    try:
+    if folder_exists(spark, f"{path}/models"):
         stored = spark.read.schema(MODELS).parquet(f"{path}/models")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    else:
         stored = spark.createDataFrame([], MODELS)
     return stored if model_id is None else stored.where(F.col("model_id") == model_id)
 
