@@ -130,3 +130,11 @@ def test_stream_neither_loses_nor_repeats_documents_when_a_batch_fails(spark, tm
     assert good.count() == sum(len(d["records"]) for d in docs) and bad.count() == 10
     assert sorted({r.a for r in good.selectExpr("get_json_object(value, '$.records[0].features.a') AS a").collect()}, key=int) == [
         str(i) for i in range(40) if i % 4]
+
+
+@pytest.mark.parametrize("kind", ["batch", "forecast", "anomaly"])
+def test_documents_are_parsed_once_for_their_answers(spark, kind):
+    answers = answer_documents(lines(spark, []), kind, MODEL, DETECTOR)
+    plan = answered_records(answers)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if " Filter " in f" {line}" and "from_json" in line]
+    assert plan.count("from_json") <= 3  # the document, its records, their features

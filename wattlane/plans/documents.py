@@ -51,17 +51,28 @@ def _unknown(keys: Column, names: Sequence[str]) -> Column:
     return F.exists(keys, lambda k: ~k.isin(*names))
 
 
-def _record(r: Column, kind: str) -> Column:
-    """A record's fields as numbers, and its first problem."""
+def _records(rows: Column, kind: str) -> Column:
+    """The records, in steps: what a step has parsed is a field for the next, else every use of it would parse it again."""
+
+    if "features" not in RECORD_FIELDS[kind]:
+        return F.transform(rows, lambda r: _record(r, kind))
+    parsed = F.transform(rows, lambda r: F.struct(
+        r.alias("row"), F.from_json(F.try_element_at(r, F.lit("features")), "map<string,string>").alias("texts")))
+    parsed = F.transform(parsed, lambda p: F.struct(
+        p["row"].alias("row"), p["texts"].alias("texts"), F.transform_values(p["texts"], lambda _, v: _number(v)).alias("numbers")))
+    return F.transform(parsed, lambda p: _record(p["row"], kind, p["texts"], p["numbers"]))
+
+
+def _record(r: Column, kind: str, texts: Column | None = None, numbers: Column | None = None) -> Column:
+    """A record's fields as numbers, and its first problem; ``texts`` and ``numbers`` are its features."""
 
     given = {n: F.try_element_at(r, F.lit(n)) for n in RECORD_FIELDS[kind]}
     out, rules = [], [(r.isNull(), "malformed"), (_unknown(F.map_keys(r), RECORD_FIELDS[kind]), "unknown_field")]
     if "features" in given:
-        texts = F.from_json(given["features"], "map<string,string>")
         rules += [(texts.isNull(), "malformed"), (F.size(texts) == 0, "empty_features"),
                   (~all_names_nonblank(texts), "blank_feature_name"),
-                  (F.exists(F.map_values(texts), lambda v: _number(v).isNull()), "non_finite_feature")]
-        out.append(F.transform_values(texts, lambda _, v: _number(v)).alias("features"))
+                  (F.exists(F.map_values(numbers), lambda v: v.isNull()), "non_finite_feature")]
+        out.append(numbers.alias("features"))
     for n in ("actual_load_mw", "predicted_load_mw"):
         if n in given:
             needed = F.lit(True) if kind == "anomaly" else given[n].isNotNull()
@@ -86,7 +97,7 @@ def judge_documents(lines: DataFrame, kind: str, column: str = "value", max_reco
     doc = lines.withColumn("_doc", F.from_json(F.col(column), texts))
     doc = doc.withColumn("_list", F.from_json(F.try_element_at("_doc", F.lit("records")), f"array<{texts}>"))
     size = F.coalesce(F.size("_list"), F.lit(-1))
-    doc = doc.withColumn("records", F.when(size.between(1, max_records), F.transform("_list", lambda r: _record(r, kind))))
+    doc = doc.withColumn("records", F.when(size.between(1, max_records), _records(F.col("_list"), kind)))
     problems = F.transform("records", lambda r, i: F.struct(r["problem"].alias("reason"), i.cast("long").alias("record")))
     doc = doc.withColumn("_bad", F.get(F.filter(problems, lambda p: p["reason"].isNotNull()), F.lit(0)))
     reason = (
@@ -173,11 +184,15 @@ def answer_json(answers: DataFrame, model: RidgeModel | None = None, name: str =
 
 
 def answered_records(answers: DataFrame) -> DataFrame:
-    """One row per record of the answered documents: the documents' columns, record_idx, prediction, anomaly_score, is_anomaly."""
+    """One row per record of the answered documents: the documents' columns, record_idx, prediction, anomaly_score, is_anomaly.
+
+    Documents without an answer have neither array, so they have no rows. A filter on their status is left out: Spark
+    would push it below the parsing, and parse and judge every document once more for it.
+    """
 
     kept = [c for c in answers.columns if c not in ("status", "detail", "predictions", "anomalies")]
     size = F.coalesce(F.array_size("predictions"), F.array_size("anomalies"))
-    rows = answers.where("status = 200").select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("_i"))
+    rows = answers.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("_i"))
     scored = F.get("anomalies", F.col("_i"))
     return rows.select(*kept, F.col("_i").cast("long").alias("record_idx"), F.get("predictions", F.col("_i")).alias("prediction"),
                        scored["anomaly_score"].alias("anomaly_score"), scored["is_anomaly"].alias("is_anomaly"))

@@ -8,6 +8,7 @@ neither loses nor repeats a document.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,11 +42,14 @@ def run_document_stream(
     lines = reader.load(source_dir).select("value", F.col("_metadata.file_name").alias("source"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        answers = answer_documents(batch, kind, model, detector)
-        records = answered_records(answers)
-        records.write.mode("overwrite").parquet(f"{answers_dir}/batch={batch_id}")
-        rejected = answers.where("status <> 200").select("source", "value", "request_id", "status", "detail")
-        rejected.write.mode("overwrite").parquet(f"{rejects_dir}/batch={batch_id}")
+        answers = answer_documents(batch, kind, model, detector).persist(StorageLevel.MEMORY_AND_DISK)  # both sinks read them
+        try:
+            records = answered_records(answers)
+            records.write.mode("overwrite").parquet(f"{answers_dir}/batch={batch_id}")
+            rejected = answers.where("status <> 200").select("source", "value", "request_id", "status", "detail")
+            rejected.write.mode("overwrite").parquet(f"{rejects_dir}/batch={batch_id}")
+        finally:
+            answers.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write)
