@@ -91,6 +91,20 @@ def test_quality_without_anything_to_compare(spark):
     assert quality.rate(docs.limit(0), labels).count() == 0
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    texts = [f"Line {i} of many, {'plain words ' * (i % 13)}{'!#' * (i % 7)}" for i in range(8_700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = docs.select("doc_id", (F.col("doc_id") % 29 > 0).cast("int").alias("quality"))
+    model = quality.train(docs, labels, cfg=quality.QualityConfig(pairs=10, steps=5))
+    x = np.stack([quality.features(t) for t in texts])
+    assert model.mean == pytest.approx(x.mean(axis=0)) and model.scale == pytest.approx(x.std(axis=0, ddof=1) + 1e-6)
+    assert np.count_nonzero(model.raw(x) < model.cut) == 300  # as many as are labelled 0
+    shapes = quality._vectors(docs.select(F.col("doc_id").alias("id"), "text"))
+    vectors = shapes.join(labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("better")), "id").select("id", "better", "x")
+    pairs = quality._gaps(vectors, model, {0: 300, 1: 8_400})
+    assert pairs.count() == 8_400
+
+
 def test_quality_weights_minimise_the_pairwise_loss():
     rng = np.random.default_rng(3)
     assert quality.features("").shape == (quality.N_FEATURES,) == quality.features("É x\x00\x7f" * 9).shape

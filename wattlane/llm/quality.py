@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +21,15 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import stage
+from wattlane.llm.common import placed, stage
 
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """``sample_docs``: labelled documents a label that are learned from, about; chosen by a hash.
-
-    ``pairs``: preference pairs. ``at``: the score, from 0 to 1, given to the threshold.
+    """``pairs``: preference pairs, at least; there are as many as every labelled document needs to be in one. ``at``: the score, from 0 to 1, given to the threshold.
     ``reach``: features count as at most so many deviations from their mean.
     """
 
-    sample_docs: int = 8_000
     pairs: int = 20_000
     at: float = 0.3
     reach: float = 4.0
@@ -83,8 +80,11 @@ class QualityModel:
     weights: np.ndarray | None
     cut: float
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -self.cfg.reach, self.cfg.reach)
+
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -self.cfg.reach, self.cfg.reach) @ self.weights
+        return self.standard(x) @ self.weights
 
     def score_text(self, text: str | None) -> float:
         """0 to 1; ``at`` at the threshold. Null and empty texts have the features of an empty one."""
@@ -103,24 +103,93 @@ class QualityModel:
 
 
 def _vectors(texts: DataFrame) -> DataFrame:
-    """(better, x) of the rows (better, text)."""
+    """(id, head, x) of the rows (id, text): the text's first 200 characters, and its features."""
 
     def shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["better", "x"])
+            found = [t.as_py() or "" for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t[:200] for t in found], pa.string()),
+                                              pa.array([features(t) for t in found], pa.list_(pa.float64()))], names=["id", "head", "x"])
+
+    return texts.mapInArrow(shaped, f"id {texts.schema['id'].dataType.simpleString()}, head string, x array<double>")
+
+
+def _matrix(x: pa.Array) -> np.ndarray:
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), N_FEATURES)
+
+
+def _gaps(vectors: DataFrame, model: QualityModel, counts: dict[int, int]) -> DataFrame:
+    """(features, label) of preference pairs: every document of either label is in one, beside a partner drawn by a hash."""
+
+    cfg = model.cfg
+    keyed = vectors.withColumn("h", F.xxhash64("id", F.lit(cfg.seed)))
+    rows, pieces = placed(keyed, ["better"], ["h", "id"])
+    numbered = rows.join(F.broadcast(pieces), ["piece", "better"]).withColumn("place", F.col("at") + F.col("shift"))  # one piece a task
+    k = F.col("k")
+    # as k grows, i goes through the preferred documents, and j through the others from a new start each time
+    turn = F.pmod(F.xxhash64(F.expr(f"k div {counts[0]}"), F.lit(cfg.seed)), F.lit(counts[0]))
+    pairs = vectors.sparkSession.range(max(cfg.pairs, *counts.values())).select(
+        F.col("id").alias("k")).select("k", (k % counts[1]).alias("i"), ((k + turn) % counts[0]).alias("j"))
+    win = numbered.where("better = 1").select(F.col("place").alias("i"), F.col("x").alias("win"))
+    lose = numbered.where("better = 0").select(F.col("place").alias("j"), F.col("x").alias("lose"))
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = batch.column(0).to_numpy() % 2 == 0  # every other pair the other way round, as a regression wants both answers
+            gap = model.standard(_matrix(batch.column(1))) - model.standard(_matrix(batch.column(2)))
+            gap *= np.where(label, 1.0, -1.0)[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(label.astype(float)), pa.array(list(gap), pa.list_(pa.float64()))], names=["label", "x"])
+
+    gaps = pairs.join(win, "i").join(lose, "j").select("k", "win", "lose").mapInArrow(differ, "label double, x array<double>")
+    return stage(gaps, "pairs").select(array_to_vector("x").alias("features"), "label")
 
-    return texts.mapInArrow(shaped, "better int, x array<double>")
+
+def _threshold(vectors: DataFrame, rows: int, model: QualityModel, weight: dict[int, float], share: float) -> float:
+    """Where the scores below are the ``share`` of all, a row of a label counting as ``weight`` says; halfway between two scores.
+
+    Equal scores are counted first. The counts are sorted over many tasks, and only the part that the share falls into is added up.
+    """
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.raw(_matrix(batch.column(1))))], names=["better", "s"])
+
+    levels = vectors.select("better", "x").mapInArrow(raw, "better int, s double").groupBy("s").agg(
+        *[F.count_if(F.col("better") == b).alias(f"n{b}") for b in (0, 1)])
+    levels = levels.repartitionByRange(math.ceil(rows / 16_384), "s").sortWithinPartitions("s")
+    levels = stage(levels.withColumn("part", F.spark_partition_id()), "levels")
+    parts = levels.groupBy("part").agg(F.max("s").alias("s"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("part").collect()
+
+    def mass(n0: int, n1: int) -> float:
+        return n0 * weight[0] + n1 * weight[1]
+
+    goal = (share + 1e-12) * mass(sum(r["n0"] for r in parts), sum(r["n1"] for r in parts))
+    n0 = n1 = 0
+    before = None
+    for r in parts:
+        if mass(n0 + r["n0"], n1 + r["n1"]) > goal:
+            break
+        n0, n1, before = n0 + r["n0"], n1 + r["n1"], r["s"]
+    else:
+        return before
+    upto, inside = Window.orderBy("s"), levels.where(F.col("part") == r["part"])  # one part
+    seen = inside.select("s", "n0", "n1", F.lag("s").over(upto).alias("before"), (F.sum("n0").over(upto) + n0).alias("upto0"),
+                         (F.sum("n1").over(upto) + n1).alias("upto1"))
+    at = seen.where(F.col("upto0") * weight[0] + F.col("upto1") * weight[1] > goal).orderBy("s").first()
+    before = before if at["before"] is None else at["before"]
+    first = mass(at["upto0"] - at["n0"], at["upto1"] - at["n1"]) + (weight[0] if at["n0"] else weight[1])
+    return (before + at["s"]) / 2 if before is not None and first > goal else at["s"]
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
           cfg: QualityConfig | None = None) -> QualityModel:
     """Fit on pairs of documents labelled 1 and 0; the first are preferred.
 
-    About ``sample_docs`` ids a label are learned from, one text each (the least,
-    when an id has several). Labels other than 0 and 1, null ids and ids without
-    a document teach nothing. When a label has no document at all, there is
-    nothing to compare and every text scores ``at``.
+    Every labelled id is learned from: the moments, the pairs and the threshold
+    take all of them, one text each (when an id has several, the least by its
+    first 200 characters, then by its features). Labels other than 0 and 1, null ids and ids without a document teach nothing. When a
+    label has no document at all, there is nothing to compare and every text
+    scores ``at``.
     """
 
     cfg = cfg or QualityConfig()
@@ -130,57 +199,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     nothing = QualityModel(cfg, np.zeros(N_FEATURES), np.ones(N_FEATURES), None, 0.0)
     if len(sizes) < 2:
         return nothing
-    draw = F.pmod(F.xxhash64("id", F.lit(cfg.seed)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("better") == 1, cfg.sample_docs / sizes[1]).otherwise(cfg.sample_docs / sizes[0])
-    chosen = known.where(draw < share)  # about sample_docs ids a label
-    texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = texts.join(F.broadcast(chosen), "id").groupBy("id", "better").agg(F.min("text").alias("text"))
-    # its rows are bounded by the sample, so the class totals and pairs below are too
-    sample = stage(_vectors(texts.select("better", "text")).withColumn("v", array_to_vector("x")), "sample")
-    counts = {r["better"]: r["n"] for r in sample.groupBy("better").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # the texts stay where they are and only what is learned of them is exchanged, whatever the number of labels
+    shapes = _vectors(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL"))
+    least = shapes.hint("merge").join(known, "id").groupBy("id", "better").agg(F.min(F.struct("head", "x")).alias("least"))
+    vectors = stage(least.select("id", "better", F.col("least.x").alias("x")), "vectors")
+    counts = {r["better"]: r["n"] for r in vectors.groupBy("better").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return nothing
-    moments = sample.agg(Summarizer.metrics("mean", "std").summary(F.col("v")).alias("m")).first()["m"]
+    moments = vectors.agg(Summarizer.metrics("mean", "std").summary(array_to_vector("x")).alias("m")).first()["m"]
     model = QualityModel(cfg, moments["mean"].toArray(), moments["std"].toArray() + 1e-6, np.zeros(N_FEATURES), 0.0)
-
-    def standard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.stack([np.array(v.as_py()) for v in batch.column(1)]) if batch.num_rows else np.zeros((0, N_FEATURES))
-            z = np.clip((x - model.mean) / model.scale, -cfg.reach, cfg.reach)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(z), pa.list_(pa.float64()))], names=["better", "x"])
-
-    numbered = sample.select("better", "x").mapInArrow(standard, "better int, x array<double>")
-    place = F.row_number().over(Window.partitionBy("better").orderBy(F.xxhash64("x"))) - 1
-    numbered = stage(numbered.withColumn("i", place), "numbered")
-    k = F.col("id")
-    drawn = F.pmod(F.xxhash64(k, F.lit(cfg.seed)), F.lit(counts[0]))
-    pairs = docs.sparkSession.range(cfg.pairs).select("id", (k % counts[1]).alias("i"), drawn.alias("j"))
-    win = numbered.where("better = 1").select("i", F.col("x").alias("win"))
-    lose = numbered.where("better = 0").select(F.col("i").alias("j"), F.col("x").alias("lose"))
-    # every other pair the other way round, as a regression wants both answers
-    sign = F.when(k % 2 == 0, 1.0).otherwise(-1.0)
-    gaps = pairs.join(win, "i").join(lose, "j").select(
-        "id", F.zip_with("win", "lose", lambda a, b: (a - b)).alias("gap"), sign.alias("sign"))
-    gaps = gaps.select(array_to_vector(F.transform("gap", lambda g: g * F.col("sign"))).alias("features"),
-                       (F.col("sign") > 0).cast("double").alias("label"))
-    gaps = stage(gaps.coalesce(8), "pairs")
-    fit = LogisticRegression(fitIntercept=False, standardization=False, regParam=cfg.penalty, maxIter=cfg.steps).fit(gaps)
-    model = QualityModel(cfg, model.mean, model.scale, fit.coefficients.toArray(), 0.0)
-
-    # the threshold: as large a share of the learned scores lies below it as of the labels is 0, whatever the sampling
-    per_row = {b: sizes[b] / counts[b] for b in (0, 1)}
-    at, weight = [], []
-    for r in sample.select("better", "x").toLocalIterator():
-        at.append(float(model.raw(np.array(r["x"]))))
-        weight.append(per_row[r["better"]])
-    order = np.argsort(at, kind="stable")
-    below = np.cumsum(np.array(weight)[order]) / sum(weight)
-    first = int(np.searchsorted(below, sizes[0] / (sizes[0] + sizes[1]) + 1e-12, side="right"))
-    ranked = np.array(at)[order]
-    cut = ranked[min(first, len(ranked) - 1)]
-    if first:
-        cut = (ranked[first - 1] + cut) / 2
-    return QualityModel(cfg, model.mean, model.scale, model.weights, float(cut))
+    fit = LogisticRegression(fitIntercept=False, standardization=False, regParam=cfg.penalty, maxIter=cfg.steps).fit(
+        _gaps(vectors, model, counts))
+    model = replace(model, weights=fit.coefficients.toArray())
+    # as large a share of the learned scores lies below the threshold as of the labels is 0; a label's ids without a document
+    # are taken to be like those with one
+    cut = _threshold(vectors, sum(counts.values()), model, {b: sizes[b] / counts[b] for b in (0, 1)}, sizes[0] / (sizes[0] + sizes[1]))
+    return replace(model, cut=cut)
 
 
 def held_out(doc_id: Column) -> Column:
