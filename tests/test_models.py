@@ -89,3 +89,82 @@ def test_per_zone_ridge_equals_separate_fits(spark):
         single = fit_ridge(part, ["x1", "x2"], "y", impute=False)
         exp = single.predict(part).toPandas()["prediction"].to_numpy()
         assert np.allclose(np.sort(got[got["zone"] == z]["prediction"].to_numpy()), np.sort(exp), atol=1e-8)
+
+
+def _wavy(spark, n=600):
+    rng = np.random.default_rng(3)
+    a, b, c = rng.normal(size=n), rng.integers(0, 9, n).astype(float), rng.uniform(size=n)
+    pdf = pd.DataFrame({"id": range(n), "a": a, "b": b, "c": c, "y": 5 * np.sin(a) + b + rng.normal(0, 0.1, n)})
+    return spark.createDataFrame(pdf), pdf
+
+
+def test_forest_depends_on_neither_partitions_nor_where_branches_begin(spark, monkeypatch):
+    from wattlane.operators import forest
+
+    df, pdf = _wavy(spark)
+
+    def predicted(rows):
+        model = forest.fit_forest(rows, ["a", "b", "c"], "y", num_trees=4)
+        out = model.predict(rows.unionByName(rows)).toPandas().sort_values("id", kind="stable")
+        assert len(out) == 1200 and list(out.columns) == ["id", "a", "b", "c", "y", "prediction"]
+        return model, out["prediction"].to_numpy()[::2]
+
+    _, whole = predicted(df)
+    assert np.mean((whole - pdf["y"]) ** 2) < 0.1 * pdf["y"].var()
+    assert np.allclose(whole, predicted(df.repartition(7, "c"))[1])
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 40)  # upper levels by histograms, full branches predicted in parts
+    monkeypatch.setattr(forest, "HISTOGRAM_BYTES", 3 * 3 * 32 * 8 * 3)  # three nodes a pass
+    model, cut = predicted(df)
+    assert model.trees.where("root >= 0").count() > 4 * 8
+    assert np.allclose(whole, cut)
+
+
+def test_branch_equals_an_exact_tree(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from wattlane.operators.forest import _grow, _route
+
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 12, (300, 3)).astype(np.uint8)
+    y, w = rng.normal(size=300) + codes[:, 1] ** 2 % 7, rng.integers(1, 4, 300).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"a": codes[:, 0], "b": codes[:, 1], "c": codes[:, 2], "y": y, "w": w}).astype(float))
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="x").transform(df)
+    for depth in (1, 4, 8):
+        tree = DecisionTreeRegressor(featuresCol="x", labelCol="y", weightCol="w", maxDepth=depth).fit(df)
+        exp = np.array([r["prediction"] for r in tree.transform(df).collect()])
+        nodes = _grow(codes, y, w, depth)
+        assert np.allclose(nodes["value"][_route(nodes, codes)], exp)
+
+
+def test_forest_of_few_or_equal_rows(spark):
+    from wattlane.operators.forest import fit_forest
+
+    one = spark.createDataFrame([(1.0, 7.0)], "a DOUBLE, y DOUBLE")
+    assert [r["prediction"] for r in fit_forest(one, ["a"], "y", num_trees=6).predict(one).collect()] == [7.0]
+    same = spark.createDataFrame([(1.0, 7.0), (1.0, 9.0)] * 500 + [(None, 8.0)], "a DOUBLE, y DOUBLE")
+    got = {r["prediction"] for r in fit_forest(same, ["a"], "y", num_trees=6).predict(same).collect()}
+    assert len(got) == 1 and abs(got.pop() - 8.0) < 0.2
+    with pytest.raises(ValueError, match="No rows"):
+        fit_forest(one.where("a > 1"), ["a"], "y")
+
+
+def test_draws_are_poisson():
+    from wattlane.operators.forest import _Draws
+
+    digest = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 200_000)
+    for rate in (1, 3, 400):
+        w = _Draws(42).weights(digest, np.full(len(digest), rate), 5)
+        assert abs(w.mean() - rate) < 0.02 * rate and abs(w.var() - rate) < 0.03 * rate
+    assert not np.array_equal(_Draws(42).weights(digest, np.ones(len(digest), int), 6), _Draws(42).weights(digest, np.ones(len(digest), int), 7))
+
+
+def test_store_keeps_forests(spark, tmp_path):
+    from wattlane.operators.forest import fit_forest
+    from wattlane.sources import store
+
+    df, _ = _wavy(spark, 60)
+    model = fit_forest(df, ["a", "b"], "y", num_trees=3)
+    assert store.put(spark, str(tmp_path / "s"), "f", model) == 1
+    again = store.get(spark, str(tmp_path / "s"), "f")
+    assert again.predict(df).orderBy("id").collect() == model.predict(df).orderBy("id").collect()

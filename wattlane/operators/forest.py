@@ -1,67 +1,348 @@
-"""M4: random-forest forecaster with Spark ML.
+"""M4: random-forest forecaster.
 
 100 trees, every feature considered at each split (as the reference's
-defaults), median imputation from the exact distributed medians.  Spark's
-trees use histogram splits and have at most 30 levels (the default here), so
-predictions are statistically comparable, not bit-equal.
+defaults), median imputation from the exact distributed medians, bootstrap
+draws, variance reduction, histogram splits (at most 32 bins a feature) and at
+most 30 levels (the default here).  Predictions are statistically comparable
+with the reference's, not bit-equal.
+
+Rows become bin codes once; rows of equal codes and target are one row with a
+count.  A row's weight in a tree is a Poisson draw from a digest of that row, so
+no bootstrap copy is stored, and draws depend on neither partitions nor reruns.
+While a node holds more than ``LOCAL_ROWS`` rows, its split comes from one
+aggregate of histograms per level, for the nodes of all trees together; the
+rows of each smaller node then go to one task, which grows the rest of that
+branch.  What the driver holds is the nodes above the branches; the branches
+are a table, and prediction sends rows to them.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattlane.functions.missing import known
 from wattlane.operators.quantiles import column_medians
+from wattlane.session import cut_lineage
+
+BINS = 32
+LOCAL_ROWS = 1 << 15  # nodes of at most so many rows are grown by one task
+HISTOGRAM_BYTES = 1 << 26  # of one task, in one pass over the rows
+TIE = 1 - 1e-9  # gains closer than this are equal and the first of them is taken, whatever the order of sums
+#: branches by tree and the number of their root; root -1 is the part of the tree above its branches
+TREES = "tree INT, root INT, nodes BINARY"
+NODE = np.dtype([("feature", "<i2"), ("bin", "u1"), ("left", "<i4"), ("value", "<f8")])  # right child: left + 1; leaf: feature -1
+
+
+def _codes(column: pd.Series, features: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, features)
+
+
+def _route(nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The node without children that each row ends at."""
+
+    at, moving = np.zeros(len(codes), np.int32), np.arange(len(codes))
+    while len(moving):
+        here = nodes[at[moving]]
+        inner = here["feature"] >= 0
+        moving, here = moving[inner], here[inner]
+        at[moving] = here["left"] + (codes[moving, here["feature"]] > here["bin"])
+    return at
+
+
+class _Draws:
+    """Bootstrap weights: what Poisson draws of rate 1 for each of the row's copies add up to, from a digest of the row."""
+
+    def __init__(self, seed: int) -> None:
+        self.seed, self.tables = seed, {}
+
+    def _table(self, rate: int) -> tuple[int, np.ndarray]:
+        if rate not in self.tables:
+            spread = 12 * math.sqrt(rate) + 20
+            first = max(0, int(rate - spread))
+            p = [math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(first, int(rate + spread))]
+            self.tables[rate] = first, np.cumsum(p)
+        return self.tables[rate]
+
+    def weights(self, digest: np.ndarray, copies: np.ndarray, tree: int) -> np.ndarray:
+        with np.errstate(over="ignore"):  # splitmix64
+            z = digest.view(np.uint64) + np.uint64((self.seed * 1_000_003 + tree + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
+        out = np.empty(len(u))
+        for rate in np.unique(copies):
+            first, table = self._table(int(rate))
+            of = copies == rate
+            out[of] = first + np.searchsorted(table, u[of], side="right")
+        return out
+
+
+def _grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, levels: int) -> np.ndarray:
+    """The nodes of one branch of at most ``levels`` splits in depth; all nodes of a level at a time."""
+
+    n, features = codes.shape
+    orders = [np.argsort(codes[:, f], kind="stable") for f in range(features)]
+    at, done = np.zeros(n, np.int32), []  # the row's node in its level, -1 after a leaf
+    total, width = 1, 1
+    for level in range(levels + 1):
+        act = np.flatnonzero(at >= 0)
+        a = at[act]
+        out = np.zeros(width, NODE)
+        out["feature"] = -1
+        low, high = np.full(width, np.inf), np.full(width, -np.inf)
+        np.minimum.at(low, a, y[act])
+        np.maximum.at(high, a, y[act])
+        weight = np.bincount(a, w[act], width)
+        mean = np.where(low == high, low, np.bincount(a, w[act] * y[act], width) / weight)
+        out["value"] = mean
+        done.append(out)
+        mixed = low < high
+        if level == levels or not mixed.any():
+            break
+        at[act[~mixed[a]]] = -1
+        alive = at >= 0
+        d = np.zeros(n)
+        d[alive] = w[alive] * (y[alive] - mean[at[alive]])
+        best, best_f, best_b = np.zeros(width), np.full(width, -1, np.int16), np.zeros(width, np.uint8)
+        counts = np.bincount(at[alive], minlength=width)
+        starts = np.cumsum(counts) - counts
+        for f in range(features):
+            rows = orders[f][alive[orders[f]]]
+            node = at[rows].astype(np.uint16) if width <= 1 << 16 else at[rows]  # short keys sort by radix
+            rows = orders[f] = rows[np.argsort(node, kind="stable")]
+            node, code = at[rows], codes[rows, f]
+            cut = np.flatnonzero((node[1:] == node[:-1]) & (code[1:] != code[:-1]))
+            if not len(cut):
+                continue
+            cw, cs = np.concatenate([[0.0], np.cumsum(w[rows])]), np.concatenate([[0.0], np.cumsum(d[rows])])
+            of = node[cut]
+            left, s = cw[cut + 1] - cw[starts[of]], cs[cut + 1] - cs[starts[of]]
+            score = s * s * (1 / left + 1 / (weight[of] - left))
+            head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            top = np.maximum.reduceat(score, head)
+            hit = np.flatnonzero(score >= TIE * np.repeat(top, np.diff(np.append(head, len(of)))))
+            hit = hit[np.concatenate([[True], of[hit][1:] != of[hit][:-1]])] if len(hit) else hit
+            hit = hit[TIE * score[hit] > best[of[hit]]]
+            best[of[hit]], best_f[of[hit]], best_b[of[hit]] = score[hit], f, code[cut[hit]]
+        split = best > 1e-12 * np.bincount(at[alive], d[alive] * d[alive] / w[alive], width)
+        if not split.any():
+            break
+        out["feature"][split], out["bin"][split] = best_f[split], best_b[split]
+        out["left"][split] = total + 2 * np.arange(split.sum())
+        child = np.full(width, -1, np.int32)
+        child[split] = 2 * np.arange(split.sum())
+        live = np.flatnonzero(alive)
+        a = at[live]
+        right = codes[live, np.maximum(best_f[a], 0)] > best_b[a]
+        at[live] = np.where(split[a], child[a] + right, -1)
+        width = 2 * int(split.sum())
+        total += width
+    return np.concatenate(done)
+
+
+def _best_split(hist: np.ndarray) -> tuple[int, int, float, float, int, float, float, int]:
+    """(feature, bin; weight, mean and rows of either side) by a (3, features, bins) histogram; feature -1: no gain."""
+
+    w, s, n = np.cumsum(hist, axis=2)[:, :, :-1]
+    total, moment, rows = hist[:, 0].sum(axis=1)
+    right, rest = total - w, moment - s
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where((w > 0) & (right > 0), s * s / w + rest * rest / right - moment * moment / total, 0.0)
+    f, b = np.unravel_index(int(np.argmax(gain >= TIE * gain.max())), gain.shape)
+    if not gain[f, b] > 1e-12 * moment * moment / total:
+        return -1, 0, total, moment / total, int(rows), 0.0, 0.0, 0
+    return (int(f), int(b), w[f, b], s[f, b] / w[f, b], int(n[f, b]), right[f, b], rest[f, b] / right[f, b], int(rows - n[f, b]))
 
 
 @dataclass
 class ForestModel:
     feature_names: list[str]
-    pipeline: PipelineModel
+    trees: DataFrame | None  # TREES
+    cuts: list[list[float]] = field(default_factory=list)  # by feature; a code is the number of cuts below the value
+    num_trees: int = 100
     medians: dict[str, float | None] = field(default_factory=dict)
     model_type: str = "random_forest"
     target_column: str = "target_load_mw"
     forecast_horizon: int = 24
     random_state: int | None = 42
 
-    def _imputed(self, df: DataFrame) -> DataFrame:
+    def _imputed(self) -> list[Column]:
         cols = []
-        for f in self.feature_names:
+        for i, f in enumerate(self.feature_names):
             x = known(f)
             med = self.medians.get(f)
-            cols.append((F.coalesce(x, F.lit(med)) if med is not None else x).alias(f"_wl_f_{f}"))
-        return df.select("*", *cols)
+            cols.append((F.coalesce(x, F.lit(med)) if med is not None else x).alias(f"_wl_f_{i}"))
+        return cols
+
+    def _binned(self, df: DataFrame, key: str, kind: str) -> DataFrame:
+        """``key`` and the codes of a row, a byte per feature."""
+
+        cuts = [np.array(c, float) for c in self.cuts]
+        names = [f"_wl_f_{i}" for i in range(len(cuts))]
+
+        def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                codes = np.stack([np.searchsorted(c, pdf[n].to_numpy(float, na_value=np.nan)) for c, n in zip(cuts, names, strict=True)],
+                                 axis=1).astype(np.uint8)
+                yield pd.DataFrame({"key": pdf["key"], "codes": [r.tobytes() for r in codes]})
+
+        return df.select(F.col(key).alias("key"), *self._imputed()).mapInPandas(code, f"key {kind}, codes BINARY")
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
+        """Writes ``df`` with row ids to the shared folder; every row meets its branch of each tree by a shuffle."""
+
         missing = [f for f in self.feature_names if f not in df.columns]
         if missing:
             raise ValueError(f"Missing required model features: {', '.join(missing)}.")
-        out = self.pipeline.transform(self._imputed(df))
-        drop = [f"_wl_f_{f}" for f in self.feature_names] + ["_wl_vec"]
-        return out.withColumnRenamed("_wl_pred", name).drop(*drop)
+        stamped = cut_lineage(df.withColumn("_wl_id", F.monotonically_increasing_id()))
+        binned = self._binned(stamped, "_wl_id", "LONG")
+        tops = {r["tree"]: np.frombuffer(r["nodes"], NODE) for r in self.trees.where(F.col("root") < 0).collect()}
+        features = len(self.feature_names)
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            found = {t: np.zeros(len(top), np.int64) for t, top in tops.items()}
+            for pdf in batches:
+                codes = _codes(pdf["codes"], features)
+                for t, top in tops.items():
+                    found[t] += np.bincount(_route(top, codes), minlength=len(top))
+            for t, n in found.items():
+                at = np.flatnonzero(n)
+                yield pd.DataFrame({"tree": t, "root": at, "n": n[at]})
+
+        sizes = binned.mapInPandas(count, "tree INT, root INT, n LONG").groupBy("tree", "root").agg(F.sum("n").alias("n"))
+        sizes = sizes.select("tree", "root", "n", F.ceil(F.col("n") / LOCAL_ROWS).cast("int").alias("parts")).toPandas()
+        parts = {t: np.ones(len(top), np.int64) for t, top in tops.items()}  # rows of a full branch go to several tasks
+        for t, part in sizes.groupby("tree"):
+            parts[t][part["root"]] = part["parts"]
+
+        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                codes, key = _codes(pdf["codes"], features), pdf["key"].to_numpy()
+                for t, top in tops.items():
+                    root = _route(top, codes)
+                    yield pd.DataFrame({"tree": t, "root": root, "part": key % parts[t][root], "key": key, "codes": pdf["codes"]})
+
+        def walk(branch: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            if not len(rows):
+                return pd.DataFrame({"key": [], "value": []})
+            nodes = np.frombuffer(branch["nodes"].iloc[0], NODE)
+            return pd.DataFrame({"key": rows["key"], "value": nodes["value"][_route(nodes, _codes(rows["codes"], features))]})
 
-    # The fitted pipeline, and beside it one row of what prediction needs besides
+        spark = df.sparkSession
+        rows = int(sizes["n"].sum())
+        tasks = max(1, min(len(sizes), max(4 * spark.sparkContext.defaultParallelism, math.ceil(rows / (16 * LOCAL_ROWS)))))
+        keys = ["tree", "root", "part"]
+        split = spark.createDataFrame(sizes[["tree", "root", "parts"]], "tree INT, root INT, parts INT")
+        branches = self.trees.join(F.broadcast(split), ["tree", "root"]).select(
+            "tree", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), "nodes")
+        sent = binned.mapInPandas(send, "tree INT, root INT, part LONG, key LONG, codes BINARY")
+        values = branches.repartition(tasks, *keys).groupBy(*keys).cogroup(
+            sent.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(walk, "key LONG, value DOUBLE")
+        # the values of a row, one per tree, are added in one order whatever task sent them first
+        mean = F.aggregate(F.array_sort(F.collect_list("value")), F.lit(0.0), lambda a, x: a + x) / self.num_trees
+        found = values.groupBy(F.col("key").alias("_wl_id")).agg(mean.alias("_wl_pred"))
+        return stamped.join(found, "_wl_id").drop("_wl_id").withColumnRenamed("_wl_pred", name)
+
+    # The trees, and beside them one row of what prediction needs besides
     def save(self, path: str) -> str:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        meta = json.dumps({"feature_names": self.feature_names, "medians": self.medians, "model_type": self.model_type,
-                           "target_column": self.target_column, "forecast_horizon": self.forecast_horizon,
-                           "random_state": self.random_state})
         spark = SparkSession.getActiveSession()
+        self.trees.write.mode("overwrite").parquet(f"{path}/trees")
+        meta = json.dumps({k: getattr(self, k) for k in self.__dataclass_fields__ if k != "trees"})
         spark.createDataFrame([(meta,)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
         return path
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "ForestModel":
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
-        return ForestModel(pipeline=PipelineModel.load(f"{path}/pipeline"), **meta)
+        return ForestModel(trees=spark.read.schema(StructType.fromDDL(TREES)).parquet(f"{path}/trees"), **meta)
+
+
+def _cuts(x: DataFrame) -> list[list[float]]:
+    """At most 31 cuts per column: between all values where there are no more than 32, else quantiles."""
+
+    probs = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
+    row = x.agg(*[F.percentile_approx(c, probs, 10_000).alias(f"q_{c}") for c in x.columns],
+                *[F.approx_count_distinct(c).alias(f"n_{c}") for c in x.columns]).first()
+    few = [c for c in x.columns if row[f"n_{c}"] <= 1.5 * BINS]
+    values = x.agg(*[F.collect_set(c).alias(c) for c in few]).first().asDict() if few else {}
+    out = []
+    for c in x.columns:
+        seen = sorted(values.get(c, ()))
+        if c in values and len(seen) <= BINS:
+            out.append([(a + b) / 2 if math.isfinite(a + b) else a for a, b in zip(seen, seen[1:])])
+        else:
+            out.append(sorted(set(row[f"q_{c}"])))
+    return out
+
+
+def _top_levels(rows: DataFrame, count: int, features: int, trees: int, levels: int, seed: int) -> tuple[dict, dict]:
+    """The nodes of each tree above its branches, and the depth of those nodes; ``rows``: y, n, codes, digest."""
+
+    nodes = {t: [(-1, 0, 0, 0.0)] for t in range(trees)}
+    depth = {t: [0] for t in range(trees)}
+    open_ = [(t, 0) for t in range(trees)] if count > LOCAL_ROWS else []
+    per_pass = max(1, HISTOGRAM_BYTES // (3 * features * BINS * 8))
+
+    def pass_over(some: list[tuple[int, int]]) -> pd.DataFrame:
+        tops = {t: np.array(nodes[t], NODE) for t in {t for t, _ in some}}
+        place = {t: np.full(len(top), -1) for t, top in tops.items()}
+        wanted = {t: [] for t in tops}
+        for t, k in some:
+            wanted[t].append(k)
+        for t, ks in wanted.items():
+            place[t][ks] = np.arange(len(ks))
+
+        def histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            draws, found = _Draws(seed), {t: np.zeros((len(ks), 3, features, BINS)) for t, ks in wanted.items()}
+            for pdf in batches:
+                codes, y, n, digest = (_codes(pdf["codes"], features), *(pdf[c].to_numpy() for c in ("y", "n", "digest")))
+                for t, top in tops.items():
+                    w = draws.weights(digest, n, t)
+                    at = place[t][_route(top, codes)]
+                    of = np.flatnonzero((w > 0) & (at >= 0))
+                    a, size = at[of] * BINS, len(wanted[t]) * BINS
+                    for f in range(features):
+                        cell = a + codes[of, f]
+                        for j, v in enumerate((w[of], w[of] * y[of], None)):
+                            found[t][:, j, f] += np.bincount(cell, v, size).reshape(-1, BINS)
+            for t, h in found.items():
+                yield pd.DataFrame({"tree": t, "node": wanted[t], "histogram": [x.tobytes() for x in h]})
+
+        def best(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            hist = np.zeros((3, features, BINS))
+            for b in sorted(pdf["histogram"]):  # sums in one order, whatever the shuffle's
+                hist += np.frombuffer(b).reshape(hist.shape)
+            return pd.DataFrame([(int(key[0]), int(key[1]), *_best_split(hist))], columns=found_columns)
+
+        found_columns = ["tree", "node", "feature", "bin", "lw", "lm", "ln", "rw", "rm", "rn"]
+        return rows.mapInPandas(histograms, "tree INT, node INT, histogram BINARY").groupBy("tree", "node").applyInPandas(
+            best, "tree INT, node INT, feature INT, bin INT, lw DOUBLE, lm DOUBLE, ln LONG, rw DOUBLE, rm DOUBLE, rn LONG").toPandas()
+
+    while open_:
+        grown = pd.concat([pass_over(open_[i:i + per_pass]) for i in range(0, len(open_), per_pass)])
+        open_ = []
+        for r in grown.sort_values(["tree", "node"]).itertuples():
+            if r.feature < 0 or levels == 0:  # left -1: a leaf, however many rows it holds
+                nodes[r.tree][r.node] = (-1, 0, -1, (r.lw * r.lm + r.rw * r.rm) / (r.lw + r.rw))
+                continue
+            left = len(nodes[r.tree])
+            nodes[r.tree][r.node] = (r.feature, r.bin, left, 0.0)
+            d = depth[r.tree][r.node] + 1
+            for k, mean, n in ((left, r.lm, r.ln), (left + 1, r.rm, r.rn)):
+                nodes[r.tree].append((-1, 0, -1 if d == levels else 0, mean))
+                depth[r.tree].append(d)
+                if d < levels and n > LOCAL_ROWS:
+                    open_.append((r.tree, k))
+    return {t: np.array(v, NODE) for t, v in nodes.items()}, {t: np.array(v) for t, v in depth.items()}
 
 
 def fit_forest(
@@ -77,14 +358,54 @@ def fit_forest(
     features = list(features)
     if not features:
         raise ValueError("feature_names must not be empty.")
-    medians = column_medians(df, features)
-    shell = ForestModel(features, None, medians, target_column=target,  # type: ignore[arg-type]
+    spark, levels, width = df.sparkSession, min(max_depth, 30), len(features)
+    model = ForestModel(features, None, num_trees=num_trees, medians=column_medians(df, features), target_column=target,
                         forecast_horizon=forecast_horizon, random_state=random_state)
-    assembler = VectorAssembler(inputCols=[f"_wl_f_{f}" for f in features], outputCol="_wl_vec", handleInvalid="keep")
-    rf = RandomForestRegressor(
-        featuresCol="_wl_vec", labelCol=target, predictionCol="_wl_pred", numTrees=num_trees,
-        featureSubsetStrategy="all", maxDepth=min(max_depth, 30), seed=random_state, subsamplingRate=1.0,
-        bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True,
-    )
-    shell.pipeline = Pipeline(stages=[assembler, rf]).fit(shell._imputed(df.where(known(target).isNotNull())))
-    return shell
+    taught = df.where(known(target).isNotNull()).withColumn("_wl_y", known(target))
+    model.cuts = _cuts(taught.select(*model._imputed()))
+    rows = model._binned(taught, "_wl_y", "DOUBLE").groupBy("codes", F.col("key").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    rows = cut_lineage(rows.select("y", "n", "codes", F.xxhash64("codes", "y").alias("digest")))
+    count = rows.count()
+    if count == 0:
+        raise ValueError("No rows with a target to grow a forest from.")
+    slots = spark.sparkContext.defaultParallelism
+    rows = rows.repartition(max(2 * slots, math.ceil(count / LOCAL_ROWS)), "digest")
+    middle = rows.agg(F.sum(F.col("y") * F.col("n")) / F.sum("n")).first()[0]  # sums of centred targets keep their digits
+    rows = rows.withColumn("y", F.col("y") - F.lit(middle)).sortWithinPartitions("digest")
+    tops, depth = _top_levels(rows, count, width, num_trees, levels, random_state)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        draws = _Draws(random_state)
+        for pdf in batches:
+            codes, n, digest = _codes(pdf["codes"], width), pdf["n"].to_numpy(), pdf["digest"].to_numpy()
+            for t, top in tops.items():
+                w = draws.weights(digest, n, t)
+                root = _route(top, codes)
+                of = np.flatnonzero((w > 0) & (top["left"][root] >= 0))
+                yield pd.DataFrame({"tree": t, "root": root[of], "w": w[of], **{c: pdf[c].to_numpy()[of] for c in ("y", "codes", "digest")}})
+
+    def branch(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        t, root = int(key[0]), int(key[1])
+        pdf = pdf.sort_values("digest")
+        grown = _grow(_codes(pdf["codes"], width), pdf["y"].to_numpy(), pdf["w"].to_numpy(), levels - int(depth[t][root]))
+        grown["value"] += middle
+        return pd.DataFrame({"tree": [t], "root": [root], "nodes": [grown.tobytes()]})
+
+    ends = {(t, int(k)) for t, top in tops.items() for k in np.flatnonzero((top["feature"] < 0) & (top["left"] >= 0))}
+    tasks = max(1, min(len(ends), max(8 * slots, math.ceil(count * num_trees / (16 * LOCAL_ROWS)))))
+    drawn = rows.mapInPandas(draw, "tree INT, root INT, w DOUBLE, y DOUBLE, codes BINARY, digest LONG")
+    grown = drawn.repartition(tasks, "tree", "root").groupBy("tree", "root").applyInPandas(branch, TREES)
+    above = []
+    for t, top in tops.items():
+        top["value"] += middle
+        above.append((t, -1, top.tobytes()))
+        for k in np.flatnonzero((top["feature"] < 0) & (top["left"] < 0)):
+            above.append((t, int(k), top[[k]].tobytes()))
+    trees = cut_lineage(grown.unionByName(spark.createDataFrame(above, TREES)))
+    # a tree of few rows may have drawn none
+    bare = ends - {tuple(r) for r in trees.where(F.col("root") >= 0).select("tree", "root").collect()}
+    if bare:
+        leaf = np.array([(-1, 0, 0, middle)], NODE).tobytes()
+        trees = trees.unionByName(spark.createDataFrame([(*k, leaf) for k in sorted(bare)], TREES))
+    model.trees = trees
+    return model

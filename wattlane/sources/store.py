@@ -47,7 +47,7 @@ def _dismantled(spark: SparkSession, obj: Stored) -> tuple[str, dict[str, Any],
     if isinstance(obj, ZoneRidgeModel):
         return "zone_ridge", _plain(obj, "coefficients"), obj.coefficients
     if isinstance(obj, ForestModel):
-        return "random_forest", _plain(obj, "pipeline"), None
+        return "random_forest", _plain(obj, "trees"), obj.trees
     if isinstance(obj, IsolationForestModel):
         return "isolation_forest", _plain(obj, "nodes"), spark.createDataFrame(obj.nodes, NODE_SCHEMA)
     kind = "residual_zscore" if isinstance(obj, ResidualZScoreDetector) else "robust_residual"
@@ -81,8 +81,6 @@ def put(spark: SparkSession, path: str, model_id: str, obj: Stored, tries: int =
         try:
             if table is not None:
                 table.write.parquet(f"{path}/parameters/{folder}")
-            elif isinstance(obj, ForestModel):
-                obj.pipeline.write().save(f"{path}/parameters/{folder}")
             row = [(kind, datetime.now(tz=UTC).isoformat(), text)]
             spark.createDataFrame(row, "kind STRING, created_at STRING, metadata STRING").coalesce(1).write.parquet(f"{path}/models/{folder}")
             return version
@@ -115,9 +113,7 @@ def get(spark: SparkSession, path: str, model_id: str, version: int | None = Non
     if kind == "zone_ridge":
         return ZoneRidgeModel(coefficients=table, **metadata)
     if kind == "random_forest":
-        from pyspark.ml import PipelineModel
-
-        return ForestModel(pipeline=PipelineModel.load(folder), **metadata)
+        return ForestModel(trees=table, **metadata)
     if kind == "isolation_forest":  # bounded: trees * (2 * 256 - 1) nodes
         return IsolationForestModel(nodes=table.toPandas(), **metadata)
     metadata["by"] = tuple(metadata["by"])
