@@ -168,3 +168,49 @@ def test_store_keeps_forests(spark, tmp_path):
     assert store.put(spark, str(tmp_path / "s"), "f", model) == 1
     again = store.get(spark, str(tmp_path / "s"), "f")
     assert again.predict(df).orderBy("id").collect() == model.predict(df).orderBy("id").collect()
+
+
+def test_forest_forecast_computes_windows_once(spark, tmp_path, monkeypatch):
+    from wattlane import catalog
+
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "CAST(id % 13 AS DOUBLE) AS value", "concat('{\"k\": ', id % 5, '}') AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    seen, build = [], catalog.build_supervised_frame
+    monkeypatch.setattr(catalog, "build_supervised_frame", lambda df: seen.append(df) or build(df))
+    rows = catalog.forest_forecast(spark, str(tmp_path)).collect()
+    assert len(rows) == round((400 - 168 - 24) * 0.2)
+    assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [0, 1, 9])
+def test_few_rows_compared_split_as_histograms_do(monkeypatch, few):
+    from wattlane.operators import forest
+
+    rng = np.random.default_rng(few)
+    codes = rng.integers(0, 9, (2500, 4)).astype(np.uint8)
+    codes[:, 3] = 0
+    y, w = rng.integers(0, 40, 2500) / 4 + codes[:, 1], rng.integers(1, 4, 2500).astype(float)
+    exp = forest._grow(codes, y, w, 30)
+    monkeypatch.setattr(forest, "FEW", few)
+    monkeypatch.setattr(forest, "NODES", 3)
+    got = forest._grow(codes, y, w, 30)
+    for name in ("feature", "bin", "left"):
+        assert np.array_equal(got[name], exp[name])
+    assert np.allclose(got["value"], exp["value"])
+
+
+def test_trees_are_stored_in_few_bytes(spark):
+    from wattlane.operators import forest
+
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 20, (500, 3)).astype(np.uint8)
+    nodes = forest._grow(codes, rng.normal(size=500), np.ones(500), 30)
+    inner = nodes["feature"] >= 0
+    again = forest._restored(forest._stored(nodes))
+    assert all(np.array_equal(again[c], nodes[c]) for c in ("feature", "left"))
+    assert np.array_equal(again["bin"][inner], nodes["bin"][inner]) and np.array_equal(again["value"][~inner], nodes["value"][~inner])
+    model = forest.fit_forest(_wavy(spark)[0], ["a", "b", "c"], "y", num_trees=3)
+    stored = [r["nodes"] for r in model.trees.where("root >= 0").collect()]
+    assert sum(map(len, stored)) < 8 * sum(len(forest._restored(x)) for x in stored)

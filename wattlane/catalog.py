@@ -513,7 +513,7 @@ def ridge_backtest(spark: SparkSession, sf: str) -> DataFrame:
 def forest_forecast(spark: SparkSession, sf: str) -> DataFrame:
     from wattlane.operators.forest import fit_forest
 
-    sup = build_supervised_frame(build_feature_frame(_panel(spark, sf)))
+    sup = build_supervised_frame(cut_lineage(build_feature_frame(_panel(spark, sf))))  # windows run once
     s = train_test_split(sup.frame, 0.2, rows=sup.rows)
     model = fit_forest(s.part("train"), sup.features, TARGET)
     return model.predict(s.part("test")).select("zone", "timestamp", TARGET, "prediction")

@@ -12,8 +12,11 @@ no bootstrap copy is stored, and draws depend on neither partitions nor reruns.
 While a node holds more than ``LOCAL_ROWS`` rows, its split comes from one
 aggregate of histograms per level, for the nodes of all trees together; the
 rows of each smaller node then go to one task, which grows the rest of that
-branch.  What the driver holds is the nodes above the branches; the branches
-are a table, and prediction sends rows to them.
+branch, all nodes of a level at a time: by histograms, and where nodes hold a
+few rows only by comparing these.  What the driver holds is the nodes above the
+branches; the branches are a table, and prediction sends rows to them.  Rows
+travel packed, many of them in one value, as there are as many as rows times
+trees.
 """
 
 from __future__ import annotations
@@ -34,7 +37,11 @@ from wattlane.operators.quantiles import column_medians
 from wattlane.session import cut_lineage
 
 BINS = 32
-LOCAL_ROWS = 1 << 15  # nodes of at most so many rows are grown by one task
+LOCAL_ROWS = 1 << 18  # nodes of at most so many rows are grown by one task
+PACKED_ROWS = 1 << 15  # rows packed together before they are sent
+FEW = 4  # rows of a node that are compared with each other
+NODES = 2048  # nodes whose histograms are looked through together
+RANK = np.arange(255, 0, -1, dtype=np.uint8)[:, None]
 HISTOGRAM_BYTES = 1 << 26  # of one task, in one pass over the rows
 TIE = 1 - 1e-9  # gains closer than this are equal and the first of them is taken, whatever the order of sums
 #: branches by tree and the number of their root; root -1 is the part of the tree above its branches
@@ -46,16 +53,67 @@ def _codes(column: pd.Series, features: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, features)
 
 
+def _numbers(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind)
+
+
+def _together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches, ``PACKED_ROWS`` rows or more at a time."""
+
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= PACKED_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+    """The order that brings equal keys together, rows as they were, and where each run begins and ends in it."""
+
+    order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")  # short keys sort by radix
+    sorted_ = keys[order]
+    cut = np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1
+    return order, [0, *cut.tolist()], [*cut.tolist(), len(keys)]
+
+
+def _stored(nodes: np.ndarray) -> bytes:
+    """Nodes as text of a table: all features, the bins of inner nodes, the values of leaves; children follow in order."""
+
+    inner = nodes["feature"] >= 0
+    return nodes["feature"].tobytes() + nodes["bin"][inner].tobytes() + nodes["value"][~inner].tobytes()
+
+
+def _restored(text: bytes) -> np.ndarray:
+    """Nodes from ``_stored``: there is one leaf more than inner nodes, and the children of the k-th inner node are 2k+1, 2k+2."""
+
+    inners = (len(text) - 10) // 13
+    nodes = np.zeros(2 * inners + 1, NODE)
+    nodes["feature"] = np.frombuffer(text, "<i2", 2 * inners + 1)
+    inner = nodes["feature"] >= 0
+    nodes["bin"][inner] = np.frombuffer(text, "u1", inners, 2 * (2 * inners + 1))
+    nodes["value"][~inner] = np.frombuffer(text, "<f8", inners + 1, 2 * (2 * inners + 1) + inners)
+    nodes["left"][inner] = 2 * np.arange(inners) + 1
+    return nodes
+
+
 def _route(nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The node without children that each row ends at."""
 
-    at, moving = np.zeros(len(codes), np.int32), np.arange(len(codes))
-    while len(moving):
-        here = nodes[at[moving]]
-        inner = here["feature"] >= 0
-        moving, here = moving[inner], here[inner]
-        at[moving] = here["left"] + (codes[moving, here["feature"]] > here["bin"])
-    return at
+    step = nodes["feature"].astype(np.int64) << 40 | nodes["bin"].astype(np.int64) << 32 | nodes["left"].astype(np.int64) & 0xFFFFFFFF
+    flat, width = codes.ravel(), codes.shape[1]
+    ends, rows, at = np.zeros(len(codes), np.int64), np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    while len(rows):
+        here = step.take(at)
+        inner = np.flatnonzero(here >= 0)
+        if len(inner) < len(rows):
+            ends[rows] = at
+            rows, here = rows.take(inner), here.take(inner)
+        at = (here & 0xFFFFFFFF) + (flat.take(rows * width + (here >> 40)) > (here >> 32 & 255))
+    return ends
 
 
 class _Draws:
@@ -79,73 +137,137 @@ class _Draws:
             z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
         out = np.empty(len(u))
-        for rate in np.unique(copies):
+        for rate in copies[:1] if (copies == copies[:1]).all() else np.unique(copies):
             first, table = self._table(int(rate))
             of = copies == rate
             out[of] = first + np.searchsorted(table, u[of], side="right")
         return out
 
 
+class _Best:
+    """The best split of each node of a level; of equal ones the first feature's, and of its the one of the lowest bin."""
+
+    def __init__(self, width: int) -> None:
+        self.score, self.feature, self.bin = np.zeros(width), np.full(width, -1, np.int16), np.zeros(width, np.uint8)
+
+    def offer(self, nodes: np.ndarray, feature: int, score: np.ndarray, bins: np.ndarray) -> None:
+        hit = np.flatnonzero(TIE * score > self.score[nodes])
+        at = nodes[hit]
+        self.score[at], self.feature[at], self.bin[at] = score[hit], feature, bins[hit]
+
+
+def _gains(left: np.ndarray, s: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """s * s / (left * right), in ``s``: the gain of a cut, but for the node's weight.
+
+    Weights are whole numbers, so a product under 1 has an empty side; s is nothing there but what rounding left.
+    """
+
+    left *= total - left
+    s *= s
+    s /= np.maximum(left, 0.5, out=left)
+    return s
+
+
+def _scan(best: _Best, nodes: np.ndarray, counts: np.ndarray, weight: np.ndarray, codes: np.ndarray, w: np.ndarray,
+          d: np.ndarray, bins: np.ndarray) -> None:
+    """Offers the best cuts of nodes by histograms; rows are in the order of nodes."""
+
+    ends = np.cumsum(counts)
+    for first in range(0, len(nodes), NODES):
+        part = slice(first, first + NODES)
+        k = len(nodes[part])
+        rows = slice(ends[first] - counts[first], ends[first + k - 1])
+        node, total = np.repeat(np.arange(k), counts[part]), weight[part]
+        for f, b in enumerate(bins):
+            if b < 2:
+                continue
+            cell = np.multiply(codes[rows, f], k, dtype=np.int64)
+            cell += node
+            left = np.bincount(cell, w[rows], k * b).reshape(b, k)[:-1]
+            s = np.bincount(cell, d[rows], k * b).reshape(b, k)[:-1]
+            for i in range(1, b - 1):
+                left[i] += left[i - 1]
+                s[i] += s[i - 1]
+            score = _gains(left, s, total)
+            top = score.max(axis=0)
+            best.offer(nodes[part], f, top, 255 - ((score >= TIE * top) * RANK[:b - 1]).max(axis=0))
+
+
+def _compare(best: _Best, nodes: np.ndarray, rows: np.ndarray, weight: np.ndarray, codes: np.ndarray, w: np.ndarray,
+             d: np.ndarray) -> None:
+    """Offers the best cuts of nodes of equally few rows, given by column, by comparing each row with the others."""
+
+    for first in range(0, len(nodes), NODES):
+        part = slice(first, first + NODES)
+        at = rows[:, part]
+        code = np.ascontiguousarray(codes[at].transpose(0, 2, 1))
+        wt, dt, score = w[at], d[at], np.empty(code.shape)
+        for i in range(len(at)):
+            left, s = np.zeros(code.shape[1:]), np.zeros(code.shape[1:])
+            for j in range(len(at)):
+                under = code[j] <= code[i]
+                left += np.where(under, wt[j], 0.0)
+                s += np.where(under, dt[j], 0.0)
+            score[i] = _gains(left, s, weight[part])
+        top = score.max(axis=0)
+        low = np.where(score >= TIE * top, code, np.uint8(255)).min(axis=0)
+        for f in range(code.shape[1]):
+            best.offer(nodes[part], f, top[f], low[f])
+
+
 def _grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, levels: int) -> np.ndarray:
-    """The nodes of one branch of at most ``levels`` splits in depth; all nodes of a level at a time."""
+    """The nodes of one branch of at most ``levels`` splits in depth; all nodes of a level at a time, rows in their order."""
 
-    n, features = codes.shape
-    orders = [np.argsort(codes[:, f], kind="stable") for f in range(features)]
-    at, done = np.zeros(n, np.int32), []  # the row's node in its level, -1 after a leaf
-    total, width = 1, 1
+    features, bins = codes.shape[1], codes.max(axis=0).astype(np.int64) + 1
+    done, total, counts, order = [], 1, np.array([len(y)]), None
     for level in range(levels + 1):
-        act = np.flatnonzero(at >= 0)
-        a = at[act]
+        width = len(counts)
+        starts = np.cumsum(counts) - counts
+        node = np.repeat(np.arange(width), counts)
         out = np.zeros(width, NODE)
         out["feature"] = -1
-        low, high = np.full(width, np.inf), np.full(width, -np.inf)
-        np.minimum.at(low, a, y[act])
-        np.maximum.at(high, a, y[act])
-        weight = np.bincount(a, w[act], width)
-        mean = np.where(low == high, low, np.bincount(a, w[act] * y[act], width) / weight)
+        low, high = np.minimum.reduceat(y, starts), np.maximum.reduceat(y, starts)
+        weight = np.bincount(node, w, width)
+        mean = np.where(low == high, low, np.bincount(node, w * y, width) / weight)
         out["value"] = mean
         done.append(out)
         mixed = low < high
         if level == levels or not mixed.any():
             break
-        at[act[~mixed[a]]] = -1
-        alive = at >= 0
-        d = np.zeros(n)
-        d[alive] = w[alive] * (y[alive] - mean[at[alive]])
-        best, best_f, best_b = np.zeros(width), np.full(width, -1, np.int16), np.zeros(width, np.uint8)
-        counts = np.bincount(at[alive], minlength=width)
-        starts = np.cumsum(counts) - counts
-        for f in range(features):
-            rows = orders[f][alive[orders[f]]]
-            node = at[rows].astype(np.uint16) if width <= 1 << 16 else at[rows]  # short keys sort by radix
-            rows = orders[f] = rows[np.argsort(node, kind="stable")]
-            node, code = at[rows], codes[rows, f]
-            cut = np.flatnonzero((node[1:] == node[:-1]) & (code[1:] != code[:-1]))
-            if not len(cut):
-                continue
-            cw, cs = np.concatenate([[0.0], np.cumsum(w[rows])]), np.concatenate([[0.0], np.cumsum(d[rows])])
-            of = node[cut]
-            left, s = cw[cut + 1] - cw[starts[of]], cs[cut + 1] - cs[starts[of]]
-            score = s * s * (1 / left + 1 / (weight[of] - left))
-            head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            top = np.maximum.reduceat(score, head)
-            hit = np.flatnonzero(score >= TIE * np.repeat(top, np.diff(np.append(head, len(of)))))
-            hit = hit[np.concatenate([[True], of[hit][1:] != of[hit][:-1]])] if len(hit) else hit
-            hit = hit[TIE * score[hit] > best[of[hit]]]
-            best[of[hit]], best_f[of[hit]], best_b[of[hit]] = score[hit], f, code[cut[hit]]
-        split = best > 1e-12 * np.bincount(at[alive], d[alive] * d[alive] / w[alive], width)
+        if not mixed.all():  # rows of leaves go
+            live = np.flatnonzero(mixed[node])
+            order = live if order is None else order.take(live)
+            y, w, node = y.take(live), w.take(live), node.take(live)
+            counts = np.where(mixed, counts, 0)
+            starts = np.cumsum(counts) - counts
+        if order is not None:
+            codes = codes.take(order, axis=0)
+        d = w * (y - mean.take(node))
+        best = _Best(width)
+        for few in range(2, FEW + 1):
+            nodes = np.flatnonzero(counts == few)
+            if len(nodes):
+                _compare(best, nodes, starts[nodes] + np.arange(few)[:, None], weight[nodes], codes, w, d)
+        nodes = np.flatnonzero(counts > FEW)
+        if len(nodes):
+            rows = slice(None) if len(nodes) == np.count_nonzero(counts) else np.flatnonzero((counts > FEW)[node])
+            _scan(best, nodes, counts[nodes], weight[nodes], codes[rows], w[rows], d[rows], bins)
+        split = best.score * weight > 1e-12 * np.bincount(node, d * d / w, width)
         if not split.any():
             break
-        out["feature"][split], out["bin"][split] = best_f[split], best_b[split]
+        out["feature"][split], out["bin"][split] = best.feature[split], best.bin[split]
         out["left"][split] = total + 2 * np.arange(split.sum())
-        child = np.full(width, -1, np.int32)
-        child[split] = 2 * np.arange(split.sum())
-        live = np.flatnonzero(alive)
-        a = at[live]
-        right = codes[live, np.maximum(best_f[a], 0)] > best_b[a]
-        at[live] = np.where(split[a], child[a] + right, -1)
-        width = 2 * int(split.sum())
-        total += width
+        column = np.maximum(best.feature, 0).astype(np.int64)
+        right = codes.ravel().take(np.arange(0, codes.size, features) + column.take(node)) > best.bin.take(node)
+        kept = split[node]
+        sides = np.flatnonzero(kept & ~right), np.flatnonzero(kept & right)
+        n_left, n_right = (np.bincount(node[x], minlength=width)[split] for x in sides)
+        order = np.empty(sum(map(len, sides)), np.int64)  # left and right rows of each node, as they stood
+        order[np.arange(len(sides[0])) + np.repeat(np.cumsum(n_right) - n_right, n_left)] = sides[0]
+        order[np.arange(len(sides[1])) + np.repeat(np.cumsum(n_left), n_right)] = sides[1]
+        counts = np.stack([n_left, n_right], axis=1).ravel()
+        y, w = y.take(order), w.take(order)
+        total += len(counts)
     return np.concatenate(done)
 
 
@@ -205,8 +327,9 @@ class ForestModel:
             raise ValueError(f"Missing required model features: {', '.join(missing)}.")
         stamped = cut_lineage(df.withColumn("_wl_id", F.monotonically_increasing_id()))
         binned = self._binned(stamped, "_wl_id", "LONG")
-        tops = {r["tree"]: np.frombuffer(r["nodes"], NODE) for r in self.trees.where(F.col("root") < 0).collect()}
-        features = len(self.feature_names)
+        tops = {r["tree"]: _restored(r["nodes"]) for r in self.trees.where(F.col("root") < 0).collect()}
+        features, trees = len(self.feature_names), self.num_trees
+        chunk = max(1, min(1 << 16, (1 << 21) // trees))  # ids whose values, one per tree, meet in one task
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = {t: np.zeros(len(top), np.int64) for t, top in tops.items()}
@@ -225,31 +348,51 @@ class ForestModel:
             parts[t][part["root"]] = part["parts"]
 
         def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in _together(batches):
                 codes, key = _codes(pdf["codes"], features), pdf["key"].to_numpy()
+                of, place = key // chunk, (key % chunk).astype("<u2")
+                near = np.unique(of, return_inverse=True)[1]
                 for t, top in tops.items():
                     root = _route(top, codes)
-                    yield pd.DataFrame({"tree": t, "root": root, "part": key % parts[t][root], "key": key, "codes": pdf["codes"]})
+                    order, begin, end = _runs(root * (near.max() + 1) + near)
+                    first, sent, places = order[begin], codes.take(order, axis=0), place[order]
+                    yield pd.DataFrame({
+                        "tree": t, "root": root[first], "part": of[first] % parts[t][root[first]], "chunk": of[first],
+                        "place": [places[i:j].tobytes() for i, j in zip(begin, end)],
+                        "codes": [sent[i:j].tobytes() for i, j in zip(begin, end)]})
 
         def walk(branch: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(rows):
-                return pd.DataFrame({"key": [], "value": []})
-            nodes = np.frombuffer(branch["nodes"].iloc[0], NODE)
-            return pd.DataFrame({"key": rows["key"], "value": nodes["value"][_route(nodes, _codes(rows["codes"], features))]})
+                return pd.DataFrame({"chunk": [], "tree": [], "place": [], "value": []})
+            nodes = _restored(branch["nodes"].iloc[0])
+            values = nodes["value"].take(_route(nodes, _codes(rows["codes"], features)))
+            ends = np.cumsum([len(x) // 2 for x in rows["place"]]).tolist()
+            return pd.DataFrame({"chunk": rows["chunk"], "tree": rows["tree"], "place": rows["place"],
+                                 "value": [values[i:j].tobytes() for i, j in zip([0, *ends], ends)]})
+
+        def mean(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            places = _numbers(pdf["place"], "<u2")
+            tree = np.repeat(pdf["tree"].to_numpy(), [len(x) // 2 for x in pdf["place"]])
+            ids, row = np.unique(places, return_inverse=True)
+            values = np.empty((len(ids), trees))
+            values[row, tree] = _numbers(pdf["value"], "<f8")
+            values.sort(axis=1)  # added in one order whatever task sent them first
+            total = np.zeros(len(ids))
+            for k in range(trees):
+                total += values[:, k]
+            return pd.DataFrame({"_wl_id": int(key[0]) * chunk + ids.astype(np.int64), "_wl_pred": total / trees})
 
         spark = df.sparkSession
         rows = int(sizes["n"].sum())
-        tasks = max(1, min(len(sizes), max(4 * spark.sparkContext.defaultParallelism, math.ceil(rows / (16 * LOCAL_ROWS)))))
+        tasks = max(1, min(len(sizes), max(8 * spark.sparkContext.defaultParallelism, math.ceil(rows / LOCAL_ROWS))))
         keys = ["tree", "root", "part"]
         split = spark.createDataFrame(sizes[["tree", "root", "parts"]], "tree INT, root INT, parts INT")
         branches = self.trees.join(F.broadcast(split), ["tree", "root"]).select(
             "tree", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), "nodes")
-        sent = binned.mapInPandas(send, "tree INT, root INT, part LONG, key LONG, codes BINARY")
+        sent = binned.mapInPandas(send, "tree INT, root INT, part LONG, chunk LONG, place BINARY, codes BINARY")
         values = branches.repartition(tasks, *keys).groupBy(*keys).cogroup(
-            sent.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(walk, "key LONG, value DOUBLE")
-        # the values of a row, one per tree, are added in one order whatever task sent them first
-        mean = F.aggregate(F.array_sort(F.collect_list("value")), F.lit(0.0), lambda a, x: a + x) / self.num_trees
-        found = values.groupBy(F.col("key").alias("_wl_id")).agg(mean.alias("_wl_pred"))
+            sent.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(walk, "chunk LONG, tree INT, place BINARY, value BINARY")
+        found = values.groupBy("chunk").applyInPandas(mean, "_wl_id LONG, _wl_pred DOUBLE")
         return stamped.join(found, "_wl_id").drop("_wl_id").withColumnRenamed("_wl_pred", name)
 
     # The trees, and beside them one row of what prediction needs besides
@@ -303,7 +446,7 @@ def _top_levels(rows: DataFrame, count: int, features: int, trees: int, levels:
 
         def histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             draws, found = _Draws(seed), {t: np.zeros((len(ks), 3, features, BINS)) for t, ks in wanted.items()}
-            for pdf in batches:
+            for pdf in _together(batches):
                 codes, y, n, digest = (_codes(pdf["codes"], features), *(pdf[c].to_numpy() for c in ("y", "n", "digest")))
                 for t, top in tops.items():
                     w = draws.weights(digest, n, t)
@@ -365,47 +508,54 @@ def fit_forest(
     model.cuts = _cuts(taught.select(*model._imputed()))
     rows = model._binned(taught, "_wl_y", "DOUBLE").groupBy("codes", F.col("key").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     rows = cut_lineage(rows.select("y", "n", "codes", F.xxhash64("codes", "y").alias("digest")))
-    count = rows.count()
+    count, slots = rows.count(), spark.sparkContext.defaultParallelism
     if count == 0:
         raise ValueError("No rows with a target to grow a forest from.")
-    slots = spark.sparkContext.defaultParallelism
-    rows = rows.repartition(max(2 * slots, math.ceil(count / LOCAL_ROWS)), "digest")
+    parts = max(2 * slots, math.ceil(count / (4 * LOCAL_ROWS)))  # tasks that send histograms grow slower than the rows
     middle = rows.agg(F.sum(F.col("y") * F.col("n")) / F.sum("n")).first()[0]  # sums of centred targets keep their digits
-    rows = rows.withColumn("y", F.col("y") - F.lit(middle)).sortWithinPartitions("digest")
+    rows = cut_lineage(rows.withColumn("y", F.col("y") - F.lit(middle)).repartition(parts, "digest"))
     tops, depth = _top_levels(rows, count, width, num_trees, levels, random_state)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         draws = _Draws(random_state)
-        for pdf in batches:
-            codes, n, digest = _codes(pdf["codes"], width), pdf["n"].to_numpy(), pdf["digest"].to_numpy()
+        for pdf in _together(batches):
+            codes, y, n, digest = (_codes(pdf["codes"], width), *(pdf[c].to_numpy() for c in ("y", "n", "digest")))
             for t, top in tops.items():
                 w = draws.weights(digest, n, t)
                 root = _route(top, codes)
                 of = np.flatnonzero((w > 0) & (top["left"][root] >= 0))
-                yield pd.DataFrame({"tree": t, "root": root[of], "w": w[of], **{c: pdf[c].to_numpy()[of] for c in ("y", "codes", "digest")}})
+                if not len(of):
+                    continue
+                order, begin, end = _runs(root[of])
+                of = of[order]
+                packed = {"codes": codes.take(of, axis=0), "y": y[of], "w": w[of].astype("<u4")}
+                yield pd.DataFrame({"tree": t, "root": root[of[begin]], "first": digest[0],
+                                    **{c: [x[i:j].tobytes() for i, j in zip(begin, end)] for c, x in packed.items()}})
 
     def branch(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t, root = int(key[0]), int(key[1])
-        pdf = pdf.sort_values("digest")
-        grown = _grow(_codes(pdf["codes"], width), pdf["y"].to_numpy(), pdf["w"].to_numpy(), levels - int(depth[t][root]))
+        pdf = pdf.sort_values("first")  # sums in one order, that of all digests, whatever the partitions
+        grown = _grow(_codes(pdf["codes"], width), _numbers(pdf["y"], "<f8"), _numbers(pdf["w"], "<u4").astype(float),
+                      levels - int(depth[t][root]))
         grown["value"] += middle
-        return pd.DataFrame({"tree": [t], "root": [root], "nodes": [grown.tobytes()]})
+        return pd.DataFrame({"tree": [t], "root": [root], "nodes": [_stored(grown)]})
 
     ends = {(t, int(k)) for t, top in tops.items() for k in np.flatnonzero((top["feature"] < 0) & (top["left"] >= 0))}
-    tasks = max(1, min(len(ends), max(8 * slots, math.ceil(count * num_trees / (16 * LOCAL_ROWS)))))
-    drawn = rows.mapInPandas(draw, "tree INT, root INT, w DOUBLE, y DOUBLE, codes BINARY, digest LONG")
+    tasks = max(1, min(len(ends), max(8 * slots, math.ceil(count * num_trees / LOCAL_ROWS))))
+    drawn = rows.repartitionByRange(parts, "digest").sortWithinPartitions("digest").mapInPandas(
+        draw, "tree INT, root INT, first LONG, codes BINARY, y BINARY, w BINARY")
     grown = drawn.repartition(tasks, "tree", "root").groupBy("tree", "root").applyInPandas(branch, TREES)
     above = []
     for t, top in tops.items():
         top["value"] += middle
-        above.append((t, -1, top.tobytes()))
+        above.append((t, -1, _stored(top)))
         for k in np.flatnonzero((top["feature"] < 0) & (top["left"] < 0)):
-            above.append((t, int(k), top[[k]].tobytes()))
+            above.append((t, int(k), _stored(top[[k]])))
     trees = cut_lineage(grown.unionByName(spark.createDataFrame(above, TREES)))
     # a tree of few rows may have drawn none
     bare = ends - {tuple(r) for r in trees.where(F.col("root") >= 0).select("tree", "root").collect()}
     if bare:
-        leaf = np.array([(-1, 0, 0, middle)], NODE).tobytes()
+        leaf = _stored(np.array([(-1, 0, 0, middle)], NODE))
         trees = trees.unionByName(spark.createDataFrame([(*k, leaf) for k in sorted(bare)], TREES))
     model.trees = trees
     return model
