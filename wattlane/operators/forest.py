@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from wattlane.functions.missing import known
 from wattlane.operators.quantiles import column_medians
-from wattlane.session import cut_lineage
+from wattlane.session import cut_lineage, shuffle_partitions
 
 BINS = 32
 LOCAL_ROWS = 1 << 18  # nodes of at most so many rows are grown by one task
@@ -120,7 +120,7 @@ class _Draws:
     """Bootstrap weights: what Poisson draws of rate 1 for each of the row's copies add up to, from a digest of the row."""
 
     def __init__(self, seed: int) -> None:
-        self.seed, self.tables = seed, {}
+        self.seed, self.tables, self.seen, self.alike = seed, {}, None, []
 
     def _table(self, rate: int) -> tuple[int, np.ndarray]:
         if rate not in self.tables:
@@ -136,10 +136,12 @@ class _Draws:
             z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
+        if copies is not self.seen:  # rows by their copies, for all trees
+            order, begin, end = _runs(copies)
+            self.seen, self.alike = copies, [(int(copies[order[i]]), order[i:j]) for i, j in zip(begin, end)]
         out = np.empty(len(u))
-        for rate in copies[:1] if (copies == copies[:1]).all() else np.unique(copies):
-            first, table = self._table(int(rate))
-            of = copies == rate
+        for rate, of in self.alike:
+            first, table = self._table(rate)
             out[of] = first + np.searchsorted(table, u[of], side="right")
         return out
 
@@ -325,7 +327,10 @@ class ForestModel:
         missing = [f for f in self.feature_names if f not in df.columns]
         if missing:
             raise ValueError(f"Missing required model features: {', '.join(missing)}.")
-        stamped = cut_lineage(df.withColumn("_wl_id", F.monotonically_increasing_id()))
+        spark = df.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        spread = df.repartition(max(2 * slots, shuffle_partitions(spark)))  # the rows of a split may stand in few partitions
+        stamped = cut_lineage(spread.withColumn("_wl_id", F.monotonically_increasing_id()))
         binned = self._binned(stamped, "_wl_id", "LONG")
         tops = {r["tree"]: _restored(r["nodes"]) for r in self.trees.where(F.col("root") < 0).collect()}
         features, trees = len(self.feature_names), self.num_trees
@@ -382,9 +387,8 @@ class ForestModel:
                 total += values[:, k]
             return pd.DataFrame({"_wl_id": int(key[0]) * chunk + ids.astype(np.int64), "_wl_pred": total / trees})
 
-        spark = df.sparkSession
         rows = int(sizes["n"].sum())
-        tasks = max(1, min(len(sizes), max(8 * spark.sparkContext.defaultParallelism, math.ceil(rows / LOCAL_ROWS))))
+        tasks = max(1, min(len(sizes), max(8 * slots, math.ceil(rows / LOCAL_ROWS))))
         keys = ["tree", "root", "part"]
         split = spark.createDataFrame(sizes[["tree", "root", "parts"]], "tree INT, root INT, parts INT")
         branches = self.trees.join(F.broadcast(split), ["tree", "root"]).select(
@@ -452,10 +456,11 @@ def _top_levels(rows: DataFrame, count: int, features: int, trees: int, levels:
                     w = draws.weights(digest, n, t)
                     at = place[t][_route(top, codes)]
                     of = np.flatnonzero((w > 0) & (at >= 0))
-                    a, size = at[of] * BINS, len(wanted[t]) * BINS
+                    a, size, here, weight = at[of] * BINS, len(wanted[t]) * BINS, codes.take(of, axis=0), w.take(of)
+                    sums = weight, weight * y.take(of), None
                     for f in range(features):
-                        cell = a + codes[of, f]
-                        for j, v in enumerate((w[of], w[of] * y[of], None)):
+                        cell = a + here[:, f]
+                        for j, v in enumerate(sums):
                             found[t][:, j, f] += np.bincount(cell, v, size).reshape(-1, BINS)
             for t, h in found.items():
                 yield pd.DataFrame({"tree": t, "node": wanted[t], "histogram": [x.tobytes() for x in h]})
@@ -512,8 +517,9 @@ def fit_forest(
     if count == 0:
         raise ValueError("No rows with a target to grow a forest from.")
     parts = max(2 * slots, math.ceil(count / (4 * LOCAL_ROWS)))  # tasks that send histograms grow slower than the rows
+    rows = rows.repartition(parts, "digest")
     middle = rows.agg(F.sum(F.col("y") * F.col("n")) / F.sum("n")).first()[0]  # sums of centred targets keep their digits
-    rows = cut_lineage(rows.withColumn("y", F.col("y") - F.lit(middle)).repartition(parts, "digest"))
+    rows = cut_lineage(rows.withColumn("y", F.col("y") - F.lit(middle)))
     tops, depth = _top_levels(rows, count, width, num_trees, levels, random_state)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
